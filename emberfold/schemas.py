@@ -82,8 +82,3 @@ INCIDENT = (
     f"fire_severity_assessment {SEVERITY_ASSESSMENT}, hotspots ARRAY<{HOTSPOT}>, "
     "part INT, parts INT"
 )
-
-# GeoJSON polygons are read as MultiPolygon coordinates or Polygon coordinates.
-GEOJSON_GEOMETRY = (
-    "STRUCT<type: STRING, coordinates: STRING>"
-)
