@@ -43,6 +43,16 @@ def round_half_even(value: Column, places: int = 2) -> Column:
     return F.rint(value * scale) / scale
 
 
+def exact_mean(total: Column, count: Column) -> Column:
+    """Mean from ``nano_sum``; the same for any order of the rows, unlike a sum of doubles."""
+    return F.try_divide(total.cast("double"), count) / 1e9
+
+
+def nano_sum(value: Column) -> Column:
+    """Exact sum in units of 1e-9, as an aggregate."""
+    return F.sum(F.rint(value * 1e9).cast("decimal(20,0)"))
+
+
 def within_bbox(lat: Column, lon: Column, bbox: list[float]) -> Column:
     min_lon, min_lat, max_lon, max_lat = (float(v) for v in bbox)
     return lon.between(min_lon, max_lon) & lat.between(min_lat, max_lat)

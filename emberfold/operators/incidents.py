@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberfold.functions.geo import exact_mean, nano_sum, round_half_even
 from emberfold.functions.nested import append_if
 from emberfold.functions.times import iso_utc
 
@@ -30,20 +31,20 @@ def cluster_summary(clustered: DataFrame, run: str = "run_date", label: str = "c
             F.min("acq_datetime").alias("_from"),
             F.max("acq_datetime").alias("_until"),
             F.collect_set("source").alias("_sources"),
-            F.sum("frp_mean").alias("_frp"),
+            nano_sum(F.col("frp_mean")).alias("_frp"),
             F.count("frp_mean").alias("_frp_n"),
         )
     )
     sources = F.sort_array(F.array_distinct(F.flatten(F.collect_set("_sources"))))
     summary = places.groupBy(run, F.col(label).alias("cluster_no")).agg(
         F.sum("_n").alias("point_count"),
-        F.round(F.avg("latitude"), 6).alias("centroid_latitude"),
-        F.round(F.avg("longitude"), 6).alias("centroid_longitude"),
+        _centroid("latitude").alias("centroid_latitude"),
+        _centroid("longitude").alias("centroid_longitude"),
         sources.alias("detected_by"),
         F.min("_from").alias("first_detected"),
         F.max("_until").alias("last_detected"),
         # Mean power of the hotspots that report one; none at all counts as zero.
-        F.coalesce(F.try_divide(F.sum("_frp"), F.sum("_frp_n")), F.lit(0.0)).alias("avg_frp"),
+        F.coalesce(exact_mean(F.sum("_frp"), F.sum("_frp_n")), F.lit(0.0)).alias("avg_frp"),
         F.min("latitude").alias("min_lat"),
         F.max("latitude").alias("max_lat"),
         F.min("longitude").alias("min_lon"),
@@ -52,6 +53,10 @@ def cluster_summary(clustered: DataFrame, run: str = "run_date", label: str = "c
     return summary.withColumn("cluster_id", incident_id(F.col(run), F.col("cluster_no")))
 
 
+def _centroid(column: str) -> Column:
+    return round_half_even(exact_mean(nano_sum(F.col(column)), F.count("*")), 6)
+
+
 def assess_severity(point_count: Column, weather: Column, air_quality: Column) -> Column:
     """Severity struct from density, weather and air quality.
 
