@@ -324,7 +324,7 @@ def dbscan(
     )
     edges = _touching_cells(grid, core_cells, core_places, g)
     roots = connected_components(core_cells.select(*g, F.col("_cell").alias("node")), edges, g)
-    roots = cut_lineage(roots.withColumnRenamed("node", "_cell"))
+    roots = roots.withColumnRenamed("node", "_cell")
     clusters = (
         core_cells.join(roots, cell_key).groupBy(*g, "root").agg(F.min("_first").alias("_first"))
     )
