@@ -1,7 +1,7 @@
 """Points within buffered polygons, without a geometry library.
 
 The polygon layer is turned once into a table keyed by grid cell. A cell no edge comes near is
-settled by one flag; a cell near an edge carries just its own edges and whether its centre is
+settled by one flag; a cell near an edge carries just its own edges and whether its anchor (a point near its centre) is
 inside. A point then needs a single equi-join on its cell and looks at the edges of that cell
 only, so the work per point does not grow with the polygon or the layer. The table depends on
 the polygons alone, never on the points; Spark broadcasts it when its measured size allows and
@@ -19,6 +19,9 @@ from emberfold.session import cut_lineage
 BUFFER_UNITS = 1000.0
 CELL_UNITS = 5000.0
 EDGES_PER_ROW = 512
+# Anchor of a cell, as a share of its side. Uneven shares keep anchors off the vertices and
+# edges of layers digitised on a regular raster.
+ANCHOR_X, ANCHOR_Y = 0.5123456789, 0.4871592653
 # Slack, in map units, that keeps rounding from losing a cell at its border.
 _SLACK = 1e-3
 
@@ -72,12 +75,12 @@ def _edges_by_cell(edges: DataFrame, key: str, buffer: float, cell: float) -> Da
     return rows.select(key, "cy", F.explode(columns).alias("cx"), "x1", "y1", "x2", "y2")
 
 
-def _inside_centres(edges: DataFrame, key: str, cell: float) -> DataFrame:
-    """Cells whose centre lies inside the polygon: even-odd runs along the centre lines."""
+def _inside_anchors(edges: DataFrame, key: str, cell: float) -> DataFrame:
+    """Cells whose anchor lies inside the polygon: even-odd runs along the anchor lines."""
     span = F.sequence(
-        F.floor(F.least("y1", "y2") / cell - 0.5), F.floor(F.greatest("y1", "y2") / cell - 0.5) + 1
+        F.floor(F.least("y1", "y2") / cell - ANCHOR_Y), F.floor(F.greatest("y1", "y2") / cell - ANCHOR_Y) + 1
     )
-    y = (F.col("cy") + 0.5) * cell
+    y = (F.col("cy") + ANCHOR_Y) * cell
     crossing = (
         edges.withColumn("cy", F.explode(span))
         .filter((F.col("y1") > y) != (F.col("y2") > y))
@@ -94,15 +97,15 @@ def _inside_centres(edges: DataFrame, key: str, cell: float) -> DataFrame:
     runs = F.transform(
         F.sequence(F.lit(0), (F.size("xs") / 2).cast("int") - 1),
         lambda i: F.struct(
-            F.ceil(F.get("xs", i * 2) / cell - 0.5).alias("lo"),
-            (F.ceil(F.get("xs", i * 2 + 1) / cell - 0.5) - 1).alias("hi"),
+            F.ceil(F.get("xs", i * 2) / cell - ANCHOR_X).alias("lo"),
+            (F.ceil(F.get("xs", i * 2 + 1) / cell - ANCHOR_X) - 1).alias("hi"),
         ),
     )
     return (
         line.select(key, "cy", F.explode(runs).alias("run"))
         .filter("run.lo <= run.hi")
         .select(key, "cy", F.explode(F.sequence("run.lo", "run.hi")).alias("cx"))
-        .withColumn("centre_inside", F.lit(True))
+        .withColumn("anchor_inside", F.lit(True))
     )
 
 
@@ -113,7 +116,7 @@ def polygon_index(
     cell: float = CELL_UNITS,
     edges_per_row: int = EDGES_PER_ROW,
 ) -> DataFrame:
-    """Cell table of a polygon layer: (key, cx, cy, centre_inside, edges, pieces).
+    """Cell table of a polygon layer: (key, cx, cy, anchor_inside, edges, pieces).
 
     Cells with very many edges are split over ``pieces`` rows, so that no array outgrows
     roughly ``edges_per_row`` entries.
@@ -132,24 +135,26 @@ def polygon_index(
         .agg(F.collect_list(edge).alias("edges"))
     )
     empty = F.lit([]).cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
-    return packed.join(_inside_centres(edges, key, cell), cell_key, "full_outer").select(
+    return packed.join(_inside_anchors(edges, key, cell), cell_key, "full_outer").select(
         *cell_key,
-        F.coalesce("centre_inside", F.lit(False)).alias("centre_inside"),
+        F.coalesce("anchor_inside", F.lit(False)).alias("anchor_inside"),
         F.coalesce("edges", empty).alias("edges"),
         F.coalesce("pieces", F.lit(1)).alias("pieces"),
     )
 
 
 def _flips(edges: Column, x: Column, y: Column, xc: Column, yc: Column) -> Column:
-    """Parity of edges crossed on the way centre -> (xc, y) -> (x, y), all within one cell.
+    """Parity of edges crossed on the way anchor -> (xc, y) -> (x, y), all within one cell.
 
-    Both legs judge the turning point by the same cross product, so an edge running exactly
-    through it is counted on one leg and not lost or doubled.
+    Both legs judge the turning point by the same cross product. A point exactly on an edge's
+    line counts as lying a touch higher (and, for upright edges, further right), which is what
+    the strict comparisons of end points mean as well.
     """
 
     def side(e: Column, px: Column, py: Column) -> Column:
-        cross = (e.x2 - e.x1) * (py - e.y1) - (e.y2 - e.y1) * (px - e.x1)
-        return cross > 0
+        dx, dy = e.x2 - e.x1, e.y2 - e.y1
+        cross = dx * (py - e.y1) - dy * (px - e.x1)
+        return (cross > 0) | ((cross == 0) & ((dx > 0) | ((dx == 0) & (dy < 0))))
 
     def crossed(e: Column) -> Column:
         up = ((e.x1 > xc) != (e.x2 > xc)) & (side(e, xc, yc) != side(e, xc, y))
@@ -193,7 +198,7 @@ def points_near_polygons(
 
     columns = points.columns
     x, y = F.col("_x"), F.col("_y")
-    xc, yc = (F.col("_cx") + 0.5) * cell, (F.col("_cy") + 0.5) * cell
+    xc, yc = (F.col("_cx") + ANCHOR_X) * cell, (F.col("_cy") + ANCHOR_Y) * cell
     located = (
         points.withColumns({"_x": mercator_x(F.col(lon)), "_y": mercator_y(F.col(lat))})
         .withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
@@ -201,9 +206,9 @@ def points_near_polygons(
     on_cell = (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))
     flips, close = _flips(F.col("edges"), x, y, xc, yc), _close(F.col("edges"), x, y, buffer)
     settled = index.filter("pieces = 1").select(
-        F.col(key).alias("_poly"), "cx", "cy", "centre_inside", "edges"
+        F.col(key).alias("_poly"), "cx", "cy", "anchor_inside", "edges"
     )
-    hit = on_cell & ((F.col("centre_inside") != flips) | close)
+    hit = on_cell & ((F.col("anchor_inside") != flips) | close)
     if semi and not split_cells:
         return located.join(settled, hit, "left_semi").select(*columns)
     matches = located.join(settled, hit, "inner").select(*columns, "_poly")
@@ -225,16 +230,16 @@ def _match_split_cells(
     flips: Column, close: Column, on_cell: Column,
 ) -> DataFrame:
     """Cells whose edges span several rows: combine the rows' answers per distinct place."""
-    pieces = index.select(F.col(key).alias("_poly"), "cx", "cy", "centre_inside", "edges")
+    pieces = index.select(F.col(key).alias("_poly"), "cx", "cy", "anchor_inside", "edges")
     place = ["_x", "_y", "_cx", "_cy"]
     verdict = (
         located.select(*place)
         .distinct()
         .join(pieces, on_cell)
-        .select(*place, "_poly", "centre_inside", flips.alias("flip"), close.alias("near"))
+        .select(*place, "_poly", "anchor_inside", flips.alias("flip"), close.alias("near"))
         .groupBy(*place, "_poly")
         .agg(
-            (F.max("centre_inside") != (F.sum(F.col("flip").cast("int")) % 2 == 1)).alias("inside"),
+            (F.max("anchor_inside") != (F.sum(F.col("flip").cast("int")) % 2 == 1)).alias("inside"),
             F.max("near").alias("near"),
         )
         .filter("inside OR near")
