@@ -33,7 +33,7 @@ from emberfold.operators.standardize import (
 )
 from emberfold.plans import derive
 from emberfold.plans.jobs import cluster_hotspots, detect_incidents, enrich, row_order
-from emberfold.session import prepare, scratch_path
+from emberfold.session import cut_lineage, prepare, scratch_path
 from emberfold.sources import feeds, polygons as polygon_files, records
 from emberfold.streaming import dedup as stream_dedup
 from emberfold.streaming.landing import landing_stream
@@ -293,8 +293,8 @@ def plugged_in_model(spark, sf_dir):
 @query
 def incidents_flat(spark, sf_dir):
     """The whole detection and scoring chain, one row per incident."""
-    clustered = _clusters(spark, sf_dir)
-    incidents = enrich(cluster_summary(clustered), derive.weather(spark, sf_dir), derive.pixels(spark, sf_dir))
+    summary = cut_lineage(cluster_summary(_clusters(spark, sf_dir)))
+    incidents = enrich(summary, derive.weather(spark, sf_dir), derive.pixels(spark, sf_dir))
     scored = incidents.withColumn("raw_score", scoring.raw_score(incidents, scoring.DEFAULT_CONFIG))
     confidence = 1.0 / (1.0 + F.exp(-F.col("raw_score")))
     return scored.select(
