@@ -39,51 +39,45 @@ def asof_nearest(
     """``left`` plus a struct with the row of ``hourly`` closest in time per ``by`` key.
 
     Ties go to the earlier hour; no row at all gives null. The hourly table is made unique per
-    (key, hour) first. A left row then meets one row per (key, day): that day's hours, at most
-    24, with the last hour known before the day and the first one after it. No left row is
-    multiplied, and a key with very many left rows is spread over its days.
+    (key, hour) first. Per key, a calendar of its hours and of the hours asked for carries the
+    last row up to each hour and the first one after it; a left row meets the one calendar row
+    of its own hour and takes the nearer of the two. No left row is multiplied, a key with very
+    many left rows is spread over its hours, and what a window sees per key is bounded by time.
     """
     values = [c for c in hourly.columns if c not in (*by, hour)]
     unique = (
-        hourly.withColumn("_hour", F.date_trunc("hour", hour))
-        .filter("_hour IS NOT NULL")
-        .groupBy(*by, "_hour")
+        hourly.withColumn("_slot", F.date_trunc("hour", hour))
+        .filter("_slot IS NOT NULL")
+        .groupBy(*by, "_slot")
         .agg(F.min(F.struct(*values)).alias("_values"))
     )
-    record = F.struct(F.col("_hour").alias("_at"), F.col("_values"))
-    days = unique.groupBy(*by, F.to_date("_hour").alias("_day")).agg(
-        F.sort_array(F.collect_list(record)).alias("_hours")
+    wanted = left.select(*by, F.date_trunc("hour", left_ts).alias("_slot")).distinct()
+    known = F.when(
+        F.col("_values").isNotNull(),
+        F.struct(F.col("_slot").alias(hour), *[F.col("_values")[v].alias(v) for v in values]),
     )
-    # Days without any hour still need their neighbours, so the left days join the calendar.
-    wanted = left.select(*by, F.to_date(left_ts).alias("_day")).distinct()
-    calendar = days.join(wanted, [*by, "_day"], "full_outer")
-    back = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = (
-        Window.partitionBy(*by).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    to_come = (
+        Window.partitionBy(*by).orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.last(F.get("_hours", F.size("_hours") - 1), ignorenulls=True).over(back)
-    after = F.last(F.get("_hours", F.lit(0)), ignorenulls=True).over(ahead)
-    choices = calendar.withColumns({"_before": before, "_after": after}).select(
-        *by,
-        "_day",
-        F.array_compact(
-            F.concat(F.array("_before"), F.coalesce("_hours", F.array()), F.array("_after"))
-        ).alias("_choices"),
-    )
-
-    def distance(choice: Column) -> Column:
-        apart = F.abs(F.unix_micros(choice["_at"]) - F.unix_micros(F.col(left_ts)))
-        return F.struct(apart.alias("apart"), choice["_at"].alias("at"), choice.alias("choice"))
-
-    best = F.array_min(F.transform("_choices", distance))["choice"]
-    row = F.when(
-        best.isNotNull(),
-        F.struct(best["_at"].alias(hour), *[best["_values"][v].alias(v) for v in values]),
+    calendar = (
+        unique.join(wanted, [*by, "_slot"], "full_outer")
+        .withColumn("_row", known)
+        .select(
+            *by,
+            "_slot",
+            F.last("_row", ignorenulls=True).over(so_far).alias("_before"),
+            F.last("_row", ignorenulls=True).over(to_come).alias("_after"),
+        )
     )
+    asked = F.unix_micros(left_ts)
+    wait = F.unix_micros(F.col("_after")[hour]) - asked
+    ago = asked - F.unix_micros(F.col("_before")[hour])
+    nearer = F.when(F.col("_after").isNull() | (ago <= wait), F.col("_before")).otherwise(F.col("_after"))
     return (
-        left.withColumn("_day", F.to_date(left_ts))
-        .join(choices, [*by, "_day"], "left")
-        .select(*[F.col(c) for c in left.columns], row.alias(out))
+        left.withColumn("_slot", F.date_trunc("hour", left_ts))
+        .join(calendar, [*by, "_slot"], "left")
+        .select(*[F.col(c) for c in left.columns], nearer.alias(out))
     )
 
 

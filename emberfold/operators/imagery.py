@@ -99,8 +99,9 @@ def best_scene(
     """Least cloudy scene per (region, run date, source) among those that overlap the region.
 
     Regions meet scenes on (tile, day). A scene that covers a whole tile overlaps whatever
-    lies in it, so of those only the best per (tile, day, source) is kept before the join;
-    just the scenes with an edge in the tile are compared with each region.
+    lies in it, so of those only the best per (tile, day, source) is kept before the join.
+    Scenes with an edge in the tile are compared with each region, but only those at least as
+    clear as the best covering scene can still win, which leaves few pairs to rank.
     """
     rank = F.struct(
         F.col("cloud_cover").isNull().alias("r0"), F.col("cloud_cover").alias("r1"),
@@ -129,12 +130,29 @@ def best_scene(
         (F.col("s_min_lon") <= F.col("max_lon")) & (F.col("s_max_lon") >= F.col("min_lon"))
         & (F.col("s_min_lat") <= F.col("max_lat")) & (F.col("s_max_lat") >= F.col("min_lat"))
     )
-    out = ["region_id", date_column, "data_source", "_scene"]
-    candidates = wanted.join(full, place).select(*out).unionByName(
-        wanted.join(part, place).filter(overlaps).select(*out)
+    key = ["region_id", date_column]
+    best_full = (
+        wanted.join(full, place)
+        .groupBy(*key, "data_source")
+        .agg(F.min_by("_scene", "_scene.rank").alias("_scene"))
+    )
+    never = F.lit(float("inf"))
+    # One entry per source.
+    limits = best_full.groupBy(*key).agg(
+        F.map_from_entries(
+            F.collect_list(F.struct("data_source", F.coalesce("_scene.cloud_cover", never)))
+        ).alias("_limits")
+    )
+    limit = F.coalesce(F.try_element_at("_limits", F.col("data_source")), never)
+    contenders = (
+        wanted.join(limits, key, "left")
+        .join(part, place)
+        .filter(overlaps & (F.coalesce("_scene.cloud_cover", never) <= limit))
+        .select(*key, "data_source", "_scene")
     )
     return (
-        candidates.groupBy("region_id", date_column, "data_source")
+        best_full.unionByName(contenders)
+        .groupBy(*key, "data_source")
         .agg(F.min_by("_scene", "_scene.rank").alias("s"))
         .select(
             "region_id",

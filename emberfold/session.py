@@ -25,6 +25,8 @@ def build_session(app: str = "emberfold", cpus: int | None = None, **conf: str)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # The iterative jobs use a few hundred generated classes; keep them for the next run.
+        .config("spark.sql.codegen.cache.maxEntries", "4000")
     )
     for key, value in {**JOB_CONF, **conf}.items():
         builder = builder.config(key, value)
