@@ -4,8 +4,9 @@ The polygon layer is turned once into a table keyed by grid cell. A cell no edge
 settled by one flag; a cell near an edge carries just its own edges and whether its anchor (a point near its centre) is
 inside. A point then needs a single equi-join on its cell and looks at the edges of that cell
 only, so the work per point does not grow with the polygon or the layer. The table depends on
-the polygons alone, never on the points; Spark broadcasts it when its measured size allows and
-otherwise shuffles on the cell, where adaptive execution splits hot cells.
+the polygons alone, never on the points. Its size is measured: up to a limit it is broadcast and
+the points are not shuffled at all; beyond it both sides shuffle on the cell, where adaptive
+execution splits hot cells.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from emberfold.session import cut_lineage
 BUFFER_UNITS = 1000.0
 CELL_UNITS = 5000.0
 EDGES_PER_ROW = 512
+# The cell table is broadcast up to about this size, estimated from its rows and edges.
+BROADCAST_BYTES = 128 * 1024 * 1024
+_ROW_BYTES, _EDGE_BYTES = 64, 40
 # Anchor of a cell, as a share of its side. Uneven shares keep anchors off the vertices and
 # edges of layers digitised on a regular raster.
 ANCHOR_X, ANCHOR_Y = 0.5123456789, 0.4871592653
@@ -194,7 +198,11 @@ def points_near_polygons(
     attributes; ``semi=True`` keeps each point once and adds no attributes.
     """
     index = cut_lineage(polygon_index(polygons, key, buffer, cell, edges_per_row))
-    split_cells = not index.filter("pieces > 1").isEmpty()
+    size = index.agg(
+        F.count("*").alias("rows"), F.sum(F.size("edges")).alias("edges"), F.max("pieces").alias("pieces")
+    ).first()
+    split_cells = (size["pieces"] or 1) > 1
+    fits = size["rows"] * _ROW_BYTES + (size["edges"] or 0) * _EDGE_BYTES <= BROADCAST_BYTES
 
     columns = points.columns
     x, y = F.col("_x"), F.col("_y")
@@ -208,6 +216,7 @@ def points_near_polygons(
     settled = index.filter("pieces = 1").select(
         F.col(key).alias("_poly"), "cx", "cy", "anchor_inside", "edges"
     )
+    settled = F.broadcast(settled) if fits else settled
     hit = on_cell & ((F.col("anchor_inside") != flips) | close)
     if semi and not split_cells:
         return located.join(settled, hit, "left_semi").select(*columns)

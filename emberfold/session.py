@@ -27,6 +27,8 @@ def build_session(app: str = "emberfold", cpus: int | None = None, **conf: str)
         .config("spark.driver.memory", "12g")
         # The iterative jobs use a few hundred generated classes; keep them for the next run.
         .config("spark.sql.codegen.cache.maxEntries", "4000")
+        # No source positions in error messages: they cost a stack walk per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**JOB_CONF, **conf}.items():
         builder = builder.config(key, value)

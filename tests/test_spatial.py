@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from emberfold.operators import spatial
 from emberfold.operators.spatial import points_near_polygons
 
 RINGS = "poly_id INT, layer_revi STRING, rings ARRAY<ARRAY<STRUCT<lon: DOUBLE, lat: DOUBLE>>>"
@@ -101,11 +102,25 @@ def test_random_stars_against_brute_force(spark, edges_per_row):
     assert got.count() == len({r.id for r in got.collect()})
 
 
-def test_join_is_an_equi_join(spark):
+def test_join_is_an_equi_join_and_broadcasts_by_size(spark, monkeypatch):
     polygons = layer(spark, [[square(0, 0, 20_000)]])
-    near = points_near_polygons(points(spark, [(0, 0)]), polygons)
-    plan = near._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    where = points(spark, [(0, 0), (60_000, 0)])
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    small = points_near_polygons(where, polygons, semi=True)
+    assert "BroadcastHashJoin" in plan_of(small) and "Exchange hashpartitioning(_cx" not in plan_of(small)
+    monkeypatch.setattr(spatial, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = points_near_polygons(where, polygons, semi=True)
+        assert "SortMergeJoin" in plan_of(large) and "Exchange hashpartitioning(_cx" in plan_of(large)
+        assert [r.id for r in large.collect()] == [0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in (plan_of(small), plan_of(large)):
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_points_without_a_place_match_nothing(spark):
