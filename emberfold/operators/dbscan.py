@@ -62,13 +62,11 @@ class Grid:
         most = (self.columns - 1) // 2
         return F.least(F.floor(span / self.step) + 1, F.lit(most)).cast("int")
 
-    def around(self, df: DataFrame, forward_only: bool = False) -> DataFrame:
-        """One row per cell (``_near``) that may hold neighbours of the row's cell."""
+    def ahead(self, df: DataFrame) -> DataFrame:
+        """One row per later cell (``_near``) that may hold neighbours of the row's cell."""
         reach = self.reach(F.col("_row"))
-        out = df.withColumn("_dr", F.explode(F.sequence(F.lit(0 if forward_only else -2), F.lit(2))))
-        out = out.withColumn("_dc", F.explode(F.sequence(-reach, reach)))
-        if forward_only:
-            out = out.filter("_dr > 0 OR _dc > 0")
+        out = df.withColumn("_dr", F.explode(F.sequence(F.lit(0), F.lit(2))))
+        out = out.withColumn("_dc", F.explode(F.sequence(-reach, reach))).filter("_dr > 0 OR _dc > 0")
         column = F.pmod(F.col("_col") + F.col("_dc"), F.lit(self.columns))
         return out.withColumn("_near", self.cell(F.col("_row") + F.col("_dr"), column)).drop("_dr", "_dc")
 
@@ -110,22 +108,36 @@ def _box_aggregates(prefix: str = "_") -> list[Column]:
     ]
 
 
-def _touching_cells(grid: Grid, cells: DataFrame, places: DataFrame, g: list[str]) -> DataFrame:
-    """(g, a, b): pairs of core cells with two core points within epsilon of each other."""
-    mine = grid.around(cells, forward_only=True).select(
-        *g, "_near", F.col("_cell").alias("a"), F.col("_n").alias("na"),
-        *[F.col("_" + s).alias("a" + s) for s in _BOX],
-    )
-    other = cells.select(
-        *g, F.col("_cell").alias("_near"), F.col("_n").alias("nb"),
-        *[F.col("_" + s).alias("b" + s) for s in _BOX],
-    )
+def _adjacent_cells(grid: Grid, cells: DataFrame, g: list[str]) -> DataFrame:
+    """Pairs (a, b) of non-empty cells whose boxes come within epsilon, each pair once.
+
+    Carries points (n), weight (w) and box of both cells, and the bounds between the boxes.
+    """
+
+    def cell_columns(side: str) -> list[Column]:
+        return [
+            F.col("_n").alias("n" + side), F.col("_w").alias("w" + side),
+            *[F.col("_" + s).alias(side + s) for s in _BOX],
+        ]
+
+    mine = grid.ahead(cells).select(*g, "_near", F.col("_cell").alias("a"), *cell_columns("a"))
+    other = cells.select(*g, F.col("_cell").alias("_near"), *cell_columns("b"))
+    pairs = mine.join(other, [*g, "_near"]).withColumnRenamed("_near", "b")
+    return pairs.select("*", *_bounds_columns()).filter(F.col("_least") <= grid.limit)
+
+
+def _touching_cells(
+    grid: Grid, adjacent: DataFrame, core_cells: DataFrame, places: DataFrame, g: list[str]
+) -> DataFrame:
+    """(g, a, b): pairs of core cells with two core points within epsilon of each other.
+
+    The boxes also span points that are not core, which can only leave more pairs open.
+    """
     zero = F.lit(0).cast("long")
-    pairs = mine.join(other, [*g, "_near"]).select(
-        *g, "a", F.col("_near").alias("b"), "na", "nb", *_bounds_columns(),
-        zero.alias("ay"), zero.alias("ax"), zero.alias("by"), zero.alias("bx"),
-    )
-    pairs = cut_lineage(pairs.filter(F.col("_least") <= grid.limit))
+    pairs = adjacent.select(*g, "a", "b", "na", "nb", "_least", "_most")
+    for side in ("a", "b"):
+        pairs = pairs.join(core_cells.select(*g, F.col("_cell").alias(side)), [*g, side], "left_semi")
+    pairs = cut_lineage(pairs.withColumns({"ay": zero, "ax": zero, "by": zero, "bx": zero}))
     sure = F.col("_most") <= grid.limit
     few = F.col("na") * F.col("nb") <= PAIRS_PER_BOX_PAIR
     found = pairs.filter(sure).select(*g, "a", "b")
@@ -133,6 +145,9 @@ def _touching_cells(grid: Grid, cells: DataFrame, places: DataFrame, g: list[str
     found = found.unionByName(_compare_points(grid, open_small, places, g, 0))
 
     level = 0
+    if not open_large.isEmpty():
+        cells = open_large.select(*g, F.explode(F.array("a", "b")).alias("_cell")).distinct()
+        places = cut_lineage(places.join(cells, [*g, "_cell"], "left_semi"))
     while not open_large.isEmpty():
         level += 1
         pairs = cut_lineage(_split_pairs(grid, open_large, places, g, level))
@@ -224,23 +239,27 @@ def _split_pairs(
 
 
 def _neighbour_links(
-    grid: Grid, sparse: DataFrame, dense: DataFrame, places: DataFrame, g: list[str]
+    grid: Grid, adjacent: DataFrame, sparse: DataFrame, places: DataFrame, g: list[str], min_samples: int
 ) -> DataFrame:
-    """What each place of a sparse cell has within epsilon.
+    """What each place of a sparse cell has within epsilon, itself included.
 
     One row per dense cell within reach (``_qlat`` null) and one per sparse place within reach,
     with the number of points it stands for. Both kinds are bounded per place.
     """
     me = [*g, "_lat", "_lon"]
-    spread = grid.around(sparse.select(*g, "_cell", "_row", "_col", "_lat", "_lon"))
+
+    def direction(self: str, other: str) -> DataFrame:
+        return adjacent.filter(F.col("w" + self) < min_samples).select(
+            *g, F.col(self).alias("_cell"), F.col(other).alias("_near"), F.col("w" + other).alias("_bw"),
+            *[F.col(other + s).alias("b" + s) for s in _BOX],
+        )
+
+    facing = direction("a", "b").unionByName(direction("b", "a"))
+    mine = sparse.select(*g, "_cell", "_lat", "_lon")
     point = {"lat0": F.col("_lat"), "lat1": F.col("_lat"), "lon0": F.col("_lon"), "lon1": F.col("_lon")}
     least, most = _box_bounds(point, _box("b"))
-    boxes = dense.select(
-        *g, F.col("_cell").alias("_near"), F.col("_w").alias("_bw"),
-        *[F.col("_" + s).alias("b" + s) for s in _BOX],
-    )
     seen = (
-        spread.join(boxes, [*g, "_near"])
+        mine.join(facing.filter(F.col("_bw") >= min_samples), [*g, "_cell"])
         .select(*me, "_near", "_bw", least.alias("_least"), most.alias("_most"))
         .filter(F.col("_least") <= grid.limit)
     )
@@ -248,25 +267,33 @@ def _neighbour_links(
     whole = seen.filter(F.col("_most") <= grid.limit).select(
         *me, "_near", no_place.alias("_qlat"), no_place.alias("_qlon"), F.col("_bw").alias("_qw")
     )
-    q = places.select(
-        *g, F.col("_cell").alias("_near"), F.col("_lat").alias("_qlat"),
-        F.col("_lon").alias("_qlon"), F.col("_w").alias("_qw"),
-    )
+
+    def as_neighbours(df: DataFrame) -> DataFrame:
+        return df.select(
+            *g, F.col("_cell").alias("_near"), F.col("_lat").alias("_qlat"),
+            F.col("_lon").alias("_qlon"), F.col("_w").alias("_qw"),
+        )
+
     within = hav_distance(F.col("_lat"), F.col("_lon"), F.col("_qlat"), F.col("_qlon")) <= grid.limit
     partly = (
         seen.filter(F.col("_most") > grid.limit)
-        .join(q, [*g, "_near"])
+        .join(as_neighbours(places), [*g, "_near"])
         .filter(within)
         .groupBy(*me, "_near")
         .agg(F.sum("_qw").alias("_qw"))
         .select(*me, "_near", no_place.alias("_qlat"), no_place.alias("_qlon"), "_qw")
     )
-    few = sparse.select(
-        *g, F.col("_cell").alias("_near"), F.col("_lat").alias("_qlat"),
-        F.col("_lon").alias("_qlon"), F.col("_w").alias("_qw"),
+    few = as_neighbours(sparse)
+    columns = [*me, "_near", "_qlat", "_qlon", "_qw"]
+    single = (
+        mine.join(facing.filter(F.col("_bw") < min_samples).select(*g, "_cell", "_near"), [*g, "_cell"])
+        .join(few, [*g, "_near"])
+        .filter(within)
+        .select(*columns)
     )
-    single = spread.join(few, [*g, "_near"]).filter(within).select(*me, "_near", "_qlat", "_qlon", "_qw")
-    return whole.unionByName(partly).unionByName(single)
+    # Any two places of one cell are within epsilon.
+    own = mine.withColumnRenamed("_cell", "_near").join(few, [*g, "_near"]).select(*columns)
+    return whole.unionByName(partly).unionByName(single).unionByName(own)
 
 
 def dbscan(
@@ -310,19 +337,21 @@ def dbscan(
     sparse = cut_lineage(
         places.join(cells.filter(F.col("_w") < min_samples).select(*cell_key), cell_key)
     )
-    links = cut_lineage(_neighbour_links(grid, sparse, dense, places, g))
+    adjacent = cut_lineage(_adjacent_cells(grid, cells, g))
+    links = cut_lineage(_neighbour_links(grid, adjacent, sparse, places, g, min_samples))
     me = [*g, "_lat", "_lon"]
     core_ids = links.groupBy(*me).agg(F.sum("_qw").alias("_qw")).filter(F.col("_qw") >= min_samples)
     sparse_core = cut_lineage(sparse.join(core_ids.select(*me), me, "left_semi"))
 
-    sparse_core_cells = sparse_core.groupBy(*cell_key, "_row", "_col").agg(
-        F.count("*").alias("_n"), F.min("_first").alias("_first"), *_box_aggregates()
+    core_cells = cut_lineage(
+        dense.select(*cell_key, "_first").unionByName(
+            sparse_core.groupBy(*cell_key).agg(F.min("_first").alias("_first"))
+        )
     )
-    core_cells = cut_lineage(dense.drop("_w").unionByName(sparse_core_cells))
     core_places = (
         places.join(dense.select(*cell_key), cell_key, "left_semi").unionByName(sparse_core)
     )
-    edges = _touching_cells(grid, core_cells, core_places, g)
+    edges = _touching_cells(grid, adjacent, core_cells, core_places, g)
     roots = connected_components(core_cells.select(*g, F.col("_cell").alias("node")), edges, g)
     roots = roots.withColumnRenamed("node", "_cell")
     clusters = (
