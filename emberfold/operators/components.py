@@ -25,7 +25,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, groups: list[str])
         parent = both.groupBy(*groups, "a").agg(F.min("b").alias("m")).select(
             *groups, F.col("a").alias("node"), F.least("a", "m").alias("parent")
         )
-        parent = cut_lineage(_shorten(parent, groups))
+        parent = cut_lineage(_shorten(_shorten(parent, groups), groups))
         labels = _follow(labels, parent, groups, "root")
         live = cut_lineage(
             _follow(_follow(live, parent, groups, "a"), parent, groups, "b")

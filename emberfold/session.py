@@ -65,6 +65,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that a lost executor costs no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a new table in the shared folder and read it back.
+
+    A lost executor then costs no recomputation of earlier steps. Unlike a checkpoint, the table
+    brings its true size: in a loop of joins the estimates a checkpoint carries along multiply
+    from round to round until planning takes longer than the work.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
