@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from emberfold.llm import risk_quality as rq
+from emberfold.llm import source_schedule as ss
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -73,4 +74,29 @@ verdict AS (SELECT s.*, NOT base_failed AND coalesce(score <= cutoff, true) AS k
 {out}"""
 
 
-LLM_SQL = {"op7_risk_quality": _quality()}
+MIX = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source,
+             len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+        ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+      FROM d GROUP BY source),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING
+          AND 1 PRECEDING), 0))::DOUBLE / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+        , row_number() OVER o AS turn
+      FROM s WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST)),
+f AS (SELECT min(turn) AS first FROM l WHERE 3 * source_size >= level * weight),
+t AS (SELECT l.*, CASE WHEN turn < first THEN 3.0 * source_size
+        ELSE least(3 * source_size, weight * max(CASE WHEN turn = first THEN level END) OVER ()) END::DOUBLE AS target
+      FROM l, f),
+q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM t),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN least(round((target - passes * source_size) / {ss.BLOCK_WORDS})::BIGINT,
+          ceil(source_size / {ss.BLOCK_WORDS})::BIGINT) * {ss.BLOCK_WORDS} ELSE 0 END AS part FROM q),
+laid AS (SELECT d.*, source_size, target, passes, part, coalesce(sum(size) OVER (PARTITION BY d.source
+           ORDER BY md5('{ss.SEED}:' || doc_id::VARCHAR), doc_id, size, rid
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+         FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, source_size, target,
+  (passes * size + greatest(0, least(start + size, part) - start))::BIGINT AS taken FROM laid"""
+
+
+LLM_SQL = {"op7_risk_quality": _quality(), "op9_source_schedule": MIX}
