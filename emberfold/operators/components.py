@@ -11,21 +11,18 @@ from emberfold.session import cut_lineage
 def connected_components(nodes: DataFrame, edges: DataFrame, groups: list[str]) -> DataFrame:
     """(groups, node, root): the smallest node of each component, by repeated contraction.
 
-    ``edges`` has columns (groups, a, b). Every round hangs each node under its smallest
-    neighbour, shortens the chains, and keeps only edges between different parents. A node
-    that is not the smallest around it disappears in its round, so the graph shrinks
-    geometrically and the number of rounds grows with the logarithm of its size.
+    ``edges`` has columns (groups, a, b). In every round nodes are ordered anew by a hash, each
+    hangs under the first of its neighbours, the short chains that this makes are shortened, and
+    only edges between different parents stay. At most half the nodes of a component come before
+    all their neighbours, and the hash keeps chains short whatever the order of the ids, so the
+    graph shrinks geometrically and the rounds grow with the logarithm of its size. Which node is
+    the smallest is settled once, at the end.
     """
     labels = nodes.select(*groups, "node", F.col("node").alias("root"))
-    live = cut_lineage(edges)
+    live = cut_lineage(edges.filter("a <> b"))
+    rounds = 0
     while not live.isEmpty():
-        both = live.select(*groups, "a", "b").unionByName(
-            live.select(*groups, F.col("b").alias("a"), F.col("a").alias("b"))
-        )
-        parent = both.groupBy(*groups, "a").agg(F.min("b").alias("m")).select(
-            *groups, F.col("a").alias("node"), F.least("a", "m").alias("parent")
-        )
-        parent = cut_lineage(_shorten(_shorten(parent, groups), groups))
+        parent = cut_lineage(_parents(live, groups, rounds))
         labels = _follow(labels, parent, groups, "root")
         live = cut_lineage(
             _follow(_follow(live, parent, groups, "a"), parent, groups, "b")
@@ -33,7 +30,24 @@ def connected_components(nodes: DataFrame, edges: DataFrame, groups: list[str])
             .select(*groups, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .distinct()
         )
-    return labels
+        rounds += 1
+    if not rounds:
+        return labels
+    labels = cut_lineage(labels)
+    smallest = labels.groupBy(*groups, "root").agg(F.min("node").alias("_first"))
+    return labels.join(smallest, [*groups, "root"]).select(*groups, "node", F.col("_first").alias("root"))
+
+
+def _parents(live: DataFrame, groups: list[str], rounds: int) -> DataFrame:
+    def placed(name: str) -> Column:
+        return F.struct(F.xxhash64(F.col(name), F.lit(rounds)).alias("h"), F.col(name).alias("id"))
+
+    both = live.select(*groups, "a", "b").unionByName(
+        live.select(*groups, F.col("b").alias("a"), F.col("a").alias("b"))
+    )
+    first = both.groupBy(*groups, "a").agg(F.min(placed("b")).alias("m"))
+    parent = first.select(*groups, F.col("a").alias("node"), F.least(placed("a"), "m")["id"].alias("parent"))
+    return _shorten(_shorten(cut_lineage(parent), groups), groups)
 
 
 def _shorten(parent: DataFrame, groups: list[str]) -> DataFrame:
