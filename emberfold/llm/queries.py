@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.llm import best_fit_packing, risk_quality, source_schedule
+from emberfold.llm import best_fit_packing, jaccard_join, risk_quality, source_schedule
 from emberfold.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_schedule.mix_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
