@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from emberfold.llm import line_simjoin as ls
 from emberfold.llm import risk_quality as rq
 from emberfold.llm import source_schedule as ss
 
@@ -99,4 +100,27 @@ SELECT doc_id, size, source_size, target,
   (passes * size + greatest(0, least(start + size, part) - start))::BIGINT AS taken FROM laid"""
 
 
-LLM_SQL = {"op7_risk_quality": _quality(), "op9_source_schedule": MIX}
+LINES = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             unnest(range(len(string_split(text, chr(10))))) AS no FROM documents),
+s AS (SELECT doc_id, no, list_sort(list_distinct(regexp_extract_all(
+        translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'))) AS words FROM l),
+k AS (SELECT * FROM s WHERE len(words) >= {ls.MIN_WORDS}),
+sets AS (SELECT words, min((doc_id, no)) AS first, row_number() OVER () AS sid FROM k GROUP BY words),
+w AS (SELECT sid, len(words) AS n, unnest(words) AS word FROM sets),
+f AS (SELECT word, count(*) AS often FROM w GROUP BY word),
+p AS (SELECT sid, word, n, row_number() OVER (PARTITION BY sid ORDER BY often, word) AS place FROM w JOIN f USING (word)),
+pre AS (SELECT sid, word FROM p WHERE place <= n - (n * {ls.PERCENT} + 99) // 100 + 1),
+c AS (SELECT DISTINCT a.sid AS x, b.sid AS y FROM pre a JOIN pre b ON a.word = b.word AND a.sid <> b.sid),
+m AS (SELECT DISTINCT x FROM c JOIN sets a ON a.sid = x JOIN sets b ON b.sid = y
+      WHERE b.first < a.first AND 100 * len(list_intersect(a.words, b.words))
+        >= {ls.PERCENT} * (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words)))),
+gone AS (SELECT doc_id, no FROM k JOIN sets USING (words) WHERE (doc_id, no) <> first OR sid IN (SELECT x FROM m)),
+kept AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY no) AS text FROM l
+         LEFT JOIN gone USING (doc_id, no) WHERE gone.no IS NULL GROUP BY l.doc_id),
+t AS (SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+      FROM documents d LEFT JOIN kept USING (doc_id))
+SELECT doc_id, len(string_split(text, chr(10)))::INT AS n_lines, length(text)::INT AS n_chars, md5(text) AS text_md5 FROM t"""
+
+
+LLM_SQL = {"op10_line_simjoin": LINES, "op7_risk_quality": _quality(), "op9_source_schedule": MIX}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.llm import best_fit_packing, jaccard_join, risk_quality, source_schedule
+from emberfold.llm import best_fit_packing, jaccard_join, line_simjoin, risk_quality, source_schedule
 from emberfold.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,12 @@ def op9_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_line_simjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_simjoin.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.length("text").alias("n_chars"),
+        F.md5("text").alias("text_md5"),
+    )
