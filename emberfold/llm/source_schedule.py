@@ -18,12 +18,17 @@ more than three times; an empty table gives no rows; other columns pass through
 
 from __future__ import annotations
 
+import itertools
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberfold.llm.common import SPACE, let, word_list
+from emberfold.llm.common import word_list
 from emberfold.session import cut_lineage
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # Weights of the sources in order, repeating, and the most often a word is used.
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -186,12 +191,14 @@ def mix_report(docs: DataFrame, *, block_words: int = BLOCK_WORDS, seed: str = S
     )
 
 
-def _words_between(text: Column, first: Column, words: Column) -> Column:
+def _words_between(text: pd.Series, first: pd.Series, words: pd.Series) -> pd.Series:
     """The text from its word number ``first`` on, for so many words, spaces between them kept."""
-    pattern = f"^{SPACE.replace('+', '*')}(?:[^ \\t\\n\\x0B\\f\\r]+{SPACE}){{"
-    body = "(?:[^ \\t\\n\\x0B\\f\\r]+" + f"(?:{SPACE}|$)){{"
-    rest = F.regexp_replace(text, F.concat(F.lit(pattern), first.cast("string"), F.lit("}")), F.lit(""))
-    return let(rest, lambda r: F.rtrim(F.regexp_substr(r, F.concat(F.lit("^" + body), words.cast("string"), F.lit("}")))))
+
+    def cut(t: str, a: int, n: int) -> str:
+        ends = [m.span() for m in itertools.islice(WORD.finditer(t), a, a + n)]
+        return t[ends[0][0] : ends[-1][1]] if ends else ""
+
+    return pd.Series([cut(*x) for x in zip(text, first, words)])
 
 
 def mixed_documents(docs: DataFrame, *, block_words: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
@@ -205,9 +212,10 @@ def mixed_documents(docs: DataFrame, *, block_words: int = BLOCK_WORDS, seed: st
     sized = _sized(docs, [whole])
     _, drawn = draw(sized, block_words=block_words, seed=seed)
     picked = sized.join(drawn, "row")
-    part = F.col("words") < F.col("size")
-    text = F.when(part, _words_between(F.col("doc.text"), F.col("from_word"), F.col("words"))).otherwise(F.col("doc.text"))
-    columns = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_chars")]
-    out = picked.select(*columns, text.alias("text"), *([F.when(part, F.length(text)).otherwise(F.col("doc.n_chars")).cast(
-        docs.schema["n_chars"].dataType).alias("n_chars")] if "n_chars" in docs.columns else []))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    part = picked.filter("words < size").select("doc", F.pandas_udf(_words_between, "string")("doc.text", "from_word", "words").alias("cut"))
+    both = picked.filter("words = size").select("doc", F.lit(None).cast("string").alias("cut")).unionByName(part)
+    out = {"text": F.coalesce("cut", F.col("doc.text"))}
+    if "n_chars" in docs.columns:
+        length = F.length("cut").cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(F.col("cut").isNull(), F.col("doc.n_chars")).otherwise(length)
+    return both.select(*[out.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
