@@ -1,14 +1,16 @@
 """A training-data pipeline over ``documents``, each stage one operator of ``emberfold.llm``.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; its result is
-written as Parquet in the shared folder and read back for the next one.
+written as Parquet in the shared folder and read back for the next one. The stages return the
+columns of documents, the last one the packed pieces.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberfold.llm import risk_quality
+from emberfold.llm import best_fit_packing, jaccard_join, line_simjoin, risk_quality, source_schedule
 from emberfold.llm.common import table
 from emberfold.session import cut_lineage
 
@@ -18,7 +20,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return risk_quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat an earlier one."""
+    return line_simjoin.dedup_lines(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    return jaccard_join.one_of_each(docs, width=5, percent=80)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row per document and pass over its source, so up to three of a document."""
+    return source_schedule.mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and place in it."""
+    return best_fit_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("mixing sources to target weights", source_mix),
+    ("best-fit packing", packing),
+]
 # Tokenising and packing have no SQL form; the pipeline is tested against brute force.
 ORACLE_SQL = None
 
