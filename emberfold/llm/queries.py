@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.llm import best_fit_packing, jaccard_join, line_simjoin, risk_quality, source_schedule
+from emberfold.llm import best_fit_packing, jaccard_join, line_simjoin, prefix_tokens, risk_quality, source_schedule
 from emberfold.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,10 @@ def op10_line_simjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.length("text").alias("n_chars"),
         F.md5("text").alias("text_md5"),
     )
+
+
+@query
+def op8_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = prefix_tokens.prefix_counts(docs, public_tokenizers.path("word_bpe_49k.json"), store=False)
+    return counted.select("doc_id", "n_bytes", "n_tokens", prefix_tokens.over_limit(2048).alias("over_limit"))
