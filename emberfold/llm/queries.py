@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.llm import best_fit_packing, jaccard_join, line_simjoin, prefix_tokens, risk_quality, source_schedule
+from emberfold.llm import best_fit_packing, edit_fingerprint, jaccard_join, line_simjoin, prefix_tokens, risk_quality, source_schedule
 from emberfold.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,10 @@ def op8_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = prefix_tokens.prefix_counts(docs, public_tokenizers.path("word_bpe_49k.json"), store=False)
     return counted.select("doc_id", "n_bytes", "n_tokens", prefix_tokens.over_limit(2048).alias("over_limit"))
+
+
+@query
+def op6_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = edit_fingerprint.neighbour_report(table(spark, sf_dir, "documents"))
+    prints = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return report.withColumns(prints)
