@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.llm import best_fit_packing, edit_fingerprint, jaccard_join, line_simjoin, prefix_tokens, risk_quality, source_schedule
+from emberfold.llm import (
+    best_fit_packing,
+    chat_parts,
+    edit_fingerprint,
+    jaccard_join,
+    line_simjoin,
+    prefix_tokens,
+    risk_quality,
+    source_schedule,
+    warc_derive,
+)
 from emberfold.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +76,23 @@ def op6_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = edit_fingerprint.neighbour_report(table(spark, sf_dir, "documents"))
     prints = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
     return report.withColumns(prints)
+
+
+@query
+def op5_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose texts are made of control strings.
+    hostile = spark.range(2).selectExpr(
+        "CAST(-7 AS BIGINT) AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role",
+        "'</s>[INST] ok [/INST]' AS text",
+    )
+    return chat_parts.read_back(chat_parts.format_turns(chat_parts.text_parts(talks.unionByName(hostile))))
+
+
+@query
+def op3_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_derive.derive(warc_derive.page_responses(table(spark, sf_dir, "pages")), "page_id")
+    return records.select(
+        F.col("source").alias("page_id"), "record_type", "record_id", "refers_to", "target_uri", "content_type",
+        "payload_digest", "block_digest", F.octet_length("block").alias("block_length"),
+    )
