@@ -14,6 +14,7 @@ from emberfold.llm import (
     edit_fingerprint,
     jaccard_join,
     line_simjoin,
+    ngram_trie,
     prefix_tokens,
     risk_quality,
     source_schedule,
@@ -96,3 +97,8 @@ def op3_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("page_id"), "record_type", "record_id", "refers_to", "target_uri", "content_type",
         "payload_digest", "block_digest", F.octet_length("block").alias("block_length"),
     )
+
+
+@query
+def op1_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score_documents(table(spark, sf_dir, "documents"))
