@@ -185,9 +185,10 @@ def _probes(shared: DataFrame, percent: int) -> DataFrame:
     base = F.max(F.when(F.col("kind") == 0, F.col("exact") - 1).otherwise(0))
     second = (
         own.filter("segment = 0").groupBy("doc", "n", "band", "segment")
-        .agg(F.sum(met).alias("met"), base.alias("base")).filter("met > 0")
-        # The second step of a segment is of no use without the first.
+        .agg(F.sum(met).alias("met"), base.alias("base"))
+        # The second step of a segment is of no use without the first, so it comes no cheaper.
         .select("doc", "n", "band", "segment", F.lit(2).alias("unit"), F.greatest("met", "base").alias("cost"))
+        .filter("cost > 0")
     )
     units = first.unionByName(second)
     per_set = Window.partitionBy("doc", "band")
