@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emberfold.llm.common import pack, slices, split_words, unpack
 from emberfold.llm.tokens import byte_symbols
@@ -205,13 +206,17 @@ def _counted(path: str, store: bool, names: list[str]):
     return run
 
 
+def _with(schema: StructType, name: str, kind: str) -> StructType:
+    return StructType(list(schema.fields)).add(name, kind)
+
+
 def prefix_counts(docs: DataFrame, tokenizer_path: str, *, store: bool = True) -> DataFrame:
     """``docs`` with n_bytes, n_tokens and, if stored, ``prefix_steps`` of the column ``text``."""
     added = ["n_bytes", "n_tokens"] + ["prefix_steps"] * store
     kept = docs.drop(*added)
-    schema = kept.schema.add("n_bytes", "long").add("n_tokens", "long")
+    schema = _with(_with(kept.schema, "n_bytes", "long"), "n_tokens", "long")
     if store:
-        schema = schema.add("prefix_steps", "binary")
+        schema = _with(schema, "prefix_steps", "binary")
     return kept.mapInArrow(_counted(tokenizer_path, store, schema.names), schema)
 
 
@@ -223,7 +228,7 @@ def tokens_at(counted: DataFrame, n_chars: int) -> DataFrame:
             sums = [int(unpack(x, np.int16)[:n_chars].sum()) for x in batch.column("prefix_steps").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names=names)
 
-    schema = counted.schema.add("tokens_at", "long")
+    schema = _with(counted.schema, "tokens_at", "long")
     names = schema.names
     return counted.mapInArrow(run, schema)
 
@@ -239,7 +244,7 @@ def cut_at_budget(counted: DataFrame, budget: int) -> DataFrame:
                 most.append(int(good[-1]) + 1 if len(good) else 0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(most, pa.int64())], names=names)
 
-    schema = counted.schema.add("fits_chars", "long")
+    schema = _with(counted.schema, "fits_chars", "long")
     names = schema.names
     return counted.mapInArrow(run, schema)
 

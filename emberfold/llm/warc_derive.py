@@ -25,6 +25,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 RESPONSE = "record_id string, target_uri string, date string, payload_digest string, block binary"
 RECORDS = (
@@ -183,6 +184,6 @@ def warc_files(records: DataFrame) -> DataFrame:
             data = [warc_bytes(r) for r in batch.select(_NAMES).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=names)
 
-    schema = records.schema.add("warc", "binary")
+    schema = StructType(list(records.schema.fields)).add("warc", "binary")
     names = schema.names
     return records.mapInArrow(run, schema)
