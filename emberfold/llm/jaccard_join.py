@@ -12,20 +12,20 @@ entries that it would meet, segments that nobody shares being free. Candidates a
 full sets, so the links are exact.
 
 Equal sets are one node from the start. In a bucket of many members all pairs are never listed:
-rounds of verification against one hub per bucket, another in every round, join the members into
-components, and only pairs from still different components are left for the exhaustive step, after
-which no qualifying pair between components can remain.
+each is verified against one hub, the same for most buckets of a group, and members linked with the
+same hub count as joined. Only pairs not joined in this way are left for the exhaustive step, in
+which 256 parities, that bound the difference of two sets from below, leave the near ones.
 
 Defined cases: a null text, or one without words, has an empty set, is its own component and linked
 with nothing; a text of fewer words than a shingle is one shingle as a whole; rows with an equal
-doc_id are one node of the graph, each row with its own n_shingles; a null doc_id has a null
-component; an empty table gives no rows; other columns are not looked at.
+doc_id are one document, each row with its own n_shingles (should their texts differ, all count for
+equality, the one of the smallest signature for similarity); a null doc_id has a null component; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +40,9 @@ from emberfold.session import cut_lineage
 SHINGLE, PERCENT = 3, 90
 # Ratio of the sizes at the ends of a band; spare segments, as a share of those needed.
 BAND, SPARE = 1.5, 0.12
-# Hub rounds go on while more pairs than this many per probe are open, and while they help.
-OPEN_PAIRS, ROUNDS = 3, 8
+# Rounds in which the members of a bucket are compared with one of them.
+ROUNDS = 1
+PARITIES = ["b0", "b1", "b2", "b3"]
 
 
 def differences(sizes: int, percent: int) -> int:
@@ -108,10 +109,10 @@ def _entries(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(keys), np.concatenate(codes), np.concatenate(owners)
 
 
-def _parity(own: np.ndarray) -> bytes:
+def _parities(own: np.ndarray) -> np.ndarray:
     """256 bits, each the parity of the shingles that fall on it: sets differ in at least as many."""
     spots = np.bincount((mix64(own) & np.uint64(255)).astype(np.int64), minlength=256)
-    return np.packbits(spots & 1).tobytes()
+    return np.packbits(spots & 1).view(np.int64)
 
 
 def _summaries(width: int, percent: int):
@@ -128,11 +129,11 @@ def _summaries(width: int, percent: int):
                         batch.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array([_parity(s) for s in sets], pa.binary()),
+                        *[pa.array(x) for x in np.array([_parities(s) for s in sets]).T],
                         pa.array(split(keys.astype("<u8")), pa.binary()),
                         pa.array(split(codes.astype("<i4")), pa.binary()),
                     ],
-                    names=["doc_id", "n", "sig", "bits", "keys", "codes"],
+                    names=["doc_id", "n", "sig", *PARITIES, "keys", "codes"],
                 )
 
     return run
@@ -207,17 +208,15 @@ def _probes(shared: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _alike_sizes(percent: int) -> Column:
-    return (100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n"))
-
-
-def _far(bits: Column, other: Column) -> Column:
-    """Least number of shingles in which two sets differ, by their parities."""
-    part = lambda x, i: F.conv(F.hex(F.substring(x, 1 + 4 * i, 4)), 16, 10).cast("long")
-    total = F.lit(0)
-    for i in range(8):
-        total = total + F.bit_count(part(bits, i).bitwiseXOR(part(other, i)))
-    return total
+def _near(percent: int) -> Column:
+    """Whether the sizes n and m and the parities b0.. and c0.. allow enough similarity."""
+    apart = F.lit(0)
+    for mine in PARITIES:
+        apart = apart + F.bit_count(F.col(mine).bitwiseXOR(F.col(mine.replace("b", "c"))))
+    return (
+        (apart <= F.expr(f"(n + m) * {100 - percent} div {100 + percent}"))
+        & (100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n"))
+    )
 
 
 def _verify(percent: int):
@@ -239,7 +238,10 @@ def _set_rows(width: int):
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets = [s.astype("<u8").tobytes() for s in shingle_sets(batch.column("text"), width)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc", "set"])
+                sigs = [xxhash.xxh3_128_digest(s) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())], names=["doc", "sig", "set"]
+                )
 
     return run
 
@@ -249,7 +251,7 @@ def similar_components(docs: DataFrame, *, width: int = SHINGLE, percent: int =
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = cut_lineage(
         docs.select("doc_id", "text").mapInArrow(
-            _summaries(width, percent), f"doc_id {kind}, n long, sig binary, bits binary, keys binary, codes binary"
+            _summaries(width, percent), f"doc_id {kind}, n long, sig binary, b0 long, b1 long, b2 long, b3 long, keys binary, codes binary"
         )
     )
     named = base.filter("doc_id IS NOT NULL AND n > 0")
@@ -258,8 +260,7 @@ def similar_components(docs: DataFrame, *, width: int = SHINGLE, percent: int =
     member = named.select("doc_id", "sig").distinct().join(same, "sig").select("doc_id", "rep")
     reps = cut_lineage(
         named.join(same, "sig").filter("doc_id = rep")
-        .groupBy("rep").agg(F.min(F.struct("sig", "n", "bits")).alias("x"))
-        .select(F.col("rep").alias("doc"), "x.sig", "x.n", "x.bits")
+        .groupBy("rep").agg(F.min(F.struct("sig", "n", *PARITIES)).alias("x")).select(F.col("rep").alias("doc"), "x.*").drop("sig")
     )
     links = _links(docs, base, reps, width, percent, kind)
     ties = member.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -278,68 +279,48 @@ def _links(docs: DataFrame, base: DataFrame, reps: DataFrame, width: int, percen
         .select("doc_id", "keys", "codes").mapInArrow(_spread, f"key long, code int, doc {kind}")
     )
     first = _shared(entries).select("key", "code", "doc")
-    sizes = reps.select("doc", "n")
-    shared = cut_lineage(_shared(cut_lineage(first.join(reps.select("doc"), "doc", "left_semi"))).join(sizes, "doc"))
-    probes = cut_lineage(_probes(shared, percent))
-    met = probes.select("key", "want").distinct()
+    shared = cut_lineage(_shared(cut_lineage(first.join(reps.select("doc"), "doc", "left_semi"))).join(reps, "doc"))
+    bought = _probes(shared.drop(*PARITIES), percent)
+    probes = cut_lineage(bought.join(reps.drop("n"), "doc"))
+    other = [F.col("doc").alias("other"), F.col("n").alias("m"), *[F.col(b).alias(b.replace("b", "c")) for b in PARITIES]]
     members = cut_lineage(
-        shared.withColumn("want", F.col("code") % 2).join(met, ["key", "want"], "left_semi")
-        .select("key", "want", "doc", F.col("n").alias("m"))
+        shared.withColumn("want", F.col("code") % 2)
+        .join(probes.select("key", "want").distinct(), ["key", "want"], "left_semi").select("key", "want", *other)
     )
-    involved = probes.select("doc").union(members.select("doc")).distinct()
+    involved = probes.select("doc").union(members.select("other")).distinct()
     sets = cut_lineage(
         docs.select("doc_id", "text").join(involved.withColumnRenamed("doc", "doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
-        .mapInArrow(_set_rows(width), f"doc {kind}, set binary").dropDuplicates(["doc"])
+        .mapInArrow(_set_rows(width), f"doc {kind}, sig binary, set binary")
+        .groupBy("doc").agg(F.min(F.struct("sig", "set"))["set"].alias("set"))
     )
-    found = None
-    comp = involved.select(F.col("doc").alias("node"), F.col("doc").alias("root"))
-    for number in range(ROUNDS + 1):
-        roots = cut_lineage(comp).select(F.col("node").alias("doc"), F.col("root").alias("comp"))
-        asking = cut_lineage(probes.join(roots, "doc"))
-        there = cut_lineage(members.join(roots, "doc"))
-        last = number == ROUNDS or _open_pairs(asking, there)
-        if not last:
-            order = F.struct(F.xxhash64("doc", F.lit(number)).alias("h"), "doc", "m", "comp")
-            there = there.groupBy("key", "want").agg(F.min(order).alias("hub")).select("key", "want", "hub.doc", "hub.m", "hub.comp")
-        pairs = _candidates(asking, there, percent, last).join(reps.select(F.col("doc").alias("a"), F.col("bits").alias("x"), "n"), "a")
-        pairs = pairs.join(reps.select(F.col("doc").alias("b"), F.col("bits").alias("y"), F.col("n").alias("m")), "b")
-        near = (_far(F.col("x"), F.col("y")) <= F.expr(f"(n + m) * {100 - percent} div {100 + percent}")) & _alike_sizes(percent)
-        new = cut_lineage(
-            pairs.filter(near).select("a", "b")
-            .join(sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b")), "b")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        near = pairs.filter(_near(percent)).select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
+        return cut_lineage(
+            near.join(sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b")), "b")
             .join(sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a")), "a")
             .mapInArrow(_verify(percent), f"a {kind}, b {kind}")
         )
-        found = new if found is None else found.unionByName(new)
-        if last:
-            return found
-        comp = connected_components(comp.select("node"), found, [])
-    return found
-
-
-def _open_pairs(asking: DataFrame, there: DataFrame) -> bool:
-    """Whether the pairs between different components in common buckets are few enough to list."""
-    left = asking.groupBy("key", "want", "comp").agg(F.count("*").alias("p"))
-    right = there.groupBy("key", "want", "comp").agg(F.count("*").alias("q"))
-    all_pairs = (
-        left.groupBy("key", "want").agg(F.sum("p").alias("p"))
-        .join(right.groupBy("key", "want").agg(F.sum("q").alias("q")), ["key", "want"])
-        .agg(F.coalesce(F.sum(F.col("p").cast("double") * F.col("q")), F.lit(0.0)).alias("n"))
-    )
-    within = left.join(right, ["key", "want", "comp"]).agg(
-        F.coalesce(F.sum(F.col("p").cast("double") * F.col("q")), F.lit(0.0)).alias("n")
-    )
-    open_pairs = all_pairs.collect()[0]["n"] - within.collect()[0]["n"]
-    return open_pairs <= OPEN_PAIRS * asking.count()
-
 
-def _candidates(asking: DataFrame, there: DataFrame, percent: int, larger_only: bool) -> DataFrame:
-    """Distinct pairs (a < b) of different components that meet in a bought bucket."""
-    other = there.select("key", "want", F.col("doc").alias("other"), "m", F.col("comp").alias("theirs"))
-    meet = asking.join(other, ["key", "want"]).filter(_alike_sizes(percent) & (F.col("comp") != F.col("theirs")))
-    if larger_only:
-        meet = meet.filter("m <= n")
-    return meet.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
+    found, hub_of = [], None
+    for number in range(ROUNDS):
+        order = F.struct(F.xxhash64("other", F.lit(number)).alias("h"), *[c for c in members.columns if c not in ("key", "want")])
+        hubs = members.groupBy("key", "want").agg(F.min(order).alias("hub")).select("key", "want", "hub.*").drop("h")
+        new = verified(probes.join(hubs, ["key", "want"]).filter("doc <> other"))
+        found.append(new)
+        both = new.select("a", "b").union(new.select("b", "a")).toDF("doc", "hub")
+        # Of the documents that one is linked with, the one that most buckets have as their hub.
+        linked = both.union(both.select("doc", "doc")).groupBy("doc").agg(F.min(F.struct(F.xxhash64("hub", F.lit(number)), "hub"))["hub"].alias("hub"))
+        hub_of = cut_lineage(linked)
+    if hub_of is not None:
+        probes = probes.join(hub_of, "doc", "left").withColumn("hub", F.coalesce("hub", "doc"))
+        members = members.join(hub_of.toDF("other", "their"), "other", "left").withColumn("their", F.coalesce("their", "other"))
+    else:
+        probes, members = probes.withColumn("hub", F.col("doc")), members.withColumn("their", F.col("other"))
+    # The larger set of a pair probes; equal sizes probe both ways.
+    rest = probes.join(members, ["key", "want"]).filter("hub <> their AND m <= n")
+    found.append(verified(rest))
+    return reduce(DataFrame.unionByName, found)
 
 
 def one_of_each(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
