@@ -9,9 +9,9 @@ suffice for the overlap) and a comparison of 64 parities, which bounds the diffe
 what is left is verified on the whole sets.
 
 Equal sets are found by their signatures and count once in the index. In the list of one word each
-line is compared with the earliest ``HUBS`` lines of the list; longer lists are compared in full
-only for lines that nothing has removed by then, so a list of thousands of near copies is never
-paired up. Rarity comes from a count sketch over all words, of fixed size; it decides the order of
+line is compared with the earliest ``HUBS`` lines of the list and proposes the first ``PARTNERS`` that
+pass; the rest of its list comes to bear only if none of these removes it, so a list of
+thousands of near copies is never paired up. Rarity comes from a count sketch over all words, of fixed size; it decides the order of
 words and so the speed, never the result.
 
 Defined cases: null and empty texts and lines of fewer than ``min_words`` distinct words are left
@@ -34,10 +34,10 @@ from emberfold.llm.common import hash_words, let, mix64, pack, runs, slices, unp
 from emberfold.session import cut_lineage
 
 PERCENT, MIN_WORDS = 80, 5
-HUBS = 32
+HUBS, PARTNERS = 256, 4
 # Counters of the rarity sketch and bits of the request filter: fixed sizes of 4 MB and 16 MB.
 SKETCH_BITS, FILTER_BITS, PARTS = 22, 27, 64
-BLOCK_BYTES, WORDS_PER_SHARD = 4 << 20, 4_000_000
+BLOCK_BYTES, WORDS_PER_SHARD = 16 << 20, 12_000_000
 TOKEN_BITS = np.uint64(36)
 
 
@@ -211,7 +211,7 @@ KINDS = [np.uint64, np.int32, np.int32, np.int64, np.int32, np.int32, np.uint64,
 
 
 def _meet(percent: int):
-    """Candidate pairs (kind 0) of one shard, and the entries of its long lists (kind 1)."""
+    """Candidate pairs (kind 0) of one shard, and the entries of lists with more of them (1, 2)."""
 
     def run(table: pa.Table) -> pa.Table:
         packed = [table.column(c).to_pylist() for c in POSTING]
@@ -233,22 +233,28 @@ def _meet(percent: int):
         rank = np.arange(len(order)) - np.repeat(start, length)
         begin, length = np.repeat(start, length), np.repeat(length, length)
         left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        proposed, more = np.zeros(len(order), np.int32), rank > HUBS
         for k in range(HUBS):
             x = np.flatnonzero(rank > k)
             if not len(x):
                 break
             y = begin[x] + k
             good = _may_match(q, x, y, percent)
-            left.append(x[good])
-            right.append(y[good])
+            x, y = x[good], y[good]
+            proposed[x] += 1
+            enough = proposed[x] > PARTNERS
+            more[x[enough]] = True
+            left.append(x[~enough])
+            right.append(y[~enough])
         x, y = np.concatenate(left), np.concatenate(right)
         pairs = {
             "kind": np.zeros(len(x), np.int32), "token": q["token"][x].view(np.int64),
             "block": q["block"][x], "index": q["index"][x], "block_y": q["block"][y], "index_y": q["index"][y],
         }
-        long = np.flatnonzero(length > HUBS)
+        # Lists with a line that is not through with its partners; kind 2 marks such a line.
+        long = np.flatnonzero(np.repeat(np.logical_or.reduceat(more, start), _lengths(start, len(order)))) if len(order) else x
         lists = {
-            "kind": np.ones(len(long), np.int32), "token": q["token"][long].view(np.int64),
+            "kind": 1 + more[long].astype(np.int32), "token": q["token"][long].view(np.int64),
             "block": q["block"][long], "index": q["index"][long],
             "doc": q["doc"][long], "line": q["line"][long], "rank": rank[long].astype(np.int32), "place": q["place"][long], "size": q["size"][long], "bits": q["bits"][long].view(np.int64),
         }
@@ -260,6 +266,10 @@ def _meet(percent: int):
     return run
 
 
+def _lengths(starts: np.ndarray, total: int) -> np.ndarray:
+    return np.diff(np.append(starts, total))
+
+
 MEETING = ["kind", "token", "block", "index", "block_y", "index_y", "doc", "line", "rank", "place", "size", "bits"]
 MEETING_TYPES = (
     "kind int, token long, block long, index int, block_y long, index_y int, doc long, line int, rank int, place int, size int, bits long"
@@ -381,11 +391,11 @@ def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = M
     )
     pairs = meetings.filter("kind = 0").select("block", "index", "block_y", "index_y").distinct()
     matched = _confirmed(blocks, pairs, percent)
-    # Lines of long lists that no hub has removed meet the rest of their lists.
-    lists = meetings.filter("kind = 1")
-    still = lists.filter(F.col("rank") > HUBS).join(matched, ["block", "index"], "left_anti")
+    # Lines that none of their first partners has removed meet the whole of their lists.
+    lists = meetings.filter("kind > 0")
+    still = lists.filter("kind = 2").join(matched, ["block", "index"], "left_anti")
     rest = (
-        still.alias("x").join(lists.filter(F.col("rank") >= HUBS).alias("y"), F.col("x.token") == F.col("y.token"))
+        still.alias("x").join(lists.alias("y"), F.col("x.token") == F.col("y.token"))
         .filter((F.col("y.rank") < F.col("x.rank")) & _may_match_columns(percent))
         .select("x.block", "x.index", F.col("y.block").alias("block_y"), F.col("y.index").alias("index_y")).distinct()
     )
