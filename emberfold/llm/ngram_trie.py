@@ -31,16 +31,15 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberfold.llm.common import hash_words, mix64, runs, slices, words_of
+from emberfold.llm.common import hash_words, mix64, pack, runs, slices, unpack, words_of
 from emberfold.session import cut_lineage
 
 DISCOUNT = 0.75
-BLOCK_BYTES, WORDS_PER_SHARD, TRIGRAMS_PER_SHARD = 16 << 20, 1_000_000, 3_000_000
+BLOCK_BYTES, WORDS_PER_SHARD, TRIGRAMS_PER_SHARD = 8 << 20, 1_000_000, 1_500_000
 # Steps per factor of ten of stored probabilities, and per factor of two of shipped counts.
 LOG_STEPS, COUNT_STEPS = 2048, 8
 # A middle word with more than this share of a shard's trigrams is spread by its first word.
@@ -48,89 +47,51 @@ HOT_SHARE = 0.125
 NO_ID = np.iinfo(np.int64).min
 
 
-def pack(array: np.ndarray) -> bytes:
-    """Compressed, byte by byte of the numbers: small numbers leave whole planes of zeros."""
-    array = np.ascontiguousarray(array)
-    planes = array.view(np.uint8).reshape(len(array), array.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
 class EliasFano:
-    """A strictly rising sequence as low bits and a unary bit vector of high bits."""
+    """A strictly rising sequence as low bits, in whole bytes, and a unary bit vector of high bits."""
 
-    def __init__(self, low: np.ndarray, words: np.ndarray, zeros: np.ndarray, shift: int, size: int):
-        self.low, self.words, self.zeros, self.shift, self.size = low, words, zeros, shift, size
+    def __init__(self, low: np.ndarray, bits: np.ndarray, shift: int, size: int):
+        self.low, self.bits, self.shift, self.size = np.asarray(low), bits, shift, size
+        # Select directory: the zero that ends each run of equal high parts, less the zeros before.
+        zeros = np.flatnonzero(np.unpackbits(bits, bitorder="little") == 0)
+        self.ends = (zeros - np.arange(len(zeros))).astype(np.int32 if len(zeros) < 1 << 30 else np.int64)
 
     @staticmethod
-    def encode(values: np.ndarray) -> EliasFano:
-        """``values``: sorted non-negative integers; low parts are whole bytes."""
-        values = values.astype(np.uint64)
+    def encode(values: np.ndarray) -> tuple[list[np.ndarray], tuple[int, int]]:
+        """Arrays and shape of the sequence of ``values``, sorted non-negative integers."""
+        values = values.astype(np.int64)
         top, shift = (int(values[-1]) if len(values) else 0), 0
-        while shift < 32 and (top >> shift) > 4 * max(len(values), 1):
+        while shift < 56 and (top >> shift) > 4 * max(len(values), 1):
             shift += 8
-        kind = {0: np.uint8, 8: np.uint8, 16: np.uint16, 24: np.uint32, 32: np.uint32}[shift]
-        low = (values & np.uint64((1 << shift) - 1)).astype(kind) if shift else np.empty(0, kind)
-        high = (values >> np.uint64(shift)).astype(np.int64)
-        bits = np.zeros(-(-(len(values) + (top >> shift) + 2) // 64) * 64, np.uint8)
+        kind = [np.uint8, np.uint8, np.uint16, np.uint32, np.uint32, np.int64, np.int64, np.int64][shift // 8]
+        low = (values & ((1 << shift) - 1)).astype(kind) if shift else np.empty(0, kind)
+        high = values >> shift
+        bits = np.zeros(len(values) + (top >> shift) + 1, np.uint8)
         bits[high + np.arange(len(values))] = 1
-        words = np.packbits(bits, bitorder="little").view(np.uint64)
-        zeros = np.concatenate([[0], np.cumsum(64 - np.bitwise_count(words).astype(np.int64))])
-        return EliasFano(low, words, zeros, shift, len(values))
-
-    def parts(self) -> list[np.ndarray]:
-        return [self.low, self.words, self.zeros]
-
-    def _before(self, high: np.ndarray) -> np.ndarray:
-        """Number of elements whose high part is less than ``high``: the zeros' places say it."""
-        target = np.maximum(high, 1)
-        word = np.searchsorted(self.zeros, target, "left") - 1
-        want = (target - self.zeros[word]).astype(np.int64)
-        spread = self.words[word].view(np.uint8).reshape(-1, 8)
-        empty = np.cumsum(8 - np.bitwise_count(spread).astype(np.int64), axis=1)
-        byte = (empty < want[:, None]).sum(axis=1)
-        rows = np.arange(len(word))
-        inside = want - np.where(byte > 0, empty[rows, byte - 1], 0)
-        place = word * 64 + byte * 8 + SELECT_ZERO[spread[rows, byte], inside]
-        return np.where(high > 0, place - target + 1, 0)
+        return [low, np.packbits(bits, bitorder="little")], (shift, len(values))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Index of each key, or -1: the first element not below the key, if it is the key."""
         if not self.size:
             return np.full(len(keys), -1)
-        keys = keys.astype(np.uint64)
-        high = (keys >> np.uint64(self.shift)).astype(np.int64)
-        beyond = high > int(self.zeros[-1]) - 2
+        high = keys >> self.shift
+        beyond = high >= len(self.ends)
         high = np.where(beyond, 0, high)
-        left, right = self._before(high), self._before(high + 1)
-        end = right.copy()
-        want = (keys & np.uint64((1 << self.shift) - 1)).astype(np.int64)
-        if self.shift:
-            while (open_ := left < right).any():
-                middle = (left + right) // 2
-                less = open_ & (self.low[np.minimum(middle, self.size - 1)].astype(np.int64) < want)
-                left, right = np.where(less, middle + 1, left), np.where(open_ & ~less, middle, right)
-            found = (left < end) & (self.low[np.minimum(left, self.size - 1)] == want)
-        else:
-            found = left < end
-        return np.where(found & ~beyond, left, -1)
-
-
-def _select_table() -> np.ndarray:
-    """Place of the k-th zero (from 1) in each byte."""
-    table = np.zeros((256, 9), np.int64)
-    for byte in range(256):
-        for k, place in enumerate((i for i in range(8) if not byte >> i & 1), 1):
-            table[byte, k] = place
-    return table
-
-
-SELECT_ZERO = _select_table()
+        left = np.where(high > 0, self.ends[high - 1], 0).astype(np.int64)
+        end = np.minimum(self.ends[high].astype(np.int64), self.size)
+        if not self.shift:
+            return np.where((left < end) & ~beyond, left, -1)
+        want, right = keys & ((1 << self.shift) - 1), end
+        rows = np.flatnonzero(left < right)
+        while len(rows):
+            middle = (left[rows] + right[rows]) >> 1
+            less = self.low[middle] < want[rows]
+            left[rows] = np.where(less, middle + 1, left[rows])
+            right = right.copy() if right is end else right
+            right[rows] = np.where(less, right[rows], middle)
+            rows = rows[left[rows] < right[rows]]
+        found = (left < end) & (self.low[np.minimum(left, self.size - 1)] == want) & ~beyond
+        return np.where(found, left, -1)
 
 
 def _log_code(p: np.ndarray) -> np.ndarray:
@@ -138,56 +99,55 @@ def _log_code(p: np.ndarray) -> np.ndarray:
 
 
 def _log_of(code: np.ndarray) -> np.ndarray:
-    return -code.astype(np.float64) / LOG_STEPS
+    return code.astype(np.float64) * (-1.0 / LOG_STEPS)
 
 
 class TrigramTrie:
-    """Three levels: middle words; words after each; first words and, for each, words after both."""
+    """Three levels: middle words; words after each; first words and, for each, words after both.
+
+    Keys of the upper levels are (middle word's place, word number); ``width`` bits hold a number.
+    """
 
-    def __init__(self, arrays: list[np.ndarray], shifts: list[tuple[int, int]], width: int, widest: int):
-        self.words, self.after_mass, self.pair_log, self.context_mass, self.log = arrays[9:14]
-        self.starts = arrays[14]
+    def __init__(self, arrays: list[np.ndarray], shapes: list[tuple[int, int]], width: int, widest: int):
         self.pairs, self.contexts, self.triples = (
-            EliasFano(*arrays[3 * i : 3 * i + 3], *shifts[i]) for i in range(3)
+            EliasFano(*arrays[2 * i : 2 * i + 2], *shapes[i]) for i in range(3)
         )
+        self.middles, self.starts, self.after_mass, self.pair_log, self.context_mass, self.log = map(np.asarray, arrays[6:])
         self.width, self.widest = width, widest
 
     @staticmethod
     def build(first, middle, last, count, base) -> tuple[list[np.ndarray], list[tuple[int, int]], int, int]:
-        """Levels from distinct training trigrams of word numbers; ``base`` is p1 of each last word."""
-        words = np.unique(np.concatenate([first, middle, last]))
-        width = len(words) + 1
-        a, b, c = (np.searchsorted(words, x) for x in (first, middle, last))
+        """Levels from training trigrams of word numbers; ``base`` is p1 of each last word."""
+        middles = np.unique(middle)
+        width = int(max(first.max(initial=0), last.max(initial=0))).bit_length() + 1
+        place = np.searchsorted(middles, middle)
 
         def tally(keys, weights):
-            order = np.argsort(keys, kind="stable")
-            at, _ = runs(keys[order])
+            order = np.argsort(keys)
+            at, length = runs(keys[order])
             total = np.add.reduceat(weights[order], at) if len(at) else np.empty(0, np.int64)
-            return keys[order][at], total, order[at]
-
-        pair_key, pair_count, sample = tally(b * width + c, count)
-        mid = pair_key // width
-        starts = np.searchsorted(mid, np.arange(width))
-        after = np.bincount(mid, weights=pair_count, minlength=width)
-        kinds = np.bincount(mid, minlength=width)
+            own = np.empty(len(keys), np.int64)
+            own[order] = np.repeat(np.arange(len(at)), length)
+            return keys[order][at], total, order[at], own
+
+        pair_key, pair_count, sample, pair = tally(place << width | last, count)
+        mid = pair_key >> width
+        starts = np.searchsorted(mid, np.arange(len(middles) + 1))
+        kinds = np.diff(starts)
+        after = np.bincount(mid, weights=pair_count, minlength=len(middles))
         mass = DISCOUNT * kinds / np.maximum(after, 1)
         p2 = (pair_count - DISCOUNT) / after[mid] + mass[mid] * base[sample]
-        context_key, _, _ = tally(b * width + a, count)
-        context = np.searchsorted(context_key, b * width + a)
+        context_key, seen, _, context = tally(place << width | first, count)
         # A word after a context is numbered among the words after the middle word.
-        place = np.searchsorted(pair_key, b * width + c)
-        widest = int(kinds.max(initial=0)) + 1
-        triple_key, triple_count, sample = tally(context * widest + place - starts[b], count)
-        own = triple_key // widest
-        seen = np.bincount(own, weights=triple_count, minlength=len(context_key))
+        widest = int(kinds.max(initial=0))
+        triple_key, triple_count, sample, _ = tally(context * widest + pair - starts[place], count)
+        own = triple_key // max(widest, 1)
         context_mass = DISCOUNT * np.bincount(own, minlength=len(context_key)) / np.maximum(seen, 1)
-        p3 = (triple_count - DISCOUNT) / seen[own] + context_mass[own] * p2[place[sample]]
+        p3 = (triple_count - DISCOUNT) / seen[own] + context_mass[own] * p2[pair[sample]]
         levels = [EliasFano.encode(k) for k in (pair_key, context_key, triple_key)]
-        arrays = [part for level in levels for part in level.parts()]
-        known = np.append(kinds[:-1] > 0, False)
-        arrays += [words, np.where(known, _log_code(mass), 0).astype(np.uint16), _log_code(p2), _log_code(context_mass), _log_code(p3)]
-        arrays.append(starts)
-        return arrays, [(level.shift, level.size) for level in levels], width, widest
+        arrays = [part for level, _ in levels for part in level]
+        arrays += [middles, starts, _log_code(mass), _log_code(p2), _log_code(context_mass), _log_code(p3)]
+        return arrays, [shape for _, shape in levels], width, widest
 
     @classmethod
     def mapped(cls, arrays: list[np.ndarray], *shape) -> TrigramTrie:
@@ -203,27 +163,26 @@ class TrigramTrie:
             data = np.memmap(file, np.uint8, "r")
         return cls([data[at : at + n * kind.itemsize].view(kind) for at, n, kind in places], *shape)
 
-    def _numbers(self, words: np.ndarray) -> np.ndarray:
-        place = np.searchsorted(self.words, words)
-        found = place < len(self.words)
-        found[found] = self.words[place[found]] == words[found]
-        return np.where(found, place, self.width - 1)
-
     def score(self, first, middle, last, base_log) -> np.ndarray:
         """log10 p(last | first middle); ``base_log`` is log10 p1 of the last words."""
         if not self.pairs.size:
             return base_log.copy()
-        a, b, c = (self._numbers(x) for x in (first, middle, last))
-        pair = self.pairs.find(b * self.width + c)
-        has = pair >= 0
-        out = np.where(has, _log_of(self.pair_log[np.maximum(pair, 0)]), _log_of(self.after_mass[b]) + base_log)
-        context = self.contexts.find(b * self.width + a)
-        rank = np.where(has, pair - self.starts[b], self.widest - 1)
-        triple = self.triples.find(np.maximum(context, 0) * self.widest + rank)
-        deep = (context >= 0) & has & (triple >= 0)
-        back = (context >= 0) & ~deep
-        out = np.where(back, out + _log_of(self.context_mass[np.maximum(context, 0)]), out)
-        return np.where(deep, _log_of(self.log[np.maximum(triple, 0)]), out)
+        place = np.minimum(np.searchsorted(self.middles, middle), len(self.middles) - 1)
+        known = self.middles[place] == middle
+        # Numbers too wide for the keys belong to words that no training trigram has.
+        top = 1 << self.width
+        pair = np.where(known & (last < top), self.pairs.find(place << self.width | np.minimum(last, top - 1)), -1)
+        context = np.where(known & (first < top), self.contexts.find(place << self.width | np.minimum(first, top - 1)), -1)
+        has, deep = pair >= 0, context >= 0
+        out = base_log + np.where(known, _log_of(self.after_mass[place]), 0)
+        out[has] = _log_of(self.pair_log[pair[has]])
+        both = np.flatnonzero(has & deep)
+        rank = pair[both] - self.starts[place[both]]
+        triple = self.triples.find(context[both] * self.widest + rank)
+        out[deep] += _log_of(self.context_mass[context[deep]])
+        whole = triple >= 0
+        out[both[whole]] = _log_of(self.log[triple[whole]])
+        return out
 
 
 BLOCK = ["block", "docs", "held", "sizes", "codes", "words", "often", "order"]
@@ -349,18 +308,22 @@ def _sent(tokens: int, kinds: int, shards: int):
         hot = np.where(at >= 1, np.roll(total[codes], 1) > HOT_SHARE * TRIGRAMS_PER_SHARD, True)
         # Equal trigrams of a document travel once.
         key = mix64(mix64(mix64(mix64(first) + middle.astype(np.uint64)) + last.astype(np.uint64)) + doc.astype(np.uint64))
-        _, index, times = np.unique(key, return_index=True, return_counts=True)
+        order = np.argsort(key)
+        at_key, lengths = runs(key[order])
+        index = order[at_key]
+        times = np.empty(len(codes), np.int32)
+        times[index] = lengths
         spread = np.where(hot, (mix64(first) % np.uint64(shards)).astype(np.int64), 0)
         shard = ((mix64(middle) % np.uint64(shards)).astype(np.int64) + spread) % shards
-        by_shard = np.lexsort((index, shard[index]))
-        index, times = index[by_shard], times[by_shard]
+        index = np.sort(shard[index] << 36 | index) & ((1 << 36) - 1)
+        del key, order, at_key, spread, hot, at
         code = _count_code(total)
         cuts, lengths = runs(shard[index])
         out = {n: [] for n in SENT}
         for c, n in zip(cuts, lengths):
             i = index[c : c + n]
             mine = doc[i]
-            values = (first[i], middle[i], last[i], code[codes[i]], times[c : c + n].astype(np.int32), mine.astype(np.int32))
+            values = (first[i], middle[i], last[i], code[codes[i]], times[i], mine.astype(np.int32))
             for name, value in zip(TRIGRAM, values):
                 out[name].append(pack(value))
             out["shard"].append(int(shard[i[0]]))
@@ -390,21 +353,24 @@ def _scored(tokens: int, kinds: int):
         if rows:
             base = _base_of_codes(tokens, kinds)
             kinds_of = {"first": np.int64, "middle": np.int64, "last": np.int64, "code": np.uint8, "times": np.int32, "doc": np.int32}
-            parts = {n: [unpack(r[n], k) for r in rows] for n, k in kinds_of.items()}
-            held = [unpack(r["held"], np.uint8)[d] for r, d in zip(rows, parts["doc"])]
+            parts = {n: [unpack(r.pop(n), k) for r in rows] for n, k in kinds_of.items()}
+            held = np.concatenate([unpack(r["held"], np.uint8)[d] for r, d in zip(rows, parts["doc"])])
             sizes = [len(x) for x in parts["doc"]]
-            first, middle, last, code, times = (np.concatenate(parts[n]) for n in TRIGRAM[:5])
-            train = np.concatenate(held) == 0
-            trie = TrigramTrie.mapped(
-                *TrigramTrie.build(first[train], middle[train], last[train], times[train].astype(np.int64), 10.0 ** base[code[train]])
-            )
+            doc = np.concatenate(parts.pop("doc"))
+            # Neighbours in this order share their words, which keeps lookups close together.
+            order = np.argsort(np.concatenate(parts["middle"]))
+            first, middle, last, code, times = (np.concatenate(parts.pop(n))[order] for n in TRIGRAM[:5])
+            train = held[order] == 0
+            trie = TrigramTrie.mapped(*TrigramTrie.build(
+                first[train], middle[train], last[train], times[train].astype(np.int64), 10.0 ** base[code[train]]
+            ))
             logs = np.empty(len(first))
-            for at in range(0, len(first), 1 << 19):
-                s = slice(at, at + (1 << 19))
-                logs[s] = trie.score(first[s], middle[s], last[s], base[code[s]]) * times[s]
+            for at in range(0, len(first), 1 << 18):
+                s = slice(at, at + (1 << 18))
+                logs[order[s]] = trie.score(first[s], middle[s], last[s], base[code[s]]) * times[s]
             ends = np.cumsum(sizes)[:-1]
-            for r, doc, value in zip(rows, parts["doc"], np.split(logs, ends)):
-                used, place = np.unique(doc, return_inverse=True)
+            for r, own, value in zip(rows, np.split(doc, ends), np.split(logs, ends)):
+                used, place = np.unique(own, return_inverse=True)
                 out.append({"block": r["block"], "doc": pack(used), "sum": pack(np.bincount(place, weights=value).astype(np.float32))})
         return pa.Table.from_pylist(out, schema=ANSWER)
 
