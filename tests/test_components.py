@@ -1,6 +1,8 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from emberfold.operators import components
 from emberfold.operators.components import connected_components, rank_within
 
 
@@ -29,6 +31,20 @@ def test_components_of_random_graphs_and_a_long_path(spark):
     assert root == {n: find(n)[1] for n in nodes}
 
 
+@pytest.mark.parametrize("step", [1, 2])
+def test_rounds_grow_with_the_logarithm_of_an_ordered_chain(spark, monkeypatch, step):
+    """Ids that rise along the chain, as cells do along a front; with step 2 the links skip a cell."""
+    rounds = []
+    real = components._parents
+    monkeypatch.setattr(components, "_parents", lambda *a: rounds.append(1) or real(*a))
+    n = 4096
+    nodes = spark.range(n).select(F.lit("g").alias("g"), F.col("id").alias("node"))
+    edges = spark.range(n - step).select(F.lit("g").alias("g"), F.col("id").alias("a"), (F.col("id") + step).alias("b"))
+    out = components.connected_components(nodes, edges, ["g"]).groupBy("root").count().collect()
+    assert sorted((r.root, r["count"]) for r in out) == [(i, n // step) for i in range(step)]
+    assert len(rounds) <= 14
+
+
 def test_no_edges(spark):
     out = connected_components(
         spark.createDataFrame([("x", 1), ("x", 2)], "g STRING, node BIGINT"),
