@@ -11,12 +11,13 @@ execution splits hot cells.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberfold.functions.geo import mercator_x, mercator_y
 from emberfold.session import cut_lineage
 
+FEATURE = "_feature"
 BUFFER_UNITS = 1000.0
 CELL_UNITS = 5000.0
 EDGES_PER_ROW = 512
@@ -97,18 +98,19 @@ def _inside_anchors(edges: DataFrame, key: str, cell: float) -> DataFrame:
             ).alias("x"),
         )
     )
-    line = crossing.groupBy(key, "cy").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    runs = F.transform(
-        F.sequence(F.lit(0), (F.size("xs") / 2).cast("int") - 1),
-        lambda i: F.struct(
-            F.ceil(F.get("xs", i * 2) / cell - ANCHOR_X).alias("lo"),
-            (F.ceil(F.get("xs", i * 2 + 1) / cell - ANCHOR_X) - 1).alias("hi"),
-        ),
+    # Crossings of a line pair up in order: in at the odd ones, out at the next.
+    along = Window.partitionBy(key, "cy").orderBy("x")
+    runs = (
+        crossing.withColumn("turn", F.row_number().over(along)).withColumn("until", F.lead("x").over(along))
+        .filter("turn % 2 = 1 AND until IS NOT NULL")
+        .select(
+            key, "cy",
+            F.ceil(F.col("x") / cell - ANCHOR_X).alias("lo"), (F.ceil(F.col("until") / cell - ANCHOR_X) - 1).alias("hi"),
+        )
     )
     return (
-        line.select(key, "cy", F.explode(runs).alias("run"))
-        .filter("run.lo <= run.hi")
-        .select(key, "cy", F.explode(F.sequence("run.lo", "run.hi")).alias("cx"))
+        runs.filter("lo <= hi")
+        .select(key, "cy", F.explode(F.sequence("lo", "hi")).alias("cx"))
         .withColumn("anchor_inside", F.lit(True))
     )
 
@@ -147,6 +149,17 @@ def polygon_index(
     )
 
 
+def stored_index(
+    polygons: DataFrame, buffer: float = BUFFER_UNITS, cell: float = CELL_UNITS, edges_per_row: int = EDGES_PER_ROW
+) -> tuple[DataFrame, DataFrame]:
+    """(layer with numbered features, its cell table), both written down: for any number of joins.
+
+    The layer alone decides both, so one pair serves every call with the same buffer and cell.
+    """
+    layer = cut_lineage(polygons.withColumn(FEATURE, F.monotonically_increasing_id()))
+    return layer, cut_lineage(polygon_index(layer, FEATURE, buffer, cell, edges_per_row))
+
+
 def _flips(edges: Column, x: Column, y: Column, xc: Column, yc: Column) -> Column:
     """Parity of edges crossed on the way anchor -> (xc, y) -> (x, y), all within one cell.
 
@@ -184,20 +197,24 @@ def _close(edges: Column, x: Column, y: Column, buffer: float) -> Column:
 def points_near_polygons(
     points: DataFrame,
     polygons: DataFrame,
-    key: str = "poly_id",
     lat: str = "latitude",
     lon: str = "longitude",
     buffer: float = BUFFER_UNITS,
     cell: float = CELL_UNITS,
     edges_per_row: int = EDGES_PER_ROW,
     semi: bool = False,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Points inside a polygon or less than ``buffer`` Mercator units from its edge.
 
-    A point inside the buffers of two polygons yields two rows, each with that polygon's
-    attributes; ``semi=True`` keeps each point once and adds no attributes.
+    Every row of the layer is a feature of its own, also where several share a ``key``. A point
+    inside the buffers of two features yields two rows, each with that feature's attributes;
+    ``semi=True`` keeps each point once and adds no attributes. ``index`` takes a table that
+    ``stored_index`` made of the layer, whose numbers of features it holds.
     """
-    index = cut_lineage(polygon_index(polygons, key, buffer, cell, edges_per_row))
+    if index is None:
+        polygons, index = stored_index(polygons, buffer, cell, edges_per_row)
+    key = FEATURE
     size = index.agg(
         F.count("*").alias("rows"), F.sum(F.size("edges")).alias("edges"), F.max("pieces").alias("pieces")
     ).first()
@@ -229,7 +246,7 @@ def points_near_polygons(
     if semi:
         return points.join(matches.select(lat, lon).distinct(), [lat, lon], "left_semi")
     attributes = polygons.select(
-        F.col(key).alias("_poly"), *[c for c in polygons.columns if c != "rings"]
+        F.col(key).alias("_poly"), *[c for c in polygons.columns if c not in ("rings", FEATURE)]
     )
     return matches.join(attributes, "_poly").drop("_poly")
 

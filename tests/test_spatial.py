@@ -56,6 +56,17 @@ def test_overlap_fans_out_and_semi_does_not(spark):
     assert sorted(r.id for r in semi.collect()) == [0, 1, 2, 3] and "layer_revi" not in semi.columns
 
 
+def test_features_may_share_a_key(spark):
+    rows = [(1, "a", [square(0, 0, 20_000)]), (1, "b", [square(30_000, 0, 20_000)])]
+    shared = spark.createDataFrame(rows, RINGS)
+    where = points(spark, [(-15_000, 0), (15_000, 0), (45_000, 0), (90_000, 0)])
+    want = [(0, "a"), (1, "a"), (1, "b"), (2, "b")]
+    assert hits(points_near_polygons(where, shared)) == want
+    stored, index = spatial.stored_index(shared)
+    assert hits(points_near_polygons(where, stored, index=index)) == want
+    assert "_feature" not in points_near_polygons(where, stored, index=index).columns
+
+
 def test_edges_through_cell_centres_and_vertex_heights(spark):
     """Vertices on multiples of the half cell: rays and legs run along edges and corners."""
     diamond = [lonlat(0, -40_000), lonlat(40_000, 0), lonlat(0, 40_000), lonlat(-40_000, 0)]
