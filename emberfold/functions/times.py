@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,10 +32,23 @@ def in_local_day(ts: Column, run_date: str, zone: str = LOCAL_ZONE, days: int =
     return (ts >= start) & (ts < end)
 
 
-def candidate_utc_days(run_date: str) -> list[str]:
-    """The two UTC days a local day east of Greenwich can touch: a partition filter."""
-    day = date.fromisoformat(run_date)
-    return [(day - timedelta(days=1)).isoformat(), day.isoformat()]
+def utc_bounds(run_date: str, zone: str = LOCAL_ZONE) -> tuple[datetime, datetime]:
+    """[start, end) of a local day in UTC."""
+    first = datetime.combine(date.fromisoformat(run_date), time(), ZoneInfo(zone))
+    after = datetime.combine(date.fromisoformat(run_date) + timedelta(days=1), time(), ZoneInfo(zone))
+    return first.astimezone(timezone.utc), after.astimezone(timezone.utc)
+
+
+def candidate_utc_days(run_date: str, zone: str = LOCAL_ZONE) -> list[str]:
+    """The UTC days that a local day touches, in any zone: a partition filter."""
+    start, end = utc_bounds(run_date, zone)
+    days = (end - timedelta(microseconds=1)).date() - start.date()
+    return [(start.date() + timedelta(days=i)).isoformat() for i in range(days.days + 1)]
+
+
+def default_run_date(now: datetime | None = None, zone: str = LOCAL_ZONE) -> str:
+    """Yesterday in the local zone, the day a run without a date is for."""
+    return ((now or datetime.now(timezone.utc)).astimezone(ZoneInfo(zone)).date() - timedelta(days=1)).isoformat()
 
 
 def local_date(ts: Column, zone: str = LOCAL_ZONE) -> Column:

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.functions.times import LOCAL_ZONE, candidate_utc_days, hour_path, in_local_day, hhmm_timestamp
+from emberfold.functions.times import (
+    LOCAL_ZONE,
+    candidate_utc_days,
+    hhmm_timestamp,
+    hour_path,
+    in_local_day,
+    utc_bounds,
+)
 from emberfold.operators.standardize import keep_confident
 from emberfold.schemas import FIRMS, HIMAWARI
 
@@ -16,38 +25,67 @@ def _as_list(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_firms(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Polar-orbit CSV with header.
+def read_firms(spark: SparkSession, paths: str | list[str], base: str | None = None) -> DataFrame:
+    """Polar-orbit CSV, each file by its own header.
 
-    Columns are taken by header name and further ones ignored, so files of one call must share
-    one header. A blank body, or one line saying there is no fire data, yields no rows. The
-    header is looked up in the first file that has one; ``sensor=``/``utc_day=`` folders become
-    columns that prune whole folders.
+    Columns are taken by the header name of their file and further ones ignored. A blank body, or
+    one line saying there is no fire data, yields no rows. ``sensor=``/``utc_day=`` folders become
+    columns that prune whole folders; ``base`` is the folder they start at if ``paths`` lie deeper.
+    Files are brought together with their header by name, so any number of them may differ; only
+    the distinct headers, of which a feed has a few, reach the driver.
     """
-    found = (
-        spark.read.option("recursiveFileLookup", "true").text(_as_list(paths))
-        .filter(F.col("value").contains("latitude") & F.col("value").contains("acq_date"))
-        .take(1)
-    )
-    if not found:
+    reader = spark.read.option("basePath", base) if base else spark.read
+    lines = reader.text(_as_list(paths)).withColumn("_file", F.col("_metadata.file_path"))
+    folders = [c for c in lines.columns if c not in ("value", "_file")]
+    is_header = F.col("value").contains("latitude") & F.col("value").contains("acq_date")
+    headers = lines.filter(is_header).groupBy("_file").agg(F.min("value").alias("_header"))
+    known = [r["_header"] for r in headers.select("_header").distinct().collect()]
+    if not known:
         return spark.createDataFrame([], FIRMS)
-    names = [name.strip() for name in found[0]["value"].split(",")]
-    schema = ", ".join(f"`{name}` STRING" for name in names)
-    df = spark.read.schema(schema).option("header", "true").csv(_as_list(paths))
-    folders = [c for c in df.columns if c not in names]
-    return df.select(
-        *[F.col(c).try_cast(t).alias(c) for c, t in FIRMS_TYPES.items() if c in names], *folders
-    ).filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+    body = lines.filter(~is_header).join(headers, "_file")
+    row = F.lit(None)
+    for header in known:
+        names = [name.strip() for name in header.split(",")]
+        parsed = F.from_csv("value", ", ".join(f"`{name}` STRING" for name in names))
+        taken = [
+            (parsed[c] if c in names else F.lit(None)).try_cast(t).alias(c) for c, t in FIRMS_TYPES.items()
+        ]
+        row = F.when(F.col("_header") == header, F.struct(*taken)).otherwise(row)
+    used = {name.strip() for header in known for name in header.split(",")}
+    return (
+        body.select(row.alias("r"), *folders)
+        .select(*[F.col(f"r.{c}").alias(c) for c in FIRMS_TYPES if c in used], *folders)
+        .filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+    )
+
+
+def _existing(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """The glob patterns that match something."""
+    context = spark.sparkContext
+    make = context._jvm.org.apache.hadoop.fs.Path
+    conf = context._jsc.hadoopConfiguration()
+    found = []
+    for pattern in patterns:
+        path = make(pattern)
+        if path.getFileSystem(conf).globStatus(path):
+            found.append(pattern)
+    return found
 
 
 def firms_local_day(spark: SparkSession, root: str, run_date: str, zone: str = LOCAL_ZONE) -> DataFrame:
     """Confident, distinct hotspots of one local day from ``sensor=/utc_day=`` folders.
 
-    Only the two UTC days the local day touches are listed and read.
+    Only the folders of the UTC days that the local day touches are listed and read. A root
+    without such folders is read as a whole.
     """
-    df = read_firms(spark, root)
-    if "utc_day" in df.columns:
-        df = df.filter(F.col("utc_day").cast("string").isin(*candidate_utc_days(run_date)))
+    root = root.rstrip("/")
+    if _existing(spark, [f"{root}/*/utc_day=*"]):
+        paths = _existing(spark, [f"{root}/*/utc_day={day}" for day in candidate_utc_days(run_date, zone)])
+        if not paths:
+            return spark.createDataFrame([], FIRMS)
+        df = read_firms(spark, paths, root)
+    else:
+        df = read_firms(spark, root)
     distinct = df.drop("sensor", "utc_day").dropDuplicates()
     when = hhmm_timestamp(F.col("acq_date"), F.col("acq_time"))
     return keep_confident(distinct.filter(in_local_day(when, run_date, zone)))
@@ -67,9 +105,14 @@ def read_himawari(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def local_day_hours(spark: SparkSession, run_date: str, zone: str = LOCAL_ZONE) -> DataFrame:
-    """The 24 UTC hours of a local day with their folder and file prefix."""
-    start = F.to_utc_timestamp(F.lit(run_date).cast("timestamp"), zone)
-    hours = spark.range(24).select((start + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("hour"))
+    """The UTC hours that start within a local day, with their folder and file prefix.
+
+    These are 24, or an hour less or more where the clocks change.
+    """
+    start, end = utc_bounds(run_date, zone)
+    first = start + timedelta(seconds=-int(start.timestamp()) % 3600)
+    count = -(-int((end - first).total_seconds()) // 3600)
+    hours = spark.range(count).select(F.timestamp_seconds(F.lit(int(first.timestamp())) + F.col("id") * 3600).alias("hour"))
     folder, prefix = hour_path(F.col("hour"))
     return hours.select("hour", folder.alias("folder"), prefix.alias("prefix"))
 
@@ -87,13 +130,17 @@ def select_hourly_files(hours: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def himawari_local_day(spark: SparkSession, root: str, run_date: str, zone: str = LOCAL_ZONE) -> DataFrame:
-    """Hotspots of the hourly files of one local day; only those files are opened."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv").load(root).select("path")
-    )
-    chosen = select_hourly_files(local_day_hours(spark, run_date, zone), files)
-    paths = [row["path"] for row in chosen.collect()]  # at most 24 paths
+    """Hotspots of the hourly files of one local day.
+
+    Only the two or three day folders of its hours are listed, and only the chosen files opened.
+    """
+    hours = local_day_hours(spark, run_date, zone)
+    days = candidate_utc_days(run_date, zone)
+    folders = _existing(spark, [f"{root.rstrip('/')}/{day[:4]}{day[5:7]}/{day[8:]}" for day in days])
+    if not folders:
+        return spark.createDataFrame([], HIMAWARI)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folders).select("path")
+    paths = [row["path"] for row in select_hourly_files(hours, files).collect()]  # at most 25 paths
     if not paths:
         return spark.createDataFrame([], HIMAWARI)
     return read_himawari(spark, sorted(paths))

@@ -74,14 +74,25 @@ def read_scenes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCENES).parquet(path)
 
 
-def write_by_run(df: DataFrame, path: str, *partitions: str) -> None:
-    """JSON lines in one folder per partition value; a rerun replaces just the runs it holds."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*(partitions or ("run_date",)))
-        .json(path)
-    )
+def write_by_run(df: DataFrame, path: str, *partitions: str, runs: list[str] | None = None) -> None:
+    """JSON lines in one folder per partition value; a rerun replaces just the runs it holds.
+
+    ``runs`` names the run dates that were processed: the folder of each is replaced, also where
+    the run has no rows now. Without it only the partitions that occur in ``df`` are replaced.
+    """
+    if runs is None:
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*(partitions or ("run_date",)))
+            .json(path)
+        )
+        return
+    for run in runs:
+        rows = df.filter(F.col("run_date") == F.lit(run).cast("date")).drop("run_date")
+        deeper = [c for c in partitions if c != "run_date"]
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*deeper) if deeper else writer).json(f"{path.rstrip('/')}/run_date={run}")
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

@@ -1,7 +1,10 @@
 import json
+from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
+from emberfold.functions import times
 from emberfold.schemas import PREDICTION
 from emberfold.sources import feeds, polygons, records
 
@@ -28,12 +31,44 @@ def test_firms_by_header_name_and_empty_bodies(spark, tmp_path):
     assert sorted((r.latitude, r.acq_time, r.confidence, r.frp) for r in day.collect()) == [
         (1.0, 1700, "n", 5.5), (2.5, 5, "H", 1.0),
     ]
-    plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "utc_day" in plan.split("PartitionFilters:")[1].split("]")[0]
+    read = {f for f in day.inputFiles()}
+    assert read and not any("2024-01-06" in f for f in read)
     (tmp_path / "none.csv").write_text("No fire data found\n")
     assert feeds.read_firms(spark, str(tmp_path / "none.csv")).count() == 0
 
 
+def test_each_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("latitude,longitude,acq_date,acq_time,confidence,frp\n2.0,102.0,2024-01-05,5,h,1\n")
+    (tmp_path / "b.csv").write_text("longitude,frp,latitude,acq_time,acq_date,confidence\n102.0,3,2.5,6,2024-01-05,n\n")
+    (tmp_path / "c.csv").write_text("latitude,longitude,acq_date,acq_time,confidence\n3.0,103.0,2024-01-05,7,l\n")
+    rows = feeds.read_firms(spark, str(tmp_path)).collect()
+    assert sorted((r.latitude, r.longitude, r.acq_time, r.confidence, r.frp) for r in rows) == [
+        (2.0, 102.0, 5, "h", 1.0), (2.5, 102.0, 6, "n", 3.0), (3.0, 103.0, 7, "l", None),
+    ]
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata", "Pacific/Kiritimati", "UTC"])
+def test_a_local_day_of_any_zone_is_whole(spark, tmp_path, zone):
+    for day in ("2024-01-03", "2024-01-04", "2024-01-05", "2024-01-06"):
+        folder = tmp_path / "firms" / "sensor=S" / f"utc_day={day}"
+        folder.mkdir(parents=True)
+        (folder / "x.csv").write_text(HEADER + "".join(f"1.{h:02d},100.0,3.0,{day},{h}30,h,{h}\n" for h in range(24)))
+        hours = tmp_path / "him" / day[:7].replace("-", "") / day[8:]
+        hours.mkdir(parents=True)
+        for h in range(24):
+            (hours / f"H09_{day.replace('-', '')}_{h:02d}00_a.csv").write_text(f"2024,1,{int(day[8:])},{h},1.0,100.0,5.0,9.0,80.0,3\n")
+    assert feeds.firms_local_day(spark, str(tmp_path / "firms"), "2024-01-05", zone).count() == 24
+    out = feeds.himawari_local_day(spark, str(tmp_path / "him"), "2024-01-05", zone).collect()
+    start, end = times.utc_bounds("2024-01-05", zone)
+    at = [datetime(r.year, r.month, r.day, r.hour, tzinfo=timezone.utc) for r in out]
+    assert len(at) == 24 and all(start <= t < end for t in at)
+
+
+def test_days_with_a_clock_change(spark):
+    assert feeds.local_day_hours(spark, "2024-03-10", "America/Los_Angeles").count() == 23
+    assert feeds.local_day_hours(spark, "2024-11-03", "America/Los_Angeles").count() == 25
+
+
 def test_himawari_comments_and_hourly_choice(spark, tmp_path):
     def put(folder, name, text):
         (tmp_path / folder).mkdir(parents=True, exist_ok=True)
