@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pathlib import Path
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +51,14 @@ DEFAULT_CONFIG = {
 
 
 def load_config(spark: SparkSession, path: str, fallback: str | None = None) -> dict[str, Any]:
-    """Read a criteria file from any file system Spark knows; try ``fallback`` if it is absent."""
+    """Read a criteria file from any file system Spark knows; try ``fallback`` if it is absent.
+
+    Any other failure, such as missing rights or a broken file, is an error.
+    """
     try:
         rows = spark.read.text(path, wholetext=True).collect()
-    except Exception:
-        if fallback is None:
+    except AnalysisException as error:
+        if fallback is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.read.text(fallback, wholetext=True).collect()
     return validate_config(json.loads(rows[0][0]))

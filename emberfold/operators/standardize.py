@@ -91,11 +91,12 @@ def dedup_spatiotemporal(
 ) -> DataFrame:
     """Best row per (rounded place, time bucket): highest confidence, nulls last.
 
-    Ties fall to the earliest time, then place, source and power, so that the result does not
-    depend on row order. One aggregation with a map-side step: however many copies a key has,
+    Ties fall to the earliest time, then place, source and power, then to all remaining columns,
+    so that the result does not depend on row order. One aggregation with a map-side step: however many copies a key has,
     each map task ships one row of it.
     """
     columns = [c for c in df.columns if c not in carry]
+    named = {"confidence", "acq_datetime", "latitude", "longitude", "source", "frp_mean"}
     rank = F.struct(
         F.col("confidence").isNull(),
         -F.col("confidence"),
@@ -104,6 +105,7 @@ def dedup_spatiotemporal(
         F.col("longitude"),
         F.col("source"),
         -F.col("frp_mean"),
+        *[F.col(c) for c in columns if c not in named],
     )
     keyed = df.select(
         *[F.col(c) for c in carry],

@@ -88,6 +88,10 @@ def test_records_round_trip_and_parts(spark, clustered, incident, tmp_path):
     write_by_run(documents.filter("part = 0"), str(tmp_path / "out"))
     counts = {str(r.run_date): r["count"] for r in spark.read.json(str(tmp_path / "out")).groupBy("run_date").count().collect()}
     assert counts["2019-09-21"] == 1 and counts["2019-09-22"] == documents.count()
+    # A rerun that finds nothing any more leaves no incident of the day behind.
+    write_by_run(documents.limit(0), str(tmp_path / "out"), runs=["2019-09-21"])
+    left = read_incidents(spark, str(tmp_path / "out"))
+    assert left.filter("run_date = DATE '2019-09-21'").count() == 0 and left.count() == documents.count()
 
 
 def test_three_file_forms_and_both_hotspot_shapes(spark, tmp_path):

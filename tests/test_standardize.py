@@ -72,6 +72,13 @@ def test_dedup_keeps_highest_confidence_nulls_last(spark):
     assert sorted(r.source for r in out) == ["D", "E", "F"]
 
 
+def test_dedup_ties_do_not_follow_row_order(spark):
+    rows = [(1.0, 100.0, at(3, 1), 1.0, m, 50.0, n, "A") for m, n in ((None, 2), (4.0, 1), (3.0, 7), (3.0, 5))]
+    for some in (rows, rows[::-1]):
+        [row] = S.dedup_spatiotemporal(spark.createDataFrame(some, GOLDEN).coalesce(1)).collect()
+        assert (row.frp_max, row.n_detections) == (None, 2)
+
+
 def test_dedup_reduces_before_the_shuffle(spark):
     df = spark.createDataFrame([], GOLDEN)
     plan = S.dedup_spatiotemporal(df)._jdf.queryExecution().executedPlan().toString()
