@@ -39,4 +39,5 @@ def nan_to_null(value: Column) -> Column:
 
 
 def percent_text(value: Column, places: int = 0) -> Column:
-    return F.format_string(f"%.{places}f%%", value * F.lit(100.0))
+    # Ties go to the even digit; format_string alone would round them up.
+    return F.format_string(f"%.{places}f%%", F.bround(value * F.lit(100.0), places))

@@ -26,14 +26,14 @@ NO_PIXELS = "No valid pixels in NRTI data for region"
 
 
 def coarsen_pixels(pixels: DataFrame, degrees: float = PIXEL_DEGREES) -> DataFrame:
-    """One value per product, image hour and coarse pixel.
+    """One value per product, image and coarse pixel; an image is told by its exact time.
 
-    Runs before anything is joined: however many raw samples fall on a pixel, map tasks ship
-    one partial average, and a pixel has at most one value per hour from here on.
+    Runs before anything is joined: however many raw samples of an image fall on a pixel, map
+    tasks ship one partial average.
     """
     return pixels.groupBy(
         "product",
-        F.date_trunc("hour", "ts").alias("image_ts"),
+        F.col("ts").alias("image_ts"),
         F.floor(F.col("lat") / degrees).alias("pixel_y"),
         F.floor(F.col("lon") / degrees).alias("pixel_x"),
     ).agg(F.avg("value").alias("value"))
@@ -80,8 +80,8 @@ def composite_mean(
     """(keys, product, images, composite): mean over the disc of each pixel's median in time.
 
     Pixels count by their centre; the window is [ts - days, ts + days). The join runs on
-    (tile, day), so one busy place is spread over its days, and each pixel's median sees at
-    most one value per hour of the window.
+    (tile, day), so one busy place is spread over its days; each pixel's median is over the images
+    that show it within the window.
     """
     angle = radius_km / EARTH_RADIUS_KM
     limit = math.sin(angle / 2.0) ** 2

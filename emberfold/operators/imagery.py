@@ -34,8 +34,10 @@ def pad_box(df: DataFrame, padding: float = PADDING_DEGREES) -> DataFrame:
 
 
 def incident_regions(documents: DataFrame, padding: float = PADDING_DEGREES) -> DataFrame:
-    """Padded hotspot box per incident document; incidents without id or hotspots are left out."""
-    usable = documents.filter(F.col("cluster_id").isNotNull() & (F.size("hotspots") > 0))
+    """Padded box per incident document: its own, else that of its nested hotspots.
+
+    Incidents without an id, or with neither, are left out.
+    """
 
     def coordinate(index: int, name: str) -> Column:
         return F.transform(
@@ -43,18 +45,14 @@ def incident_regions(documents: DataFrame, padding: float = PADDING_DEGREES) ->
         )
 
     lon, lat = coordinate(0, "longitude"), coordinate(1, "latitude")
-    boxes = usable.select(
+    boxes = documents.filter(F.col("cluster_id").isNotNull()).select(
         F.col("cluster_id").alias("region_id"),
-        F.array_min(lon).alias("min_lon"),
-        F.array_min(lat).alias("min_lat"),
-        F.array_max(lon).alias("max_lon"),
-        F.array_max(lat).alias("max_lat"),
-    )
-    whole = boxes.groupBy("region_id").agg(
-        F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"),
-        F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat"),
+        F.coalesce("min_lon", F.array_min(lon)).alias("min_lon"),
+        F.coalesce("min_lat", F.array_min(lat)).alias("min_lat"),
+        F.coalesce("max_lon", F.array_max(lon)).alias("max_lon"),
+        F.coalesce("max_lat", F.array_max(lat)).alias("max_lat"),
     )
-    return pad_box(whole, padding)
+    return pad_box(boxes.filter("min_lon IS NOT NULL AND min_lat IS NOT NULL"), padding)
 
 
 def harmonise_bands(df: DataFrame) -> DataFrame:

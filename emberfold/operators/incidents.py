@@ -9,9 +9,6 @@ from emberfold.functions.geo import exact_mean, nano_sum, round_half_even
 from emberfold.functions.nested import append_if
 from emberfold.functions.times import iso_utc
 
-# A cluster's hotspots are nested in one record up to this many, else over several parts.
-HOTSPOTS_PER_RECORD = 50_000
-
 
 def incident_id(run_date: Column, cluster: Column) -> Column:
     return F.concat_ws("_", F.lit("fire_cluster"), F.date_format(run_date, "yyyyMMdd"), cluster.cast("string"))
@@ -112,24 +109,12 @@ def with_severity(incidents: DataFrame) -> DataFrame:
     )
 
 
-def nest_hotspots(
-    clustered: DataFrame,
-    summary: DataFrame,
-    run: str = "run_date",
-    label: str = "cluster_id",
-    per_record: int = HOTSPOTS_PER_RECORD,
-) -> DataFrame:
-    """(run, cluster_no, part, parts, hotspots): flat hotspot records nested per cluster.
-
-    No record holds much more than ``per_record`` hotspots: larger clusters get several parts,
-    each row going to a part by its content, so that no task gathers a whole large cluster.
-    """
-    sizes = summary.select(
-        run, F.col("cluster_no").alias(label),
-        F.ceil(F.col("point_count") / per_record).cast("int").alias("parts"),
-    )
+def hotspot_records(clustered: DataFrame, run: str = "run_date", label: str = "cluster_id") -> DataFrame:
+    """The hotspots of all incidents, one row each, keyed by run and incident; noise is dropped."""
     identity = F.xxhash64("source", "acq_datetime", "latitude", "longitude", "frp_mean", "confidence")
-    record = F.struct(
+    return clustered.filter(F.col(label).isNotNull()).select(
+        run,
+        incident_id(F.col(run), F.col(label)).alias("cluster_id"),
         F.hex(identity).alias("id"),
         "latitude",
         "longitude",
@@ -139,20 +124,17 @@ def nest_hotspots(
         "confidence",
         F.col("n_detections").cast("long").alias("n_detections"),
         "source",
-        F.col(label).cast("long").alias("cluster_id"),
-    )
-    return (
-        clustered.filter(F.col(label).isNotNull())
-        .join(sizes, [run, label])
-        .withColumn("part", F.pmod(identity, F.col("parts")).cast("int"))
-        .groupBy(run, F.col(label).alias("cluster_no"), "part", "parts")
-        .agg(F.sort_array(F.collect_list(record)).alias("hotspots"))
+        F.col(label).cast("long").alias("cluster_no"),
     )
 
 
-def incident_documents(incidents: DataFrame, nested: DataFrame, run: str = "run_date") -> DataFrame:
-    """Incident records ready to be written, one per line (per part for very large clusters)."""
-    return incidents.join(nested, [run, "cluster_no"]).select(
+def incident_documents(incidents: DataFrame, run: str = "run_date") -> DataFrame:
+    """Incident records ready to be written, one per line, whatever the size of a cluster.
+
+    A record carries its mean power and its box, so that what reads it needs no hotspots; these
+    are a table of their own (``hotspot_records``).
+    """
+    return incidents.select(
         run,
         "cluster_id",
         F.col("point_count").cast("long").alias("point_count"),
@@ -163,12 +145,28 @@ def incident_documents(incidents: DataFrame, nested: DataFrame, run: str = "run_
         iso_utc(F.col("last_detected")).alias("last_detected_utc"),
         "realtime_context",
         "fire_severity_assessment",
-        "hotspots",
-        F.when(F.col("parts") > 1, F.col("part")).alias("part"),
-        F.when(F.col("parts") > 1, F.col("parts")).alias("parts"),
+        "avg_frp",
+        "min_lat",
+        "max_lat",
+        "min_lon",
+        "max_lon",
     )
 
 
+def nest_hotspots(documents: DataFrame, hotspots: DataFrame, run: str = "run_date") -> DataFrame:
+    """``documents`` with their hotspots nested: a view for consumers that want one document.
+
+    It gathers a cluster's hotspots in one row, so it is for incidents of a moderate size; nothing
+    in this library reads it.
+    """
+    record = F.struct(
+        "id", "latitude", "longitude", "acq_datetime", "frp_mean", "frp_max", "confidence", "n_detections", "source",
+        F.col("cluster_no").alias("cluster_id"),
+    )
+    nested = hotspots.groupBy(run, "cluster_id").agg(F.sort_array(F.collect_list(record)).alias("hotspots"))
+    return documents.drop("hotspots").join(nested, [run, "cluster_id"], "left")
+
+
 def severity_histogram(incidents: DataFrame, run: str = "run_date") -> DataFrame:
     level = F.col("fire_severity_assessment.overall_severity").alias("overall_severity")
     return incidents.groupBy(run, level).agg(F.count("*").alias("incidents"))
@@ -190,19 +188,12 @@ def run_summary(incidents: DataFrame, run: str = "run_date") -> DataFrame:
     )
 
 
-def hotspot_power(documents: DataFrame) -> DataFrame:
-    """(cluster_id, avg_frp) from nested hotspots of either shape, over all parts of a cluster."""
+def with_power(documents: DataFrame) -> DataFrame:
+    """``documents`` with ``avg_frp``: their own, else the mean over nested hotspots of either shape."""
     power = F.filter(
         F.transform("hotspots", lambda h: F.coalesce(h["properties"]["frp_mean"], h["frp_mean"])),
         lambda v: v.isNotNull(),
     )
     total = F.aggregate(power, F.lit(0.0), lambda acc, v: acc + v)
-    return (
-        documents.select("cluster_id", total.alias("_sum"), F.size(power).alias("_n"))
-        .groupBy("cluster_id")
-        .agg(
-            F.coalesce(
-                F.try_divide(F.sum("_sum"), F.sum(F.greatest(F.col("_n"), F.lit(0)))), F.lit(0.0)
-            ).alias("avg_frp")
-        )
-    )
+    nested = F.try_divide(total, F.size(power))
+    return documents.withColumn("avg_frp", F.coalesce("avg_frp", nested, F.lit(0.0)))

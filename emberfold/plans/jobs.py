@@ -1,25 +1,30 @@
-"""The three jobs: detect incidents, score them, report on them."""
+"""The three jobs: detect incidents, score them, report on them; as functions and through folders."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.functions.times import in_local_day, run_date_of
+from emberfold.functions.times import default_run_date, in_local_day, run_date_of
 from emberfold.operators.air_quality import air_quality
 from emberfold.operators.asof import with_weather
 from emberfold.operators.dbscan import dbscan
 from emberfold.operators.incidents import (
     cluster_summary,
+    hotspot_records,
     incident_documents,
-    nest_hotspots,
+    run_summary,
+    with_power,
     with_severity,
 )
 from emberfold.operators.report import one_prediction_each, report_kpis, report_markers
 from emberfold.operators.scoring import score_incidents
 from emberfold.operators.spatial import points_near_polygons
 from emberfold.operators.standardize import dedup_spatiotemporal, fuse
+from emberfold.schemas import GOLDEN
 from emberfold.session import cut_lineage
+from emberfold.sources import records
+from emberfold.sources.layout import stage_path
 
 MIN_SAMPLES = 5
 EPS_KM = 5.0
@@ -65,11 +70,48 @@ def enrich(summary: DataFrame, weather: DataFrame, pixels: DataFrame) -> DataFra
 def detect_incidents(
     hotspots: DataFrame, polygons: DataFrame, weather: DataFrame, pixels: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(incident rows, incident documents with nested hotspots)."""
+    """(incident rows, the hotspots of all incidents), both written down once."""
     clustered = cut_lineage(cluster_hotspots(hotspots, polygons))
     summary = cut_lineage(cluster_summary(clustered))
-    incidents = enrich(summary, weather, pixels)
-    return incidents, incident_documents(incidents, nest_hotspots(clustered, summary))
+    return cut_lineage(enrich(summary, weather, pixels)), hotspot_records(clustered)
+
+
+def run_detect(
+    spark: SparkSession, root: str, feeds: dict[str, DataFrame | None], polygons: DataFrame,
+    weather_path: str, pixels_path: str, run_date: str | None = None, run_days: int = 1,
+) -> str | None:
+    """Detect the incidents of one run and write records, their hotspots and the summary.
+
+    Without ``run_date`` the run is for yesterday in the local zone. A rerun replaces all that an
+    earlier run of the day has written, also if there is no incident any more.
+    """
+    run_date = run_date or default_run_date()
+    spots = detect_hotspots(feeds, run_date, run_days)
+    if spots is None:
+        spots = spark.createDataFrame([], GOLDEN).withColumn("run_date", F.lit(run_date).cast("date"))
+    incidents, hotspots = detect_incidents(
+        spots, polygons, records.read_weather(spark, weather_path), records.read_pixels(spark, pixels_path)
+    )
+    records.write_by_run(incident_documents(incidents), stage_path(root, "incidents", "records"), runs=[run_date])
+    records.write_by_run(hotspots, stage_path(root, "incidents", "hotspots"), runs=[run_date])
+    records.write_by_run(run_summary(incidents), stage_path(root, "incidents", "summaries"), runs=[run_date])
+    return run_date
+
+
+def run_score(spark: SparkSession, root: str, run_date: str, config: dict | None = None) -> None:
+    """Score the written incidents of one run."""
+    found = records.read_incidents(spark, stage_path(root, "incidents", "records", f"run_date={run_date}"))
+    scored = score_incidents(with_power(found), **({"config": config} if config else {}))
+    records.write_predictions(scored, stage_path(root, "predictions", f"run_date={run_date}"))
+
+
+def run_report(spark: SparkSession, root: str, run_date: str) -> None:
+    """Join the written incidents and predictions of one run and write markers and totals."""
+    found = records.read_incidents(spark, stage_path(root, "incidents", "records", f"run_date={run_date}"))
+    scores = records.read_predictions(spark, stage_path(root, "predictions", f"run_date={run_date}"), glob="*.json")
+    markers, totals = report(found, scores, F.col("ingest_order"))
+    for name, df in (("markers", markers), ("totals", totals)):
+        df.write.mode("overwrite").json(stage_path(root, "reports", name, f"run_date={run_date}"))
 
 
 def report(incidents: DataFrame, predictions: DataFrame, order=None) -> tuple[DataFrame, DataFrame]:
@@ -80,5 +122,6 @@ def report(incidents: DataFrame, predictions: DataFrame, order=None) -> tuple[Da
 
 
 __all__ = [
-    "cluster_hotspots", "detect_hotspots", "detect_incidents", "enrich", "report", "row_order", "score_incidents",
+    "cluster_hotspots", "detect_hotspots", "detect_incidents", "enrich", "report", "row_order", "run_detect",
+    "run_report", "run_score", "score_incidents",
 ]

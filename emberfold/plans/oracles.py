@@ -217,7 +217,7 @@ TABLES["products"] = """
                         ('NO2', 1e6::DOUBLE, 20::DOUBLE, 50::DOUBLE, 'Nitrogen Dioxide', 2))
     AS t(product, scale, moderate_above, severe_above, description, product_no)"""
 TABLES["coarse"] = """
-  SELECT product, date_trunc('hour', ts) AS image_ts, floor(lat / 0.045::DOUBLE) AS py,
+  SELECT product, ts AS image_ts, floor(lat / 0.045::DOUBLE) AS py,
          floor(lon / 0.045::DOUBLE) AS px, avg(value) AS value,
          (floor(lat / 0.045::DOUBLE) + 0.5::DOUBLE) * 0.045::DOUBLE AS latitude,
          (floor(lon / 0.045::DOUBLE) + 0.5::DOUBLE) * 0.045::DOUBLE AS longitude
@@ -459,7 +459,8 @@ STATEMENTS: dict[str, str] = {
   {_tier('confidence_score')} AS risk_level,
   CASE {_tier('confidence_score')} WHEN 'High' THEN 'red' WHEN 'Moderate' THEN 'orange' ELSE 'green' END AS marker_color,
   cluster_id || ' - ' || {_tier('confidence_score')} || ' Risk' AS tooltip,
-  upper({_tier('confidence_score')}) || ' RISK FIRE' AS popup_title, air_quality_severity, relative_humidity_percent
+  upper({_tier('confidence_score')}) || ' RISK FIRE' AS popup_title,
+  printf('%.0f%%', confidence_score * 100) AS popup_confidence, air_quality_severity, relative_humidity_percent
   FROM site_score""",
     "report_kpis": f"""SELECT count(*) AS total_incidents,
   coalesce(sum(point_count) FILTER (WHERE instance_id IS NOT NULL), 0)::BIGINT AS total_hotspots,
@@ -542,5 +543,20 @@ STATEMENTS: dict[str, str] = {
 }
 
 
+# Entries that reach the same rows by another way: through files, a stream or another layer.
+STATEMENTS |= {
+    "firms_mixed_headers": STATEMENTS["firms_csv_scan"],
+    "points_of_shared_keys": STATEMENTS["points_in_or_near"],
+    "criteria_file": STATEMENTS["criterion_scores"],
+    "scored_on_arrival": STATEMENTS["risk_score"],
+    "regions_of_records": STATEMENTS["incident_boxes"],
+    "emptied_rerun": """SELECT run_date::VARCHAR AS run_date, count(*) AS incidents, sum(point_count)::BIGINT AS points
+  FROM sites WHERE run_date <> DATE '2024-01-07' GROUP BY 1""",
+    "stages_through_folders": f"""SELECT cluster_id, round(centroid_latitude, 6) AS centroid_latitude,
+  round(centroid_longitude, 6) AS centroid_longitude, point_count, round(confidence_score, 9) AS score,
+  {_tier('confidence_score')} AS risk_level FROM incident_score WHERE run_date = DATE '2024-01-14'""",
+}
+
+
 def oracle_statements() -> dict[str, str]:
     return {name: with_tables(statement) for name, statement in STATEMENTS.items()}

@@ -6,6 +6,7 @@ the SQL of ``oracles`` value by value.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -20,9 +21,11 @@ from emberfold.operators.asof import asof_nearest, snap, with_weather
 from emberfold.operators.dbscan import dbscan
 from emberfold.operators.incidents import (
     cluster_summary,
-    hotspot_power,
+    incident_documents,
+    nest_hotspots,
     run_summary,
     severity_histogram,
+    with_power,
     with_severity,
 )
 from emberfold.operators.spatial import points_near_polygons
@@ -32,11 +35,12 @@ from emberfold.operators.standardize import (
     keep_confident,
 )
 from emberfold.plans import derive
-from emberfold.plans.jobs import cluster_hotspots, detect_incidents, enrich, row_order
+from emberfold.plans.jobs import cluster_hotspots, detect_incidents, enrich, row_order, run_detect, run_report, run_score
+from emberfold.schemas import AIR_QUALITY_CONTEXT, WEATHER_CONTEXT
 from emberfold.session import cut_lineage, prepare, scratch_path
 from emberfold.sources import feeds, polygons as polygon_files, records
 from emberfold.streaming import dedup as stream_dedup
-from emberfold.streaming.landing import landing_stream
+from emberfold.streaming.landing import landing_stream, read_scored, score_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -311,7 +315,7 @@ def incidents_flat(spark, sf_dir):
 
 
 def _scored_sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    incidents = _site_incidents(spark, sf_dir)
+    incidents = cut_lineage(_site_incidents(spark, sf_dir))
     return incidents, scoring.score_incidents(incidents)
 
 
@@ -320,7 +324,7 @@ def report_markers(spark, sf_dir):
     incidents, predictions = _scored_sites(spark, sf_dir)
     return report.report_markers(incidents, predictions).select(
         "cluster_id", _r("centroid_latitude"), _r("centroid_longitude"), "point_count", _r("score", 9), "risk_level",
-        "marker_color", "tooltip", "popup_title", "air_quality_severity", "relative_humidity_percent",
+        "marker_color", "tooltip", "popup_title", "popup_confidence", "air_quality_severity", "relative_humidity_percent",
     )
 
 
@@ -392,7 +396,7 @@ def run_summaries(spark, sf_dir):
 @query
 def run_counts(spark, sf_dir):
     spots = derive.hotspots(spark, sf_dir)
-    near = points_near_polygons(spots, derive.polygons(spark, sf_dir))
+    near = cut_lineage(points_near_polygons(spots, derive.polygons(spark, sf_dir)))
     clustered = dbscan(near, partition_by=["run_date"], order_by=row_order())
     return report.run_counts(spots, near, clustered).withColumn("run_date", F.col("run_date").cast("string"))
 
@@ -491,13 +495,6 @@ def jsonl_head(spark, sf_dir):
     )
 
 
-@query
-def artifact_inventory(spark, sf_dir):
-    return quality.list_artifacts(prepare(spark), sf_dir).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "length", "kind"
-    )
-
-
 # Files: derived data is written to the shared folder and read back by the readers
 
 
@@ -560,20 +557,114 @@ def polygon_scan(spark, sf_dir):
 
 @query
 def incident_records(spark, sf_dir):
-    """Incident documents with nested hotspots, written per run and read back."""
+    """Incident records and their hotspots, written per run, read back and nested."""
     out = scratch_path(prepare(spark), "incidents")
-    _, documents = detect_incidents(
+    incidents, hotspots = detect_incidents(
         derive.hotspots(spark, sf_dir), derive.polygons(spark, sf_dir),
         derive.weather(spark, sf_dir), derive.pixels(spark, sf_dir),
     )
-    records.write_by_run(documents, out)
-    read = records.read_incidents(spark, out)
-    return read.join(hotspot_power(read), "cluster_id").select(
+    records.write_by_run(incident_documents(incidents), f"{out}/records")
+    records.write_by_run(hotspots, f"{out}/hotspots")
+    read = with_power(records.read_incidents(spark, f"{out}/records"))
+    return nest_hotspots(read, records.read_hotspots(spark, f"{out}/hotspots")).select(
         "cluster_id", "point_count", F.size("hotspots").cast("long").alias("nested"), _off_ties("avg_frp", 6).alias("avg_frp"),
         "fire_severity_assessment.overall_severity", "first_detected_utc",
     )
 
 
+@query
+def emptied_rerun(spark, sf_dir):
+    """Sites written by run; a rerun of the first run finds nothing any more."""
+    out = scratch_path(prepare(spark), "rerun")
+    sites = derive.site_incidents(spark, sf_dir).select("run_date", "cluster_id", "point_count")
+    records.write_by_run(sites, out)
+    records.write_by_run(sites.limit(0), out, runs=["2024-01-07"])
+    left = spark.read.schema("cluster_id STRING, point_count BIGINT, run_date STRING").json(out)
+    return left.groupBy("run_date").agg(F.count("*").alias("incidents"), F.sum("point_count").alias("points"))
+
+
+@query
+def stages_through_folders(spark, sf_dir):
+    """Detect, score and report the first run through folders; the written markers, read back."""
+    root = scratch_path(prepare(spark), "stages")
+    derive.weather(spark, sf_dir).write.parquet(f"{root}/weather")
+    derive.pixels(spark, sf_dir).write.parquet(f"{root}/pixels")
+    events = derive.events(spark, sf_dir)
+    feeds_read = {"FIRMS": derive.firms_feed(events), "JAXA": derive.himawari_feed(events)}
+    run = run_detect(
+        spark, root, {**feeds_read, "FIRMS": keep_confident(feeds_read["FIRMS"])}, derive.polygons(spark, sf_dir),
+        f"{root}/weather", f"{root}/pixels", "2024-01-14", derive.RUN_DAYS,
+    )
+    run_score(spark, root, run)
+    run_report(spark, root, run)
+    markers = spark.read.json(f"{root}/03_final_reports/markers/run_date={run}")
+    return markers.select("cluster_id", _r("centroid_latitude"), _r("centroid_longitude"), "point_count", _r("score", 9), "risk_level")
+
+
+@query
+def firms_mixed_headers(spark, sf_dir):
+    """Two files in one call whose headers order the columns differently."""
+    out = scratch_path(prepare(spark), "firms-mixed")
+    feed = derive.firms_feed(derive.events(spark, sf_dir)).withColumn("late", F.col("acq_time") >= 1200)
+    late = feed.filter("late").select("frp", "longitude", "latitude", "confidence", "acq_time", "acq_date")
+    early = feed.filter("NOT late").select("latitude", "longitude", "acq_date", "acq_time", "confidence", "frp")
+    late.write.option("header", "true").csv(f"{out}/late")
+    early.write.option("header", "true").csv(f"{out}/early")
+    return feeds.read_firms(spark, [f"{out}/late", f"{out}/early"]).select(
+        _r("latitude", 9), _r("longitude", 9), "frp", "acq_date", "acq_time", "confidence"
+    )
+
+
+@query
+def points_of_shared_keys(spark, sf_dir):
+    """All features of the layer under one key: each is still matched by itself."""
+    layer = derive.polygons(spark, sf_dir).withColumn("poly_id", F.lit(1))
+    return points_near_polygons(derive.hotspots(spark, sf_dir), layer).select(*_golden_row("layer_revi"))
+
+
+@query
+def criteria_file(spark, sf_dir):
+    """Scores by a criteria file that is found at the second place looked at."""
+    out = scratch_path(prepare(spark), "criteria")
+    spark.createDataFrame([(json.dumps(scoring.DEFAULT_CONFIG),)], "value STRING").coalesce(1).write.text(out)
+    config = scoring.load_config(spark, f"{out}-absent.json", out)
+    return scoring.criterion_scores(_site_incidents(spark, sf_dir), config, ["cluster_id"])
+
+
+@query
+def scored_on_arrival(spark, sf_dir):
+    """Site incidents written as records and scored by the stream that waits for them."""
+    root = scratch_path(prepare(spark), "arrivals")
+    sites = _site_incidents(spark, sf_dir).withColumns(
+        {
+            "detected_by": F.array(F.lit("JAXA")),
+            **{n: F.col("centroid_latitude") for n in ("min_lat", "max_lat")},
+            **{n: F.col("centroid_longitude") for n in ("min_lon", "max_lon")},
+        }
+    )
+    records.write_by_run(incident_documents(sites), f"{root}/incidents")
+    score_arrivals(spark, f"{root}/incidents", f"{root}/predictions", f"{root}/checkpoint")
+    return read_scored(spark, f"{root}/predictions").select("instance_id", _r("confidence_score", 9), _r("raw_score", 9))
+
+
+@query
+def regions_of_records(spark, sf_dir):
+    """Padded boxes from written incident records, as the scene choice takes them."""
+    out = scratch_path(prepare(spark), "regions")
+    records.write_by_run(incident_documents(_clusters_as_incidents(spark, sf_dir)), out)
+    return imagery.incident_regions(records.read_incidents(spark, out)).select(
+        F.col("region_id").alias("cluster_id"), _r("min_lon"), _r("min_lat"), _r("max_lon"), _r("max_lat")
+    )
+
+
+def _clusters_as_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_severity(
+        cluster_summary(_clusters(spark, sf_dir)).withColumns(
+            {"weather": F.from_json(F.lit("{}"), WEATHER_CONTEXT), "air_quality": F.from_json(F.lit("{}"), AIR_QUALITY_CONTEXT)}
+        )
+    )
+
+
 @query
 def prediction_files(spark, sf_dir):
     out = scratch_path(prepare(spark), "predictions")

@@ -24,6 +24,11 @@ GOLDEN_COLUMNS = [
     "source",
 ]
 
+GOLDEN = (
+    "latitude DOUBLE, longitude DOUBLE, acq_datetime TIMESTAMP, frp_mean DOUBLE, frp_max DOUBLE, "
+    "confidence DOUBLE, n_detections INT, source STRING"
+)
+
 WEATHER = (
     "cell_lat DOUBLE, cell_lon DOUBLE, hour TIMESTAMP, temperature_2m DOUBLE, "
     "relative_humidity_2m DOUBLE, dew_point_2m DOUBLE, precipitation DOUBLE, "
@@ -73,12 +78,17 @@ HOTSPOT = (
     "geometry: STRUCT<type: STRING, coordinates: ARRAY<DOUBLE>>>"
 )
 
-# ``part``/``parts`` are written for very large clusters only (see operators.incidents).
+# Own records carry mean power and box; records from elsewhere may nest their hotspots instead.
 INCIDENT = (
     "cluster_id STRING, point_count BIGINT, centroid_latitude DOUBLE, "
     "centroid_longitude DOUBLE, detected_by ARRAY<STRING>, first_detected_utc STRING, "
     "last_detected_utc STRING, "
     f"realtime_context STRUCT<weather: {WEATHER_CONTEXT}, air_quality: {AIR_QUALITY_CONTEXT}>, "
     f"fire_severity_assessment {SEVERITY_ASSESSMENT}, hotspots ARRAY<{HOTSPOT}>, "
-    "part INT, parts INT"
+    "avg_frp DOUBLE, min_lat DOUBLE, max_lat DOUBLE, min_lon DOUBLE, max_lon DOUBLE"
+)
+
+INCIDENT_HOTSPOT = (
+    "cluster_id STRING, id STRING, latitude DOUBLE, longitude DOUBLE, acq_datetime STRING, frp_mean DOUBLE, "
+    "frp_max DOUBLE, confidence DOUBLE, n_detections BIGINT, source STRING, cluster_no BIGINT"
 )

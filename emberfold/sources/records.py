@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberfold.operators.report import latest_job
-from emberfold.schemas import INCIDENT, MANIFEST, PIXELS, PREDICTION, SCENES, WEATHER
+from emberfold.schemas import INCIDENT, INCIDENT_HOTSPOT, MANIFEST, PIXELS, PREDICTION, SCENES, WEATHER
 
 
 def read_incidents(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
@@ -17,7 +17,7 @@ def read_incidents(spark: SparkSession, path: str, layout: str = "lines") -> Dat
     column, so that large files still split.
     """
     if layout == "lines":
-        return spark.read.schema(INCIDENT).json(path)
+        return spark.read.schema(INCIDENT).json(path)  # run_date comes from the folders
     if layout == "document":
         return spark.read.schema(INCIDENT).option("multiLine", "true").json(path)
     if layout != "concatenated":
@@ -32,6 +32,11 @@ def read_incidents(spark: SparkSession, path: str, layout: str = "lines") -> Dat
     )
 
 
+def read_hotspots(spark: SparkSession, path: str) -> DataFrame:
+    """The hotspots of incident records, with their run date."""
+    return spark.read.schema(f"{INCIDENT_HOTSPOT}, run_date DATE").json(path)
+
+
 def read_predictions(spark: SparkSession, path: str, glob: str = "*prediction.results*") -> DataFrame:
     """Predictions with ``ingest_order``, their position by file, block and line."""
     return (

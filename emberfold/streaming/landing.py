@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from emberfold.operators.scoring import score_incidents
-from emberfold.operators.incidents import hotspot_power
+from emberfold.operators.incidents import with_power
 from emberfold.schemas import INCIDENT, PREDICTION
 
 
@@ -53,13 +53,11 @@ def create_table(spark: SparkSession, table: str, schema: str) -> None:
 def score_arrivals(spark: SparkSession, incidents: str, predictions: str, checkpoint: str) -> None:
     """Score incident records as their files arrive; the arrival of a file is the trigger.
 
-    Very large incidents come as several records, which one write puts down together.
+    A record is complete in itself, so it does not matter what arrives together with it.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        records = batch.filter("part IS NULL OR part = 0")
-        scored = score_incidents(records.join(hotspot_power(batch), "cluster_id"))
-        write_batch(scored, predictions, batch_id)
+        write_batch(score_incidents(with_power(batch)), predictions, batch_id)
 
     run_available(landing_stream(spark, incidents, INCIDENT, "json", recursiveFileLookup="true"), handle, checkpoint)
 

@@ -10,8 +10,8 @@ from emberfold.operators import incidents as I
 from emberfold.operators import scoring
 from emberfold.operators.dbscan import dbscan
 from emberfold.operators.imagery import incident_regions
-from emberfold.schemas import AIR_QUALITY_CONTEXT, INCIDENT, WEATHER_CONTEXT
-from emberfold.sources.records import read_incidents, write_by_run
+from emberfold.schemas import AIR_QUALITY_CONTEXT, HOTSPOT, INCIDENT, WEATHER_CONTEXT
+from emberfold.sources.records import read_hotspots, read_incidents, write_by_run
 
 # Latitude, longitude and mean power of the sample incident's 34 hotspots.
 SAMPLE = [
@@ -70,28 +70,31 @@ def test_sample_score(incident):
     assert row.raw_score == pytest.approx(2.6) and row.confidence_score == pytest.approx(0.9308615796566531, abs=1e-15)
 
 
-def test_records_round_trip_and_parts(spark, clustered, incident, tmp_path):
-    nested = I.nest_hotspots(clustered, incident, per_record=10)
-    documents = I.incident_documents(incident, nested)
-    assert documents.count() > 1  # 34 hotspots over several parts
+def test_records_round_trip(spark, clustered, incident, tmp_path):
+    documents, hotspots = I.incident_documents(incident), I.hotspot_records(clustered)
     write_by_run(documents, str(tmp_path / "out"))
-    back = read_incidents(spark, str(tmp_path / "out"))
-    assert back.select(F.explode("hotspots")).count() == 34
-    assert I.hotspot_power(back).collect()[0].avg_frp == pytest.approx(372.98735294)
-    box = incident_regions(back).collect()[0]
-    assert [round(v, 2) for v in (box.min_lon, box.min_lat, box.max_lon, box.max_lat)] == [103.89, -1.61, 104.09, -1.39]
-    whole = I.incident_documents(incident, I.nest_hotspots(clustered, incident)).collect()
-    assert len(whole) == 1 and whole[0].part is None and len(whole[0].hotspots) == 34
+    write_by_run(hotspots, str(tmp_path / "spots"))
+    back, spots = read_incidents(spark, str(tmp_path / "out")), read_hotspots(spark, str(tmp_path / "spots"))
+    assert back.count() == 1 and spots.count() == 34
+    assert I.with_power(back).collect()[0].avg_frp == pytest.approx(372.98735294)
+    nested = I.nest_hotspots(back, spots)
+    assert len(nested.collect()[0].hotspots) == 34
+    # The box of the record is that of its hotspots.
+    for some in (back, nested.drop("min_lat", "max_lat", "min_lon", "max_lon").selectExpr(
+            "*", *[f"CAST(NULL AS DOUBLE) AS {c}" for c in ("min_lat", "max_lat", "min_lon", "max_lon")]).withColumn(
+            "hotspots", F.from_json(F.to_json("hotspots"), f"ARRAY<{HOTSPOT}>"))):
+        box = incident_regions(some).collect()[0]
+        assert [round(v, 2) for v in (box.min_lon, box.min_lat, box.max_lon, box.max_lat)] == [103.89, -1.61, 104.09, -1.39]
     # A rerun of another day leaves this one alone; a rerun of this day replaces it.
     other = documents.withColumn("run_date", F.lit("2019-09-22").cast("date"))
     write_by_run(other, str(tmp_path / "out"))
-    write_by_run(documents.filter("part = 0"), str(tmp_path / "out"))
+    write_by_run(documents, str(tmp_path / "out"))
     counts = {str(r.run_date): r["count"] for r in spark.read.json(str(tmp_path / "out")).groupBy("run_date").count().collect()}
-    assert counts["2019-09-21"] == 1 and counts["2019-09-22"] == documents.count()
+    assert counts == {"2019-09-21": 1, "2019-09-22": 1}
     # A rerun that finds nothing any more leaves no incident of the day behind.
     write_by_run(documents.limit(0), str(tmp_path / "out"), runs=["2019-09-21"])
     left = read_incidents(spark, str(tmp_path / "out"))
-    assert left.filter("run_date = DATE '2019-09-21'").count() == 0 and left.count() == documents.count()
+    assert left.filter("run_date = DATE '2019-09-21'").count() == 0 and left.count() == 1
 
 
 def test_three_file_forms_and_both_hotspot_shapes(spark, tmp_path):
@@ -108,7 +111,7 @@ def test_three_file_forms_and_both_hotspot_shapes(spark, tmp_path):
         path = tmp_path / f"{layout}.jsonl"
         path.write_text(text)
         read = read_incidents(spark, str(path), layout)
-        power = {r.cluster_id: r.avg_frp for r in I.hotspot_power(read).collect()}
+        power = {r.cluster_id: r.avg_frp for r in I.with_power(read).collect()}
         assert power == {"a": 10.0, "b": 4.0, "c": 0.0}, layout
     regions = {r.region_id: r.min_lon for r in incident_regions(read).collect()}
     assert regions == pytest.approx({"a": 0.95, "b": 0.95})

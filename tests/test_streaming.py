@@ -61,10 +61,11 @@ def test_arriving_incidents_are_scored(spark, tmp_path):
     landing = tmp_path / "incidents" / "run_date=2024-01-05"
     landing.mkdir(parents=True)
     record = {"cluster_id": "a", "point_count": 34, "hotspots": [{"frp_mean": 300.0}, {"frp_mean": 500.0}]}
-    part = [{"cluster_id": "b", "point_count": 2, "hotspots": [{"frp_mean": v}], "part": p, "parts": 2} for p, v in ((0, 50.0), (1, 100.0))]
-    (landing / "x.json").write_text("\n".join(json.dumps(r) for r in (record, *part)))
+    (landing / "x.json").write_text(json.dumps(record))
     out, ckpt = str(tmp_path / "predictions"), str(tmp_path / "ckpt")
     score_arrivals(spark, str(tmp_path / "incidents"), out, ckpt)
+    # A record of its own arrives later and needs no hotspots.
+    (landing / "y.json").write_text(json.dumps({"cluster_id": "b", "point_count": 2, "avg_frp": 75.0}))
     score_arrivals(spark, str(tmp_path / "incidents"), out, ckpt)
     got = {r.instance_id: round(r.raw_score, 9) for r in read_scored(spark, out).collect()}
     # Missing context scores 5; power 400 scores 5 and 75 scores 2; 34 hotspots 10 and 2 hotspots 2.
