@@ -227,14 +227,17 @@ def quality_report(docs: DataFrame, labels: DataFrame, *, alpha: float = ALPHA,
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs``, all columns, that pass the base rules and their stratum's cutoff."""
+    """The rows of ``docs``, all columns, that pass the base rules and their stratum's cutoff.
+
+    The judged rows are written down: measuring a text twice costs more than writing it once.
+    """
     m = F.col("m")
-    scored = docs.select(
-        "doc_id", F.col("lang").alias("stratum"), measures(F.col("text")).alias("m")
-    ).select("doc_id", "stratum", junk_score(m).alias("score"))
-    cutoffs = choose_cutoffs(scored, labels, alpha=alpha, delta=delta)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    judged = docs.select(whole, F.col("lang").alias("stratum"), measures(F.col("text")).alias("m")).select(
-        "row", "stratum", base_failed(m).alias("failed"), junk_score(m).alias("score")
+    judged = cut_lineage(
+        docs.select(whole, F.col("lang").alias("stratum"), measures(F.col("text")).alias("m")).select(
+            "row", "stratum", base_failed(m).alias("failed"), junk_score(m).alias("score")
+        )
     )
+    scored = judged.select(F.col("row.doc_id").alias("doc_id"), "stratum", "score")
+    cutoffs = choose_cutoffs(scored, labels, alpha=alpha, delta=delta)
     return _verdicts(judged, cutoffs, "stratum", "score", "failed").filter("kept").select("row.*")
