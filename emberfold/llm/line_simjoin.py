@@ -218,34 +218,42 @@ def _meet(percent: int):
         p = {c: np.concatenate([unpack(x, k) for x in col]) for c, col, k in zip(POSTING, packed, KINDS)}
         p["block"] = np.repeat(table.column("block").to_numpy(), [len(unpack(x, np.int32)) for x in packed[1]])
 
-        def shared(order):
+        def pick(p, order):
+            return {c: x[order] for c, x in p.items()}
+
+        def listed(p):
+            """Entries by word, each list in the order of places, without words that one line has."""
+            order = np.argsort(p["token"], kind="stable")
             _, n = runs(p["token"][order])
             return order[np.repeat(n, n) > 1]
 
-        order = shared(np.argsort(p["token"], kind="stable"))
-        order = order[np.lexsort([p[c][order] for c in ("line", "doc", "bits", "sig", "token")])]
+        p = pick(p, np.lexsort((p["line"], p["doc"])))
+        p = pick(p, np.sort(listed(p)))
+        # Equal sets count once, by their first place.
+        key = mix64(p["token"] + mix64(p["sig"]))
+        order = np.argsort(key, kind="stable")
         same = np.zeros(len(order), bool)
         same[1:] = np.logical_and.reduce([p[c][order[1:]] == p[c][order[:-1]] for c in ("token", "sig", "bits", "size")])
-        order = order[~same]
-        order = shared(order[np.lexsort([p[c][order] for c in ("line", "doc", "token")])])
-        q = {c: x[order] for c, x in p.items()}
+        p = pick(p, np.sort(order[~same]))
+        order = listed(p)
+        q = pick(p, order)
         start, length = runs(q["token"])
         rank = np.arange(len(order)) - np.repeat(start, length)
         begin, length = np.repeat(start, length), np.repeat(length, length)
         left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         proposed, more = np.zeros(len(order), np.int32), rank > HUBS
+        x = np.flatnonzero(rank > 0)
         for k in range(HUBS):
-            x = np.flatnonzero(rank > k)
+            x = x[(rank[x] > k) & (proposed[x] <= PARTNERS)]
             if not len(x):
                 break
-            y = begin[x] + k
-            good = _may_match(q, x, y, percent)
-            x, y = x[good], y[good]
-            proposed[x] += 1
-            enough = proposed[x] > PARTNERS
-            more[x[enough]] = True
-            left.append(x[~enough])
-            right.append(y[~enough])
+            good = _may_match(q, x, begin[x] + k, percent)
+            hit = x[good]
+            proposed[hit] += 1
+            enough = proposed[hit] > PARTNERS
+            more[hit[enough]] = True
+            left.append(hit[~enough])
+            right.append(begin[hit[~enough]] + k)
         x, y = np.concatenate(left), np.concatenate(right)
         pairs = {
             "kind": np.zeros(len(x), np.int32), "token": q["token"][x].view(np.int64),
@@ -277,15 +285,16 @@ MEETING_TYPES = (
 
 
 def _may_match(q: dict, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    sx, sy = q["size"][x].astype(np.int64), q["size"][y].astype(np.int64)
+    """Indexes of the pairs that pass; the parities, which most pairs fail, come first."""
+    sx, sy = q["size"][x], q["size"][y]
     both = sx + sy
     overlap = -(-percent * both // (100 + percent))
-    apart = np.bitwise_count(q["bits"][x] ^ q["bits"][y])
-    good = apart <= both - 2 * overlap
-    good &= (100 * sx >= percent * sy) & (100 * sy >= percent * sx)
-    good &= (q["doc"][x] != q["doc"][y]) | (q["line"][x] != q["line"][y])
-    good &= np.minimum(sx - q["place"][x], sy - q["place"][y]) >= overlap
-    return good
+    good = np.flatnonzero(np.bitwise_count(q["bits"][x] ^ q["bits"][y]) <= both - 2 * overlap)
+    x, y, sx, sy, overlap = x[good], y[good], sx[good], sy[good], overlap[good]
+    rest = (100 * sx >= percent * sy) & (100 * sy >= percent * sx)
+    rest &= np.minimum(sx - q["place"][x], sy - q["place"][y]) >= overlap
+    rest &= (q["doc"][x] != q["doc"][y]) | (q["line"][x] != q["line"][y])
+    return good[rest]
 
 
 def _may_match_columns(percent: int) -> Column:
