@@ -23,6 +23,8 @@ is an integer.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,14 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberfold.llm.common import hash_words, let, mix64, pack, runs, slices, unpack, words_of
-from emberfold.session import cut_lineage
+from emberfold.llm.common import cut, discard, hash_words, let, mix64, pack, runs, slices, unpack, words_of
 
 PERCENT, MIN_WORDS = 80, 5
 HUBS, PARTNERS = 256, 4
 # Counters of the rarity sketch and bits of the request filter: fixed sizes of 4 MB and 16 MB.
 SKETCH_BITS, FILTER_BITS, PARTS = 22, 27, 64
-BLOCK_BYTES, WORDS_PER_SHARD = 16 << 20, 12_000_000
+BLOCK_BYTES, WORDS_PER_SHARD = 8 << 20, 4_000_000
 TOKEN_BITS = np.uint64(36)
 
 
@@ -198,7 +199,7 @@ def _postings(rarity, shards: int, percent: int):
                         [
                             pa.array([int(shard[o[0]])], pa.int32()), pa.array([row["block"]]),
                             *[pa.array([pack(x)]) for x in (
-                                token[o], i.astype(np.int32), where[o], doc[i], line[i], size[i].astype(np.int32), bits[i], sig[i])],
+                                token[o], i.astype(np.int32), where[o], doc[i], line[i], size[i].astype(np.int32), bits[i], sig[i].astype(np.uint32))],
                         ],
                         names=["shard", "block", *POSTING],
                     )
@@ -207,7 +208,7 @@ def _postings(rarity, shards: int, percent: int):
 
 
 POSTING = ["token", "index", "place", "doc", "line", "size", "bits", "sig"]
-KINDS = [np.uint64, np.int32, np.int32, np.int64, np.int32, np.int32, np.uint64, np.uint64]
+KINDS = [np.uint64, np.int32, np.int32, np.int64, np.int32, np.int32, np.uint64, np.uint32]
 
 
 def _meet(percent: int):
@@ -375,7 +376,7 @@ def _confirmed(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         _sets(spark.sparkContext.broadcast(asked)), "block long, index int, set binary"
     )
     other = sets.select(F.col("block").alias("block_y"), F.col("index").alias("index_y"), F.col("set").alias("set_y"))
-    return cut_lineage(
+    return cut(
         pairs.join(sets, ["block", "index"]).join(other, ["block_y", "index_y"])
         .select("block", "index", "set", "set_y").mapInArrow(_verify(percent), "block long, index int").distinct()
     )
@@ -384,7 +385,7 @@ def _confirmed(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line): the lines, counted from 0, that repeat an earlier one."""
     spark = docs.sparkSession
-    blocks = cut_lineage(
+    blocks = cut(
         docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
             _blocks(min_words), "block long, docs binary, lines binary, sizes binary, codes binary, words binary, "
             "often binary, sig_a binary, sig_b binary"
@@ -394,7 +395,7 @@ def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = M
     rarity = spark.sparkContext.broadcast(np.minimum(np.log2(np.maximum(counts, 1)) * 6, 255).astype(np.uint8))
     shards = int(counts.sum() // WORDS_PER_SHARD) + 1
     posted = ", ".join(f"{c} binary" for c in POSTING)
-    meetings = cut_lineage(
+    meetings = cut(
         blocks.mapInArrow(_postings(rarity, shards, percent), f"shard int, block long, {posted}")
         .groupBy("shard").applyInArrow(_meet(percent), MEETING_TYPES)
     )
@@ -403,14 +404,12 @@ def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = M
     # Lines that none of their first partners has removed meet the whole of their lists.
     lists = meetings.filter("kind > 0")
     still = lists.filter("kind = 2").join(matched, ["block", "index"], "left_anti")
-    rest = (
+    rest = cut(
         still.alias("x").join(lists.alias("y"), F.col("x.token") == F.col("y.token"))
         .filter((F.col("y.rank") < F.col("x.rank")) & _may_match_columns(percent))
         .select("x.block", "x.index", F.col("y.block").alias("block_y"), F.col("y.index").alias("index_y")).distinct()
     )
-    rest = cut_lineage(rest)
-    if not rest.isEmpty():
-        matched = matched.unionByName(_confirmed(blocks, rest, percent))
+    found = [matched] if rest.isEmpty() else [matched, _confirmed(blocks, rest, percent)]
 
     seen = blocks.select("docs", "lines", "sig_a", "sig_b").mapInArrow(
         _signatures, "doc long, line int, sig_a long, sig_b long, local boolean"
@@ -419,11 +418,13 @@ def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = M
     once = seen.filter("NOT local").groupBy("sig_a", "sig_b").agg(F.min(at).alias("first"))
     repeats = seen.filter("NOT local").join(once, ["sig_a", "sig_b"]).filter(at != F.col("first"))
     places = blocks.select("block", "docs", "lines").mapInArrow(_line_places, "block long, index int, doc long, line int")
-    similar = places.join(matched.distinct(), ["block", "index"], "left_semi")
-    return (
+    similar = places.join(reduce(DataFrame.unionByName, found).distinct(), ["block", "index"], "left_semi")
+    removed = cut(
         repeats.select("doc", "line").union(seen.filter("local").select("doc", "line")).union(similar.select("doc", "line"))
         .select(F.col("doc").alias("doc_id"), "line").distinct()
     )
+    discard(blocks, meetings, rest, *found)
+    return removed
 
 
 def _line_places(batches):
