@@ -9,29 +9,49 @@ from emberfold.operators.standardize import dedup_spatiotemporal, drop_processed
 from emberfold.schemas import PROCESSED_EVENTS
 from emberfold.streaming.landing import create_table, read_batches, run_available, write_batch
 
+# Folders that the recorded ids are spread over.
+BUCKETS = 64
+
 GOLDEN = (
     "latitude DOUBLE, longitude DOUBLE, acq_datetime TIMESTAMP, frp_mean DOUBLE, frp_max DOUBLE, "
     "confidence DOUBLE, n_detections INT, source STRING"
 )
 
 
+def _bucketed(ids: DataFrame) -> DataFrame:
+    return ids.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(BUCKETS)).cast("int"))
+
+
 def process_once(stream: DataFrame, processed: str, checkpoint: str, key: str = "event_id") -> None:
     """Record each event id once, for ever: exact, with the memory on storage.
 
-    A batch is compared with earlier batches only, so a repeated batch gives the same result.
+    A batch is compared with earlier batches only, so a repeated batch gives the same result. The
+    table is laid out by a hash of the id, and a batch reads only the buckets that its ids fall in.
     """
     spark = stream.sparkSession
-    create_table(spark, processed, PROCESSED_EVENTS)
+    write_batch(_bucketed(spark.createDataFrame([], PROCESSED_EVENTS)), processed, -1, "bucket")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ids = batch.select(F.col(key).cast("string").alias("event_id"))
-        known = read_batches(batch.sparkSession, processed, PROCESSED_EVENTS, before=batch_id)
-        fresh = drop_processed(ids, known).withColumn("processed_at", F.current_timestamp())
-        write_batch(fresh, processed, batch_id)
+        ids = _bucketed(batch.select(F.col(key).cast("string").alias("event_id")))
+        touched = [r["bucket"] for r in ids.select("bucket").distinct().collect()]  # at most BUCKETS
+        known = read_batches(
+            batch.sparkSession, processed, f"{PROCESSED_EVENTS}, bucket INT", before=batch_id
+        ).filter(F.col("bucket").isin(touched))
+        fresh = drop_processed(ids.drop("bucket"), known).withColumn("processed_at", F.current_timestamp())
+        write_batch(_bucketed(fresh), processed, batch_id, "bucket")
 
     run_available(stream, handle, checkpoint)
 
 
+def compact_processed(spark: SparkSession, processed: str, target: str) -> None:
+    """Rewrite the recorded ids as one batch, a file per bucket, in a new place for cheaper reads.
+
+    The new table serves a stream from its next batch on.
+    """
+    ids = _bucketed(read_batches(spark, processed, PROCESSED_EVENTS).select("event_id", "processed_at"))
+    write_batch(ids.repartition("bucket"), target, -2, "bucket")
+
+
 def process_once_within(stream: DataFrame, ts: str, delay: str = "4 hours", key: str = "event_id") -> DataFrame:
     """Same with bounded state: repeats are caught within ``delay`` of event time."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

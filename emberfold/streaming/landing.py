@@ -32,9 +32,10 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     )
 
 
-def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, table: str, batch_id: int, *partitions: str) -> None:
     """Write a batch under its own folder; a repeated batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(f"{table}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, table: str, schema: str, before: int | None = None) -> DataFrame:

@@ -25,6 +25,12 @@ def test_each_event_once_over_several_arrivals(spark, tmp_path):
     D.process_once(landing_stream(spark, landing, EVENTS), table, ckpt)
     ids = [r.event_id for r in read_batches(spark, table, D.PROCESSED_EVENTS).collect()]
     assert sorted(ids) == ["a", "b", "c"]
+    # A compacted table goes on where the old one stopped.
+    compact = str(tmp_path / "compact")
+    D.compact_processed(spark, table, compact)
+    put(spark.createDataFrame([("c", at), ("d", at)], EVENTS), landing)
+    D.process_once(landing_stream(spark, landing, EVENTS), compact, ckpt)
+    assert sorted(r.event_id for r in read_batches(spark, compact, D.PROCESSED_EVENTS).collect()) == ["a", "b", "c", "d"]
 
 
 def golden(spark, *rows):
