@@ -25,6 +25,15 @@ NO_DATA = "No NRTI images available for this time range."
 NO_PIXELS = "No valid pixels in NRTI data for region"
 
 
+def _mean(column: str) -> Column:
+    """Mean whose sum is exact, so that it does not follow the order of rows.
+
+    Values too large for the fixed point, which no product reaches, count as missing.
+    """
+    exact = F.col(column).try_cast("decimal(38,18)")
+    return F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))
+
+
 def coarsen_pixels(pixels: DataFrame, degrees: float = PIXEL_DEGREES) -> DataFrame:
     """One value per product, image and coarse pixel; an image is told by its exact time.
 
@@ -36,7 +45,7 @@ def coarsen_pixels(pixels: DataFrame, degrees: float = PIXEL_DEGREES) -> DataFra
         F.col("ts").alias("image_ts"),
         F.floor(F.col("lat") / degrees).alias("pixel_y"),
         F.floor(F.col("lon") / degrees).alias("pixel_x"),
-    ).agg(F.avg("value").alias("value"))
+    ).agg(_mean("value").alias("value"))
 
 
 def _tiles_in_reach(incidents: DataFrame, lat: str, lon: str, ts: str, radius_km: float, days: int) -> DataFrame:
@@ -109,7 +118,7 @@ def composite_mean(
         F.median("value").alias("_median"), F.count("*").alias("_images")
     )
     return per_pixel.groupBy(*keys, "product").agg(
-        F.sum("_images").alias("images"), F.avg("_median").alias("composite")
+        F.sum("_images").alias("images"), _mean("_median").alias("composite")
     )
 
 

@@ -13,7 +13,8 @@ from emberfold.operators.standardize import union_feeds
 
 PADDING_DEGREES = 0.05
 LOOKBACK_DAYS = 13
-TILE_DEGREES = 1.0
+# Well below the footprint of a scene (about 1 degree for the smallest), so that scenes cover whole tiles.
+TILE_DEGREES = 0.25
 
 # Display range of each source, with a gamma of 1.4.
 STRETCH_RANGE = {"sentinel2": (0.0, 3500.0), "landsat": (8000.0, 30000.0)}
