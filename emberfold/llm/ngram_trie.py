@@ -188,6 +188,11 @@ class TrigramTrie:
 BLOCK = ["block", "docs", "held", "sizes", "codes", "words", "often", "order"]
 
 
+def _steps(rising: np.ndarray) -> np.ndarray:
+    """First value and differences of a sorted array, which pack better; a running sum undoes it."""
+    return np.diff(rising, prepend=rising.dtype.type(0))
+
+
 def _blocks(batches):
     """Documents of a slice as codes of its words, the end token being the word without letters."""
     part, number = TaskContext.get().partitionId(), 0
@@ -208,13 +213,15 @@ def _blocks(batches):
             own = place[own]
             hashes = hash_words([*words, ""])[by_count]
             train = np.repeat(held == 0, sizes)
+            order = np.argsort(hashes)
+            often = np.bincount(own[train], minlength=len(hashes)).astype(np.int64)
             doc = batch.column("doc_id").fill_null(NO_ID).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([(part << 32) + number]),
                     *[pa.array([pack(x)]) for x in (
-                        doc.astype(np.int64), held, sizes.astype(np.int64), own.astype(np.uint32), hashes,
-                        np.bincount(own[train], minlength=len(hashes)).astype(np.int64), np.argsort(hashes).astype(np.uint32),
+                        doc.astype(np.int64), held, sizes.astype(np.int64), own.astype(np.uint32),
+                        _steps(hashes[order]), often[order], order.astype(np.uint32),
                     )],
                 ],
                 names=BLOCK,
@@ -228,11 +235,10 @@ def _asked(shards: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                order = unpack(row["order"], np.uint32)
-                words, often = unpack(row["words"], np.uint64)[order], unpack(row["often"], np.int64)[order]
+                words, often = np.cumsum(unpack(row["words"], np.uint64), dtype=np.uint64), unpack(row["often"], np.int64)
                 cuts = np.searchsorted(words, _cut_points(shards))
                 edges = [0, *cuts, len(words)]
-                rows = [(s, row["block"], pack(words[a:b]), pack(often[a:b])) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+                rows = [(s, row["block"], pack(_steps(words[a:b])), pack(often[a:b])) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                     names=["shard", "block", "words", "often"],
@@ -250,7 +256,7 @@ def _counted(shards: int):
 
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        asked = [unpack(x, np.uint64) for x in table.column("words").to_pylist()]
+        asked = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in table.column("words").to_pylist()]
         often = np.concatenate([unpack(x, np.int64) for x in table.column("often").to_pylist()])
         words, place = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(place, weights=often, minlength=len(words)).astype(np.int64)
@@ -323,7 +329,9 @@ def _sent(tokens: int, kinds: int, shards: int):
         for c, n in zip(cuts, lengths):
             i = index[c : c + n]
             mine = doc[i]
-            values = (first[i], middle[i], last[i], code[codes[i]], times[i], mine.astype(np.int32))
+            # Count codes once for each distinct last word, in the order of the words' numbers.
+            _, some = np.unique(last[i], return_index=True)
+            values = (first[i], middle[i], last[i], code[codes[i[some]]], times[i], mine.astype(np.int32))
             for name, value in zip(TRIGRAM, values):
                 out[name].append(pack(value))
             out["shard"].append(int(shard[i[0]]))
@@ -354,6 +362,7 @@ def _scored(tokens: int, kinds: int):
             base = _base_of_codes(tokens, kinds)
             kinds_of = {"first": np.int64, "middle": np.int64, "last": np.int64, "code": np.uint8, "times": np.int32, "doc": np.int32}
             parts = {n: [unpack(r.pop(n), k) for r in rows] for n, k in kinds_of.items()}
+            parts["code"] = [c[np.unique(x, return_inverse=True)[1]] for c, x in zip(parts["code"], parts["last"])]
             held = np.concatenate([unpack(r["held"], np.uint8)[d] for r, d in zip(rows, parts["doc"])])
             sizes = [len(x) for x in parts["doc"]]
             doc = np.concatenate(parts.pop("doc"))
@@ -412,7 +421,7 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFram
     size = blocks.agg(F.sum(F.octet_length("words")).alias("w"), F.sum(F.octet_length("codes")).alias("c")).collect()[0]
     vocabulary, shards = int((size["w"] or 0) // (8 * WORDS_PER_SHARD)) + 1, int((size["c"] or 0) // (2 * TRIGRAMS_PER_SHARD)) + 1
     answers = cut_lineage(
-        blocks.select("block", "words", "often", "order")
+        blocks.select("block", "words", "often")
         .mapInArrow(_asked(vocabulary), "shard int, block long, words binary, often binary")
         .groupBy("shard").applyInArrow(
             _counted(vocabulary), "shard int, block long, totals binary, numbers binary, tokens long, kinds long")
