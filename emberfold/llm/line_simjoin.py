@@ -36,8 +36,10 @@ from emberfold.llm.common import cut, discard, hash_words, let, mix64, pack, run
 
 PERCENT, MIN_WORDS = 80, 5
 HUBS, PARTNERS = 256, 4
-# Counters of the rarity sketch and bits of the request filter: fixed sizes of 4 MB and 16 MB.
-SKETCH_BITS, FILTER_BITS, PARTS = 22, 27, 64
+# Parities that a pair is compared by before its sets are fetched: two to this power.
+WIDE_BITS = 9
+# Counters of the rarity sketch and bits of the request filter: fixed sizes of 4 MB and 2 MB.
+SKETCH_BITS, FILTER_BITS, PARTS = 22, 24, 64
 BLOCK_BYTES, WORDS_PER_SHARD = 8 << 20, 4_000_000
 TOKEN_BITS = np.uint64(36)
 
@@ -324,8 +326,8 @@ def _requests(batches):
     yield _in_parts(asked)
 
 
-def _sets(asked):
-    """The word sets of the lines that were asked for (and of few others)."""
+def _of_lines(asked, kind: str):
+    """The word sets, or the ``WIDE`` parities, of the lines that were asked for (and of few others)."""
 
     def run(batches):
         for batch in batches:
@@ -336,15 +338,43 @@ def _sets(asked):
                 mine = index[(asked.value[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0]
                 hashes = unpack(row["words"], np.uint64)[unpack(row["codes"], np.uint32)]
                 ends = np.cumsum(size)
-                sets = [np.sort(hashes[ends[i] - size[i] : ends[i]]).tobytes() for i in mine]
+                sets = [hashes[ends[i] - size[i] : ends[i]] for i in mine]
+                if kind == "set":
+                    data = [np.sort(s).tobytes() for s in sets]
+                else:
+                    data = [_wide_parities(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(mine), row["block"], np.int64)), pa.array(mine.astype(np.int32)), pa.array(sets, pa.binary())],
-                    names=["block", "index", "set"],
+                    [pa.array(np.full(len(mine), row["block"], np.int64)), pa.array(mine.astype(np.int32)), pa.array(data, pa.binary())],
+                    names=["block", "index", kind],
                 )
 
     return run
 
 
+def _wide_parities(words: np.ndarray) -> bytes:
+    """The size of a set, and bits that each hold the parity of the words that fall on them."""
+    spots = np.bincount((mix64(words ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - WIDE_BITS)).astype(np.int64), minlength=1 << WIDE_BITS)
+    return len(words).to_bytes(4, "little") + np.packbits(spots & 1).tobytes()
+
+
+def _near(percent: int):
+    """Pairs whose wide parities allow enough similarity."""
+
+    def run(batches):
+        for batch in batches:
+            sides = []
+            for name in ("wide", "wide_y"):
+                data = batch.column(name)
+                flat = np.frombuffer(b"".join(data.to_pylist()), np.uint8).reshape(len(data), -1)
+                sides.append((np.ascontiguousarray(flat[:, :4]).view(np.uint32).ravel().astype(np.int64), flat[:, 4:]))
+            both = sides[0][0] + sides[1][0]
+            apart = np.bitwise_count(sides[0][1] ^ sides[1][1]).sum(axis=1, dtype=np.int64)
+            good = apart <= both - 2 * -(-percent * both // (100 + percent))
+            yield batch.select(PAIR).filter(pa.array(good))
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches):
         for batch in batches:
@@ -358,9 +388,12 @@ def _verify(percent: int):
     return run
 
 
-def _confirmed(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(block, index) of lines in ``pairs`` that match the other line of a pair."""
-    spark = blocks.sparkSession
+PAIR = ["block", "index", "block_y", "index_y"]
+PAIR_TYPES = "block long, index int, block_y long, index_y int"
+
+
+def _with_lines(blocks: DataFrame, pairs: DataFrame, kind: str) -> DataFrame:
+    """``pairs`` with the sets or wide parities of both lines; only blocks' asked lines travel."""
     wanted = pairs.select("block", "index").union(pairs.select("block_y", "index_y"))
     parts = wanted.mapInArrow(_requests, "part int, data binary")
 
@@ -372,14 +405,26 @@ def _confirmed(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     for r in parts.groupBy("part").applyInArrow(either, "part int, data binary").collect():
         data = unpack(r["data"], np.uint8)
         asked[r["part"] * len(data) : (r["part"] + 1) * len(data)] = data
-    sets = blocks.select("block", "sizes", "codes", "words").mapInArrow(
-        _sets(spark.sparkContext.broadcast(asked)), "block long, index int, set binary"
+    mine = blocks.select("block", "sizes", "codes", "words").mapInArrow(
+        _of_lines(blocks.sparkSession.sparkContext.broadcast(asked), kind), f"block long, index int, {kind} binary"
     )
-    other = sets.select(F.col("block").alias("block_y"), F.col("index").alias("index_y"), F.col("set").alias("set_y"))
-    return cut(
-        pairs.join(sets, ["block", "index"]).join(other, ["block_y", "index_y"])
-        .select("block", "index", "set", "set_y").mapInArrow(_verify(percent), "block long, index int").distinct()
+    other = mine.select(F.col("block").alias("block_y"), F.col("index").alias("index_y"), F.col(kind).alias(f"{kind}_y"))
+    return pairs.join(mine, ["block", "index"]).join(other, ["block_y", "index_y"]).select(*PAIR, kind, f"{kind}_y")
+
+
+def _confirmed(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(block, index) of lines in ``pairs`` that match the other line of a pair.
+
+    Wide parities, a few bytes per line, leave little more than the matches; these are verified
+    on the whole sets.
+    """
+    near = cut(_with_lines(blocks, pairs, "wide").mapInArrow(_near(percent), PAIR_TYPES))
+    out = cut(
+        _with_lines(blocks, near, "set").select("block", "index", "set", "set_y")
+        .mapInArrow(_verify(percent), "block long, index int").distinct()
     )
+    discard(near)
+    return out
 
 
 def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -439,7 +484,7 @@ def _line_places(batches):
 
 def dedup_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the repeated lines, all columns and rows kept."""
-    gone = (
+    gone = cut(
         removed_lines(docs, percent=percent, min_words=min_words)
         .groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
         .select(F.col("doc_id").alias("_gone_id"), "lines")
