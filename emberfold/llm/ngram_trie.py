@@ -7,8 +7,9 @@ where T(h) is the number of distinct words after h and h' is h without its first
 
 The model is spread over shards by the middle word of a trigram, so a shard holds all that its
 trigrams need: the words after the middle word, and for each first word the words after both. A very
-frequent middle word is spread by its first word as well; its p2 is then the estimate of the
-first words of that shard. Within a shard the levels are Elias-Fano sequences in a memory-mapped
+frequent middle word is spread by its first word as well. The pairs of such a word and the next are
+counted over all blocks first, and a block sends p2 along with its trigrams, so p2 is that of the
+whole corpus in every shard. Within a shard the levels are Elias-Fano sequences in a memory-mapped
 file: words after a context are numbered relative to the shorter context's successors, which the
 context's own successors are a subset of; the pointers to successors are monotone; probabilities are
 quantised in logarithm, rounded down so that they never add up to more than one. A lookup is a
@@ -27,10 +28,12 @@ table gives no rows; other columns are not looked at. doc_id is an integer.
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,8 +119,11 @@ class TrigramTrie:
         self.width, self.widest = width, widest
 
     @staticmethod
-    def build(first, middle, last, count, base) -> tuple[list[np.ndarray], list[tuple[int, int]], int, int]:
-        """Levels from training trigrams of word numbers; ``base`` is p1 of each last word."""
+    def build(first, middle, last, count, base, given=None) -> tuple[list[np.ndarray], list[tuple[int, int]], int, int]:
+        """Levels from training trigrams of word numbers; ``base`` is p1 of each last word.
+
+        ``given`` holds the codes of p2 where trigrams elsewhere count for it too, 0 where not.
+        """
         middles = np.unique(middle)
         width = int(max(first.max(initial=0), last.max(initial=0))).bit_length() + 1
         place = np.searchsorted(middles, middle)
@@ -137,6 +143,8 @@ class TrigramTrie:
         after = np.bincount(mid, weights=pair_count, minlength=len(middles))
         mass = DISCOUNT * kinds / np.maximum(after, 1)
         p2 = (pair_count - DISCOUNT) / after[mid] + mass[mid] * base[sample]
+        if given is not None:
+            p2 = np.where(given[sample] > 0, 10.0 ** _log_of(given[sample]), p2)
         context_key, seen, _, context = tally(place << width | first, count)
         # A word after a context is numbered among the words after the middle word.
         widest = int(kinds.max(initial=0))
@@ -163,10 +171,11 @@ class TrigramTrie:
             data = np.memmap(file, np.uint8, "r")
         return cls([data[at : at + n * kind.itemsize].view(kind) for at, n, kind in places], *shape)
 
-    def score(self, first, middle, last, base_log) -> np.ndarray:
-        """log10 p(last | first middle); ``base_log`` is log10 p1 of the last words."""
+    def score(self, first, middle, last, base_log, given=None) -> np.ndarray:
+        """log10 p(last | first middle); ``base_log`` is log10 p1 of the last words, ``given`` as in ``build``."""
+        given = np.zeros(len(first), np.uint16) if given is None else given
         if not self.pairs.size:
-            return base_log.copy()
+            return np.where(given > 0, _log_of(given), base_log)
         place = np.minimum(np.searchsorted(self.middles, middle), len(self.middles) - 1)
         known = self.middles[place] == middle
         # Numbers too wide for the keys belong to words that no training trigram has.
@@ -176,6 +185,7 @@ class TrigramTrie:
         has, deep = pair >= 0, context >= 0
         out = base_log + np.where(known, _log_of(self.after_mass[place]), 0)
         out[has] = _log_of(self.pair_log[pair[has]])
+        out = np.where(given > 0, _log_of(given), out)
         both = np.flatnonzero(has & deep)
         rank = pair[both] - self.starts[place[both]]
         triple = self.triples.find(context[both] * self.widest + rank)
@@ -251,8 +261,11 @@ def _cut_points(shards: int) -> np.ndarray:
     return np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
 
 
-def _counted(shards: int):
-    """Corpus counts and numbers of the words that blocks asked for; frequent words get small numbers."""
+def _counted(shards: int, often_above: float):
+    """Corpus counts and numbers of the words that blocks asked for; frequent words get small numbers.
+
+    The words that count more than ``often_above`` are listed in the shard's first row.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -265,17 +278,129 @@ def _counted(shards: int):
         ends = np.cumsum([len(a) for a in asked])[:-1]
         answers = [(pack(total[p]), pack(number[p])) for p in np.split(place, ends)]
         rows = len(answers)
+        hot = np.flatnonzero(total > often_above)
+        listed = {n: pa.array([pack(x[hot])] + [None] * (rows - 1), pa.binary()) for n, x in zip(HOT, (words, number, total))}
         return pa.table({
             "shard": table.column("shard"), "block": table.column("block"),
             "totals": pa.array([a[0] for a in answers], pa.binary()), "numbers": pa.array([a[1] for a in answers], pa.binary()),
             "tokens": pa.array([int(total.sum())] + [0] * (rows - 1), pa.int64()),
             "kinds": pa.array([int((total > 0).sum())] + [0] * (rows - 1), pa.int64()),
+            **listed,
+        })
+
+    return run
+
+
+HOT = ["hot_words", "hot_numbers", "hot_totals"]
+
+
+def _hot_of(answers: DataFrame) -> list[np.ndarray]:
+    """Hashes, numbers and counts of the frequent words, by number; a fixed share of the corpus each, so few."""
+    rows = answers.filter("hot_words IS NOT NULL").select(*HOT).collect()
+    parts = [np.concatenate([np.empty(0, k), *(unpack(r[n], k) for r in rows)]) for n, k in zip(HOT, (np.uint64, np.int64, np.int64))]
+    order = np.argsort(parts[1])
+    return [x[order] for x in parts]
+
+
+def _pairs_of(rank: np.ndarray, place: np.ndarray, codes: np.ndarray, sizes: np.ndarray, edges: np.ndarray, hot: int):
+    """Spots of a block after a frequent word, and their (shard, frequent word, last word) as one number.
+
+    ``rank`` is a code's place among the frequent words or -1, ``place`` its place among the block's
+    hashes, ``edges`` the ends of the pair shards among these.
+    """
+    before = np.roll(rank[codes], 1)
+    before[np.cumsum(sizes) - sizes] = -1
+    spots = np.flatnonzero(before >= 0)
+    last = place[codes[spots]]
+    return spots, (np.searchsorted(edges, last, "right") * hot + before[spots]) * len(rank) + last
+
+
+def _inverse(order: np.ndarray) -> np.ndarray:
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return place
+
+
+def _key_shift(hot: int) -> np.uint64:
+    """Bits of the last word's hash in a pair's key; the others hold the frequent word's place."""
+    return np.uint64(64 - max(1, hot.bit_length()))
+
+
+def _pairs_asked(hot_words: np.ndarray, shards: int):
+    """Distinct pairs of a frequent word and the next in each block, with their training counts, by pair shard."""
+
+    def run(batches):
+        kinds, shift = len(hot_words), _key_shift(len(hot_words))
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, order = np.cumsum(unpack(row["words"], np.uint64), dtype=np.uint64), unpack(row["order"], np.uint32)
+                codes, sizes = unpack(row["codes"], np.uint32), unpack(row["sizes"], np.int64)
+                at = np.minimum(np.searchsorted(words, hot_words), len(words) - 1)
+                found = np.flatnonzero(words[at] == hot_words)
+                rank = np.full(len(words), -1)
+                rank[order[at[found]]] = found
+                edges = np.append(np.searchsorted(words, _cut_points(shards)), len(words))
+                spots, pair = _pairs_of(rank, _inverse(order), codes, sizes, edges, kinds)
+                train = np.repeat(unpack(row["held"], np.uint8) == 0, sizes)[spots]
+                pair, own = np.unique(pair, return_inverse=True)
+                often = np.bincount(own, weights=train, minlength=len(pair)).astype(np.int64)
+                shard, last = pair // len(words) // kinds, pair % len(words)
+                key = (pair // len(words) % kinds).astype(np.uint64) << shift | words[last] >> (np.uint64(64) - shift)
+                for a, n in zip(*runs(shard)):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([int(shard[a])], pa.int32()), pa.array([row["block"]]), pa.array([int(edges[shard[a]])]),
+                            pa.array([pack(_steps(key[a : a + n]))]), pa.array([pack(often[a : a + n])]),
+                        ],
+                        names=["shard", "block", "upto", "keys", "often"],
+                    )
+
+    return run
+
+
+def _pairs_counted(hot: int):
+    """Corpus counts of the pairs that blocks asked for, and how many words follow each frequent word."""
+
+    def run(table: pa.Table) -> pa.Table:
+        asked = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in table.column("keys").to_pylist()]
+        often = np.concatenate([unpack(x, np.int64) for x in table.column("often").to_pylist()])
+        keys, place = np.unique(np.concatenate(asked), return_inverse=True)
+        total = np.bincount(place, weights=often, minlength=len(keys)).astype(np.int64)
+        after = np.bincount((keys[total > 0] >> _key_shift(hot)).astype(np.int64), minlength=hot)
+        ends = np.cumsum([len(a) for a in asked])[:-1]
+        return pa.table({
+            "shard": table.column("shard"), "block": table.column("block"), "upto": table.column("upto"),
+            "totals": pa.array([pack(total[p]) for p in np.split(place, ends)], pa.binary()),
+            "after": pa.array([pack(after)] + [None] * (table.num_rows - 1), pa.binary()),
         })
 
     return run
 
 
-TRIGRAM = ["first", "middle", "last", "code", "times", "doc"]
+def _pair_codes(row: dict, answers: pa.Table, number, codes, sizes, base, hot) -> np.ndarray:
+    """Per spot of a block the code of p2 in the whole corpus, where the middle word is spread; else 0."""
+    numbers, totals, after = hot
+    out = np.zeros(len(codes), np.uint16)
+    if not answers.num_rows:
+        return out
+    answers = answers.sort_by("shard")
+    count = np.concatenate([unpack(x, np.int64) for x in answers.column("totals").to_pylist()])
+    order = unpack(row["order"], np.uint32)
+    rank = np.minimum(np.searchsorted(numbers, number), len(numbers) - 1)
+    rank = np.where(numbers[rank] == number, rank, -1)
+    spots, pair = _pairs_of(rank, _inverse(order), codes, sizes, answers.column("upto").to_numpy(), len(numbers))
+    pair, own = np.unique(pair, return_inverse=True)
+    of, p1 = pair // len(order) % len(numbers), 10.0 ** base[order[pair % len(order)]]
+    p2 = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * after[of] * p1) / totals[of]
+    out[spots] = np.maximum(_log_code(p2), 1)[own]
+    return out
+
+
+def _pair_numbers(middle: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return middle << 40 | last
+
+
+TRIGRAM = ["first", "middle", "last", "code", "times", "doc", "pair"]
 SENT = ["shard", "block", *TRIGRAM, "held", "docs", "sizes", "known", "base"]
 
 
@@ -290,11 +415,16 @@ def _base_of_codes(tokens: int, kinds: int) -> np.ndarray:
     return np.log10((counts + 0.1) / (tokens + 0.1 * (kinds + 1)))
 
 
-def _sent(tokens: int, kinds: int, shards: int):
-    """Trigrams of a block by model shard, and what the block knows of its documents itself."""
+def _sent(tokens: int, kinds: int, shards: int, hot: tuple[np.ndarray, ...]):
+    """Trigrams of a block by model shard, and what the block knows of its documents itself.
+
+    ``hot`` are the numbers of the words to spread, their counts, and how many words follow each.
+    """
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
+        of_pairs = pc.is_valid(answers.column("upto"))
+        pairs, answers = answers.filter(of_pairs), answers.filter(pc.invert(of_pairs))
         order = np.argsort(answers.column("shard").to_numpy())
         totals, numbers = (
             np.concatenate([unpack(answers.column(c)[int(i)].as_py(), np.int64) for i in order]) for c in ("totals", "numbers")
@@ -311,7 +441,9 @@ def _sent(tokens: int, kinds: int, shards: int):
         last = number[codes]
         at = np.arange(len(codes)) - np.repeat(starts, sizes)
         middle, first = np.where(at >= 1, np.roll(last, 1), 0), np.where(at >= 2, np.roll(last, 2), 0)
-        hot = np.where(at >= 1, np.roll(total[codes], 1) > HOT_SHARE * TRIGRAMS_PER_SHARD, True)
+        pair = _pair_codes(row, pairs, number, codes, sizes, logs, hot)
+        # The first words of documents have one context, which lies in one shard.
+        spread = (pair > 0) | (at < 1)
         # Equal trigrams of a document travel once.
         key = mix64(mix64(mix64(mix64(first) + middle.astype(np.uint64)) + last.astype(np.uint64)) + doc.astype(np.uint64))
         order = np.argsort(key)
@@ -319,10 +451,10 @@ def _sent(tokens: int, kinds: int, shards: int):
         index = order[at_key]
         times = np.empty(len(codes), np.int32)
         times[index] = lengths
-        spread = np.where(hot, (mix64(first) % np.uint64(shards)).astype(np.int64), 0)
+        spread = np.where(spread, (mix64(first) % np.uint64(shards)).astype(np.int64), 0)
         shard = ((mix64(middle) % np.uint64(shards)).astype(np.int64) + spread) % shards
         index = np.sort(shard[index] << 36 | index) & ((1 << 36) - 1)
-        del key, order, at_key, spread, hot, at
+        del key, order, at_key, spread, at
         code = _count_code(total)
         cuts, lengths = runs(shard[index])
         out = {n: [] for n in SENT}
@@ -331,7 +463,12 @@ def _sent(tokens: int, kinds: int, shards: int):
             mine = doc[i]
             # Count codes once for each distinct last word, in the order of the words' numbers.
             _, some = np.unique(last[i], return_index=True)
-            values = (first[i], middle[i], last[i], code[codes[i[some]]], times[i], mine.astype(np.int32))
+            # Likewise p2 of spread middle words, once for each distinct pair.
+            with_pair = i[pair[i] > 0]
+            _, few = np.unique(_pair_numbers(middle[with_pair], last[with_pair]), return_index=True)
+            values = (
+                first[i], middle[i], last[i], code[codes[i[some]]], times[i], mine.astype(np.int32), pair[with_pair[few]],
+            )
             for name, value in zip(TRIGRAM, values):
                 out[name].append(pack(value))
             out["shard"].append(int(shard[i[0]]))
@@ -351,7 +488,7 @@ def _sent(tokens: int, kinds: int, shards: int):
 SENT_TYPES = {"shard": pa.int32(), "block": pa.int64()}
 
 
-def _scored(tokens: int, kinds: int):
+def _scored(tokens: int, kinds: int, hot_numbers: np.ndarray):
     """One model shard: build its trie from the training trigrams, answer with sums per document."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -360,23 +497,25 @@ def _scored(tokens: int, kinds: int):
         rows = [r for r in rows if r["docs"] is None]
         if rows:
             base = _base_of_codes(tokens, kinds)
-            kinds_of = {"first": np.int64, "middle": np.int64, "last": np.int64, "code": np.uint8, "times": np.int32, "doc": np.int32}
+            kinds_of = {"first": np.int64, "middle": np.int64, "last": np.int64, "code": np.uint8, "times": np.int32, "doc": np.int32, "pair": np.uint16}
             parts = {n: [unpack(r.pop(n), k) for r in rows] for n, k in kinds_of.items()}
             parts["code"] = [c[np.unique(x, return_inverse=True)[1]] for c, x in zip(parts["code"], parts["last"])]
+            given = np.concatenate([_given(hot_numbers, *x) for x in zip(parts["middle"], parts["last"], parts.pop("pair"))])
             held = np.concatenate([unpack(r["held"], np.uint8)[d] for r, d in zip(rows, parts["doc"])])
             sizes = [len(x) for x in parts["doc"]]
             doc = np.concatenate(parts.pop("doc"))
             # Neighbours in this order share their words, which keeps lookups close together.
             order = np.argsort(np.concatenate(parts["middle"]))
             first, middle, last, code, times = (np.concatenate(parts.pop(n))[order] for n in TRIGRAM[:5])
-            train = held[order] == 0
+            given, train = given[order], held[order] == 0
             trie = TrigramTrie.mapped(*TrigramTrie.build(
-                first[train], middle[train], last[train], times[train].astype(np.int64), 10.0 ** base[code[train]]
+                first[train], middle[train], last[train], times[train].astype(np.int64), 10.0 ** base[code[train]],
+                given[train],
             ))
             logs = np.empty(len(first))
             for at in range(0, len(first), 1 << 18):
                 s = slice(at, at + (1 << 18))
-                logs[order[s]] = trie.score(first[s], middle[s], last[s], base[code[s]]) * times[s]
+                logs[order[s]] = trie.score(first[s], middle[s], last[s], base[code[s]], given[s]) * times[s]
             ends = np.cumsum(sizes)[:-1]
             for r, own, value in zip(rows, np.split(doc, ends), np.split(logs, ends)):
                 used, place = np.unique(own, return_inverse=True)
@@ -386,6 +525,15 @@ def _scored(tokens: int, kinds: int):
     return run
 
 
+def _given(hot_numbers: np.ndarray, middle: np.ndarray, last: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Per trigram the code of p2 that came along, or 0."""
+    out = np.zeros(len(middle), np.uint16)
+    if len(codes):
+        spots = np.flatnonzero(np.isin(middle, hot_numbers))
+        out[spots] = codes[np.unique(_pair_numbers(middle[spots], last[spots]), return_inverse=True)[1]]
+    return out
+
+
 ANSWER = pa.schema([("block", pa.int64())] + [(n, pa.binary()) for n in ("doc", "sum", "held", "docs", "sizes", "known", "base")])
 
 
@@ -424,17 +572,33 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFram
         blocks.select("block", "words", "often")
         .mapInArrow(_asked(vocabulary), "shard int, block long, words binary, often binary")
         .groupBy("shard").applyInArrow(
-            _counted(vocabulary), "shard int, block long, totals binary, numbers binary, tokens long, kinds long")
+            _counted(vocabulary, HOT_SHARE * TRIGRAMS_PER_SHARD if shards > 1 else math.inf),
+            "shard int, block long, totals binary, numbers binary, tokens long, kinds long, " + ", ".join(f"{n} binary" for n in HOT))
     )
     sums = answers.agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).collect()[0]
     tokens, kinds = int(sums["tokens"] or 0), int(sums["kinds"] or 0)
+    hot_words, hot_numbers, hot_totals = _hot_of(answers)
+    replies = answers.select("shard", "block", "totals", "numbers", F.lit(None).cast("long").alias("upto"))
+    after = np.zeros(len(hot_words), np.int64)
+    if len(hot_words):
+        pairs = cut_lineage(
+            blocks.select("block", "held", "sizes", "codes", "words", "order")
+            .mapInArrow(_pairs_asked(hot_words, shards), "shard int, block long, upto long, keys binary, often binary")
+            .groupBy("shard").applyInArrow(
+                _pairs_counted(len(hot_words)), "shard int, block long, upto long, totals binary, after binary")
+        )
+        for r in pairs.filter("after IS NOT NULL").select("after").toLocalIterator():
+            after += unpack(r["after"], np.int64)
+        replies = replies.unionByName(
+            pairs.select("shard", "block", "totals", F.lit(None).cast("binary").alias("numbers"), "upto"))
+    hot = (hot_numbers, hot_totals, after)
     sent = (
         blocks.select("block", "docs", "held", "sizes", "codes", "order").groupBy("block")
-        .cogroup(answers.select("shard", "block", "totals", "numbers").groupBy("block"))
-        .applyInArrow(_sent(tokens, kinds, shards), "shard int, block long, " + ", ".join(f"{n} binary" for n in SENT[2:]))
+        .cogroup(replies.groupBy("block"))
+        .applyInArrow(_sent(tokens, kinds, shards, hot), "shard int, block long, " + ", ".join(f"{n} binary" for n in SENT[2:]))
     )
     scored = sent.groupBy("shard").applyInArrow(
-        _scored(tokens, kinds), ", ".join(f"{f.name} {'long' if f.name == 'block' else 'binary'}" for f in ANSWER)
+        _scored(tokens, kinds, hot_numbers), ", ".join(f"{f.name} {'long' if f.name == 'block' else 'binary'}" for f in ANSWER)
     )
     return scored.groupBy("block").applyInArrow(
         _gathered(tokens),

@@ -102,6 +102,16 @@ def test_spread_middle_words_keep_probabilities_proper(docs, corpus, monkeypatch
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_spread_middle_words_score_like_brute_force(docs, corpus, monkeypatch):
+    """p2 of a word whose trigrams lie in many shards is that of the whole corpus."""
+    monkeypatch.setattr(nt, "TRIGRAMS_PER_SHARD", 20_000)
+    monkeypatch.setattr(nt, "HOT_SHARE", 0.001)
+    got, want = sorted(tuple(r) for r in nt.score_documents(docs).collect()), sorted(reference(corpus))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want):
+        assert abs(g[6] - w[6]) <= 0.05 * g[2] and g[6] <= w[6] + 1e-3 * g[2]
+
+
 def test_a_trie_is_a_distribution():
     rng = np.random.default_rng(3)
     triples = np.unique(rng.integers(0, 12, (150, 3)), axis=0)
