@@ -6,19 +6,19 @@ these two. So one pass over a word finds the last token of each of its prefixes
 and the count of a prefix is one more than the count of what its last token leaves. A cut inside a
 word makes the rest of it a word of its own, which ends in a word-end token; both chains are kept.
 Words are independent of each other, so the counts of a text's prefixes are running sums over its
-words, and each distinct word of a worker's texts is worked out once.
+words, and each distinct word of a worker's texts is worked out once. Where a cut may change how the
+rest is normalised (a letter and the marks after it) or split, only that spot is worked out again.
 
 ``prefix_counts`` stores the steps from each prefix to the next, one byte per code point and
 compressed; ``tokens_at`` and ``cut_at_budget`` answer from that column alone.
 
 Defined cases: a null or empty text has no tokens and one prefix; special strings inside texts are
 one token, as the library treats them; repeated rows give repeated rows; very long texts take memory
-in proportion to their length; other columns pass through ``prefix_counts``.
+in proportion to their length, a letter with very many marks takes time by their square; other columns pass through ``prefix_counts``.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 import unicodedata
 from functools import lru_cache
@@ -40,6 +40,62 @@ END = "</w>"
 # character keep their place when lower-cased.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 LATIN_END = "\u0250"
+# What follows an apostrophe in pieces of their own, whole or after its first letter.
+SHORT_ENDS, LONG_ENDS = set("stmd"), {"re", "ve", "ll"}
+
+
+def _joins(c: str) -> bool:
+    """Whether a character may change how those before it are normalised."""
+    if c.isascii():
+        return False
+    return unicodedata.category(c)[0] == "M" or unicodedata.category(c) == "Cn" or unicodedata.combining(c) > 0 or (
+        "\u1160" <= c <= "\u11ff" or "\U00016d60" <= c <= "\U00016d6f")
+
+
+class _Scan:
+    """Tokens of a normalised run that grows by a character at a time and can be cut back.
+
+    The pieces before the last are settled; of the last one, the steps of ``PrefixCounter._chains``.
+    """
+
+    def __init__(self, counter: PrefixCounter):
+        self.counter = counter
+        self.settled, self.kind, self.waiting = 0, "", None
+        self.symbols, self.last, self.count = [], [""], [0]
+
+    def tokens(self) -> int:
+        return self.settled + (self.counter._end(self.symbols, self.last, self.count) if self.symbols else 0)
+
+    def mark(self) -> tuple:
+        return self.settled, self.kind, self.waiting, self.symbols, self.last, self.count, len(self.symbols)
+
+    def back(self, mark: tuple) -> None:
+        self.settled, self.kind, self.waiting, self.symbols, self.last, self.count, size = mark
+        del self.symbols[size:], self.last[size + 1 :], self.count[size + 1 :]
+
+    def _start(self, kind: str) -> None:
+        self.settled, self.kind = self.tokens(), kind
+        self.symbols, self.last, self.count = [], [""], [0]
+
+    def add(self, c: str) -> None:
+        kind, waiting, self.waiting = self.counter._class(c), self.waiting, None
+        if kind == "S":
+            return self._start("")
+        if waiting and waiting[0] + c in LONG_ENDS:
+            # The apostrophe and the letter after it were pieces of their own until now.
+            self.settled, self.kind, self.symbols, self.last, self.count = waiting[1], "C", [], [""], [0]
+            c = f"'{waiting[0]}{c}"
+        elif kind == "L" and self.kind == "O" and self.symbols == ["'"]:
+            if c in SHORT_ENDS:
+                self.kind = "C"
+            else:
+                self.waiting = (c, self.settled) if c in "rvl" else None
+                self._start("L")
+        elif kind != self.kind or kind == "N":
+            self._start(kind)
+        for byte in c.encode():
+            self.symbols.append(self.counter.shown[byte])
+            self.counter._extend(self.symbols, self.last, self.count)
 
 
 class PrefixCounter:
@@ -59,13 +115,26 @@ class PrefixCounter:
         if model.get("end_of_word_suffix") != END or model.get("continuing_subword_prefix"):
             raise ValueError("a vocabulary with word-end tokens is needed")
         self.special = [t["content"].lower() for t in data["added_tokens"]]
+        if any(t[k] for t in data["added_tokens"] for k in ("normalized", "single_word", "lstrip", "rstrip")):
+            raise ValueError("special strings must stand for themselves wherever they are")
+        longest_first = sorted((t["content"] for t in data["added_tokens"]), key=len, reverse=True)
+        self.special_at = re.compile("|".join(map(re.escape, longest_first)) or "(?!)")
         self.vocab = model["vocab"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.rank = {p: i for i, p in enumerate(pairs)}
+        self.made: dict[str, tuple[str, str, int]] = {}
+        for i, (a, b) in enumerate(pairs):
+            self.made.setdefault(a + b, (a, b, i))
+        if len(self.made) < len(pairs) or any(x in self.made and self.made[x][2] > i for a, b, i in self.made.values() for x in (a, b)):
+            raise ValueError("a vocabulary is needed whose tokens are each made once, of tokens made before")
         self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
         self.fits: dict[tuple[str, str], bool] = {}
         self.words: dict[str, int] = {}
         self.pieces: dict[str, int] = {}
+        self.word_steps: dict[str, bytes] = {}
+        self.piece_prefixes: dict[str, list[int]] = {}
+        self.kinds: dict[str, str] = {}
+        self.normal: dict[str, str] = {}
         self.shown = {b: c for c, b in byte_symbols().items()}
 
     def _encode(self, symbols: list[str]) -> list[str]:
@@ -90,14 +159,37 @@ class PrefixCounter:
         key = (before, token)
         known = self.fits.get(key)
         if known is None:
-            body = token.removesuffix(END)
-            symbols = [*before, *body[:-1], body[-1] + token[len(body) :]]
-            known = self._encode(symbols) == ([before, token] if before else [token])
+            if before:
+                known = self._may_follow("", token) and self._stay_apart(before, token)
+            elif token in self.made:
+                one, two, rank = self.made[token]
+                known = self._may_follow("", one) and self._may_follow("", two) and self._stay_apart(one, two, rank)
+            else:
+                known = len(token.removesuffix(END)) == 1
             if len(self.fits) > REMEMBERED:
                 self.fits.clear()
             self.fits[key] = known
         return known
 
+    def _stay_apart(self, before: str, token: str, limit: int = 1 << 60) -> bool:
+        """Whether no merge of rank below ``limit`` crosses from one token to the other while the two are made.
+
+        The later made of the two is taken apart until the symbols at the border are single; a
+        merge of these that comes before the ones taken back would have been done instead.
+        """
+        none = (None, None, -1)
+        while True:
+            if self.rank.get((before, token), limit) < limit:
+                return False
+            one, two = self.made.get(before, none), self.made.get(token, none)
+            if one[2] > two[2]:
+                before, limit = one[1], one[2]
+            elif two[2] >= 0:
+                # Of equal merges the left one is done first.
+                token, limit = two[0], two[2] + 1
+            else:
+                return True
+
     def _chains(self, piece: str, every: bool) -> list[int]:
         """Tokens of the prefixes of one byte-level word: of all of them, or of the last alone."""
         vocab, fits, longest, size = self.vocab, self.fits, self.longest, len(piece)
@@ -126,6 +218,82 @@ class PrefixCounter:
                     raise ValueError(f"no encoding of {piece!r}")
         return ended
 
+    def _follow(self, symbols: list[str], last: list[str], end: str) -> tuple[int, str]:
+        """Where the last token of ``symbols`` begins, and the token."""
+        size = len(symbols)
+        tail = "".join(symbols[-self.longest :])
+        for start in range(size - len(tail), size):
+            token = tail[start - size + len(tail) :] + end
+            if token in self.vocab:
+                ok = self.fits.get((last[start], token))
+                if ok if ok is not None else self._may_follow(last[start], token):
+                    return start, token
+        raise ValueError(f"no encoding of {tail!r}")
+
+    def _extend(self, symbols: list[str], last: list[str], count: list[int]) -> None:
+        start, token = self._follow(symbols, last, "")
+        last.append(token)
+        count.append(count[start] + 1)
+
+    def _end(self, symbols: list[str], last: list[str], count: list[int]) -> int:
+        return count[self._follow(symbols, last, END)[0]] + 1
+
+    def _class(self, c: str) -> str:
+        """Letter, Number, Other or Space, as the library's pattern sees a character."""
+        known = self.kinds.get(c)
+        if known is None:
+            split = self.library.pre_tokenizer.pre_tokenize_str
+            after = split("a" + c)
+            if len(after) == 1:
+                known = "L" if len(after[0][0]) > 1 else "S"
+            else:
+                known = "N" if len(split(c + c)) == 2 else "O"
+            self.kinds[c] = known
+        return known
+
+    def _normal(self, c: str) -> str:
+        known = self.normal.get(c)
+        if known is None:
+            known = self.normal[c] = self.library.normalizer.normalize_str(c)
+        return known
+
+    def _piece_prefixes(self, piece: str) -> list[int]:
+        """Tokens of the prefixes of an ASCII piece."""
+        known = self.piece_prefixes.get(piece)
+        if known is None:
+            known = self._chains(piece, True)[1:]
+            if piece[0] == "'" and piece[1:].isalpha():
+                parts = [ASCII_PIECES.findall(piece[:i]) for i in range(1, len(piece))]
+                known[:-1] = [sum(self._chains(x, False)[-1] for x in p) for p in parts]
+            self.piece_prefixes[piece] = known
+        return known
+
+    def _plain_prefixes(self, word: str) -> list[int]:
+        """Tokens of the prefixes of a run in which special strings do not count."""
+        out, before = [], 0
+        if word.isascii() and word.isprintable():
+            for piece in ASCII_PIECES.findall(word.lower()):
+                out += [before + n for n in self._piece_prefixes(piece)]
+                before = out[-1]
+            return out
+        scan, at = _Scan(self), 0
+        while at < len(word):
+            to = at + 1
+            while to < len(word) and _joins(word[to]):
+                to += 1
+            mark, shown = scan.mark(), ""
+            for end in range(at + 1, to + 1):
+                now = self._normal(word[at]) if end == at + 1 else self.library.normalizer.normalize_str(word[at:end])
+                if not now.startswith(shown):
+                    scan.back(mark)
+                    shown = ""
+                for c in now[len(shown) :]:
+                    scan.add(c)
+                shown = now
+                out.append(scan.tokens())
+            at = to
+        return out
+
     def _pieces(self, word: str) -> list[str]:
         """Byte-level words of a run, as the library's normaliser and pattern give them."""
         if word.isascii() and word.isprintable():
@@ -154,8 +322,27 @@ class PrefixCounter:
         """Tokens of the prefixes of 1, 2, ... code points of such a run."""
         if word.isascii() and word.isalpha():
             return self._chains(word.lower(), True)[1:]
-        # Elsewhere a cut may change how the rest is normalised or split into pieces.
-        return [self.tokens(word[:i]) for i in range(1, len(word) + 1)]
+        out, before, at = [], 0, 0
+        # A special string is ordinary text up to its last character, and settles what is before it.
+        for found in self.special_at.finditer(word):
+            own = self._plain_prefixes(word[at : found.end() - 1])
+            out += [before + n for n in own]
+            head = found.start() - at
+            before, at = before + (own[head - 1] if head else 0) + 1, found.end()
+            out.append(before)
+        return out + [before + n for n in self._plain_prefixes(word[at:])]
+
+    def steps(self, words: list[str]) -> list[bytes]:
+        """Per word the tokens of each prefix less those of the prefix before it, two bytes each."""
+        known = self.word_steps
+        if len(known) > REMEMBERED:
+            known = self.word_steps = {w: known[w] for w in words if w in known}
+            self.piece_prefixes = {}
+        for w in words:
+            if w not in known:
+                step = np.diff(np.array(self.prefixes(w), np.int64), prepend=0)
+                known[w] = _narrow(step).tobytes()
+        return [known[w] for w in words]
 
     def counts(self, words: list[str]) -> np.ndarray:
         known = self.words
@@ -174,16 +361,26 @@ def prefix_counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
+def _narrow(step: np.ndarray) -> np.ndarray:
+    out = step.astype(np.int16)
+    if (out != step).any():
+        raise OverflowError("a prefix has over 32,767 tokens more or less than the one before")
+    return out
+
+
+def _spread(text: str, steps: np.ndarray) -> np.ndarray:
+    """Steps of a text's words at their places, 0 for the white space between them."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = np.zeros(len(points), np.int16)
+    out[(points != 32) & (points - np.uint32(9) > 4)] = steps
+    return out
+
+
 def _steps(counter: PrefixCounter, text: str) -> np.ndarray:
     """Tokens of each prefix less those of the prefix before it, for 1, 2, ... code points."""
-    out, before = np.zeros(len(text), np.int16), 0
-    for space, run in itertools.groupby(range(len(text)), lambda i: text[i] in " \t\n\x0b\f\r"):
-        at = list(run)
-        if not space:
-            counts = np.array(counter.prefixes(text[at[0] : at[-1] + 1]))
-            out[at] = np.diff(counts, prepend=0)
-            before += int(counts[-1])
-    return out
+    _, codes, words = split_words(pa.array([text], pa.string()))
+    own = counter.steps(words)
+    return _spread(text, np.frombuffer(b"".join([own[c] for c in codes.tolist()]), np.int16))
 
 
 def _counted(path: str, store: bool, names: list[str]):
@@ -193,14 +390,18 @@ def _counted(path: str, store: bool, names: list[str]):
             for batch in slices(whole, "text"):
                 text = pc.fill_null(batch.column("text"), "")
                 per_row, codes, words = split_words(text)
-                tokens = counter.counts(words)[codes]
                 edges = np.concatenate([[0], np.cumsum(per_row)])
-                sums = np.concatenate([[0], np.cumsum(tokens)])
-                total = sums[edges[1:]] - sums[edges[:-1]]
                 size = pc.binary_length(text).cast(pa.int64())
-                extra = [size, pa.array(total)]
                 if store:
-                    extra.append(pa.array([pack(_steps(counter, t)) for t in text.to_pylist()], pa.binary()))
+                    own, codes, total, stored = counter.steps(words), codes.tolist(), [], []
+                    for t, a, b in zip(text.to_pylist(), edges, edges[1:]):
+                        steps = np.frombuffer(b"".join([own[c] for c in codes[a:b]]), np.int16)
+                        total.append(int(steps.sum(dtype=np.int64)))
+                        stored.append(pack(_spread(t, steps)))
+                    extra = [size, pa.array(total, pa.int64()), pa.array(stored, pa.binary())]
+                else:
+                    sums = np.concatenate([[0], np.cumsum(counter.counts(words)[codes])])
+                    extra = [size, pa.array(sums[edges[1:]] - sums[edges[:-1]])]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=names)
 
     return run

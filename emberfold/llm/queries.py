@@ -68,8 +68,10 @@ def op10_line_simjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = prefix_tokens.prefix_counts(docs, public_tokenizers.path("word_bpe_49k.json"), store=False)
-    return counted.select("doc_id", "n_bytes", "n_tokens", prefix_tokens.over_limit(2048).alias("over_limit"))
+    counted = prefix_tokens.prefix_counts(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
+    return prefix_tokens.cut_at_budget(counted, 2048).select(
+        "doc_id", "n_bytes", "n_tokens", prefix_tokens.over_limit(2048).alias("over_limit"), "fits_chars", "prefix_steps"
+    )
 
 
 @query
