@@ -156,4 +156,20 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM t GROUP BY conv_id"""
 
 
-LLM_SQL = {"op4_jaccard_join": GROUPS, "op5_chat_parts": TALKS, "op10_line_simjoin": LINES, "op7_risk_quality": _quality(), "op9_source_schedule": MIX}
+FIM = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+        list_transform([0, 1, 2, 3], lambda i: ('0x' || substr(h, 8 * i + 1, 8))::BIGINT) AS draw FROM d),
+c AS (SELECT *, len(units)::BIGINT AS n, least(draw[1] % (len(units) + 1), draw[2] % (len(units) + 1)) AS low,
+        greatest(draw[1] % (len(units) + 1), draw[2] % (len(units) + 1)) AS high,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR draw[3] % 100 >= 50 THEN 'plain'
+             WHEN draw[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, n, form, t, array_to_string(units[1:low], '') AS a, array_to_string(units[low + 1:high], '') AS b,
+        array_to_string(units[high + 1:], '') AS c FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(b) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+         ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+
+LLM_SQL = {"op13_fim_chunks": FIM, "op4_jaccard_join": GROUPS, "op5_chat_parts": TALKS, "op10_line_simjoin": LINES, "op7_risk_quality": _quality(), "op9_source_schedule": MIX}

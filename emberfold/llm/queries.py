@@ -12,6 +12,7 @@ from emberfold.llm import (
     best_fit_packing,
     chat_parts,
     edit_fingerprint,
+    fim_chunks,
     jaccard_join,
     line_simjoin,
     ngram_trie,
@@ -104,3 +105,12 @@ def op3_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_trie.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fim_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim_chunks.fim_documents(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim_chunks.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
