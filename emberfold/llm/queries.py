@@ -19,6 +19,7 @@ from emberfold.llm import (
     prefix_tokens,
     risk_quality,
     source_schedule,
+    token_align,
     warc_derive,
 )
 from emberfold.llm.common import table
@@ -114,3 +115,9 @@ def op13_fim_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fim_chunks.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_align.link_report(table(spark, sf_dir, "documents"), *paths)
