@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from emberfold.llm import chat_parts as cp
+from emberfold.llm import chosen_path as paths
 from emberfold.llm import jaccard_join as jj
 from emberfold.llm import line_simjoin as ls
 from emberfold.llm import risk_quality as rq
@@ -125,23 +126,26 @@ t AS (SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '')
 SELECT doc_id, len(string_split(text, chr(10)))::INT AS n_lines, length(text)::INT AS n_chars, md5(text) AS text_md5 FROM t"""
 
 
-GROUPS = f"""
+def _groups(width: int, percent: int, kept: str = "") -> str:
+    """Size and component of the sets of runs of ``width`` words."""
+    return f"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words FROM documents),
-sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-         ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i+2], ' ')) END) AS s FROM w),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {width} THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - {width - 2}), lambda i: array_to_string(words[i:i + {width - 1}], ' ')) END) AS s FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id
          GROUP BY a.doc_id, b.doc_id),
 links AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
-          WHERE 100 * c >= {jj.PERCENT} * (a.n + b.n - c)),
+          WHERE 100 * c >= {percent} * (a.n + b.n - c)),
 reach AS (WITH RECURSIVE r AS (
             SELECT doc_id AS node, doc_id AS root FROM w
             UNION SELECT e.y, r.root FROM r JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) e ON e.x = r.node)
           SELECT node, min(root) AS root FROM r GROUP BY node)
-SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, reach.root AS component_id
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, reach.root AS component_id{kept}
 FROM w LEFT JOIN n USING (doc_id) JOIN reach ON reach.node = w.doc_id"""
 
+
 _CONTROL = "|".join([r"\\", *(c.replace("[", r"\[").replace("]", r"\]").replace("|", r"\|") for c in cp.CONTROLS)])
 TALKS = f"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -172,4 +176,4 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END::BIGINT AS
          ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
 
 
-LLM_SQL = {"op13_fim_chunks": FIM, "op4_jaccard_join": GROUPS, "op5_chat_parts": TALKS, "op10_line_simjoin": LINES, "op7_risk_quality": _quality(), "op9_source_schedule": MIX}
+LLM_SQL = {"op13_fim_chunks": FIM, "op4_jaccard_join": _groups(jj.SHINGLE, jj.PERCENT), "op12_chosen_path": _groups(paths.SHINGLE, paths.PERCENT, ", w.doc_id = reach.root AS kept"), "op5_chat_parts": TALKS, "op10_line_simjoin": LINES, "op7_risk_quality": _quality(), "op9_source_schedule": MIX}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from emberfold.llm import (
     best_fit_packing,
     chat_parts,
+    chosen_path,
     edit_fingerprint,
     fim_chunks,
     jaccard_join,
@@ -121,3 +122,8 @@ def op13_fim_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return token_align.link_report(table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op12_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similar_components(table(spark, sf_dir, "documents"))
