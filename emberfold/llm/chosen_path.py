@@ -11,9 +11,11 @@ recall asked for (0.999999 for pairs at the threshold; more similar ones are mis
 Equal sets are one from the start, so copies cost nothing. In every node all sets are first compared
 with the same three of them, and what is then linked counts as one; only pairs that are still apart
 are compared further, so that a large group of near copies is not listed pair by pair. Nodes that the
-last level leaves large are compared in square tiles. Pairs that agree in too few of their values
-for the threshold (by six standard deviations), or whose sizes rule it out, are dropped; all others
-are confirmed on the full sets.
+last level leaves large are compared in square tiles, by 1024 parities that bound the difference of
+two sets from below. A tile first proposes no more pairs than connect its sets (a forest); once the
+links among them are known, it is compared again, at last with all pairs that are still apart. Pairs
+with one of the first three that agree in too few of their values for the threshold (by six standard
+deviations) are dropped; all others are confirmed on the full sets.
 
 Defined cases: a null text, or one without words, has an empty set, is its own component and linked
 with nothing; a text of fewer words than a shingle is one shingle as a whole; rows with an equal
@@ -25,6 +27,7 @@ rows; other columns are not looked at.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +40,9 @@ from emberfold.llm.jaccard_join import shingle_sets
 from emberfold.operators.components import connected_components
 
 SHINGLE, PERCENT, RECALL = 5, 85, 0.999999
-VALUES, HUBS = 64, 3
+VALUES, PARITIES, HUBS, FORESTS = 64, 1024, 3, 2
 # Most sets of a node that is compared as it is; levels below which nodes are not dealt on; rows of a tile's side.
-LEAF, LEVELS, TILE = 512, 6, 1024
+LEAF, LEVELS, TILE = 2048, 8, 4096
 # Rows of document ids up to which they are broadcast to the scan that fetches texts.
 BROADCAST_ROWS = 2_000_000
 
@@ -85,8 +88,9 @@ def _summaries(width: int):
                         batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * VALUES, pa.int32()), values),
+                        pa.array([parities(s) for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "sig", "mins"],
+                    names=["doc_id", "n", "sig", "mins", "bits"],
                 )
 
     return run
@@ -119,34 +123,47 @@ def _confirm(percent: int):
     return run
 
 
-def _tile_pairs(batch: pa.RecordBatch | pa.Table, percent: int):
-    """Pairs of one tile that are still apart and agree in enough values."""
-    node, root, n, block = (batch.column(c).to_numpy() for c in ("node", "root", "n", "block"))
-    diagonal = bool(batch.column("diagonal")[0].as_py())
-    lists = batch.column("mins")
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    values = lists.flatten().to_numpy().reshape(-1, VALUES)
-    least = least_agreement(percent)
-    for at in range(0, len(node), 64):
-        mine = slice(at, at + 64)
-        apart = (root[mine, None] != root[None, at:]) & (node[mine, None] != node[None, at:])
-        apart &= 100 * np.minimum(n[mine, None], n[None, at:]) >= percent * np.maximum(n[mine, None], n[None, at:])
-        if not diagonal:
-            apart &= block[mine, None] != block[None, at:]
-        i, j = np.nonzero(np.triu(apart))
-        for low in range(0, len(i), 1 << 16):
-            x, y = i[low : low + (1 << 16)] + at, j[low : low + (1 << 16)] + at
-            near = np.count_nonzero(values[x] == values[y], axis=1) >= least
-            yield np.minimum(node[x[near]], node[y[near]]), np.maximum(node[x[near]], node[y[near]])
+def parities(own: np.ndarray) -> bytes:
+    """Bits that each tell whether an odd number of shingles falls on it: sets differ in at least as many."""
+    spots = np.bincount((mix64(own) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits(spots & 1).tobytes()
+
 
+def _tile_pairs(rows: pa.Table, percent: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one tile that are still apart and may be similar by size and parities.
 
-def _compare(percent: int):
+    As a forest, only as many as connect what they all connect.
+    """
+    node, root, n, block = (rows.column(c).to_numpy() for c in ("node", "root", "n", "block"))
+    diagonal = bool(rows.column("diagonal")[0].as_py())
+    bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
+    label = np.unique(root, return_inverse=True)[1]
+    left, right = [], []
+    for i in range(len(node) - 1):
+        j = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        if not diagonal:
+            j = j[block[j] != block[i]]
+        j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
+        if not len(j):
+            continue
+        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        j = j[apart <= (n[j] + n[i]) * (100 - percent) // (100 + percent)]
+        if forest and len(j):
+            met, first = np.unique(label[j], return_index=True)
+            j = j[first]
+            label[np.isin(label, met)] = label[i]
+        left.append(np.full(len(j), node[i]))
+        right.append(node[j])
+    a, b = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (left, right))
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _compare(percent: int, forest: bool):
     """Pairs of all tiles, from rows sorted by tile."""
 
-    def pairs(table: pa.Table):
-        found = list(_tile_pairs(table, percent))
-        if found:
-            a, b = (np.concatenate(x) for x in zip(*found))
+    def pairs(rows: pa.Table):
+        a, b = _tile_pairs(rows, percent, forest)
+        if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches):
@@ -233,8 +250,8 @@ class _Join:
         keys = [F.xxhash64("key", at, F.element_at("mins", at + 1)) for at in (first, second)]
         return members.join(self.sets.select("node", "mins"), "node").select("node", "root", F.explode(F.array(*keys)).alias("key"))
 
-    def within_nodes(self, members: DataFrame) -> DataFrame:
-        """Links between sets of one node whose roots differ: ``members`` has (key, node, root)."""
+    def tiles(self, members: DataFrame) -> DataFrame:
+        """Rows of tiles to be compared, from ``members`` (key, node, root); nodes of one root only are left out."""
         leaves, made = [], []
         for level in range(1, LEVELS + 1):
             mixed = (
@@ -249,26 +266,36 @@ class _Join:
             if last or large.isEmpty():
                 break
             members = self.children(large)
-        rows = leaves[0]
-        for more in leaves[1:]:
-            rows = rows.unionByName(more)
         # Large leaves fall into blocks, and every two blocks meet in one tile.
         blocks = F.ceil(F.col("size") / TILE).cast("int")
-        rows = rows.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        rows = reduce(DataFrame.unionByName, leaves).withColumn("blocks", blocks)
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        out = cut(rows.select(
             F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
             (F.col("block") == F.col("other")).alias("diagonal"), "block", "node", "root",
-        )
-        rows = rows.join(self.sets.select("node", "n", "mins"), "node")
-        found = cut(
-            rows.repartition("tile").sortWithinPartitions("tile")
-            .mapInArrow(_compare(self.percent), "a long, b long").distinct()
-        )
+        ))
         discard(*made)
-        out = self.confirmed(found)
-        discard(found)
         return out
 
+    def within_nodes(self, members: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
+        """All links: ``links`` and those between sets of one node that ``links`` leaves apart.
+
+        In the first rounds a tile proposes a forest only; what its links join is not compared again.
+        The last round proposes all pairs that are still apart.
+        """
+        sketches = self.sets.select("node", "n", "bits")
+        for number in range(FORESTS + 1):
+            roots = cut(connected_components(nodes, links, []))
+            tiles = self.tiles(members.join(roots, "node").select("key", "node", "root"))
+            found = cut(
+                tiles.join(sketches, "node").repartition("tile").sortWithinPartitions("tile")
+                .mapInArrow(_compare(self.percent, number < FORESTS), "a long, b long").distinct()
+            )
+            links = links.unionByName(self.confirmed(found))
+            discard(tiles, found, roots)
+        return links
+
 
 def similar_components(
     docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, recall: float = RECALL
@@ -277,12 +304,12 @@ def similar_components(
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = cut(
         docs.select("doc_id", "text")
-        .mapInArrow(_summaries(width), f"doc_id {kind}, n long, sig binary, mins array<int>")
+        .mapInArrow(_summaries(width), f"doc_id {kind}, n long, sig binary, mins array<int>, bits binary")
         .withColumn("row", F.monotonically_increasing_id())
     )
     named = base.filter("doc_id IS NOT NULL AND n > 0")
     same = cut(named.groupBy("sig").agg(F.min("row").alias("node")))
-    sets = cut(base.join(same.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "n", "mins"))
+    sets = cut(base.join(same.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "n", "mins", "bits"))
     join = _Join(docs, base, sets, width, percent)
 
     trees = trees_for(percent, recall)
@@ -293,15 +320,14 @@ def similar_components(
     members = cut(entries.join(shared, "key"))
     nodes = sets.select("node")
     links = join.through_hubs(members)
-    roots = cut(connected_components(nodes, links, []))
-    more = join.within_nodes(members.join(roots, "node").select("key", "node", "root"))
+    links = join.within_nodes(members, links, nodes)
 
     # Rows of one doc_id with different texts tie their sets together.
     placed = cut(named.select("doc_id", "sig").distinct().join(same, "sig").select("doc_id", "node"))
     tied = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id", "a")
     ties = placed.join(tied, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
-    final = cut(connected_components(nodes, links.unionByName(more).unionByName(ties), []))
-    discard(members, roots)
+    final = cut(connected_components(nodes, links.unionByName(ties), []))
+    discard(members)
     labelled = placed.join(final, "node")
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of = labelled.join(smallest, "root").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
