@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberfold.session import cut_lineage
+from emberfold.session import cut_lineage, drop_tables
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, groups: list[str]) -> DataFrame:
@@ -15,27 +15,38 @@ def connected_components(nodes: DataFrame, edges: DataFrame, groups: list[str])
     hangs under the first of its neighbours, the short chains that this makes are shortened, and
     only edges between different parents stay. At most half the nodes of a component come before
     all their neighbours, and the hash keeps chains short whatever the order of the ids, so the
-    graph shrinks geometrically and the rounds grow with the logarithm of its size. Which node is
-    the smallest is settled once, at the end.
+    graph shrinks geometrically and the rounds grow with the logarithm of its size.
+
+    A round reads and writes live nodes and edges only. The tables of parents are then put
+    together from the last round, the smallest, to the first, so that all rows that are shuffled add up
+    to a multiple of nodes and edges. The smallest node of each root is found with a map-side step,
+    and the nodes themselves are joined once.
     """
-    labels = nodes.select(*groups, "node", F.col("node").alias("root"))
     live = cut_lineage(edges.filter("a <> b"))
-    rounds = 0
+    rounds = []
     while not live.isEmpty():
-        parent = cut_lineage(_parents(live, groups, rounds))
-        labels = _follow(labels, parent, groups, "root")
-        live = cut_lineage(
+        parent = _parents(live, groups, len(rounds))
+        rounds.append(parent)
+        old, live = live, cut_lineage(
             _follow(_follow(live, parent, groups, "a"), parent, groups, "b")
             .filter("a <> b")
             .select(*groups, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .distinct()
         )
-        rounds += 1
+        drop_tables(old)
+    drop_tables(live)
     if not rounds:
-        return labels
-    labels = cut_lineage(labels)
-    smallest = labels.groupBy(*groups, "root").agg(F.min("node").alias("_first"))
-    return labels.join(smallest, [*groups, "root"]).select(*groups, "node", F.col("_first").alias("root"))
+        return nodes.select(*groups, "node", F.col("node").alias("root"))
+    found = rounds[-1]
+    for parent in reversed(rounds[:-1]):
+        found = _follow(parent, found, groups, "parent")
+    found = cut_lineage(found.select(*groups, "node", F.col("parent").alias("root")))
+    drop_tables(*rounds)
+    smallest = found.groupBy(*groups, "root").agg(F.min("node").alias("_first"))
+    named = found.join(smallest, [*groups, "root"]).select(*groups, "node", "_first")
+    return nodes.join(named, [*groups, "node"], "left").select(
+        *groups, "node", F.coalesce("_first", "node").alias("root")
+    )
 
 
 def _parents(live: DataFrame, groups: list[str], rounds: int) -> DataFrame:
@@ -47,7 +58,10 @@ def _parents(live: DataFrame, groups: list[str], rounds: int) -> DataFrame:
     )
     first = both.groupBy(*groups, "a").agg(F.min(placed("b")).alias("m"))
     parent = first.select(*groups, F.col("a").alias("node"), F.least(placed("a"), "m")["id"].alias("parent"))
-    return _shorten(_shorten(cut_lineage(parent), groups), groups)
+    chains = cut_lineage(parent)
+    out = cut_lineage(_shorten(_shorten(chains, groups), groups))
+    drop_tables(chains)
+    return out
 
 
 def _shorten(parent: DataFrame, groups: list[str]) -> DataFrame:
@@ -58,6 +72,7 @@ def _shorten(parent: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def _follow(df: DataFrame, parent: DataFrame, groups: list[str], column: str) -> DataFrame:
+    """``df`` with the parents of ``column`` in its place; what is not in ``parent`` stays."""
     step = parent.select(*groups, F.col("node").alias(column), F.col("parent").alias("_up"))
     others = [c for c in df.columns if c not in (*groups, column)]
     return df.join(step, [*groups, column], "left").select(

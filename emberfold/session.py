@@ -59,9 +59,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Paths of the scratch tables that this process has asked for and not deleted yet.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def scratch_tables() -> list[str]:
+    """Scratch paths in use, oldest first."""
+    return list(_scratch)
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing lazy depends on any more; missing ones do not matter."""
+    context = spark.sparkContext
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        if name in _scratch:
+            _scratch.remove(name)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -74,4 +95,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "step")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of ``cut_lineage``."""
+    for df in tables:
+        delete_scratch(df.sparkSession, [df.scratch])

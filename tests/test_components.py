@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from emberfold import session
 from emberfold.operators import components
 from emberfold.operators.components import connected_components, rank_within
 
@@ -45,6 +46,35 @@ def test_rounds_grow_with_the_logarithm_of_an_ordered_chain(spark, monkeypatch,
     assert len(rounds) <= 14
 
 
+@pytest.mark.parametrize("shape", ["chain", "star", "pairs"])
+def test_rows_written_are_linear(spark, monkeypatch, shape):
+    """All tables of all rounds together, also when one component holds every node; none is left behind."""
+    written = []
+    real = components.cut_lineage
+
+    def counted(df):
+        out = real(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "cut_lineage", counted)
+    n = 3000
+    other = {"chain": F.col("id") + 1, "star": F.lit(0), "pairs": F.col("id").bitwiseXOR(F.lit(1))}[shape]
+    nodes = spark.range(n).select(F.col("id").alias("node"))
+    edges = spark.range(1, n - 1).select(F.col("id").alias("a"), other.cast("long").alias("b"))
+    before = set(session.scratch_tables())
+    out = components.connected_components(nodes, edges, [])
+    # The table of roots is what the result reads.
+    assert len(set(session.scratch_tables()) - before) == 1
+    assert sum(written) <= 10 * n
+    want = {"chain": [(0, 1), (1, n - 1)], "star": [(0, n - 1), (n - 1, 1)]}
+    sizes = sorted((r.root, r["count"]) for r in out.groupBy("root").count().collect())
+    if shape == "pairs":
+        assert sizes == [(i, 2) for i in range(0, n, 2)]
+    else:
+        assert sizes == want[shape]
+
+
 def test_no_edges(spark):
     out = connected_components(
         spark.createDataFrame([("x", 1), ("x", 2)], "g STRING, node BIGINT"),
