@@ -35,14 +35,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberfold.llm.common import cut, discard, mix64, runs, slices
+from emberfold.llm import forests
+from emberfold.llm.common import cut, discard, mix64, slices
 from emberfold.llm.jaccard_join import shingle_sets
 from emberfold.operators.components import connected_components
 
 SHINGLE, PERCENT, RECALL = 5, 85, 0.999999
-VALUES, PARITIES, HUBS, FORESTS = 64, 1024, 3, 2
-# Most sets of a node that is compared as it is; levels below which nodes are not dealt on; rows of a tile's side.
-LEAF, LEVELS, TILE = 2048, 8, 4096
+VALUES, HUBS = 64, 3
+# Most sets of a node that is compared as it is; levels below which nodes are not dealt on.
+LEAF, LEVELS = 2048, 8
 # Rows of document ids up to which they are broadcast to the scan that fetches texts.
 BROADCAST_ROWS = 2_000_000
 
@@ -88,7 +89,7 @@ def _summaries(width: int):
                         batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * VALUES, pa.int32()), values),
-                        pa.array([parities(s) for s in sets], pa.binary()),
+                        pa.array([forests.parities(s) for s in sets], pa.binary()),
                     ],
                     names=["doc_id", "n", "sig", "mins", "bits"],
                 )
@@ -123,66 +124,6 @@ def _confirm(percent: int):
     return run
 
 
-def parities(own: np.ndarray) -> bytes:
-    """Bits that each tell whether an odd number of shingles falls on it: sets differ in at least as many."""
-    spots = np.bincount((mix64(own) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
-    return np.packbits(spots & 1).tobytes()
-
-
-def _tile_pairs(rows: pa.Table, percent: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one tile that are still apart and may be similar by size and parities.
-
-    As a forest, only as many as connect what they all connect.
-    """
-    node, root, n, block = (rows.column(c).to_numpy() for c in ("node", "root", "n", "block"))
-    diagonal = bool(rows.column("diagonal")[0].as_py())
-    bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
-    label = np.unique(root, return_inverse=True)[1]
-    left, right = [], []
-    for i in range(len(node) - 1):
-        j = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
-        if not diagonal:
-            j = j[block[j] != block[i]]
-        j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
-        if not len(j):
-            continue
-        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        j = j[apart <= (n[j] + n[i]) * (100 - percent) // (100 + percent)]
-        if forest and len(j):
-            met, first = np.unique(label[j], return_index=True)
-            j = j[first]
-            label[np.isin(label, met)] = label[i]
-        left.append(np.full(len(j), node[i]))
-        right.append(node[j])
-    a, b = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (left, right))
-    return np.minimum(a, b), np.maximum(a, b)
-
-
-def _compare(percent: int, forest: bool):
-    """Pairs of all tiles, from rows sorted by tile."""
-
-    def pairs(rows: pa.Table):
-        a, b = _tile_pairs(rows, percent, forest)
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows])
-            starts, lengths = runs(rows.column("tile").to_numpy())
-            for start, length in zip(starts[:-1], lengths[:-1]):
-                yield from pairs(rows.slice(start, length))
-            held = rows.slice(starts[-1])
-        if held is not None:
-            yield from pairs(held)
-
-    return run
-
-
 def _agreement(left: str, right: str) -> Column:
     return F.aggregate(
         F.zip_with(left, right, lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, same: total + same
@@ -254,11 +195,7 @@ class _Join:
         """Rows of tiles to be compared, from ``members`` (key, node, root); nodes of one root only are left out."""
         leaves, made = [], []
         for level in range(1, LEVELS + 1):
-            mixed = (
-                members.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-                .filter("low <> high").select("key", "size")
-            )
-            alive = cut(members.join(mixed, "key"))
+            alive = cut(forests.mixed_buckets(members))
             made.append(alive)
             last = level == LEVELS
             leaves.append((alive if last else alive.filter(F.col("size") <= LEAF)).withColumn("key", F.xxhash64("key", F.lit(level))))
@@ -266,36 +203,10 @@ class _Join:
             if last or large.isEmpty():
                 break
             members = self.children(large)
-        # Large leaves fall into blocks, and every two blocks meet in one tile.
-        blocks = F.ceil(F.col("size") / TILE).cast("int")
-        rows = reduce(DataFrame.unionByName, leaves).withColumn("blocks", blocks)
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        out = cut(rows.select(
-            F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
-            (F.col("block") == F.col("other")).alias("diagonal"), "block", "node", "root",
-        ))
+        out = cut(forests.tile_rows(reduce(DataFrame.unionByName, leaves)))
         discard(*made)
         return out
 
-    def within_nodes(self, members: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
-        """All links: ``links`` and those between sets of one node that ``links`` leaves apart.
-
-        In the first rounds a tile proposes a forest only; what its links join is not compared again.
-        The last round proposes all pairs that are still apart.
-        """
-        sketches = self.sets.select("node", "n", "bits")
-        for number in range(FORESTS + 1):
-            roots = cut(connected_components(nodes, links, []))
-            tiles = self.tiles(members.join(roots, "node").select("key", "node", "root"))
-            found = cut(
-                tiles.join(sketches, "node").repartition("tile").sortWithinPartitions("tile")
-                .mapInArrow(_compare(self.percent, number < FORESTS), "a long, b long").distinct()
-            )
-            links = links.unionByName(self.confirmed(found))
-            discard(tiles, found, roots)
-        return links
-
 
 def similar_components(
     docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, recall: float = RECALL
@@ -320,7 +231,7 @@ def similar_components(
     members = cut(entries.join(shared, "key"))
     nodes = sets.select("node")
     links = join.through_hubs(members)
-    links = join.within_nodes(members, links, nodes)
+    links = forests.grown(links, nodes, sets.select("node", "n", "bits"), join.tiles, members, join.confirmed, percent)
 
     # Rows of one doc_id with different texts tie their sets together.
     placed = cut(named.select("doc_id", "sig").distinct().join(same, "sig").select("doc_id", "node"))

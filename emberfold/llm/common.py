@@ -12,7 +12,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.session import scratch_path
+from emberfold.session import cut_lineage as cut  # noqa: F401
+from emberfold.session import drop_tables as discard  # noqa: F401
 
 # Words are runs of anything but these six characters; Java's regex syntax.
 SPACE = "[ \\t\\n\\x0B\\f\\r]+"
@@ -29,23 +30,6 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to a new table in the shared folder and read back; ``discard`` deletes it."""
-    path = scratch_path(df.sparkSession, "step")
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.scratch = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete tables of ``cut`` that nothing lazy depends on any more."""
-    for df in tables:
-        context = df.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(df.scratch)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def word_list(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 

@@ -12,9 +12,9 @@ entries that it would meet, segments that nobody shares being free. Candidates a
 full sets, so the links are exact.
 
 Equal sets are one node from the start. In a bucket of many members all pairs are never listed:
-each is verified against one hub, the same for most buckets of a group, and members linked with the
-same hub count as joined. Only pairs not joined in this way are left for the exhaustive step, in
-which 256 parities, that bound the difference of two sets from below, leave the near ones.
+each is verified against one hub, the same for most buckets of a group, and what is linked so counts
+as joined. Buckets that still hold several components are compared in tiles, which propose forests
+until only single pairs are left apart (``forests``).
 
 Defined cases: a null text, or one without words, has an empty set, is its own component and linked
 with nothing; a text of fewer words than a shingle is one shingle as a whole; rows with an equal
@@ -25,7 +25,7 @@ equality, the one of the smallest signature for similarity); a null doc_id has a
 from __future__ import annotations
 
 import math
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +33,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberfold.llm.common import hash_words, mix64, runs, shingle_hashes, slices, words_of
+from emberfold.llm import forests
+from emberfold.llm.common import cut, discard, hash_words, mix64, shingle_hashes, slices, words_of
 from emberfold.operators.components import connected_components
-from emberfold.session import cut_lineage
 
 SHINGLE, PERCENT = 3, 90
 # Ratio of the sizes at the ends of a band; spare segments, as a share of those needed.
 BAND, SPARE = 1.5, 0.12
-# Rounds in which the members of a bucket are compared with one of them.
-ROUNDS = 1
+# Whether the members of a bucket are first compared with one of them.
+HUBS = True
 PARITIES = ["b0", "b1", "b2", "b3"]
 
 
@@ -116,11 +116,21 @@ def _parities(own: np.ndarray) -> np.ndarray:
 
 
 def _summaries(width: int, percent: int):
+    """Sizes, signatures and sketches of all rows, and the entries of the first row of each set in a task."""
+
     def run(batches):
+        seen = set()
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets = shingle_sets(batch.column("text"), width)
-                keys, codes, owner = _entries(sets, percent)
+                sigs = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+                named = batch.column("doc_id").is_valid().to_pylist()
+                carries = []
+                for sig, has_id, own in zip(sigs, named, sets):
+                    carries.append(has_id and len(own) > 0 and sig not in seen)
+                    if carries[-1]:
+                        seen.add(sig)
+                keys, codes, owner = _entries([s if c else s[:0] for s, c in zip(sets, carries)], percent)
                 order = np.argsort(owner, kind="stable")
                 ends = np.cumsum(np.bincount(owner, minlength=len(sets)))[:-1]
                 split = lambda x: [p.tobytes() for p in np.split(x[order], ends)]
@@ -128,12 +138,14 @@ def _summaries(width: int, percent: int):
                     [
                         batch.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                        pa.array(sigs, pa.binary()),
+                        pa.array(carries, pa.bool_()),
+                        pa.array([forests.parities(s) for s in sets], pa.binary()),
                         *[pa.array(x) for x in np.array([_parities(s) for s in sets]).T],
                         pa.array(split(keys.astype("<u8")), pa.binary()),
                         pa.array(split(codes.astype("<i4")), pa.binary()),
                     ],
-                    names=["doc_id", "n", "sig", *PARITIES, "keys", "codes"],
+                    names=["doc_id", "n", "sig", "carries", "bits", *PARITIES, "keys", "codes"],
                 )
 
     return run
@@ -157,12 +169,10 @@ def _spread(batches):
 
 def _shared(entries: DataFrame) -> DataFrame:
     """Entries whose key is another entry's too, with the key's exact and deletion entries."""
-    deletion = F.col("code") % 2
-    counts = (
-        entries.groupBy("key").agg(F.sum(1 - deletion).alias("exact"), F.sum(deletion).alias("deletions"))
-        .filter("exact > 0 AND exact + deletions > 1")
-    )
-    return entries.join(counts, "key")
+    deletion, of_key = F.col("code") % 2, Window.partitionBy("key")
+    return entries.withColumns(
+        {"exact": F.sum(1 - deletion).over(of_key), "deletions": F.sum(deletion).over(of_key)}
+    ).filter("exact > 0 AND exact + deletions > 1")
 
 
 def _probes(shared: DataFrame, percent: int) -> DataFrame:
@@ -249,18 +259,19 @@ def _set_rows(width: int):
 def similar_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    base = cut_lineage(
+    base = cut(
         docs.select("doc_id", "text").mapInArrow(
-            _summaries(width, percent), f"doc_id {kind}, n long, sig binary, b0 long, b1 long, b2 long, b3 long, keys binary, codes binary"
+            _summaries(width, percent), f"doc_id {kind}, n long, sig binary, carries boolean, bits binary, b0 long, b1 long, b2 long, b3 long, keys binary, codes binary"
         )
     )
     named = base.filter("doc_id IS NOT NULL AND n > 0")
-    same = named.groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    # A task carries a set once, so that a group of copies has no more entries than tasks.
+    same = named.filter("carries").groupBy("sig").agg(F.min("doc_id").alias("rep"))
     # doc -> rep of each text it stands for; a doc_id on several texts ties their reps together.
     member = named.select("doc_id", "sig").distinct().join(same, "sig").select("doc_id", "rep")
-    reps = cut_lineage(
-        named.join(same, "sig").filter("doc_id = rep")
-        .groupBy("rep").agg(F.min(F.struct("sig", "n", *PARITIES)).alias("x")).select(F.col("rep").alias("doc"), "x.*").drop("sig")
+    reps = cut(
+        named.filter("carries").join(same, "sig").filter("doc_id = rep")
+        .groupBy("rep").agg(F.min(F.struct("sig", "n", "bits", *PARITIES)).alias("x")).select(F.col("rep").alias("doc"), "x.*").drop("sig")
     )
     links = _links(docs, base, reps, width, percent, kind)
     ties = member.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -275,52 +286,52 @@ def similar_components(docs: DataFrame, *, width: int = SHINGLE, percent: int =
 def _links(docs: DataFrame, base: DataFrame, reps: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
     """(a, b): verified links that connect all components of the representatives of equal sets."""
     entries = (
-        base.filter("doc_id IS NOT NULL AND n > 0")
-        .select("doc_id", "keys", "codes").mapInArrow(_spread, f"key long, code int, doc {kind}")
+        base.filter("carries").select("doc_id", "keys", "codes").mapInArrow(_spread, f"key long, code int, doc {kind}")
     )
-    first = _shared(entries).select("key", "code", "doc")
-    shared = cut_lineage(_shared(cut_lineage(first.join(reps.select("doc"), "doc", "left_semi"))).join(reps, "doc"))
+    first = cut(_shared(entries).select("key", "code", "doc").join(reps.select("doc"), "doc", "left_semi"))
+    shared = cut(_shared(first).join(reps.drop("bits"), "doc"))
+    discard(first)
     bought = _probes(shared.drop(*PARITIES), percent)
-    probes = cut_lineage(bought.join(reps.drop("n"), "doc"))
+    probes = cut(bought.join(reps.drop("n", "bits"), "doc"))
     other = [F.col("doc").alias("other"), F.col("n").alias("m"), *[F.col(b).alias(b.replace("b", "c")) for b in PARITIES]]
-    members = cut_lineage(
+    members = cut(
         shared.withColumn("want", F.col("code") % 2)
         .join(probes.select("key", "want").distinct(), ["key", "want"], "left_semi").select("key", "want", *other)
     )
+    discard(shared)
     involved = probes.select("doc").union(members.select("other")).distinct()
-    sets = cut_lineage(
+    sets = cut(
         docs.select("doc_id", "text").join(involved.withColumnRenamed("doc", "doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
         .mapInArrow(_set_rows(width), f"doc {kind}, sig binary, set binary")
         .groupBy("doc").agg(F.min(F.struct("sig", "set"))["set"].alias("set"))
     )
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        near = pairs.filter(_near(percent)).select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
-        return cut_lineage(
-            near.join(sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b")), "b")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return cut(
+            pairs.join(sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b")), "b")
             .join(sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a")), "a")
             .mapInArrow(_verify(percent), f"a {kind}, b {kind}")
         )
 
-    found, hub_of = [], None
-    for number in range(ROUNDS):
-        order = F.struct(F.xxhash64("other", F.lit(number)).alias("h"), *[c for c in members.columns if c not in ("key", "want")])
+    links = docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
+    if HUBS:
+        order = F.struct(F.xxhash64("other").alias("h"), *[c for c in members.columns if c not in ("key", "want")])
         hubs = members.groupBy("key", "want").agg(F.min(order).alias("hub")).select("key", "want", "hub.*").drop("h")
-        new = verified(probes.join(hubs, ["key", "want"]).filter("doc <> other"))
-        found.append(new)
-        both = new.select("a", "b").union(new.select("b", "a")).toDF("doc", "hub")
-        # Of the documents that one is linked with, the one that most buckets have as their hub.
-        linked = both.union(both.select("doc", "doc")).groupBy("doc").agg(F.min(F.struct(F.xxhash64("hub", F.lit(number)), "hub"))["hub"].alias("hub"))
-        hub_of = cut_lineage(linked)
-    if hub_of is not None:
-        probes = probes.join(hub_of, "doc", "left").withColumn("hub", F.coalesce("hub", "doc"))
-        members = members.join(hub_of.toDF("other", "their"), "other", "left").withColumn("their", F.coalesce("their", "other"))
-    else:
-        probes, members = probes.withColumn("hub", F.col("doc")), members.withColumn("their", F.col("other"))
-    # The larger set of a pair probes; equal sizes probe both ways.
-    rest = probes.join(members, ["key", "want"]).filter("hub <> their AND m <= n")
-    found.append(verified(rest))
-    return reduce(DataFrame.unionByName, found)
+        near = probes.join(hubs, ["key", "want"]).filter("doc <> other").filter(_near(percent))
+        links = confirmed(near.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct())
+    # What meets under a bought key; of these the sets of one component need no further comparison.
+    met = cut(
+        probes.select("key", "want", "doc").union(members.select("key", "want", "other"))
+        .select(F.xxhash64("key", "want").alias("key"), F.col("doc").alias("node")).distinct()
+    )
+    discard(probes, members)
+    nodes = met.select("node").distinct()
+    sketches = reps.select(F.col("doc").alias("node"), "n", "bits")
+    links = forests.grown(
+        links, nodes, sketches, lambda rows: cut(forests.tile_rows(forests.mixed_buckets(rows))), met, confirmed, percent
+    )
+    discard(met, sets)
+    return links
 
 
 def one_of_each(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

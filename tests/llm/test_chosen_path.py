@@ -42,7 +42,7 @@ def test_borderline_groups_and_chains(spark, monkeypatch, small):
     """The same groups whether nodes are compared as they are or dealt on and cut into tiles."""
     if small:
         monkeypatch.setattr(cp, "LEAF", 3)
-        monkeypatch.setattr(cp, "TILE", 4)
+        monkeypatch.setattr(cp.forests, "TILE", 4)
         monkeypatch.setattr(cp, "LEVELS", 3)
         monkeypatch.setattr(cp, "HUBS", 1)
         monkeypatch.setattr(cp, "BROADCAST_ROWS", 0)

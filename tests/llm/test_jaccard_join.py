@@ -44,10 +44,11 @@ def test_components_equal_brute_force(docs, corpus, width, percent):
     assert got == brute([c[:2] for c in corpus], width, percent)
 
 
-@pytest.mark.parametrize("rounds", [0, 1])
-def test_borderline_groups_and_chains(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("hubs", [False, True])
+def test_borderline_groups_and_chains(spark, monkeypatch, hubs):
     """Near copies around the threshold, exact copies, chains, and texts that share a passage."""
-    monkeypatch.setattr(jj, "ROUNDS", rounds)
+    monkeypatch.setattr(jj, "HUBS", hubs)
+    monkeypatch.setattr(jj.forests, "TILE", 4096 if hubs else 8)
     rng = random.Random(5)
     rows, number = [], iter(range(10_000))
     passage = " ".join(f"p{i}" for i in range(60))
