@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfold.functions.geo import EARTH_RADIUS_KM, hav_distance, round_half_even
+from emberfold.session import cut_lineage
 
 RADIUS_KM = 50.0
 WINDOW_DAYS = 3
 # About 5 km at the equator, the resolution composites are taken at.
 PIXEL_DEGREES = 0.045
 TILE_DEGREES = 0.5
+DAY_MICROS = 86_400_000_000
 
 # Products with unit, scale, moderate and severe thresholds, text, collection.
 PRODUCTS = [
@@ -48,30 +50,94 @@ def coarsen_pixels(pixels: DataFrame, degrees: float = PIXEL_DEGREES) -> DataFra
     ).agg(_mean("value").alias("value"))
 
 
-def _tiles_in_reach(incidents: DataFrame, lat: str, lon: str, ts: str, radius_km: float, days: int) -> DataFrame:
-    """One row per (tile, UTC day) an incident's disc and time window can touch."""
+def _micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def _span_start(at: Column, span: int) -> Column:
+    return ((at - F.pmod(at, F.lit(span))) / span).cast("long")
+
+
+def pixel_series(pixels: DataFrame, days: int = WINDOW_DAYS, degrees: float = PIXEL_DEGREES) -> DataFrame:
+    """(product, pixel_y, pixel_x, tile_y, tile_x, span, images): each pixel's images in order of time.
+
+    Time is cut into spans as long as a window, and a series holds two spans in a row, so that every
+    window lies within one series and a series has the images of two windows at most.
+    """
+    span = 2 * days * DAY_MICROS
+    rounds = int(360 / TILE_DEGREES)
+    placed = coarsen_pixels(pixels, degrees).withColumns(
+        {
+            "tile_y": F.floor((F.col("pixel_y") + 0.5) * degrees / TILE_DEGREES),
+            "tile_x": F.pmod(F.floor((F.col("pixel_x") + 0.5) * degrees / TILE_DEGREES), F.lit(rounds)),
+            "at": _micros("image_ts"),
+        }
+    )
+    own = _span_start(F.col("at"), span)
+    return (
+        placed.withColumn("span", F.explode(F.array(own - 1, own)))
+        .groupBy("product", "pixel_y", "pixel_x", "tile_y", "tile_x", "span")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("images"))
+    )
+
+
+def _reach(incidents: DataFrame, radius_km: float, days: int) -> DataFrame:
+    """One row per tile an incident's disc can touch, with the span that its window starts in."""
     angle = radius_km / EARTH_RADIUS_KM
     dlat = math.degrees(angle) * (1 + 1e-9)
-    narrow = F.cos(F.radians(F.least(F.abs(F.col(lat)) + dlat, F.lit(90.0))))
+    narrow = F.cos(F.radians(F.least(F.abs(F.col("_lat")) + dlat, F.lit(90.0))))
     share = F.lit(math.sin(angle)) / F.greatest(narrow, F.lit(1e-12))
     dlon = F.when(share < 1.0, F.degrees(F.asin(F.least(share, F.lit(1.0)))) * (1 + 1e-9)).otherwise(180.0)
-    tiles_round = int(360 / TILE_DEGREES)
-    first_x = F.floor((F.col(lon) - dlon) / TILE_DEGREES)
-    last_x = F.least(F.floor((F.col(lon) + dlon) / TILE_DEGREES), first_x + (tiles_round - 1))
+    rounds = int(360 / TILE_DEGREES)
+    first_x = F.floor((F.col("_lon") - dlon) / TILE_DEGREES)
+    last_x = F.least(F.floor((F.col("_lon") + dlon) / TILE_DEGREES), first_x + (rounds - 1))
+    rows = F.sequence(F.floor((F.col("_lat") - dlat) / TILE_DEGREES), F.floor((F.col("_lat") + dlat) / TILE_DEGREES))
+    length = days * DAY_MICROS
     return (
-        incidents.withColumn(
-            "tile_y",
-            F.explode(
-                F.sequence(
-                    F.floor((F.col(lat) - dlat) / TILE_DEGREES), F.floor((F.col(lat) + dlat) / TILE_DEGREES)
-                )
-            ),
-        )
+        incidents.withColumn("tile_y", F.explode(rows))
         .withColumn("tile_x", F.explode(F.sequence(first_x, last_x)))
-        .withColumn("tile_x", F.pmod("tile_x", F.lit(tiles_round)))
-        .withColumn("_from", F.col(ts) - F.expr(f"INTERVAL {days} DAYS"))
-        .withColumn("_until", F.col(ts) + F.expr(f"INTERVAL {days} DAYS"))
-        .withColumn("_day", F.explode(F.sequence(F.to_date("_from"), F.to_date("_until"))))
+        .withColumn("tile_x", F.pmod("tile_x", F.lit(rounds)))
+        .withColumns({"_from": F.col("_at") - length, "_until": F.col("_at") + length})
+        .withColumn("span", _span_start(F.col("_from"), 2 * length))
+    )
+
+
+def windows_seen(reach: DataFrame, series: DataFrame) -> DataFrame:
+    """``reach`` with the first and last image that each window sees in its tile.
+
+    Two windows that see the same images of a tile are one from here on: however many incidents a
+    site has, its windows are at most twice as many as its images.
+    """
+    tile = ["tile_y", "tile_x", "span"]
+    times = (
+        series.select(*tile, F.explode("images.at").alias("at")).groupBy(*tile)
+        .agg(F.array_sort(F.collect_set("at")).alias("_times"))
+    )
+    seen = F.filter("_times", lambda t: (t >= F.col("_from")) & (t < F.col("_until")))
+    return (
+        reach.join(times, tile).withColumn("_seen", seen).filter(F.size("_seen") > 0)
+        .withColumns({"first": F.get("_seen", F.lit(0)), "last": F.element_at("_seen", -1)})
+        .drop("_times", "_seen", "_from", "_until")
+    )
+
+
+def window_medians(series: DataFrame, windows: DataFrame) -> DataFrame:
+    """Each pixel's median over its images of each distinct window (tile_y, tile_x, span, first, last)."""
+    inside = F.filter("images", lambda i: (i["at"] >= F.col("first")) & (i["at"] <= F.col("last")))
+    values = F.array_sort(F.transform(F.filter("_in", lambda i: i["value"].isNotNull()), lambda i: i["value"]))
+    size = F.size("_values")
+
+    def middle(above: int) -> Column:
+        return F.get("_values", F.floor((size - 1 + above) / 2).cast("int")) * 0.5
+
+    return (
+        series.join(windows.select("tile_y", "tile_x", "span", "first", "last").distinct(), ["tile_y", "tile_x", "span"])
+        .withColumn("_in", inside).filter(F.size("_in") > 0)
+        .withColumn("_values", values)
+        .select(
+            "tile_y", "tile_x", "span", "first", "last", "product", "pixel_y", "pixel_x",
+            F.size("_in").cast("long").alias("images"), F.when(size > 0, middle(0) + middle(1)).alias("median"),
+        )
     )
 
 
@@ -88,38 +154,19 @@ def composite_mean(
 ) -> DataFrame:
     """(keys, product, images, composite): mean over the disc of each pixel's median in time.
 
-    Pixels count by their centre; the window is [ts - days, ts + days). The join runs on
-    (tile, day), so one busy place is spread over its days; each pixel's median is over the images
-    that show it within the window.
+    Pixels count by their centre; the window is [ts - days, ts + days). The series of the pixels
+    are written once; medians are taken once per pixel and distinct window, and only then meet the
+    discs of the incidents.
     """
-    angle = radius_km / EARTH_RADIUS_KM
-    limit = math.sin(angle / 2.0) ** 2
-    tiles_round = int(360 / TILE_DEGREES)
-    pix = coarsen_pixels(pixels, degrees).withColumns(
-        {"_plat": (F.col("pixel_y") + 0.5) * degrees, "_plon": (F.col("pixel_x") + 0.5) * degrees}
-    )
-    pix = pix.withColumns(
-        {
-            "tile_y": F.floor(F.col("_plat") / TILE_DEGREES),
-            "tile_x": F.pmod(F.floor(F.col("_plon") / TILE_DEGREES), F.lit(tiles_round)),
-            "_day": F.to_date("image_ts"),
-        }
-    )
-    around = _tiles_in_reach(
-        incidents.select(*keys, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), F.col(ts).alias("_ts")),
-        "_lat", "_lon", "_ts", radius_km, days,
-    )
-    seen = around.join(pix, ["tile_y", "tile_x", "_day"]).filter(
-        (F.col("image_ts") >= F.col("_from"))
-        & (F.col("image_ts") < F.col("_until"))
-        & (hav_distance(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon")) <= limit)
-    )
-    per_pixel = seen.groupBy(*keys, "product", "pixel_y", "pixel_x").agg(
-        F.median("value").alias("_median"), F.count("*").alias("_images")
-    )
-    return per_pixel.groupBy(*keys, "product").agg(
-        F.sum("_images").alias("images"), _mean("_median").alias("composite")
+    limit = math.sin(radius_km / EARTH_RADIUS_KM / 2.0) ** 2
+    series = cut_lineage(pixel_series(pixels, days, degrees))
+    placed = incidents.select(*keys, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), _micros(ts).alias("_at"))
+    reach = cut_lineage(windows_seen(_reach(placed, radius_km, days), series))
+    centre = [(F.col(c) + 0.5) * degrees for c in ("pixel_y", "pixel_x")]
+    near = reach.join(window_medians(series, reach), ["tile_y", "tile_x", "span", "first", "last"]).filter(
+        hav_distance(F.col("_lat"), F.col("_lon"), *centre) <= limit
     )
+    return near.groupBy(*keys, "product").agg(F.sum("images").alias("images"), _mean("median").alias("composite"))
 
 
 def product_rows(incidents: DataFrame, keys: list[str]) -> DataFrame:

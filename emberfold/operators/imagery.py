@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from emberfold.functions.geo import visual_stretch
 from emberfold.functions.times import iso_utc
+from emberfold.operators.components import rank_within
 from emberfold.operators.standardize import union_feeds
+from emberfold.session import cut_lineage
 
 PADDING_DEGREES = 0.05
 LOOKBACK_DAYS = 13
-# Well below the footprint of a scene (about 1 degree for the smallest), so that scenes cover whole tiles.
-TILE_DEGREES = 0.25
+# Half the footprint of the smallest scenes, so that each covers a finest cell; cells double in size by level.
+TILE_DEGREES = 0.5
+LEVELS = 4
 
 # Display range of each source, with a gamma of 1.4.
 STRETCH_RANGE = {"sentinel2": (0.0, 3500.0), "landsat": (8000.0, 30000.0)}
@@ -82,10 +85,43 @@ def scenes_in_window(scenes: DataFrame, run_date: str, lookback: int = LOOKBACK_
     return scenes.filter((F.col("time_start_ms") >= low) & (F.col("time_start_ms") < high))
 
 
-def _tiles(df: DataFrame, degrees: float) -> DataFrame:
-    rows = F.sequence(F.floor(F.col("min_lat") / degrees), F.floor(F.col("max_lat") / degrees))
-    columns = F.sequence(F.floor(F.col("min_lon") / degrees), F.floor(F.col("max_lon") / degrees))
-    return df.withColumn("_ty", F.explode(rows)).withColumn("_tx", F.explode(columns))
+def _cells(low: Column, high: Column, degrees: float) -> tuple[Column, Column]:
+    """First and last cell that the closed range touches."""
+    return F.floor(low / degrees), F.floor(high / degrees)
+
+
+def _touched(df: DataFrame, degrees: float) -> DataFrame:
+    """``df`` once for every finest cell that its box touches."""
+    for name, low, high in (("_cy", "min_lat", "max_lat"), ("_cx", "min_lon", "max_lon")):
+        df = df.withColumn(name, F.explode(F.sequence(*_cells(F.col(low), F.col(high), degrees))))
+    return df
+
+
+def _covers(size: Column, cx: Column, cy: Column) -> Column:
+    """Whether the row's box covers a cell of the given size."""
+    return (
+        (F.col("min_lon") <= cx * size) & (F.col("max_lon") >= (cx + 1) * size)
+        & (F.col("min_lat") <= cy * size) & (F.col("max_lat") >= (cy + 1) * size)
+    )
+
+
+def _covered(df: DataFrame, degrees: float) -> DataFrame:
+    """``df`` once for every cell of every level that its box covers without covering the next level's."""
+    df = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    df = df.withColumn("_size", F.lit(degrees) * F.expr("shiftleft(1, _level)"))
+    for name, low, high in (("_cy", "min_lat", "max_lat"), ("_cx", "min_lon", "max_lon")):
+        first, last = F.ceil(F.col(low) / F.col("_size")), F.floor(F.col(high) / F.col("_size")) - 1
+        df = df.withColumn(name, F.explode(F.when(first <= last, F.sequence(first, last))))
+    size, cx, cy = F.col("_size"), F.col("_cx"), F.col("_cy")
+    below = (F.col("_level") < LEVELS - 1) & _covers(2 * size, F.floor(cx / 2), F.floor(cy / 2))
+    return df.filter(_covers(size, cx, cy) & ~below).drop("_size")
+
+
+def _best_of_days(entries: DataFrame) -> DataFrame:
+    """(cell, source, _block, _days): the best scene of each day of a block of days, one entry per day."""
+    cell = ["_level", "_cy", "_cx", "data_source", "_block"]
+    daily = entries.groupBy(*cell, "_day").agg(F.min("_place").alias("_place"))
+    return daily.groupBy(*cell).agg(F.collect_list(F.struct("_day", "_place")).alias("_days"))
 
 
 def best_scene(
@@ -97,70 +133,62 @@ def best_scene(
 ) -> DataFrame:
     """Least cloudy scene per (region, run date, source) among those that overlap the region.
 
-    Regions meet scenes on (tile, day). A scene that covers a whole tile overlaps whatever
-    lies in it, so of those only the best per (tile, day, source) is kept before the join.
-    Scenes with an edge in the tile are compared with each region, but only those at least as
-    clear as the best covering scene can still win, which leaves few pairs to rank.
+    A scene is entered in the largest grid cells that it covers, of ``LEVELS`` sizes, and in the
+    finest cells that hold its edge. A scene that covers a cell overlaps whatever lies in it, so per
+    cell and source only the best of each day is kept (scenes are numbered in their order first), in blocks as long as the window: a window slides
+    over the end of one block and the start of the next, so a region looks up its cells and those
+    above them twice, whatever the number of days. Scenes with an edge in a cell are compared with each
+    region of the cell, but only those before the best covering scene can still win.
     """
-    rank = F.struct(
-        F.col("cloud_cover").isNull().alias("r0"), F.col("cloud_cover").alias("r1"),
-        (-F.col("time_start_ms")).alias("r2"), F.col("scene_id").alias("r3"),
-    )
-    record = F.struct("scene_id", "time_start_ms", "cloud_cover", rank.alias("rank"))
+    days = lookback + 1
     box = ["min_lon", "min_lat", "max_lon", "max_lat"]
-    tiled = _tiles(
-        scenes.withColumn("_day", F.to_date(F.timestamp_millis("time_start_ms"))), degrees
-    ).withColumns({"_scene": record, "_covers": (
-        (F.col("min_lon") <= F.col("_tx") * degrees) & (F.col("max_lon") >= (F.col("_tx") + 1) * degrees)
-        & (F.col("min_lat") <= F.col("_ty") * degrees) & (F.col("max_lat") >= (F.col("_ty") + 1) * degrees)
-    )})
-    place = ["_ty", "_tx", "_day"]
-    full = (
-        tiled.filter("_covers")
-        .groupBy(*place, "data_source")
-        .agg(F.min_by("_scene", "_scene.rank").alias("_scene"))
+    order = [F.col("cloud_cover").isNull(), F.col("cloud_cover"), -F.col("time_start_ms"), F.col("scene_id")]
+    placed = cut_lineage(rank_within(
+        scenes.select("data_source", "scene_id", "time_start_ms", "cloud_cover", *box), ["data_source"], order, "_place"
+    ))
+    day = F.floor(F.col("time_start_ms") / 86_400_000)
+    dated = placed.select("data_source", *box, "_place", F.floor(day / days).alias("_block"), day.alias("_day"))
+    full = _best_of_days(_covered(dated, degrees))
+    edges = _touched(dated, degrees).filter(~_covers(F.lit(degrees), F.col("_cx"), F.col("_cy"))).select(
+        "_cy", "_cx", "_block", "_day", "data_source", "_place", *[F.col(c).alias("s_" + c) for c in box]
     )
-    part = tiled.filter("NOT _covers").select(
-        *place, "data_source", "_scene", *[F.col(c).alias("s_" + c) for c in box]
+
+    key = ["region_id", date_column]
+    end = F.datediff(F.col(date_column), F.lit("1970-01-01").cast("date")).cast("long")
+    blocks = F.array_distinct(F.array(F.floor((F.col("_end") - lookback) / days), F.floor(F.col("_end") / days)))
+    cells = cut_lineage(
+        _touched(regions.select(*key, *box), degrees).withColumn("_end", end)
+        .withColumn("_block", F.explode(blocks))
     )
-    days = F.sequence(F.date_sub(date_column, lookback), F.col(date_column))
-    wanted = _tiles(regions.select("region_id", date_column, *box), degrees).withColumn("_day", F.explode(days))
-    overlaps = (
-        (F.col("s_min_lon") <= F.col("max_lon")) & (F.col("s_max_lon") >= F.col("min_lon"))
-        & (F.col("s_min_lat") <= F.col("max_lat")) & (F.col("s_max_lat") >= F.col("min_lat"))
+    above = cells.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))).select(
+        *key, "_end", "_block", "_level", *[F.expr(f"shiftright({c}, _level)").alias(c) for c in ("_cy", "_cx")]
     )
-    key = ["region_id", date_column]
-    best_full = (
-        wanted.join(full, place)
-        .groupBy(*key, "data_source")
-        .agg(F.min_by("_scene", "_scene.rank").alias("_scene"))
+    inside = F.filter("_days", lambda x: (x["_day"] <= F.col("_end")) & (x["_day"] >= F.col("_end") - lookback))
+    best_full = cut_lineage(
+        above.distinct().join(full, ["_level", "_cy", "_cx", "_block"])
+        .select(*key, "data_source", F.array_min(F.transform(inside, lambda x: x["_place"])).alias("_place"))
+        .filter("_place IS NOT NULL")
+        .groupBy(*key, "data_source").agg(F.min("_place").alias("_place"))
     )
-    never = F.lit(float("inf"))
     # One entry per source.
     limits = best_full.groupBy(*key).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("data_source", F.coalesce("_scene.cloud_cover", never)))
-        ).alias("_limits")
+        F.map_from_entries(F.collect_list(F.struct("data_source", "_place"))).alias("_limits")
     )
-    limit = F.coalesce(F.try_element_at("_limits", F.col("data_source")), never)
+    overlaps = (
+        (F.col("s_min_lon") <= F.col("max_lon")) & (F.col("s_max_lon") >= F.col("min_lon"))
+        & (F.col("s_min_lat") <= F.col("max_lat")) & (F.col("s_max_lat") >= F.col("min_lat"))
+    )
+    beaten = F.col("_place") > F.try_element_at("_limits", F.col("data_source"))
     contenders = (
-        wanted.join(limits, key, "left")
-        .join(part, place)
-        .filter(overlaps & (F.coalesce("_scene.cloud_cover", never) <= limit))
-        .select(*key, "data_source", "_scene")
+        cells.join(limits, key, "left").join(edges, ["_cy", "_cx", "_block"])
+        .filter((F.col("_day") <= F.col("_end")) & (F.col("_day") >= F.col("_end") - lookback))
+        .filter(overlaps & ~F.coalesce(beaten, F.lit(False)))
+        .select(*key, "data_source", "_place")
     )
-    return (
-        best_full.unionByName(contenders)
-        .groupBy(*key, "data_source")
-        .agg(F.min_by("_scene", "_scene.rank").alias("s"))
-        .select(
-            "region_id",
-            date_column,
-            "data_source",
-            F.col("s.scene_id").alias("original_id"),
-            iso_utc(F.timestamp_millis(F.col("s.time_start_ms"))).alias("acquisition_date_utc"),
-            F.col("s.cloud_cover").alias("cloud_cover"),
-        )
+    best = best_full.unionByName(contenders).groupBy(*key, "data_source").agg(F.min("_place").alias("_place"))
+    return best.join(placed.drop(*box), ["data_source", "_place"]).select(
+        *key, "data_source", F.col("scene_id").alias("original_id"),
+        iso_utc(F.timestamp_millis("time_start_ms")).alias("acquisition_date_utc"), "cloud_cover",
     )
 
 

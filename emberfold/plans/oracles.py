@@ -421,7 +421,7 @@ STATEMENTS: dict[str, str] = {
     "core_point_counts": f"{_density('wide', '8 in 5 km')} UNION ALL {_density('tight', '3 in 2 km')}",
     "cluster_summaries": f"""SELECT cluster_id, point_count, round(centroid_latitude, 6) AS centroid_latitude,
   round(centroid_longitude, 6) AS centroid_longitude, array_to_string(sources, ',') AS detected_by,
-  {text_time('first_detected')}, {text_time('last_detected')}, round(avg_frp + 1e-8::DOUBLE, 6) AS avg_frp,
+  {text_time('first_detected')}, {text_time('last_detected')}, round(avg_frp, 6) AS avg_frp,
   round(min_lat, 6) AS min_lat, round(max_lat, 6) AS max_lat, round(min_lon, 6) AS min_lon,
   round(max_lon, 6) AS max_lon FROM summary""",
     "asof_weather": f"""SELECT round(latitude, 9) AS latitude, round(longitude, 9) AS longitude,
@@ -431,7 +431,7 @@ STATEMENTS: dict[str, str] = {
                   'acq_datetime')})""",
     "weather_context": """SELECT cluster_id, timestamp_utc, temperature_celsius, relative_humidity_percent,
   dew_point_celsius, precipitation_mm, wind_speed_kmh, wind_direction_deg, wind_gusts_kmh, error FROM site_weather""",
-    "aq_composite": """SELECT cluster_id, product, status, images, round(scaled + 1e-8::DOUBLE, 5) AS value, severity
+    "aq_composite": """SELECT cluster_id, product, status, images, round(scaled, 9) AS value, severity
   FROM site_measured""",
     "aq_class": """SELECT cluster_id, severe_count, moderate_count, air_quality_severity, messages FROM site_air""",
     "severity": """SELECT cluster_id, overall_severity, score AS severity_score, factors, weather_severity
@@ -451,7 +451,7 @@ STATEMENTS: dict[str, str] = {
   round(point_count / 10::DOUBLE - 2::DOUBLE, 6) AS raw_score FROM sites""",
     "incidents_flat": f"""SELECT cluster_id, point_count, round(centroid_latitude, 6) AS centroid_latitude,
   round(centroid_longitude, 6) AS centroid_longitude, {text_time('first_detected')}, {text_time('last_detected')},
-  round(avg_frp + 1e-8::DOUBLE, 6) AS avg_frp, temperature_celsius, air_quality_severity, overall_severity,
+  round(avg_frp, 6) AS avg_frp, temperature_celsius, air_quality_severity, overall_severity,
   score AS severity_score, round(raw_score, 9) AS raw_score, round(confidence_score, 9) AS confidence_score,
   {_tier('confidence_score')} AS risk_level FROM incident_score""",
     "report_markers": f"""SELECT cluster_id, round(centroid_latitude, 6) AS centroid_latitude,
@@ -533,7 +533,7 @@ STATEMENTS: dict[str, str] = {
   FROM events WHERE event_type = 'view' AND ts >= {_DAY_START} AND ts < {_DAY_END} GROUP BY 1""",
     "polygon_scan": """SELECT poly_id, layer_revi, corner::INTEGER AS corner, round(lon, 9) AS lon, round(lat, 9) AS lat
   FROM corners""",
-    "incident_records": """SELECT cluster_id, point_count, point_count AS nested, round(avg_frp + 1e-8::DOUBLE, 6) AS avg_frp,
+    "incident_records": """SELECT cluster_id, point_count, point_count AS nested, round(avg_frp, 6) AS avg_frp,
   overall_severity, strftime(first_detected, '%Y-%m-%dT%H:%M:%S+00:00') AS first_detected_utc FROM incident_severity""",
     "prediction_files": """SELECT instance_id, count(*) AS predictions, max(raw_score) AS top_raw_score
   FROM predictions GROUP BY 1""",

@@ -63,11 +63,6 @@ def _r(column: str, places: int = 6) -> Column:
     return F.round(column, places).alias(column)
 
 
-def _off_ties(column: str, places: int) -> Column:
-    """Rounded, nudged off decimal ties that the order of a sum would otherwise decide."""
-    return F.round(F.col(column) + 1e-8, places)
-
-
 def _golden_row(*more: Column | str) -> list[Column | str]:
     return [
         _r("latitude", 9), _r("longitude", 9), _time("acq_datetime"), "frp_mean", _r("frp_max"),
@@ -210,7 +205,7 @@ def cluster_summaries(spark, sf_dir):
     return cluster_summary(_clusters(spark, sf_dir)).select(
         "cluster_id", "point_count", _r("centroid_latitude"), _r("centroid_longitude"),
         F.array_join("detected_by", ",").alias("detected_by"), _time("first_detected"), _time("last_detected"),
-        _off_ties("avg_frp", 6).alias("avg_frp"), _r("min_lat"), _r("max_lat"), _r("min_lon"), _r("max_lon"),
+        _r("avg_frp"), _r("min_lat"), _r("max_lat"), _r("min_lon"), _r("max_lon"),
     )
 
 
@@ -242,7 +237,7 @@ def aq_composite(spark, sf_dir):
     keys = ["cluster_id"]
     sites = derive.site_incidents(spark, sf_dir)
     rows = aq.measurements(sites, aq.composite_mean(sites, derive.pixels(spark, sf_dir), keys), keys)
-    return rows.select("cluster_id", "product", "status", "images", _off_ties("scaled", 5).alias("value"), "severity")
+    return rows.select("cluster_id", "product", "status", "images", F.round("scaled", 9).alias("value"), "severity")
 
 
 @query
@@ -303,7 +298,7 @@ def incidents_flat(spark, sf_dir):
     confidence = 1.0 / (1.0 + F.exp(-F.col("raw_score")))
     return scored.select(
         "cluster_id", "point_count", _r("centroid_latitude"), _r("centroid_longitude"),
-        _time("first_detected"), _time("last_detected"), _off_ties("avg_frp", 6).alias("avg_frp"),
+        _time("first_detected"), _time("last_detected"), _r("avg_frp"),
         "realtime_context.weather.temperature_celsius", "realtime_context.air_quality.air_quality_severity",
         "fire_severity_assessment.overall_severity", "fire_severity_assessment.severity_score",
         F.round("raw_score", 9).alias("raw_score"), F.round(confidence, 9).alias("confidence_score"),
@@ -567,7 +562,7 @@ def incident_records(spark, sf_dir):
     records.write_by_run(hotspots, f"{out}/hotspots")
     read = with_power(records.read_incidents(spark, f"{out}/records"))
     return nest_hotspots(read, records.read_hotspots(spark, f"{out}/hotspots")).select(
-        "cluster_id", "point_count", F.size("hotspots").cast("long").alias("nested"), _off_ties("avg_frp", 6).alias("avg_frp"),
+        "cluster_id", "point_count", F.size("hotspots").cast("long").alias("nested"), _r("avg_frp"),
         "fire_severity_assessment.overall_severity", "first_detected_utc",
     )
 

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,47 @@ def test_composite_is_mean_of_medians(spark):
     assert out[0].composite == 3.0
 
 
+def test_work_does_not_grow_with_the_incidents_of_a_site(spark):
+    """Pixels are read once, and medians taken per distinct window, whether 1 or 400 incidents ask."""
+    rng, day = np.random.default_rng(2), ts("2024-01-10 00:00")
+    rows = [
+        ("CO", day + timedelta(hours=6 * int(h)), 0.1 * y, 100.0 + 0.1 * x, None if (h + x) % 9 == 0 else float(rng.uniform()))
+        for h in range(-20, 20) for y in range(3) for x in range(3)
+    ]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    pixels = spark.createDataFrame(rows, PIXELS)
+    places = [(f"i{i}", 0.0, 100.0 + i / 4000, day + timedelta(minutes=7 * i)) for i in range(400)]
+    kind = "cluster_id STRING, centroid_latitude DOUBLE, centroid_longitude DOUBLE, last_detected TIMESTAMP"
+    results = {}
+    for many in (1, 400):
+        read.value = 0
+        sites = spark.createDataFrame(places[:many], kind)
+        out = aq.composite_mean(sites, pixels.mapInArrow(counted, PIXELS), ["cluster_id"]).collect()
+        assert read.value == len(rows)
+        results[many] = {r.cluster_id: (r.images, round(r.composite, 12)) for r in out}
+    assert results[1]["i0"] == results[400]["i0"]
+    for name, _, lon, at in places[::57]:
+        medians, images = [], 0
+        for y in range(3):
+            for x in range(3):
+                inside = [r[4] for r in rows if (r[2], r[3]) == (0.1 * y, 100.0 + 0.1 * x) and at - timedelta(3) <= r[1] < at + timedelta(3)]
+                images += len(inside)
+                medians.append(np.median([v for v in inside if v is not None]))
+        assert results[400][name] == (images, round(float(np.mean(medians)), 12))
+    series = aq.pixel_series(pixels)
+    reach = aq._reach(spark.createDataFrame(places, kind).selectExpr(
+        "cluster_id", "centroid_latitude AS _lat", "centroid_longitude AS _lon", "unix_micros(last_detected) AS _at"
+    ), aq.RADIUS_KM, aq.WINDOW_DAYS)
+    windows = aq.windows_seen(reach, series)
+    assert windows.count() == 400 and aq.window_medians(series, windows).count() <= 9 * 2 * 2 * 40
+
+
 def test_composite_across_the_antimeridian(spark):
     rows = [("CO", ts("2024-01-10 12:00"), 0.02, -179.98, 5.0)]
     out = aq.composite_mean(incident(spark, lon=179.9), spark.createDataFrame(rows, PIXELS), ["cluster_id"]).collect()

@@ -52,6 +52,42 @@ def test_best_scene_against_all_pairs(spark):
     assert {(r.region_id, r.data_source): r.original_id for r in out.collect()} == {k: v[2] for k, v in expected.items()}
 
 
+def test_scenes_of_one_degree_are_few_entries(spark):
+    """Every scene of 1 degree covers a finest cell; larger scenes take few, larger cells."""
+    rng = np.random.default_rng(3)
+    for size, most_covered, most_edges in ((1.0, 1, 8), (1.8, 9, 18), (6.0, 40, 48)):
+        rows = [(i, float(x), float(y), float(x + size), float(y + size)) for i, (x, y) in enumerate(rng.uniform(-9, 120, (200, 2)))]
+        df = spark.createDataFrame(rows, "i INT, min_lon DOUBLE, min_lat DOUBLE, max_lon DOUBLE, max_lat DOUBLE")
+        counts, area = {}, {}
+        for r in M._covered(df, M.TILE_DEGREES).collect():
+            counts[r.i] = counts.get(r.i, 0) + 1
+            area[r.i] = area.get(r.i, 0) + 4**r._level
+        touched = M._touched(df, M.TILE_DEGREES)
+        inside = touched.filter(M._covers(F.lit(M.TILE_DEGREES), F.col("_cx"), F.col("_cy"))).groupBy("i").count().collect()
+        assert area == {r.i: r["count"] for r in inside} and len(area) == 200 and max(counts.values()) <= most_covered
+        edges = touched.filter(~M._covers(F.lit(M.TILE_DEGREES), F.col("_cx"), F.col("_cy"))).groupBy("i").count().collect()
+        assert max(r["count"] for r in edges) <= most_edges
+
+
+def test_sliding_minimum_over_every_window(spark):
+    """One covering scene a day: each window of 14 days finds the clearest of its own days."""
+    rng = np.random.default_rng(4)
+    clouds = [float(c) for c in rng.permutation(60)]
+    start = date(2023, 12, 1).toordinal()
+    scenes = [
+        (f"s{i}", "landsat", ms(date.fromordinal(start + i).isoformat() + "T10:00:00"), clouds[i], 99.0, -1.0, 102.0, 2.0)
+        for i in range(60) if i % 7
+    ]
+    regions = [(f"r{i}", date.fromordinal(start + i), 100.2, 0.2, 100.4, 0.4) for i in range(80)]
+    got = {r.region_id: r.cloud_cover for r in M.best_scene(spark.createDataFrame(regions, REGION), spark.createDataFrame(scenes, SCENES)).collect()}
+    want = {}
+    for i in range(80):
+        own = [clouds[k] for k in range(max(0, i - 13), min(60, i + 1)) if k % 7]
+        if own:
+            want[f"r{i}"] = min(own)
+    assert got == want
+
+
 def test_window_catalogue_bands(spark):
     scenes = spark.createDataFrame([("a", "landsat", ms("2024-01-01T00:00:00"), 1.0, 0.0, 0.0, 1.0, 1.0)], SCENES)
     assert M.scenes_in_window(scenes, "2024-01-14").count() == 1
