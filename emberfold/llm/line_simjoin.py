@@ -14,8 +14,8 @@ pass; the rest of its list comes to bear only if none of these removes it, so a
 thousands of near copies is never paired up. Rarity comes from a count sketch over all words, of fixed size; it decides the order of
 words and so the speed, never the result.
 
-Defined cases: null and empty texts and lines of fewer than ``min_words`` distinct words are left
-alone; a document whose lines all go keeps its row with an empty text; rows with an equal doc_id
+Defined cases: null and empty texts and lines without a word are left alone (``min_words`` can ask for
+more; it is 1 unless set); a document whose lines all go keeps its row with an empty text; rows with an equal doc_id
 count as one document and lose the same line numbers; rows with a null doc_id are left alone;
 ``n_chars`` follows the text; an empty table gives no rows; other columns pass through. doc_id
 is an integer.
@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 
 from emberfold.llm.common import cut, discard, hash_words, let, mix64, pack, runs, slices, unpack, words_of
 
-PERCENT, MIN_WORDS = 80, 5
+PERCENT, MIN_WORDS = 80, 1
 HUBS, PARTNERS = 256, 4
 # Parities that a pair is compared by before its sets are fetched: two to this power.
 WIDE_BITS = 9
 # Counters of the rarity sketch and bits of the request filter: fixed sizes of 4 MB and 2 MB.
 SKETCH_BITS, FILTER_BITS, PARTS = 22, 24, 64
-BLOCK_BYTES, WORDS_PER_SHARD = 8 << 20, 4_000_000
+BLOCK_BYTES, WORDS_PER_SHARD = 8 << 20, 2_000_000
 TOKEN_BITS = np.uint64(36)
 
 
@@ -392,8 +392,8 @@ PAIR = ["block", "index", "block_y", "index_y"]
 PAIR_TYPES = "block long, index int, block_y long, index_y int"
 
 
-def _with_lines(blocks: DataFrame, pairs: DataFrame, kind: str) -> DataFrame:
-    """``pairs`` with the sets or wide parities of both lines; only blocks' asked lines travel."""
+def _with_lines(blocks: DataFrame, pairs: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """A table of the asked lines' sets or wide parities, and ``pairs`` with those of both lines."""
     wanted = pairs.select("block", "index").union(pairs.select("block_y", "index_y"))
     parts = wanted.mapInArrow(_requests, "part int, data binary")
 
@@ -405,11 +405,12 @@ def _with_lines(blocks: DataFrame, pairs: DataFrame, kind: str) -> DataFrame:
     for r in parts.groupBy("part").applyInArrow(either, "part int, data binary").collect():
         data = unpack(r["data"], np.uint8)
         asked[r["part"] * len(data) : (r["part"] + 1) * len(data)] = data
-    mine = blocks.select("block", "sizes", "codes", "words").mapInArrow(
+    # Read and unpacked once for both sides of the pairs.
+    mine = cut(blocks.select("block", "sizes", "codes", "words").mapInArrow(
         _of_lines(blocks.sparkSession.sparkContext.broadcast(asked), kind), f"block long, index int, {kind} binary"
-    )
+    ))
     other = mine.select(F.col("block").alias("block_y"), F.col("index").alias("index_y"), F.col(kind).alias(f"{kind}_y"))
-    return pairs.join(mine, ["block", "index"]).join(other, ["block_y", "index_y"]).select(*PAIR, kind, f"{kind}_y")
+    return mine, pairs.join(mine, ["block", "index"]).join(other, ["block_y", "index_y"]).select(*PAIR, kind, f"{kind}_y")
 
 
 def _confirmed(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -418,12 +419,14 @@ def _confirmed(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     Wide parities, a few bytes per line, leave little more than the matches; these are verified
     on the whole sets.
     """
-    near = cut(_with_lines(blocks, pairs, "wide").mapInArrow(_near(percent), PAIR_TYPES))
+    lines, wide = _with_lines(blocks, pairs, "wide")
+    near = cut(wide.mapInArrow(_near(percent), PAIR_TYPES))
+    discard(lines)
+    lines, sets = _with_lines(blocks, near, "set")
     out = cut(
-        _with_lines(blocks, near, "set").select("block", "index", "set", "set_y")
-        .mapInArrow(_verify(percent), "block long, index int").distinct()
+        sets.select("block", "index", "set", "set_y").mapInArrow(_verify(percent), "block long, index int").distinct()
     )
-    discard(near)
+    discard(near, lines)
     return out
 
 

@@ -51,28 +51,22 @@ known AS (SELECT doc_id, max(CASE WHEN quality > 0 THEN 1 ELSE 0 END) AS good FR
           WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
 tally AS (SELECT stratum, len(list_filter(cutoffs, lambda x: x >= score)) AS level, good
           FROM s JOIN known USING (doc_id), c),
-strata AS (SELECT stratum, sum(good) < ln({rq.DELTA} / count(*) OVER ()) / ln(1 - {rq.ALPHA}) AS pooled
-           FROM tally GROUP BY stratum),
-g AS (SELECT pooled, CASE WHEN NOT pooled THEN tally.stratum END AS name, level, good
-      FROM tally JOIN strata ON tally.stratum IS NOT DISTINCT FROM strata.stratum),
-sizes AS (SELECT pooled, name, sum(good)::BIGINT AS n, count(*) - sum(good) AS all_poor, count(*) OVER () AS m
-          FROM g GROUP BY pooled, name HAVING sum(good) > 0),
-tails AS (SELECT pooled, name, n, all_poor, m, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
-            + k * ln({rq.ALPHA}) + (n - k) * ln(1 - {rq.ALPHA}))) OVER (PARTITION BY pooled, name ORDER BY k) AS cdf
+sizes AS (SELECT * FROM (SELECT stratum, sum(good)::BIGINT AS n, count(*) - sum(good) AS all_poor, count(*) OVER () AS m
+          FROM tally GROUP BY stratum) WHERE n > 0),
+tails AS (SELECT stratum, n, all_poor, m, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+            + k * ln({rq.ALPHA}) + (n - k) * ln(1 - {rq.ALPHA}))) OVER (PARTITION BY stratum ORDER BY k) AS cdf
           FROM (SELECT *, unnest(generate_series(0, ceil(n * {rq.ALPHA})::BIGINT)) AS k FROM sizes)),
-limits AS (SELECT pooled, name, n, all_poor, coalesce(max(k) FILTER (WHERE cdf <= {rq.DELTA} / m), -1) AS most
+limits AS (SELECT stratum, n, all_poor, coalesce(max(k) FILTER (WHERE cdf <= {rq.DELTA} / m), -1) AS most
            FROM tails GROUP BY ALL),
-path AS (SELECT l.pooled, l.name, l.level, any_value(most) AS most, any_value(all_poor) AS all_poor,
+path AS (SELECT l.stratum, l.level, any_value(most) AS most, any_value(all_poor) AS all_poor,
            coalesce(sum(g.good), 0) AS rejected_good, count(g.good) - coalesce(sum(g.good), 0) AS rejected_poor
          FROM (SELECT *, unnest(range({len(rq.CUTOFFS)})) AS level FROM limits) l
-         LEFT JOIN g ON g.pooled = l.pooled AND g.name IS NOT DISTINCT FROM l.name AND g.level <= l.level
-         GROUP BY l.pooled, l.name, l.level),
-best AS (SELECT pooled, name, arg_min(level, ({rq.REJECTION_COST} * rejected_good + all_poor - rejected_poor)
+         LEFT JOIN tally g ON g.stratum IS NOT DISTINCT FROM l.stratum AND g.level <= l.level
+         GROUP BY l.stratum, l.level),
+best AS (SELECT stratum, arg_min(level, ({rq.REJECTION_COST} * rejected_good + all_poor - rejected_poor)
             * 1000 + level) AS level
-         FROM path WHERE rejected_good <= most AND rejected_poor > 0 GROUP BY pooled, name),
-chosen AS (SELECT strata.stratum, cutoffs[level + 1] AS cutoff FROM strata JOIN best
-           ON strata.pooled = best.pooled
-           AND (CASE WHEN NOT strata.pooled THEN strata.stratum END) IS NOT DISTINCT FROM best.name, c),
+         FROM path WHERE rejected_good <= most AND rejected_poor > 0 GROUP BY stratum),
+chosen AS (SELECT stratum, cutoffs[level + 1] AS cutoff FROM best, c),
 verdict AS (SELECT s.*, NOT base_failed AND coalesce(score <= cutoff, true) AS kept
             FROM s LEFT JOIN chosen ON s.stratum IS NOT DISTINCT FROM chosen.stratum)
 {out}"""

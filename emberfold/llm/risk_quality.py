@@ -5,22 +5,20 @@ marks) and from them one score: the worst of its ratios, each over a fixed refer
 Labelled documents are the holdout. For every stratum (language) a fixed sequence of cutoffs is
 tested from the most lenient on: a cutoff is certified while the exact binomial probability of
 seeing so few rejected good documents, were the true false-rejection rate ``alpha``, is at most
-``delta`` over the number of strata. The sequence stops at its first failure, so no correction
+``delta`` over the number of labelled strata. The sequence stops at its first failure, so no correction
 within a stratum is needed, and the division corrects across strata: with probability
 ``1 - delta`` no stratum rejects more than ``alpha`` of its good documents by the score. Among the
 certified cutoffs the one with the smallest labelled cost is taken, the most lenient of equals.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null language is a
-stratum of its own; strata with few good labels are pooled; one that certifies nothing, has no
-labels or no poor ones rejects nothing by score; repeated labels of a document count once, as good if
+stratum of its own; every stratum is certified by its own labels alone, so one with too few good
+labels, without labels or without poor ones rejects nothing by score; repeated labels of a document count once, as good if
 any says so; labels without a document or a quality are ignored; no labels at all leave only the
 base rules; repeated documents give repeated rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,7 +153,6 @@ def choose_cutoffs(
 ) -> DataFrame:
     """(stratum, cutoff) from ``scored`` (doc_id, stratum, score) and ``labels`` (doc_id, quality).
 
-    Strata with fewer good labels than could certify anything are tested together, as one.
     Rows counted per stratum are at most one per cutoff, whatever the size of the corpus. Strata
     that certify nothing have no row.
     """
@@ -169,27 +166,18 @@ def choose_cutoffs(
         .groupBy("stratum", "level")
         .agg(F.sum("_good").alias("good"), F.sum(1 - F.col("_good")).alias("poor"))
     )
-    everything = Window.partitionBy(F.lit(0))
-    fewest = F.log(F.lit(delta) / F.count("*").over(everything)) / F.lit(math.log(1 - alpha))
-    strata = (
-        tally.groupBy("stratum").agg(F.sum("good").alias("n")).withColumn("pooled", F.col("n") < fewest)
-    )
-    names = F.when(~F.col("pooled"), F.col("a.stratum")).alias("name")
-    grouped = (
-        tally.alias("a").join(strata.alias("b"), F.col("a.stratum").eqNullSafe(F.col("b.stratum")))
-        .groupBy("pooled", names, "level").agg(F.sum("good").alias("good"), F.sum("poor").alias("poor"))
-    )
+    # One row per stratum, so few that a single task counts them.
     limits = (
-        grouped.groupBy("pooled", "name").agg(F.sum("good").alias("n"), F.sum("poor").alias("all_poor"))
-        .filter("n > 0").withColumn("m", F.count("*").over(everything))
+        tally.groupBy("stratum").agg(F.sum("good").alias("n"), F.sum("poor").alias("all_poor"))
+        .withColumn("m", F.count("*").over(Window.partitionBy(F.lit(0)))).filter("n > 0")
         .withColumn("most", _most_allowed(F.col("n"), alpha, F.lit(delta) / F.col("m")))
         .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(len(CUTOFFS) - 1))))
     )
-    upto = Window.partitionBy("a.pooled", "a.name").orderBy("a.level")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("pooled", "name", "level")]
+    upto = Window.partitionBy("a.stratum").orderBy("a.level")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("stratum", "level")]
     path = (
-        limits.alias("a").join(grouped.alias("b"), same, "left")
-        .select("a.pooled", "a.name", "a.level", "most", "all_poor",
+        limits.alias("a").join(tally.alias("b"), same, "left")
+        .select("a.stratum", "a.level", "most", "all_poor",
                 F.sum(F.coalesce("good", F.lit(0))).over(upto).alias("rejected_good"),
                 F.sum(F.coalesce("poor", F.lit(0))).over(upto).alias("rejected_poor"))
     )
@@ -197,20 +185,15 @@ def choose_cutoffs(
     cost = REJECTION_COST * F.col("rejected_good") + F.col("all_poor") - F.col("rejected_poor")
     best = (
         path.filter("rejected_good <= most AND rejected_poor > 0")
-        .groupBy("pooled", "name").agg(F.min(F.struct(cost.alias("cost"), "level")).alias("best"))
+        .groupBy("stratum").agg(F.min(F.struct(cost.alias("cost"), "level")).alias("best"))
     )
     cutoffs = F.array(*[F.lit(c) for c in CUTOFFS])
-    own = F.when(~F.col("a.pooled"), F.col("a.stratum"))
-    return (
-        strata.alias("a")
-        .join(best.alias("b"), (F.col("a.pooled") == F.col("b.pooled")) & own.eqNullSafe(F.col("b.name")))
-        .select("a.stratum", cutoffs[F.col("best.level")].alias("cutoff"))
-    )
+    return best.select("stratum", cutoffs[F.col("best.level")].alias("cutoff"))
 
 
 def _verdicts(df: DataFrame, cutoffs: DataFrame, stratum: str, score: str, failed: str) -> DataFrame:
-    """``df`` with ``kept``; strata are few, so their cutoffs travel to every task."""
-    small = F.broadcast(cutoffs.select(F.col("stratum").alias("_stratum"), "cutoff"))
+    """``df`` with ``kept``. Cutoffs are few, one row per stratum; Spark broadcasts them by their size."""
+    small = cutoffs.select(F.col("stratum").alias("_stratum"), "cutoff")
     joined = df.join(small, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     kept = ~F.col(failed) & F.coalesce(F.col(score) <= F.col("cutoff"), F.lit(True))
     return joined.withColumn("kept", kept).drop("_stratum", "cutoff")

@@ -8,7 +8,7 @@ from emberfold.llm import line_simjoin as ls
 from .conftest import words
 
 
-def brute(rows, percent=80, fewest=5):
+def brute(rows, percent=80, fewest=1):
     """Texts without the lines that an earlier line matches."""
     lines = {}
     for doc_id, text in rows:
@@ -73,6 +73,10 @@ def test_near_lines_around_the_threshold(spark, monkeypatch, hubs):
 
 def test_no_rows_and_short_lines(spark, no_docs):
     assert ls.dedup_lines(no_docs).count() == 0
-    df = spark.createDataFrame([(1, "a b"), (2, "a b")], "doc_id BIGINT, text STRING")
-    assert sorted(map(tuple, ls.dedup_lines(df).collect())) == [(1, "a b"), (2, "a b")]
-    assert sorted(map(tuple, ls.dedup_lines(df, min_words=1).collect())) == [(1, "a b"), (2, "")]
+    rows = [(1, "a b\n\nc"), (2, "a b\n \nC c"), (3, "All rights reserved.\nall RIGHTS reserved."), (4, "x y z v w"), (5, "x y z v"), (6, " ")]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert sorted(map(tuple, ls.dedup_lines(df).collect())) == [
+        (1, "a b\n\nc"), (2, " "), (3, "All rights reserved."), (4, "x y z v w"), (5, ""), (6, " "),
+    ] == brute(rows)
+    longer = ls.dedup_lines(df, min_words=3).collect()
+    assert sorted(map(tuple, longer))[1] == (2, "a b\n \nC c") and sorted(map(tuple, longer)) == brute(rows, fewest=3)

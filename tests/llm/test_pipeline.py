@@ -50,6 +50,6 @@ def test_stages_against_brute_force(spark):
 
 def test_registered():
     names = set(queries.LLM_QUERIES)
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14))
     assert set(oracles.LLM_SQL) <= names
     assert names | {"pipeline"} <= set(entry.queries()) and set(oracles.LLM_SQL) <= set(entry.oracle_sql())

@@ -51,22 +51,30 @@ def test_cutoffs_hold_the_risk_per_stratum(spark):
     rows = [(i, "a", 0.1 if i % 100 else 3.9) for i in range(3000)] + [(i + 5000, "a", 9.0) for i in range(100)]
     rows += [(i + 10_000, "b", 0.1 if i % 10 else 9.0) for i in range(1000)] + [(i + 20_000, "b", 9.0) for i in range(100)]
     rows += [(i + 30_000, s, 0.2) for i, s in enumerate("cd" * 150)] + [(40_000 + i, "cd"[i % 2], 5.0) for i in range(20)]
+    rows += [(i + 60_000, s, 0.2) for i, s in enumerate("fg" * 300)] + [(45_000 + i, "fg"[i % 2], 5.0) for i in range(20)]
     rows += [(50_000, None, 1.0), (50_001, "e", 7.0)]
     labels = spark.createDataFrame(
-        [(r[0], 0 if (5000 <= r[0] < 10_000 or 20_000 <= r[0] < 30_000 or 40_000 <= r[0]) else 1) for r in rows if r[0] != 50_001]
+        [(r[0], 0 if (5000 <= r[0] < 10_000 or 20_000 <= r[0] < 30_000 or 40_000 <= r[0] < 60_000) else 1) for r in rows if r[0] != 50_001]
         + [(0, 0), (0, 1), (99_999, 1), (None, 1), (7, None)], "doc_id BIGINT, quality INT",
     )
     cut = {r.stratum: r.cutoff for r in rq.choose_cutoffs(scored(spark, rows), labels).collect()}
     # b loses a tenth of its good documents at any cutoff below 9; the others' junk goes.
     assert "b" not in cut and "e" not in cut
-    assert 3.9 <= cut["a"] < 9 and 0.2 <= cut["c"] < 5 and 0.2 <= cut["d"] < 5
-
-
-def test_small_strata_are_pooled(spark):
-    rows = [(i, "abc"[i % 3], 0.1) for i in range(900)] + [(1000 + i, "abc"[i % 3], 8.0) for i in range(30)]
-    labels = spark.createDataFrame([(r[0], int(r[0] < 1000)) for r in rows], "doc_id BIGINT, quality INT")
-    assert len(rq.choose_cutoffs(scored(spark, rows), labels, alpha=0.006).collect()) == 3
-    assert rq.choose_cutoffs(scored(spark, rows), labels, alpha=0.001).count() == 0
+    # c and d have 150 good labels each, too few to certify anything alone; f and g have 300.
+    assert "c" not in cut and "d" not in cut
+    assert 3.9 <= cut["a"] < 9 and 0.2 <= cut["f"] < 5 and 0.2 <= cut["g"] < 5
+
+
+def test_small_strata_reject_nothing(spark):
+    """A stratum is certified by its own labels alone: ten good labels allow no rejection."""
+    rows = [(i, "abcde"[i % 5], 0.1) for i in range(1500)] + [(2000 + i, "abcde"[i % 5], 8.0) for i in range(50)]
+    rows += [(3000 + i, "z", 8.0) for i in range(10)] + [(3100, "z", 9.0)]
+    labels = spark.createDataFrame([(r[0], int(r[0] < 2000 or 3000 <= r[0] < 3100)) for r in rows], "doc_id BIGINT, quality INT")
+    found = {r.stratum: r.cutoff for r in rq.choose_cutoffs(scored(spark, rows), labels).collect()}
+    assert sorted(found) == list("abcde") and all(0.1 <= c < 8 for c in found.values())
+    # Fewer than log(delta / strata) / log(1 - alpha) good labels certify nothing.
+    few = labels.filter("doc_id < 1000 OR doc_id >= 2000")
+    assert rq.choose_cutoffs(scored(spark, rows), few).count() == 0
 
 
 def test_report_and_filter_agree(docs, corpus, no_docs, spark):
