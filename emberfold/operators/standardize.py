@@ -86,6 +86,14 @@ def fuse(feeds: dict[str, DataFrame | None]) -> DataFrame | None:
     return union_feeds(*[STANDARDIZERS[name](df) for name, df in feeds.items() if df is not None])
 
 
+def best_key(lat: Column, lon: Column, at: Column, places: int = 2, minutes: int = 10) -> list[Column]:
+    """Rounded place and time bucket that hotspots are compared within."""
+    return [
+        round_half_even(lat, places).alias("_lat_key"), round_half_even(lon, places).alias("_lon_key"),
+        floor_minutes(at, minutes).alias("_time_key"),
+    ]
+
+
 def dedup_spatiotemporal(
     df: DataFrame, places: int = 2, minutes: int = 10, carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -109,9 +117,7 @@ def dedup_spatiotemporal(
     )
     keyed = df.select(
         *[F.col(c) for c in carry],
-        round_half_even(F.col("latitude"), places).alias("_lat_key"),
-        round_half_even(F.col("longitude"), places).alias("_lon_key"),
-        floor_minutes(F.col("acq_datetime"), minutes).alias("_time_key"),
+        *best_key(F.col("latitude"), F.col("longitude"), F.col("acq_datetime"), places, minutes),
         F.struct(*columns).alias("_row"),
         rank.alias("_rank"),
     )

@@ -83,7 +83,8 @@ def run_detect(
     """Detect the incidents of one run and write records, their hotspots and the summary.
 
     Without ``run_date`` the run is for yesterday in the local zone. A rerun replaces all that an
-    earlier run of the day has written, also if there is no incident any more.
+    earlier run of the day has written, also if there is no incident any more, and all of it at once:
+    readers see the earlier run whole until the last output is complete.
     """
     run_date = run_date or default_run_date()
     spots = detect_hotspots(feeds, run_date, run_days)
@@ -92,22 +93,27 @@ def run_detect(
     incidents, hotspots = detect_incidents(
         spots, polygons, records.read_weather(spark, weather_path), records.read_pixels(spark, pixels_path)
     )
-    records.write_by_run(incident_documents(incidents), stage_path(root, "incidents", "records"), runs=[run_date])
-    records.write_by_run(hotspots, stage_path(root, "incidents", "hotspots"), runs=[run_date])
-    records.write_by_run(run_summary(incidents), stage_path(root, "incidents", "summaries"), runs=[run_date])
+    outputs = {"records": incident_documents(incidents), "hotspots": hotspots, "summaries": run_summary(incidents)}
+    records.write_run(outputs, stage_path(root, "incidents"), run_date)
     return run_date
 
 
+def detected(spark: SparkSession, root: str, run_date: str) -> DataFrame:
+    """The incident records of a run's current version, with their run date."""
+    path = records.run_output(spark, stage_path(root, "incidents"), run_date, "records")
+    return records.read_incidents(spark, path).withColumn("run_date", F.lit(run_date).cast("date"))
+
+
 def run_score(spark: SparkSession, root: str, run_date: str, config: dict | None = None) -> None:
     """Score the written incidents of one run."""
-    found = records.read_incidents(spark, stage_path(root, "incidents", "records", f"run_date={run_date}"))
+    found = detected(spark, root, run_date)
     scored = score_incidents(with_power(found), **({"config": config} if config else {}))
     records.write_predictions(scored, stage_path(root, "predictions", f"run_date={run_date}"))
 
 
 def run_report(spark: SparkSession, root: str, run_date: str) -> None:
     """Join the written incidents and predictions of one run and write markers and totals."""
-    found = records.read_incidents(spark, stage_path(root, "incidents", "records", f"run_date={run_date}"))
+    found = detected(spark, root, run_date)
     scores = records.read_predictions(spark, stage_path(root, "predictions", f"run_date={run_date}"), glob="*.json")
     markers, totals = report(found, scores, F.col("ingest_order"))
     for name, df in (("markers", markers), ("totals", totals)):

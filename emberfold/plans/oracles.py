@@ -549,6 +549,10 @@ STATEMENTS |= {
     "points_of_shared_keys": STATEMENTS["points_in_or_near"],
     "criteria_file": STATEMENTS["criterion_scores"],
     "scored_on_arrival": STATEMENTS["risk_score"],
+    "report_on_arrival": f"""SELECT s.run_date::VARCHAR AS run_date, cluster_id, s.point_count, round(confidence_score, 9) AS score,
+  {_tier('confidence_score')} AS risk_level, upper({_tier('confidence_score')}) || ' RISK FIRE' AS popup_title
+  FROM sites s JOIN (SELECT cluster_id, confidence_score FROM site_score) p USING (cluster_id)
+  WHERE s.run_date NOT IN (SELECT run_date FROM sites WHERE regexp_matches(cluster_id, '_20240114_[0-9]*0$'))""",
     "regions_of_records": STATEMENTS["incident_boxes"],
     "emptied_rerun": """SELECT run_date::VARCHAR AS run_date, count(*) AS incidents, sum(point_count)::BIGINT AS points
   FROM sites WHERE run_date <> DATE '2024-01-07' GROUP BY 1""",

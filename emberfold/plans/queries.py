@@ -40,7 +40,7 @@ from emberfold.schemas import AIR_QUALITY_CONTEXT, WEATHER_CONTEXT
 from emberfold.session import cut_lineage, prepare, scratch_path
 from emberfold.sources import feeds, polygons as polygon_files, records
 from emberfold.streaming import dedup as stream_dedup
-from emberfold.streaming.landing import landing_stream, read_scored, score_arrivals
+from emberfold.streaming.landing import landing_stream, read_reports, read_scored, report_arrivals, score_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -626,10 +626,8 @@ def criteria_file(spark, sf_dir):
     return scoring.criterion_scores(_site_incidents(spark, sf_dir), config, ["cluster_id"])
 
 
-@query
-def scored_on_arrival(spark, sf_dir):
-    """Site incidents written as records and scored by the stream that waits for them."""
-    root = scratch_path(prepare(spark), "arrivals")
+def _written_sites(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Site incidents written as records by run."""
     sites = _site_incidents(spark, sf_dir).withColumns(
         {
             "detected_by": F.array(F.lit("JAXA")),
@@ -637,11 +635,38 @@ def scored_on_arrival(spark, sf_dir):
             **{n: F.col("centroid_longitude") for n in ("min_lon", "max_lon")},
         }
     )
-    records.write_by_run(incident_documents(sites), f"{root}/incidents")
+    records.write_by_run(incident_documents(sites), path)
+    return records.read_incidents(spark, path)
+
+
+@query
+def scored_on_arrival(spark, sf_dir):
+    """Site incidents written as records and scored by the stream that waits for them."""
+    root = scratch_path(prepare(spark), "arrivals")
+    _written_sites(spark, sf_dir, f"{root}/incidents")
     score_arrivals(spark, f"{root}/incidents", f"{root}/predictions", f"{root}/checkpoint")
     return read_scored(spark, f"{root}/predictions").select("instance_id", _r("confidence_score", 9), _r("raw_score", 9))
 
 
+@query
+def report_on_arrival(spark, sf_dir):
+    """Markers of the runs that are whole after predictions came in two arrivals; one run lacks some."""
+    root = scratch_path(prepare(spark), "reports")
+    found = _written_sites(spark, sf_dir, f"{root}/incidents")
+    scored = scoring.score_incidents(with_power(found)).withColumn(
+        "run_date", F.date_format(F.to_date(F.split("instance_id", "_")[2], "yyyyMMdd"), "yyyy-MM-dd")
+    )
+    late = F.pmod(F.xxhash64("instance_id"), F.lit(2)) == 1
+    scored = scored.filter(~F.col("instance_id").rlike("_20240114_[0-9]*0$"))
+    for arrival in (scored.filter(~late), scored.filter(late)):
+        arrival.write.mode("append").partitionBy("run_date").json(f"{root}/predictions")
+        report_arrivals(spark, *[f"{root}/{n}" for n in ("incidents", "predictions", "state", "reports", "checkpoint")])
+    markers = read_reports(
+        spark, f"{root}/reports", "markers", "cluster_id STRING, point_count BIGINT, score DOUBLE, risk_level STRING, popup_title STRING"
+    )
+    return markers.select("run_date", "cluster_id", "point_count", _r("score", 9), "risk_level", "popup_title")
+
+
 @query
 def regions_of_records(spark, sf_dir):
     """Padded boxes from written incident records, as the scene choice takes them."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +103,65 @@ def write_by_run(df: DataFrame, path: str, *partitions: str, runs: list[str] | N
         (writer.partitionBy(*deeper) if deeper else writer).json(f"{path.rstrip('/')}/run_date={run}")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def write_run(outputs: dict[str, DataFrame], root: str, run: str) -> str:
+    """All outputs of a run as one version of it, made current by one write at the end.
+
+    Every output goes to a folder of its own below ``root/run_date=.../version=...``. The pointer
+    ``root/run_date=.../_current`` is replaced by a rename once all are complete: a reader sees the old
+    version whole or the new one whole, also if a write fails between two outputs. The version
+    before the current one is kept for readers that have already begun; older ones are deleted.
+    """
+    spark = next(iter(outputs.values())).sparkSession
+    folder = f"{root.rstrip('/')}/run_date={run}"
+    version = f"version={datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    previous = current_version(spark, root, run)
+    for name, df in outputs.items():
+        df.drop("run_date").write.json(f"{folder}/{version}/{name}")
+    pointer, system = _hadoop(spark, f"{folder}/_current")
+    fresh = _hadoop(spark, f"{folder}/_current-{uuid.uuid4().hex}")[0]
+    stream = system.create(fresh, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    renames = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    renames[0] = options
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        pointer.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri(),
+        spark.sparkContext._jsc.hadoopConfiguration(),
+    )
+    context.rename(fresh, pointer, renames)
+    for status in system.globStatus(_hadoop(spark, f"{folder}/version=*")[0]):
+        if status.getPath().getName() not in (version, previous):
+            system.delete(status.getPath(), True)
+    return version
+
+
+def current_version(spark: SparkSession, root: str, run: str) -> str | None:
+    """Name of the run's current version, if it has one."""
+    pointer, system = _hadoop(spark, f"{root.rstrip('/')}/run_date={run}/_current")
+    if not system.exists(pointer):
+        return None
+    stream = system.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def run_output(spark: SparkSession, root: str, run: str, name: str) -> str:
+    """Folder of one output of a run's current version."""
+    version = current_version(spark, root, run)
+    if version is None:
+        raise FileNotFoundError(f"no complete version of run {run} below {root}")
+    return f"{root.rstrip('/')}/run_date={run}/{version}/{name}"
+
+
 def write_predictions(predictions: DataFrame, path: str) -> None:
     predictions.write.mode("overwrite").json(path)
 

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.operators.standardize import dedup_spatiotemporal, drop_processed
+from emberfold.operators.standardize import best_key, dedup_spatiotemporal, drop_processed
 from emberfold.schemas import PROCESSED_EVENTS
-from emberfold.streaming.landing import create_table, read_batches, run_available, write_batch
+from emberfold.streaming.landing import (
+    create_table,
+    delete_folders,
+    list_folders,
+    read_batches,
+    run_available,
+    write_batch,
+)
 
 # Folders that the recorded ids are spread over.
 BUCKETS = 64
@@ -57,24 +64,55 @@ def process_once_within(stream: DataFrame, ts: str, delay: str = "4 hours", key:
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def _place_bucket(df: DataFrame) -> DataFrame:
+    keys = best_key(F.col("latitude"), F.col("longitude"), F.col("acq_datetime"))
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+
+
+def _versions(spark: SparkSession, table: str) -> dict[int, list[int]]:
+    """Batches that have written each bucket, oldest first; only folder names are listed."""
+    found: dict[int, list[int]] = {}
+    for path in list_folders(spark, f"{table}/batch_id=*/bucket=*"):
+        batch, bucket = (int(part.split("=")[1]) for part in path.rsplit("/", 2)[1:])
+        found.setdefault(bucket, []).append(batch)
+    return {bucket: sorted(batches) for bucket, batches in found.items()}
+
+
+def _read_buckets(spark: SparkSession, table: str, chosen: dict[int, int]) -> DataFrame:
+    paths = [f"{table}/batch_id={batch}/bucket={bucket}" for bucket, batch in chosen.items()]
+    return spark.read.schema(GOLDEN).parquet(*paths) if paths else spark.createDataFrame([], GOLDEN)
+
+
 def keep_best(stream: DataFrame, table: str, checkpoint: str) -> None:
-    """Best hotspot per space-time bucket as data arrives.
+    """Best hotspot per space-time bucket as data arrives, as a table with one row per key.
 
-    Each batch is reduced to its own best rows and appended; ``read_best`` reduces over the
-    batches. A better row may arrive at any time, and nothing has to wait for a watermark.
+    The table is laid out by a hash of the key. A batch is reduced to its own best rows, merged with
+    the buckets that these fall in, and rewrites those buckets only; what it has replaced is
+    deleted once it is complete, and other buckets' files stay as they are. A repeated batch that was
+    complete only deletes what is left to delete, so it never loses a row.
     """
     create_table(stream.sparkSession, table, GOLDEN)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(dedup_spatiotemporal(batch), table, batch_id)
+        spark = batch.sparkSession
+        done = bool(list_folders(spark, f"{table}/batch_id={batch_id}/_SUCCESS"))
+        if not done:
+            fresh = _place_bucket(dedup_spatiotemporal(batch)).persist()
+            touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # at most BUCKETS
+            earlier = {b: [n for n in all_ if n < batch_id] for b, all_ in _versions(spark, table).items()}
+            known = _read_buckets(spark, table, {b: earlier[b][-1] for b in touched if earlier.get(b)})
+            best = _place_bucket(dedup_spatiotemporal(fresh.drop("bucket").unionByName(known)))
+            write_batch(best, table, batch_id, "bucket")
+            fresh.unpersist()
+        stale = [
+            f"{table}/batch_id={n}/bucket={bucket}"
+            for bucket, batches in _versions(spark, table).items() if batch_id in batches for n in batches if n < batch_id
+        ]
+        delete_folders(spark, stale)
 
     run_available(stream, handle, checkpoint)
 
 
 def read_best(spark: SparkSession, table: str) -> DataFrame:
-    return dedup_spatiotemporal(read_batches(spark, table, GOLDEN))
-
-
-def compact_best(spark: SparkSession, table: str, target: str) -> None:
-    """Rewrite the table as one batch in a new place, for cheaper reads."""
-    write_batch(read_best(spark, table), target, 0)
+    """The table: the latest version of every bucket, read as it is."""
+    return _read_buckets(spark, table, {bucket: batches[-1] for bucket, batches in _versions(spark, table).items()})

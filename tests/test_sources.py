@@ -126,3 +126,32 @@ def test_sidecars(spark, tmp_path):
     assert (tmp_path / "imagery/run_date=2024-01-05/region_id=r1/source=landsat").is_dir()
     back = spark.read.json(str(tmp_path / "imagery")).collect()[0]
     assert (back.original_id, back.data_source, back.region_id) == ("s1", "landsat", "r1")
+
+
+def test_a_run_is_committed_whole(spark, tmp_path):
+    """A write that fails between two outputs leaves the old version, whole; older versions go."""
+    root, schema = str(tmp_path / "out"), "run_date STRING, v INT"
+
+    def outputs(v, broken=False):
+        good = spark.createDataFrame([("2024-01-05", v)], schema)
+        bad = good.select("run_date", F.raise_error(F.lit("disk full")).cast("int").alias("v"))
+        return {"records": good, "hotspots": bad if broken else good}
+
+    def current():
+        paths = [records.run_output(spark, root, "2024-01-05", n) for n in ("records", "hotspots")]
+        return [spark.read.schema("v INT").json(p).collect()[0].v for p in paths]
+
+    with pytest.raises(FileNotFoundError):
+        records.run_output(spark, root, "2024-01-05", "records")
+    records.write_run(outputs(1), root, "2024-01-05")
+    assert current() == [1, 1]
+    with pytest.raises(Exception, match="disk full"):
+        records.write_run(outputs(2, broken=True), root, "2024-01-05")
+    assert current() == [1, 1]
+    records.write_run(outputs(3), root, "2024-01-05")
+    assert current() == [3, 3]
+    records.write_run(outputs(4), root, "2024-01-05")
+    assert current() == [4, 4] and len(list((tmp_path / "out" / "run_date=2024-01-05").glob("version=*"))) == 2
+    empty = {n: df.limit(0) for n, df in outputs(5).items()}
+    records.write_run(empty, root, "2024-01-05")
+    assert spark.read.schema("v INT").json(records.run_output(spark, root, "2024-01-05", "records")).count() == 0

@@ -1,12 +1,20 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from emberfold.operators.standardize import dedup_spatiotemporal
 from emberfold.sources.records import write_predictions
 from emberfold.streaming import dedup as D
-from emberfold.streaming.landing import landing_stream, read_batches, read_scored, score_arrivals
+from emberfold.streaming.landing import (
+    landing_stream,
+    read_batches,
+    read_reports,
+    read_scored,
+    report_arrivals,
+    score_arrivals,
+)
 
 EVENTS = "event_id STRING, ts TIMESTAMP"
 
@@ -49,8 +57,73 @@ def test_best_of_bucket_accepts_late_better_rows(spark, tmp_path):
     assert sorted(r.source for r in D.read_best(spark, table).collect()) == ["B", "C"]
     batch = dedup_spatiotemporal(first.unionByName(late))
     assert sorted(map(tuple, D.read_best(spark, table).collect())) == sorted(map(tuple, batch.collect()))
-    D.compact_best(spark, table, str(tmp_path / "compact"))
-    assert D.read_best(spark, str(tmp_path / "compact")).count() == 2
+
+
+def files_of(table):
+    return {str(p): p.stat().st_mtime_ns for p in Path(table).rglob("*.parquet") if "bucket=" in str(p)}
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path, monkeypatch):
+    """Rows stored are the distinct keys; files of other buckets stay as they are, also over a repeated batch."""
+    landing, table, ckpt = (str(tmp_path / n) for n in ("in", "best", "ckpt"))
+    put(golden(spark, *[(i / 10, 1, 50.0, f"s{i}") for i in range(300)]), landing)
+    D.keep_best(landing_stream(spark, landing, D.GOLDEN), table, ckpt)
+    before = files_of(table)
+    late = golden(spark, (0.1, 2, 90.0, "better"), (0.2, 2, 10.0, "worse"), (99.0, 1, 5.0, "new"))
+    put(late, landing)
+    D.keep_best(landing_stream(spark, landing, D.GOLDEN), table, ckpt)
+    after = files_of(table)
+    assert spark.read.parquet(*after).count() == 301 == D.read_best(spark, table).count()
+    touched = {r.bucket for r in D._place_bucket(late).select("bucket").distinct().collect()}
+    kept = {f for f in before if int(f.split("bucket=")[1].split("/")[0]) not in touched}
+    assert len(kept) >= D.BUCKETS - 3 and all(after[f] == before[f] for f in kept) and len(set(after) - kept) == len(touched)
+    best = {round(r.latitude, 1): r.source for r in D.read_best(spark, table).collect()}
+    assert (best[0.1], best[0.2], best[99.0]) == ("better", "s2", "new")
+    # The second batch is handled once more, after it was complete and half of what it replaced is gone.
+    seen = []
+    monkeypatch.setattr(D, "run_available", lambda stream, handle, checkpoint: seen.append(handle))
+    D.keep_best(landing_stream(spark, landing, D.GOLDEN), table, ckpt)
+    seen[0](late, 1)
+    assert files_of(table) == after
+
+
+def run_folder(spark, root, run, name, rows):
+    folder = root / f"run_date={run}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"{name}.json").write_text("\n".join(json.dumps(r) for r in rows))
+
+
+def test_report_when_a_run_is_whole(spark, tmp_path):
+    incidents, predictions = tmp_path / "incidents", tmp_path / "predictions"
+    paths = [str(tmp_path / n) for n in ("incidents", "predictions", "state", "reports", "ckpt")]
+
+    def arrive():
+        report_arrivals(spark, *paths)
+        rows = read_reports(spark, paths[3], "markers", "cluster_id STRING, score DOUBLE").collect()
+        return sorted((r.run_date, r.cluster_id, r.score) for r in rows)
+
+    place = {"centroid_latitude": 1.0, "centroid_longitude": 2.0, "point_count": 3}
+    run_folder(spark, incidents, "2024-01-05", "a", [{"cluster_id": "a", **place}, {"cluster_id": "b", **place}])
+    # Predictions of a run can be there before its incidents.
+    run_folder(spark, predictions, "2024-01-06", "early", [{"instance_id": "c", "confidence_score": 0.3}])
+    run_folder(spark, predictions, "2024-01-05", "first", [{"instance_id": "a", "confidence_score": 0.9}])
+    assert arrive() == []
+    run_folder(spark, predictions, "2024-01-05", "second", [{"instance_id": "b", "confidence_score": 0.1}])
+    run_folder(spark, incidents, "2024-01-06", "c", [{"cluster_id": "c", **place}])
+    whole = [("2024-01-05", "a", 0.9), ("2024-01-05", "b", 0.1), ("2024-01-06", "c", 0.3)]
+    assert arrive() == whole
+    # A late prediction of another incident makes its run be reported again; the first one of an incident counts.
+    run_folder(spark, predictions, "2024-01-06", "late", [{"instance_id": "c", "confidence_score": 0.8}, {"instance_id": "d"}])
+    versions = len(list(Path(paths[3]).glob("run_date=2024-01-06/version=*")))
+    assert arrive() == whole
+    assert versions == 1 and len(list(Path(paths[3]).glob("run_date=2024-01-06/version=*"))) == 2
+    # A run that is no longer whole keeps its report until it is whole again.
+    run_folder(spark, incidents, "2024-01-06", "d2", [{"cluster_id": "e", **place}])
+    assert arrive() == whole
+    run_folder(spark, predictions, "2024-01-06", "e", [{"instance_id": "e", "confidence_score": 0.5}])
+    assert arrive() == [*whole, ("2024-01-06", "e", 0.5)]
+    totals = read_reports(spark, paths[3], "totals", "total_incidents BIGINT, total_hotspots BIGINT").collect()
+    assert sorted((r.run_date, r.total_incidents, r.total_hotspots) for r in totals) == [("2024-01-05", 2, 6), ("2024-01-06", 2, 6)]
 
 
 def test_bounded_form(spark, tmp_path):
