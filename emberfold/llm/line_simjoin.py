@@ -40,7 +40,7 @@ HUBS, PARTNERS = 256, 4
 WIDE_BITS = 9
 # Counters of the rarity sketch and bits of the request filter: fixed sizes of 4 MB and 2 MB.
 SKETCH_BITS, FILTER_BITS, PARTS = 22, 24, 64
-BLOCK_BYTES, WORDS_PER_SHARD = 8 << 20, 2_000_000
+BLOCK_BYTES, WORDS_PER_SHARD = 3 << 20, 2_000_000
 TOKEN_BITS = np.uint64(36)
 
 
@@ -92,6 +92,8 @@ def _blocks(min_words: int):
                     names=BLOCK,
                 )
                 number += 1
+            # What Arrow holds back of this batch would count against the executor for good.
+            pa.default_memory_pool().release_unused()
 
     return run
 

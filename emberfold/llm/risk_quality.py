@@ -32,6 +32,8 @@ REFERENCES = {"symbols": 0.10, "repeats": 0.20, "dup_lines": 0.30, "capitals": 0
 # Cutoffs from the most lenient to the strictest.
 CUTOFFS = [round(4.0 * 0.95**i, 6) for i in range(60)]
 ALPHA, DELTA, REJECTION_COST = 0.02, 0.05, 5
+# Strata up to which their cutoffs are broadcast.
+BROADCAST_STRATA = 100_000
 
 
 def _windows(hashes: Column) -> Column:
@@ -192,8 +194,10 @@ def choose_cutoffs(
 
 
 def _verdicts(df: DataFrame, cutoffs: DataFrame, stratum: str, score: str, failed: str) -> DataFrame:
-    """``df`` with ``kept``. Cutoffs are few, one row per stratum; Spark broadcasts them by their size."""
-    small = cutoffs.select(F.col("stratum").alias("_stratum"), "cutoff")
+    """``df`` with ``kept``. Cutoffs, a row per stratum, travel to every task unless they are many."""
+    small = cut_lineage(cutoffs.select(F.col("stratum").alias("_stratum"), "cutoff"))
+    if small.count() <= BROADCAST_STRATA:
+        small = F.broadcast(small)
     joined = df.join(small, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     kept = ~F.col(failed) & F.coalesce(F.col(score) <= F.col("cutoff"), F.lit(True))
     return joined.withColumn("kept", kept).drop("_stratum", "cutoff")
