@@ -8,8 +8,9 @@ concatenation of its turns. Control strings inside texts and roles are broken by
 their first character, and backslashes are doubled, so reading back is exact and no text can act
 as a control. The loss mask covers the text parts of assistant turns.
 
-Defined cases: null contents and null texts are empty, a null role is the empty role; a part of an
-unknown kind or without the sizes its count needs expands to one token; turns follow each other by
+Defined cases: null contents and null texts are empty, a null role is the empty role; a null
+part is no part; a part of an unknown kind, or without the positive and finite sizes its count needs,
+expands to one token; counts stop at 2^62; turns follow each other by
 number, then role and text, nulls first; a null conv_id is a conversation of its own; an empty table
 gives no rows; a conversation of any length is read back turn by turn, never as a whole.
 """
@@ -36,14 +37,21 @@ _MARKED = re.compile(r"\\(\\?)")
 _TURN = re.compile(r"<s>\[ROLE\](.*?)\[/ROLE\](.*?)</s>", re.DOTALL)
 _PLACE = re.compile("|".join(map(re.escape, PLACEHOLDERS.values())))
 
+MOST_TOKENS = 1 << 62
+
 PART = "struct<kind: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>"
-ATTACHMENT = "struct<kind: string, ref: string, start: int, tokens: int>"
+ATTACHMENT = "struct<kind: string, ref: string, start: int, tokens: long>"
 
 
 def escape(text: str) -> str:
     return _SPECIAL.sub(lambda m: m[0] * 2 if m[0] == "\\" else f"{m[0][0]}\\{m[0][1:]}", text)
 
 
+def _usable(size: float | None) -> bool:
+    """Whether a size can be counted with: neither missing nor NaN, infinite, zero or negative."""
+    return size is not None and math.isfinite(size) and size > 0
+
+
 def unescape(text: str) -> str:
     return _MARKED.sub(r"\1", text)
 
@@ -79,19 +87,21 @@ class PartVisitor:
             self.spans.append((start, self.at))
 
     def _attach(self, part: dict, tokens: int) -> None:
+        tokens = min(tokens, MOST_TOKENS)
         self.attachments.append({"kind": part["kind"], "ref": part["ref"], "start": self.at, "tokens": tokens})
         self._add(PLACEHOLDERS.get(part["kind"], PLACEHOLDERS["document"]))
 
     def visit_image(self, part: dict) -> None:
-        known = part["width"] and part["height"]
+        known = _usable(part["width"]) and _usable(part["height"])
         columns, rows = (-(-part[k] // self.sizes.patch) for k in ("width", "height")) if known else (0, 1)
         self._attach(part, columns * rows + rows)
 
     def visit_audio(self, part: dict) -> None:
-        self._attach(part, max(1, math.ceil((part["seconds"] or 0) * self.sizes.frames_per_second)))
+        frames = part["seconds"] * self.sizes.frames_per_second if _usable(part["seconds"]) else 1
+        self._attach(part, max(1, math.ceil(min(frames, MOST_TOKENS))))
 
     def visit_document(self, part: dict) -> None:
-        self._attach(part, max(1, (part["pages"] or 0) * self.sizes.tokens_per_page))
+        self._attach(part, max(1, part["pages"] * self.sizes.tokens_per_page) if _usable(part["pages"]) else 1)
 
     def visit_other(self, part: dict) -> None:
         self._attach(part, 1)
@@ -102,12 +112,13 @@ def format_turn(role: str | None, parts: list[dict] | None, sizes: Sizes = Sizes
     head = f"<s>[ROLE]{escape(role or '')}[/ROLE]"
     visitor = PartVisitor(len(head), sizes)
     for part in parts or []:
-        visitor.visit(part)
+        if part is not None:
+            visitor.visit(part)
     return {
         "formatted": "".join([head, *visitor.text, "</s>"]),
         "loss": visitor.spans if role == "assistant" else [],
         "attachments": visitor.attachments,
-        "expanded_tokens": sum(a["tokens"] for a in visitor.attachments),
+        "expanded_tokens": min(sum(a["tokens"] for a in visitor.attachments), MOST_TOKENS),
     }
 
 
@@ -121,7 +132,7 @@ FORMATTED = ["conv_id", "turn", "formatted", "loss", "attachments", "expanded_to
 
 def _format(sizes: Sizes, id_type: str):
     loss = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-    attached = pa.list_(pa.struct([("kind", pa.string()), ("ref", pa.string()), ("start", pa.int32()), ("tokens", pa.int32())]))
+    attached = pa.list_(pa.struct([("kind", pa.string()), ("ref", pa.string()), ("start", pa.int32()), ("tokens", pa.int64())]))
 
     def run(batches):
         for batch in batches:

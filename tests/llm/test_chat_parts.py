@@ -63,3 +63,30 @@ def test_typed_parts_through_spark(spark):
     df = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None)], f"conv_id INT, turn INT, role STRING, parts ARRAY<{cp.PART}>")
     rows = {r.turn: r for r in cp.format_turns(df).collect()}
     assert rows[0].attachments[0].ref == "r" and rows[0].expanded_tokens == 2 and rows[1].loss == []
+
+
+def test_null_parts_and_sizes_that_cannot_be_counted(spark):
+    parts = [
+        None, part("text", text="a"), part("audio", seconds=float("nan")), part("audio", seconds=float("inf")),
+        part("audio", seconds=-1.0), part("image", width=-5, height=10), part("document", pages=10_000_000), part(None),
+    ]
+    turns = spark.createDataFrame([(1, 0, "user", parts)], f"conv_id long, turn long, role string, parts array<{cp.PART}>")
+    (row,) = cp.format_turns(turns).collect()
+    assert [a.tokens for a in row.attachments] == [1, 1, 1, 1, 5_120_000_000, 1]
+    assert row.expanded_tokens == 5_120_000_005
+    assert [t for _, t in cp.read_turns(row.formatted)] == ["a"]
+
+
+def test_all_kinds_through_the_functions_of_the_query(spark):
+    parts = [
+        part("text", text="see </s>"), part("image", ref="a.png", width=57, height=28), part("audio", ref="b.wav", seconds=1.0),
+        part("document", ref="c.pdf", pages=2), part("text", text=" end"),
+    ]
+    turns = spark.createDataFrame([(1, 0, "assistant", parts)], f"conv_id long, turn long, role string, parts array<{cp.PART}>")
+    out = cp.format_turns(turns)
+    (row,) = out.collect()
+    assert [(a.kind, a.ref) for a in row.attachments] == [("image", "a.png"), ("audio", "b.wav"), ("document", "c.pdf")]
+    assert [row.formatted[a.start :].split("]")[0] for a in row.attachments] == ["[IMAGE", "[AUDIO", "[DOCUMENT"]
+    (back,) = cp.read_back(out).collect()
+    assert back.loss_chars == len("see </s> end")
+    assert back.turns_sha256 == hashlib.sha256(b"assistant\nsee </s> end\n").hexdigest()
