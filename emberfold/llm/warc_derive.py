@@ -9,18 +9,23 @@ Everything is a map over the responses; pages of any size are worked on one at a
 Defined cases: a missing block is an empty one without HTTP headers; a block without an empty line
 is all payload; a missing target URI or digest leaves its header out (the digest is then computed);
 bytes that are not UTF-8 are read with replacement characters; an empty page gives an empty text
-and no links; repeated responses give repeated records; an empty table gives no rows; columns other
+and no links; repeated responses give repeated records; records of a
+response without an id are named by its target URI, date and payload digest and refer to nothing;
+pages without page_id and URL are named by their content; hidden elements and titles that are never
+closed are ordinary text, found out in time linear in the page; an empty table gives no rows; columns other
 than those of a response record are not looked at.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import html
 import json
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,10 +39,15 @@ RECORDS = (
 )
 _NAMES = [c.split()[0] for c in RECORDS.split(", ")]
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*+>.*?</\1\s*+>", re.DOTALL | re.IGNORECASE)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>")
+_HIDDEN = re.compile(r"<!--|<(script|style|noscript|template)\b", re.IGNORECASE)
+_TAG = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9]*+)|[!?])")
+_REST = re.compile(r"((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>")
+_MARK = re.compile(r"['\">]")
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*+)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
-_TITLE = re.compile(r"<title\b[^>]*+>(.*?)</title\s*+>", re.DOTALL | re.IGNORECASE)
+_TITLE = re.compile(r"<(title)\b", re.IGNORECASE)
+_ENDS = {"": re.compile("-->")} | {
+    name: re.compile(rf"</{name}\s*+>", re.IGNORECASE) for name in ("script", "style", "noscript", "template", "title")
+}
 # Elements that end a line of text, and attributes that hold links.
 _BLOCKS = frozenset(
     "address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head "
@@ -68,27 +78,93 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
 
+def _elements(page: str, opening: re.Pattern) -> Iterator[tuple[int, int, int, int]]:
+    """(start, start of the content, end of it, end) of the closed elements that ``opening`` begins.
+
+    An end that is not found from one place on is not looked for from a later one, so the time is
+    linear in the page whatever is left open.
+    """
+    at, missing = 0, set()
+    while found := opening.search(page, at):
+        name, at = (found[1] or "").casefold(), found.end()
+        if name in missing:
+            continue
+        content = page.find(">", at) + 1 if name else at
+        end = _ENDS[name].search(page, content) if content or not name else None
+        if end is None:
+            missing.add(name)
+        else:
+            at = end.end()
+            yield found.start(), content, end.start(), at
+
+
+def _tag_ends(page: str) -> Callable[[int], int]:
+    """Where a tag ends whose name ends at a place (0: nowhere), worked out from the back of the page."""
+    marks = [m.start() for m in _MARK.finditer(page)]
+    ends, following = [0] * (len(marks) + 1), {"'": len(marks), '"': len(marks)}
+    for i in range(len(marks) - 1, -1, -1):
+        mark = page[marks[i]]
+        if mark == ">":
+            ends[i] = marks[i] + 1
+        else:
+            ends[i] = ends[min(following[mark] + 1, len(marks))]
+            following[mark] = i
+    return lambda at: ends[bisect.bisect_left(marks, at)]
+
+
+def _tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, whether it closes, lower-case name, attributes) of tags, with no name for declarations."""
+    at, end_of = 0, None
+    while found := _TAG.search(page, at):
+        start, at = found.start(), found.end()
+        if not found[2]:
+            end = page.find(">", at) + 1
+            if not end:
+                return
+        elif end_of:
+            end = end_of(at)
+        elif rest := _REST.match(page, at):
+            end = rest.end()
+        else:
+            # Something is left open up to the end of the page; do not read that far again.
+            end_of, end = _tag_ends(page), 0
+        if end:
+            yield start, end, bool(found[1]), (found[2] or "").lower(), page[at : end - 1]
+            at = end
+
+
+def _without(page: str, opening: re.Pattern, instead: str) -> str:
+    out, at = [], 0
+    for start, _, _, end in _elements(page, opening):
+        out += [page[at:start], instead]
+        at = end
+    return "".join([*out, page[at:]])
+
+
 def page_text(page: str) -> str:
     """Visible text, a line per block element, runs of white space as one space."""
-    shown = _TAG.sub(lambda m: "\n" if (m[2] or "").lower() in _BLOCKS else "", _HIDDEN.sub(" ", _TITLE.sub("", page)))
-    lines = (" ".join(line.split()) for line in html.unescape(shown).split("\n"))
+    bare = _without(_without(page, _TITLE, ""), _HIDDEN, " ")
+    shown, at = [], 0
+    for start, end, _, name, _ in _tags(bare):
+        shown += [bare[at:start], "\n" if name in _BLOCKS else ""]
+        at = end
+    lines = (" ".join(line.split()) for line in html.unescape("".join([*shown, bare[at:]])).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def page_metadata(page: str) -> dict:
     """Title, meta fields and links, in the order of the page."""
-    title = _TITLE.search(page)
+    title = next(_elements(page, _TITLE), None)
     metas, links = [], []
-    for m in _TAG.finditer(page):
-        name = (m[2] or "").lower()
-        if m[1] or not (name == "meta" or name in _LINKS):
+    for _, _, closes, name, attributes in _tags(page):
+        if closes or not (name == "meta" or name in _LINKS):
             continue
-        found = _attributes(m[3])
+        found = _attributes(attributes)
         if name == "meta":
             metas.append(found)
         elif found.get(_LINKS[name]):
             links.append({"path": f"{name.upper()}@/{_LINKS[name]}", "url": found[_LINKS[name]]})
-    return {"title": html.unescape(title[1]).strip() if title else None, "metas": metas, "links": links}
+    return {"title": html.unescape(page[title[1] : title[2]]).strip() if title else None, "metas": metas, "links": links}
 
 
 def derive_records(response: dict) -> list[dict]:
@@ -105,9 +181,12 @@ def derive_records(response: dict) -> list[dict]:
         "metadata": ("application/json", json.dumps(envelope, ensure_ascii=False).encode("utf-8", "replace")),
         "conversion": ("text/plain; charset=utf-8", page_text(page).encode("utf-8", "replace")),
     }
+    name = response["record_id"]
+    if name is None:
+        name = f"{response['target_uri']} {response['date']} {source_digest}"
     return [
         {
-            "record_type": kind, "record_id": derived_id(response["record_id"], kind), "refers_to": response["record_id"],
+            "record_type": kind, "record_id": derived_id(name, kind), "refers_to": response["record_id"],
             "target_uri": response["target_uri"], "date": response["date"], "content_type": content,
             "payload_digest": source_digest, "block_digest": digest(block), "block": block,
         }
@@ -143,7 +222,8 @@ def read_warc(data: bytes) -> list[tuple[dict[str, str], bytes]]:
 
 def page_responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Response records of raw pages (page_id, url, html), with ``page_id``; ids follow page and URL."""
-    key = F.sha1(F.concat_ws("\n", F.col("page_id").cast("string"), F.col("url")))
+    named = F.concat_ws("\n", F.col("page_id").cast("string"), F.col("url"))
+    key = F.sha1(F.when(F.coalesce(F.col("page_id").cast("string"), F.col("url")).isNotNull(), named).otherwise(F.concat(F.lit("\n\n"), F.coalesce("html", F.lit("")))))
     part = lambda a, n: F.substring(key, a, n)
     name = F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12))
     body = F.coalesce("html", F.lit(""))

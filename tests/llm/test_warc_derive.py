@@ -1,5 +1,10 @@
 import html.parser
 import json
+import re
+import time
+
+from hypothesis import given
+from hypothesis import strategies as st
 
 from emberfold.llm import warc_derive as wd
 from emberfold.llm.common import table
@@ -81,3 +86,32 @@ def test_odd_responses(spark):
     nulls = spark.createDataFrame([(1, None, None)], "page_id BIGINT, url STRING, html STRING")
     assert wd.derive(wd.page_responses(nulls), "page_id").count() == 2
     assert wd.derive(spark.createDataFrame([], wd.RESPONSE)).count() == 0
+
+
+def test_unclosed_elements_take_linear_time():
+    for opening in ("<script>", "<!--", "<title>", "<style", "<title", "<p", "<a b=\"", "<p'\""):
+        start = time.perf_counter()
+        wd.page_text(opening * 100_000 + "end")
+        wd.page_metadata(opening * 100_000 + "end")
+        assert time.perf_counter() - start < 10, opening
+    assert wd.page_text("a<script>b<style>c</style>d") == "ab d"
+    assert wd.page_text("<!-- x --><SCRIPT>y</script ><title>t</title>z<!-- open") == "z<!-- open"
+
+
+def test_responses_without_ids():
+    response = {"record_id": None, "target_uri": None, "date": None, "payload_digest": None, "block": b"a"}
+    one, other = wd.derive_records(response), wd.derive_records({**response, "block": b"b"})
+    assert one == wd.derive_records(response) and one[0]["refers_to"] is None
+    assert len({r["record_id"] for r in one + other}) == 4
+
+
+def test_pages_without_ids(spark):
+    pages = spark.createDataFrame([(None, None, "a"), (None, None, "b"), (None, None, None)], "page_id long, url string, html string")
+    assert wd.page_responses(pages).select("record_id").distinct().count() == 3
+
+
+@given(st.lists(st.sampled_from(["<p", "<a href=", "</p", ">", '"', "'", "<!", "<?x", "x", " ", "<"]), max_size=14).map("".join))
+def test_tags_as_a_backtracking_free_pattern_finds_them(page):
+    whole = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>")
+    want = [(m.start(), m.end(), bool(m[1]), (m[2] or "").lower()) for m in whole.finditer(page)]
+    assert [t[:4] for t in wd._tags(page)] == want
