@@ -6,15 +6,20 @@ these two. So one pass over a word finds the last token of each of its prefixes
 and the count of a prefix is one more than the count of what its last token leaves. A cut inside a
 word makes the rest of it a word of its own, which ends in a word-end token; both chains are kept.
 Words are independent of each other, so the counts of a text's prefixes are running sums over its
-words, and each distinct word of a worker's texts is worked out once. Where a cut may change how the
-rest is normalised (a letter and the marks after it) or split, only that spot is worked out again.
+words, and each distinct word of a worker's texts is worked out once. The distinct words of a slice
+are stepped through together, a position at a time, on arrays (``SuffixTable``): an automaton over
+the vocabulary gives the longest token that ends there and each next shorter one. Words beyond Latin
+letters and very long ones go one by one. Where a cut may change how the rest is normalised (a letter
+and the marks after it) or split, only that spot is worked out again.
 
 ``prefix_counts`` stores the steps from each prefix to the next, one byte per code point and
 compressed; ``tokens_at`` and ``cut_at_budget`` answer from that column alone.
 
 Defined cases: a null or empty text has no tokens and one prefix; special strings inside texts are
 one token, as the library treats them; repeated rows give repeated rows; very long texts take memory
-in proportion to their length, a letter with very many marks takes time by their square; other columns pass through ``prefix_counts``.
+in proportion to their length, a letter with very many marks takes time by their square and more than
+32,767 tokens of difference between two neighbouring prefixes end the job; other columns pass through
+``prefix_counts``, but for ones named as those that it adds, which it replaces.
 """
 
 from __future__ import annotations
@@ -34,8 +39,12 @@ from emberfold.llm.common import pack, slices, split_words, unpack
 from emberfold.llm.tokens import byte_symbols
 
 # Distinct words and token pairs a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+# Text bytes that are worked on at once.
+PIECE_BYTES = 2 << 20
 END = "</w>"
+# Bytes of a word that is stepped through together with others; slots of the table of known pairs.
+TOGETHER, KNOWN_PAIRS = 64, 1 << 21
 # The pattern of such vocabularies, for lower-cased ASCII; letters before this
 # character keep their place when lower-cased.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -98,6 +107,129 @@ class _Scan:
             self.counter._extend(self.symbols, self.last, self.count)
 
 
+class SuffixTable:
+    """Last-token steps of many byte-level words at once.
+
+    Tokens are numbers, those that end a word apart from the others. ``goto`` leads from the longest
+    vocabulary prefix that a word's part ends in to the next by one byte; ``longest`` holds per such
+    state the longest token that the part ends in, ``shorter`` per token the next one down.
+    """
+
+    def __init__(self, counter: PrefixCounter):
+        bytes_of = byte_symbols()
+        names = list(counter.vocab)
+        number = {t: i for i, t in enumerate(names)}
+        self.none = len(names)
+        self.made = np.full((3, self.none + 1), -1, np.int64)
+        for token, (one, two, rank) in counter.made.items():
+            self.made[:, number[token]] = number[one], number[two], rank
+        pairs = sorted((number[a] * (self.none + 1) + number[b], r) for (a, b), r in counter.rank.items())
+        self.pairs, self.ranks = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.empty(0, np.int64),) * 2
+        self.known = np.full(KNOWN_PAIRS, -1, np.int64)
+
+        raw: dict[bytes, list[int]] = {b"": [-1, -1]}
+        for i, token in enumerate(names):
+            body = token.removesuffix(END)
+            if body and all(c in bytes_of for c in body) and counter._may_follow("", token):
+                text = bytes(bytes_of[c] for c in body)
+                for n in range(1, len(text)):
+                    raw.setdefault(text[:n], [-1, -1])
+                raw.setdefault(text, [-1, -1])[body != token] = i
+        nodes = sorted(raw, key=len)
+        place = {t: i for i, t in enumerate(nodes)}
+        size = np.array([len(t) for t in nodes])
+        parent = np.array([place[t[:-1]] for t in nodes])
+        byte = np.array([t[-1] if t else 0 for t in nodes])
+        own = np.array([raw[t] for t in nodes], np.int64)
+        self.goto = np.zeros((len(nodes), 256), np.int32)
+        self.longest = np.full((2, len(nodes)), -1, np.int64)
+        self.shorter = np.full(self.none + 1, -1, np.int64)
+        self.size = np.zeros(self.none + 1, np.int64)
+        for depth in range(1, int(size[-1]) + 1):
+            at = np.flatnonzero(size == depth)
+            back = self.goto[parent[at], byte[at]].astype(np.int64) if depth > 1 else np.zeros(len(at), np.int64)
+            self.goto[parent[at], byte[at]] = at
+            self.goto[at] = self.goto[back]
+            for kind in (0, 1):
+                here, below = own[at, kind], self.longest[kind, back]
+                self.longest[kind, at] = np.where(here >= 0, here, below)
+                self.shorter[here[here >= 0]] = below[here >= 0]
+                self.size[here[here >= 0]] = depth
+
+    def _apart(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """``PrefixCounter._stay_apart`` of many pairs."""
+        out, rows = np.zeros(len(before), bool), np.arange(len(before))
+        limit = np.full(len(before), 1 << 60)
+        while len(rows):
+            key = before * (self.none + 1) + token
+            found = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            merged = (self.pairs[found] == key) & (self.ranks[found] < limit)
+            one, two = self.made[2, before], self.made[2, token]
+            left = one > two
+            single = ~left & (two < 0)
+            out[rows[single & ~merged]] = True
+            open_ = ~merged & ~single
+            before, limit, token = (
+                np.where(left, self.made[1, before], before)[open_], np.where(left, one, two + 1)[open_],
+                np.where(left, token, self.made[0, token])[open_],
+            )
+            rows = rows[open_]
+        return out
+
+    def _fits(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether tokens may follow others, by the table of known pairs where they are in it."""
+        key = before * (self.none + 1) + token
+        slot = (key * 0x9E3779B1 >> 7) % KNOWN_PAIRS
+        seen = self.known[slot]
+        out = (seen & 1).astype(bool)
+        new = np.flatnonzero(seen >> 1 != key)
+        if len(new):
+            first = before[new] == self.none
+            out[new[first]] = True
+            new = new[~first]
+            keys, back = np.unique(key[new], return_inverse=True)
+            one, two = keys // (self.none + 1), keys % (self.none + 1)
+            apart = self._apart(one, two)
+            out[new] = apart[back]
+            self.known[(keys * 0x9E3779B1 >> 7) % KNOWN_PAIRS] = keys * 2 + apart
+        return out
+
+    def _last(self, kind: int, state: np.ndarray, at: int, base: np.ndarray, last: np.ndarray) -> tuple:
+        """(token, where it begins) of the encodings of all parts that end at position ``at``."""
+        token = self.longest[kind, state]
+        rows = np.arange(len(state))
+        while len(rows):
+            tried = token[rows]
+            if (tried < 0).any():
+                raise ValueError("no encoding of a word")
+            ok = self._fits(last[base[rows] + at - self.size[tried]], tried)
+            rows = rows[~ok]
+            token[rows] = self.shorter[token[rows]]
+        return token, base + at - self.size[token]
+
+    def prefixes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of every byte prefix of the words, one after the other, and where each begins)."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        start = np.concatenate([[0], np.cumsum(size)])
+        text = np.frombuffer(b"".join(words), np.uint8)
+        order = np.argsort(-size, kind="stable")
+        # A word's steps lie behind each other, led by the empty prefix.
+        base, spot = (start[:-1] + np.arange(len(words)))[order], start[:-1][order]
+        last = np.full(len(text) + len(words), self.none, np.int64)
+        count, ended = np.zeros(len(last), np.int64), np.zeros(len(text), np.int64)
+        state = np.zeros(len(words), np.int64)
+        longest_first = size[order]
+        for at in range(1, int(longest_first[0]) + 1 if len(words) else 0):
+            n = int(np.searchsorted(-longest_first, -at, "right"))
+            here = base[:n]
+            state = self.goto[state[:n], text[spot[:n] + at - 1]].astype(np.int64)
+            token, begin = self._last(0, state, at, here, last)
+            last[here + at], count[here + at] = token, count[begin] + 1
+            _, begin = self._last(1, state, at, here, last)
+            ended[spot[:n] + at - 1] = count[begin] + 1
+        return ended, start
+
+
 class PrefixCounter:
     """Counts for one tokenizer file with lower-cased words that end in a word-end token."""
 
@@ -136,6 +268,19 @@ class PrefixCounter:
         self.kinds: dict[str, str] = {}
         self.normal: dict[str, str] = {}
         self.shown = {b: c for c, b in byte_symbols().items()}
+        self.table = SuffixTable(self)
+        self.piece_steps: dict[str, bytes] = {}
+        kinds: dict[str, list[str]] = {"L": [], "N": [], "O": []}
+        upper = []
+        for c in map(chr, range(33, ord(LATIN_END))):
+            low = self._normal(c)
+            if low == c and self._class(c) in kinds and not _joins(c):
+                kinds[self._class(c)].append(re.escape(c))
+            elif len(low) == 1 and low == c.lower() < LATIN_END and self._normal(low) == low and self._class(low) in kinds:
+                upper.append(re.escape(c))
+        own = {k: f"[{''.join(v)}]" for k, v in kinds.items()}
+        self.latin = re.compile(f"[{''.join(sum(kinds.values(), upper))}]+")
+        self.latin_pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|{own['L']}+|{own['N']}|{own['O']}+")
 
     def _encode(self, symbols: list[str]) -> list[str]:
         """Byte-pair encoding of a few symbols, by the merge of lowest rank first."""
@@ -332,16 +477,47 @@ class PrefixCounter:
             out.append(before)
         return out + [before + n for n in self._plain_prefixes(word[at:])]
 
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        """Steps of lower-cased Latin pieces, at the ends of their characters."""
+        new = [p for p in pieces if p not in self.piece_steps]
+        # What is cut in two before its last character, and what would be stepped through all alone.
+        apart = [p for p in new if p[0] == "'" and p[1:].isalpha() or len(p) * 2 > TOGETHER]
+        for p in apart:
+            self.piece_steps[p] = _step_bytes(self._plain_prefixes(p))
+        apart = set(apart)
+        new = [p for p in new if p not in apart]
+        for some in range(0, len(new), 1 << 14):
+            words = new[some : some + (1 << 14)]
+            raw = [p.encode() for p in words]
+            counts, start = self.table.prefixes(raw)
+            text = np.frombuffer(b"".join(raw), np.uint8)
+            ends = np.append((text[1:] & 0xC0) != 0x80, True)[: len(text)]
+            counts, start = counts[ends], np.concatenate([[0], np.cumsum(ends)])[start]
+            step = np.diff(counts, prepend=0)
+            step[start[:-1]] = counts[start[:-1]]
+            data, start = _narrow(step).tobytes(), (start * 2).tolist()
+            self.piece_steps.update(zip(words, (data[a:b] for a, b in zip(start, start[1:]))))
+
     def steps(self, words: list[str]) -> list[bytes]:
         """Per word the tokens of each prefix less those of the prefix before it, two bytes each."""
         known = self.word_steps
         if len(known) > REMEMBERED:
             known = self.word_steps = {w: known[w] for w in words if w in known}
             self.piece_prefixes = {}
+        if len(self.piece_steps) > REMEMBERED:
+            self.piece_steps = {}
+        split = {}
         for w in words:
             if w not in known:
-                step = np.diff(np.array(self.prefixes(w), np.int64), prepend=0)
-                known[w] = _narrow(step).tobytes()
+                if self.latin.fullmatch(w) and not self.special_at.search(w):
+                    low = w.lower()
+                    split[w] = [low] if low.isalpha() else self.latin_pieces.findall(low)
+                else:
+                    known[w] = _step_bytes(self.prefixes(w))
+        self._learn_pieces({p for parts in split.values() for p in parts})
+        own = self.piece_steps
+        for w, parts in split.items():
+            known[w] = own[parts[0]] if len(parts) == 1 else b"".join([own[p] for p in parts])
         return [known[w] for w in words]
 
     def counts(self, words: list[str]) -> np.ndarray:
@@ -368,6 +544,10 @@ def _narrow(step: np.ndarray) -> np.ndarray:
     return out
 
 
+def _step_bytes(counts: list[int]) -> bytes:
+    return _narrow(np.diff(np.array(counts, np.int64), prepend=0)).tobytes()
+
+
 def _spread(text: str, steps: np.ndarray) -> np.ndarray:
     """Steps of a text's words at their places, 0 for the white space between them."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -387,7 +567,7 @@ def _counted(path: str, store: bool, names: list[str]):
     def run(batches):
         counter = prefix_counter(path)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", PIECE_BYTES):
                 text = pc.fill_null(batch.column("text"), "")
                 per_row, codes, words = split_words(text)
                 edges = np.concatenate([[0], np.cumsum(per_row)])
@@ -403,6 +583,7 @@ def _counted(path: str, store: bool, names: list[str]):
                     sums = np.concatenate([[0], np.cumsum(counter.counts(words)[codes])])
                     extra = [size, pa.array(sums[edges[1:]] - sums[edges[:-1]])]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=names)
+            pa.default_memory_pool().release_unused()
 
     return run
 
