@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfold.functions.geo import geo_to_pixel
-from emberfold.functions.nested import dot_path, percent_text
+from emberfold.functions.nested import dot_path, fixed_text, percent_text
 from emberfold.operators.scoring import risk_colour, risk_tier
 from emberfold.operators.standardize import keep_one
 
@@ -54,7 +54,7 @@ def report_markers(incidents: DataFrame, predictions: DataFrame) -> DataFrame:
         risk_colour(score).alias("marker_color"),
         F.format_string("%s - %s Risk", F.col("cluster_id"), tier).alias("tooltip"),
         F.concat_ws(" ", F.upper(tier), F.lit("RISK FIRE")).alias("popup_title"),
-        F.format_string("%.2f, %.2f", "centroid_latitude", "centroid_longitude").alias("popup_place"),
+        F.concat(fixed_text(F.col("centroid_latitude")), F.lit(", "), fixed_text(F.col("centroid_longitude"))).alias("popup_place"),
         percent_text(score).alias("popup_confidence"),
         *[column.alias(name) for name, column in context.items()],
     )

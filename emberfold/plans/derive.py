@@ -13,7 +13,7 @@ from emberfold.functions.times import run_date_of
 from emberfold.operators.incidents import incident_id
 from emberfold.operators.standardize import fuse, keep_confident
 from emberfold.plans.jobs import detect_hotspots
-from emberfold.session import prepare
+from emberfold.session import prepare, scratch_path
 
 # Days per run in the registered queries: a single derived day is too thin to form clusters.
 RUN_DAYS = 7
@@ -66,6 +66,33 @@ def himawari_feed(ev: DataFrame) -> DataFrame:
     )
 
 
+def write_hourly_archive(ev: DataFrame, root: str) -> None:
+    """The geostationary feed in one or two files per hour, named as an archive names them.
+
+    Hours divisible by six have their rows of more than four reads in a second file; the files of
+    hour 5 bear another ending. Spark writes the rows; the driver only renames the files, one or
+    two for each hour of the archive.
+    """
+    spark = ev.sparkSession
+    rows = himawari_feed(ev)
+    key = F.format_string("%04d%02d%02d_%02d", "year", "month", "day", "hour")
+    second = F.when((F.col("hour") % 6 == 0) & (F.col("n") > 4), "b").otherwise("a")
+    ending = F.when(F.col("hour") == 5, ".nc").otherwise(".csv")
+    named = rows.select(F.concat(F.lit("H09_"), key, F.lit("00_"), second, ending).alias("name"), F.to_csv(F.struct(*rows.columns)).alias("value"))
+    staged = scratch_path(spark, "hourly")
+    named.repartition("name").write.partitionBy("name").text(staged)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in files.listStatus(path(staged)):
+        name = folder.getPath().getName().removeprefix("name=")
+        if not name.startswith("H09_"):
+            continue
+        day = path(f"{root}/{name[4:10]}/{name[10:12]}")
+        files.mkdirs(day)
+        for part in files.globStatus(path(f"{folder.getPath()}/part-*")):
+            files.rename(part.getPath(), path(day, name))
+
+
 def golden(ev: DataFrame) -> DataFrame:
     """Both feeds, standardised and united, before any filter."""
     return fuse({"FIRMS": firms_feed(ev), "JAXA": himawari_feed(ev)})

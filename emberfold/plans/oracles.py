@@ -362,6 +362,10 @@ _FIRMS_ROW = f"""round({LAT}, 9) AS latitude, round({LON}, 9) AS longitude, valu
   CASE event_type WHEN 'signup' THEN 'l' WHEN 'error' THEN 'H' ELSE 'n' END AS confidence"""
 _LABELLED = f"""run_date::VARCHAR AS run_date, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude,
   {text_time('acq_datetime')}, source, cluster_id, is_core"""
+_HIMAWARI_ROW = f"""SELECT year(ts)::INTEGER AS year, month(ts)::INTEGER AS month, day(ts)::INTEGER AS day,
+  hour(ts)::INTEGER AS hour, round({LAT}, 9) AS lat, round({LON}, 9) AS lon, value AS ave_frp,
+  round(value * 1.5::DOUBLE, 6) AS max_frp, ((event_id * 13) % 101)::DOUBLE AS ave_confidence,
+  (1 + event_id % 9)::INTEGER AS n"""
 _DAY_START, _DAY_END = "TIMESTAMP '2024-01-04 17:00:00'", "TIMESTAMP '2024-01-05 17:00:00'"
 _BEST_ROWS = f"SELECT {_GOLDEN_ROW} FROM ({_BEST.format(table='golden')})"
 
@@ -460,6 +464,7 @@ STATEMENTS: dict[str, str] = {
   CASE {_tier('confidence_score')} WHEN 'High' THEN 'red' WHEN 'Moderate' THEN 'orange' ELSE 'green' END AS marker_color,
   cluster_id || ' - ' || {_tier('confidence_score')} || ' Risk' AS tooltip,
   upper({_tier('confidence_score')}) || ' RISK FIRE' AS popup_title,
+  printf('%.2f, %.2f', centroid_latitude, centroid_longitude) AS popup_place,
   printf('%.0f%%', confidence_score * 100) AS popup_confidence, air_quality_severity, relative_humidity_percent
   FROM site_score""",
     "report_kpis": f"""SELECT count(*) AS total_incidents,
@@ -524,10 +529,11 @@ STATEMENTS: dict[str, str] = {
     "firms_csv_scan": f"SELECT {_FIRMS_ROW} FROM events WHERE event_type IN ('click', 'error', 'signup')",
     "firms_local_day_scan": f"""SELECT DISTINCT {_FIRMS_ROW} FROM events
   WHERE event_type IN ('click', 'error') AND ts >= {_DAY_START} AND ts < {_DAY_END}""",
-    "himawari_csv_scan": f"""SELECT year(ts)::INTEGER AS year, month(ts)::INTEGER AS month, day(ts)::INTEGER AS day,
-  hour(ts)::INTEGER AS hour, round({LAT}, 9) AS lat, round({LON}, 9) AS lon, value AS ave_frp,
-  round(value * 1.5::DOUBLE, 6) AS max_frp, ((event_id * 13) % 101)::DOUBLE AS ave_confidence,
-  (1 + event_id % 9)::INTEGER AS n FROM events WHERE event_type IN ('view', 'purchase')""",
+    "himawari_csv_scan": f"""{_HIMAWARI_ROW} FROM events WHERE event_type IN ('view', 'purchase')""",
+    "himawari_local_day_scan": f"""SELECT * EXCLUDE (alone) FROM (
+  {_HIMAWARI_ROW}, NOT bool_or(event_id % 9 < 4) OVER (PARTITION BY date_trunc('hour', ts)) AS alone
+  FROM events WHERE event_type IN ('view', 'purchase') AND ts >= {_DAY_START} AND ts < {_DAY_END})
+  WHERE hour <> 5 AND (hour % 6 <> 0 OR n <= 4 OR alone)""",
     "hourly_files": f"""SELECT {text_time("date_trunc('hour', ts)", 'hour')},
   min('feed/' || strftime(ts, '%Y%m/%d/H09_%Y%m%d_%H00_') || lpad(user_id::VARCHAR, 6, '0') || '.csv') AS path
   FROM events WHERE event_type = 'view' AND ts >= {_DAY_START} AND ts < {_DAY_END} GROUP BY 1""",

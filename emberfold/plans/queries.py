@@ -319,7 +319,7 @@ def report_markers(spark, sf_dir):
     incidents, predictions = _scored_sites(spark, sf_dir)
     return report.report_markers(incidents, predictions).select(
         "cluster_id", _r("centroid_latitude"), _r("centroid_longitude"), "point_count", _r("score", 9), "risk_level",
-        "marker_color", "tooltip", "popup_title", "popup_confidence", "air_quality_severity", "relative_humidity_percent",
+        "marker_color", "tooltip", "popup_title", "popup_place", "popup_confidence", "air_quality_severity", "relative_humidity_percent",
     )
 
 
@@ -526,6 +526,16 @@ def himawari_csv_scan(spark, sf_dir):
     )
 
 
+@query
+def himawari_local_day_scan(spark, sf_dir):
+    """One local day of an archive by hours, with an hour missing and second files at some."""
+    out = scratch_path(prepare(spark), "himawari-hours")
+    derive.write_hourly_archive(derive.events(spark, sf_dir), out)
+    return feeds.himawari_local_day(spark, out, ONE_DAY).select(
+        "year", "month", "day", "hour", _r("lat", 9), _r("lon", 9), "ave_frp", _r("max_frp"), "ave_confidence", "n"
+    )
+
+
 @query
 def hourly_files(spark, sf_dir):
     ts = F.col("ts")

@@ -75,12 +75,12 @@ def _existing(spark: SparkSession, patterns: list[str]) -> list[str]:
 def firms_local_day(spark: SparkSession, root: str, run_date: str, zone: str = LOCAL_ZONE) -> DataFrame:
     """Confident, distinct hotspots of one local day from ``sensor=/utc_day=`` folders.
 
-    Only the folders of the UTC days that the local day touches are listed and read. A root
-    without such folders is read as a whole.
+    Of the archive only the sensors are listed; the folders of the UTC days that the local day
+    touches are looked up by name in each and read. A root without such folders is read as a whole.
     """
     root = root.rstrip("/")
-    if _existing(spark, [f"{root}/*/utc_day=*"]):
-        paths = _existing(spark, [f"{root}/*/utc_day={day}" for day in candidate_utc_days(run_date, zone)])
+    if _existing(spark, [f"{root}/sensor=*"]):
+        paths = _existing(spark, [f"{root}/sensor=*/utc_day={day}" for day in candidate_utc_days(run_date, zone)])
         if not paths:
             return spark.createDataFrame([], FIRMS)
         df = read_firms(spark, paths, root)

@@ -1,4 +1,5 @@
 import math
+import random
 from datetime import datetime
 
 import pytest
@@ -93,3 +94,14 @@ def test_percent_and_nan(spark):
     assert one(spark, nested.percent_text(F.lit(0.9308))) == "93%"
     assert one(spark, nested.percent_text(F.lit(0.5), 1)) == "50.0%"
     assert one(spark, nested.nan_to_null(F.lit(float("nan")))) is None
+
+
+def test_fixed_text_as_exact_formatting(spark):
+    rng = random.Random(3)
+    values = [0.0, -0.0, 0.125, 0.375, -2.675, 1.005, 1.015, -0.001, 0.005, 0.004999999999999999, 99.995, 179.999, 0.995, 104.745]
+    values += [rng.randrange(-36000, 36000) / 200 for _ in range(400)] + [rng.uniform(-180, 180) for _ in range(200)]
+    values += [math.nextafter(k / 200, side) for k in range(-401, 400, 2) for side in (-999.0, 999.0)]
+    for places in (0, 2, 3):
+        rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", nested.fixed_text(F.col("v"), places).alias("t"))
+        assert [r.t for r in rows.collect()] == [f"{v:.{places}f}" for v in values]
+    assert one(spark, nested.fixed_text(F.lit(None).cast("double"))) is None
