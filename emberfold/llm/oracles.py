@@ -76,6 +76,7 @@ MIX = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source,
              len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,
+        row_number() OVER (ORDER BY source NULLS LAST) AS place,
         ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
       FROM d GROUP BY source),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING
@@ -89,12 +90,34 @@ t AS (SELECT l.*, CASE WHEN turn < first THEN 3.0 * source_size
 q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM t),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN least(round((target - passes * source_size) / {ss.BLOCK_WORDS})::BIGINT,
           ceil(source_size / {ss.BLOCK_WORDS})::BIGINT) * {ss.BLOCK_WORDS} ELSE 0 END AS part FROM q),
-laid AS (SELECT d.*, source_size, target, passes, part, coalesce(sum(size) OVER (PARTITION BY d.source
+laid AS (SELECT d.*, source_size, target, passes, part, place, coalesce(sum(size) OVER (PARTITION BY d.source
            ORDER BY md5('{ss.SEED}:' || doc_id::VARCHAR), doc_id, size, rid
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-         FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+         FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+due AS (SELECT place, ceil(source_size / {ss.BLOCK_WORDS})::BIGINT AS blocks,
+          (passes * ceil(source_size / {ss.BLOCK_WORDS}) + part // {ss.BLOCK_WORDS})::BIGINT AS due FROM r),
+total AS (SELECT coalesce(sum(due), 0)::BIGINT AS n FROM due),
+share AS (SELECT place, due, (sum(due) OVER (ORDER BY place) - due) / n::DOUBLE AS low,
+            sum(due) OVER (ORDER BY place) / n::DOUBLE AS high FROM due, total WHERE due > 0),
+point AS (SELECT i AS slot, list_sum([((i >> b) & 1) / 2.0::DOUBLE ** (b + 1) FOR b IN range(40)]) AS u
+          FROM (SELECT unnest(range(n)) AS i FROM total)),
+ranked AS (SELECT slot, place, due, row_number() OVER (PARTITION BY place ORDER BY slot) - 1 AS rank
+           FROM point JOIN share ON u >= low AND u < high),
+lack AS (SELECT place, rank, row_number() OVER (ORDER BY place, rank) AS turn FROM (
+           SELECT place, unnest(range(got, due)) AS rank FROM (
+             SELECT due.place, due.due, count(slot) AS got FROM due LEFT JOIN ranked USING (place)
+             GROUP BY due.place, due.due))),
+over_due AS (SELECT slot, row_number() OVER (ORDER BY slot) AS turn FROM ranked WHERE rank >= due),
+slots AS (SELECT slot, place, rank FROM ranked WHERE rank < due
+          UNION ALL SELECT slot, place, rank FROM lack JOIN over_due USING (turn)),
+block AS (SELECT rid, place, unnest(range((start // {ss.BLOCK_WORDS})::BIGINT,
+            ((start + size - 1) // {ss.BLOCK_WORDS} + 1)::BIGINT)) AS block
+          FROM laid WHERE size > 0),
+early AS (SELECT rid, min(slot) AS first_slot FROM block
+          JOIN (SELECT slot, place, rank % blocks AS block FROM slots JOIN due USING (place)) USING (place, block) GROUP BY rid)
 SELECT doc_id, size, source_size, target,
-  (passes * size + greatest(0, least(start + size, part) - start))::BIGINT AS taken FROM laid"""
+  (passes * size + greatest(0, least(start + size, part) - start))::BIGINT AS taken, first_slot
+FROM laid LEFT JOIN early USING (rid)"""
 
 
 LINES = f"""

@@ -8,10 +8,12 @@ into blocks of ``block_words`` words, and a source is due as many blocks as its
 through its stream again when it has been used up. Slot i of the mix is the van der Corput point of
 i (its binary digits mirrored behind the point); the cumulative shares of the sources map the point
 to a source, the slot's rank among the slots of that source is the block it draws. The few slots
-that the discrepancy leaves over or short are handed from the sources above their due to those
-below it, so every source ends within half a block of its target.
+that the discrepancy leaves over are handed from the sources above their due to those below it, so
+every slot draws one block and every source ends within half a block of its target. A document's
+``first_slot`` is the earliest slot that draws words of it: its place when the mix is read in order.
 
-Defined cases: null and empty texts have size 0 and are taken 0 words; a null source is a source
+Defined cases: null and empty texts have size 0 and are taken 0 words; a document that the mix does
+not take has no ``first_slot``; a null doc_id is shuffled by the seed alone; a null source is a source
 of its own; repeated documents are separate documents of equal place; a document is never taken
 more than three times; an empty table gives no rows; other columns pass through ``mixed_documents``.
 """
@@ -82,7 +84,7 @@ def _mirrored(i: Column) -> Column:
 
 
 def schedule(dues: DataFrame) -> DataFrame:
-    """(slot, place, rank) for every block due; ``dues`` has (place, due), few rows."""
+    """(slot, place, rank) for every block due, each slot once; ``dues`` has (place, due), few rows."""
     spark = dues.sparkSession
     total = dues.agg(F.coalesce(F.sum("due"), F.lit(0)).alias("n")).collect()[0]["n"]
     upto = Window.partitionBy(F.lit(0)).orderBy("place")
@@ -110,16 +112,21 @@ def schedule(dues: DataFrame) -> DataFrame:
         "place", "chunk", (F.col("earlier") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("base")
     )
     own = F.row_number().over(Window.partitionBy("place", "chunk").orderBy("slot")) - 1
-    ranked = (
+    ranked = cut_lineage(
         drawn.withColumn("own", own).join(base, ["place", "chunk"])
-        .withColumn("rank", F.col("base") + F.col("own")).filter("rank < due").select("slot", "place", "rank")
+        .select("slot", "place", "due", (F.col("base") + F.col("own")).alias("rank"))
     )
-    got = counts.groupBy("place").agg(F.sum("n").alias("got"))
+    got = ranked.groupBy("place").agg(F.count("*").alias("got"))
     short = (
         dues.join(got, "place", "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < due")
-        .select(F.lit(total).alias("slot"), "place", F.explode(F.expr("sequence(got, due - 1)")).alias("rank"))
+        .select("place", F.explode(F.expr("sequence(got, due - 1)")).alias("rank"))
     )
-    return ranked.unionByName(short)
+    # As many as the discrepancy: a multiple of the sources and the digits of the last slot.
+    everything = Window.partitionBy(F.lit(0))
+    short = short.withColumn("turn", F.row_number().over(everything.orderBy("place", "rank")))
+    over = ranked.filter("rank >= due").select("slot", F.row_number().over(everything.orderBy("slot")).alias("turn"))
+    handed = short.join(over, "turn").select("slot", "place", "rank")
+    return ranked.filter("rank < due").select("slot", "place", "rank").unionByName(handed)
 
 
 def _sized(docs: DataFrame, extra: list[Column]) -> DataFrame:
@@ -155,7 +162,7 @@ def streams(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame
 def draw(sized: DataFrame, *, block_words: int = BLOCK_WORDS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
     """(documents with source_size and target, the words drawn of them by pass).
 
-    The second has (row, pass, from_word, words): of a document, in one pass over its source.
+    The second has (row, pass, from_word, words, first_slot): of a document, in one pass over its source.
     """
     targets = cut_lineage(source_targets(sized))
     dues = cut_lineage(_dues(targets, block_words))
@@ -173,21 +180,22 @@ def draw(sized: DataFrame, *, block_words: int = BLOCK_WORDS, seed: str = SEED)
     )
     slots = (
         schedule(dues.select("place", "due")).join(F.broadcast(dues.select("place", "blocks")), "place")
-        .select("place", F.expr("rank % blocks").alias("block"), F.expr("rank div blocks").alias("pass"))
+        .select("place", "slot", F.expr("rank % blocks").alias("block"), F.expr("rank div blocks").alias("pass"))
     )
     drawn = (
         parts.join(slots, ["place", "block"]).groupBy("row", "pass")
-        .agg(F.min("from_word").alias("from_word"), F.sum("words").alias("words"))
+        .agg(F.min("from_word").alias("from_word"), F.sum("words").alias("words"), F.min("slot").alias("first_slot"))
     )
     return laid, drawn
 
 
 def mix_report(docs: DataFrame, *, block_words: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target and the words taken of every document."""
+    """doc_id, size, source_size, target, the words taken and the first slot of every document."""
     laid, drawn = draw(_sized(docs, []), block_words=block_words, seed=seed)
-    taken = drawn.groupBy("row").agg(F.sum("words").alias("taken"))
+    taken = drawn.groupBy("row").agg(F.sum("words").alias("taken"), F.min("first_slot").alias("first_slot"))
     return laid.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "first_slot",
     )
 
 
@@ -201,9 +209,13 @@ def _words_between(text: pd.Series, first: pd.Series, words: pd.Series) -> pd.Se
     return pd.Series([cut(*x) for x in zip(text, first, words)])
 
 
-def mixed_documents(docs: DataFrame, *, block_words: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, *, block_words: int = BLOCK_WORDS, seed: str = SEED, slot: str | None = None
+) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: one row per document and pass.
 
+    ``slot`` names a further column for the first slot of the row, by which the mix can be sorted.
+
     A document drawn whole keeps its text; at the end of a source's last pass one document may be
     drawn in part and then holds the drawn words. ``n_chars`` follows the text. Documents that the
     mix does not take are gone.
@@ -212,10 +224,11 @@ def mixed_documents(docs: DataFrame, *, block_words: int = BLOCK_WORDS, seed: st
     sized = _sized(docs, [whole])
     _, drawn = draw(sized, block_words=block_words, seed=seed)
     picked = sized.join(drawn, "row")
-    part = picked.filter("words < size").select("doc", F.pandas_udf(_words_between, "string")("doc.text", "from_word", "words").alias("cut"))
-    both = picked.filter("words = size").select("doc", F.lit(None).cast("string").alias("cut")).unionByName(part)
+    part = picked.filter("words < size").select("doc", "first_slot", F.pandas_udf(_words_between, "string")("doc.text", "from_word", "words").alias("cut"))
+    both = picked.filter("words = size").select("doc", "first_slot", F.lit(None).cast("string").alias("cut")).unionByName(part)
     out = {"text": F.coalesce("cut", F.col("doc.text"))}
     if "n_chars" in docs.columns:
         length = F.length("cut").cast(docs.schema["n_chars"].dataType)
         out["n_chars"] = F.when(F.col("cut").isNull(), F.col("doc.n_chars")).otherwise(length)
-    return both.select(*[out.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    last = [F.col("first_slot").alias(slot)] if slot else []
+    return both.select(*[out.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns], *last)

@@ -42,7 +42,36 @@ def test_targets_and_taken(docs, corpus, block):
     for s in size:
         assert abs(taken[s] - want[s]) <= block / 2 + 1
     again = ss.mix_report(docs.repartition(5), block_words=block).collect()
-    assert sorted((r.doc_id, r.taken) for r in rows) == sorted((r.doc_id, r.taken) for r in again)
+    assert sorted((r.doc_id, r.taken, r.first_slot or 0) for r in rows) == sorted((r.doc_id, r.taken, r.first_slot or 0) for r in again)
+
+
+@pytest.mark.parametrize("block", [64, 7])
+def test_first_slots_spread_the_sources_evenly(docs, corpus, block):
+    """Read by slot, any part of the mix holds the sources by their share of the words."""
+    rows = ss.mix_report(docs, block_words=block).collect()
+    assert all((r.first_slot is None) == (r.taken == 0) for r in rows)
+    source = {c[0]: c[3] for c in corpus}
+    by_slot = sorted((r for r in rows if r.taken), key=lambda r: r.first_slot)
+    last = max(r.first_slot for r in by_slot)
+    share, target = {}, {source[r.doc_id]: r.target for r in rows}
+    for r in by_slot:
+        share.setdefault(source[r.doc_id], []).append(r.first_slot)
+    total = sum(target.values())
+    assert last < total / block + len(target) + 1
+    for name, slots in share.items():
+        # Every source of some blocks begins about one of its own gaps after the start.
+        due = target[name] / block
+        if due >= 8:
+            assert slots[0] <= 12 * total / target[name]
+    kept = ss.mixed_documents(docs, block_words=block, slot="at")
+    assert kept.columns == [*docs.columns, "at"]
+    first = {}
+    for r in kept.collect():
+        first[r.doc_id] = min(r["at"], first.get(r.doc_id, r["at"]))
+    want = {}
+    for r in by_slot:
+        want[r.doc_id] = min(r.first_slot, want.get(r.doc_id, r.first_slot))
+    assert first == want
 
 
 def test_targets_with_scarce_sources(spark):
@@ -59,6 +88,7 @@ def test_schedule_is_even_and_complete(spark):
     for r in sorted(rows, key=lambda r: r.slot):
         ranks[r.place].append(r["rank"])
     assert {p: sorted(x) for p, x in ranks.items()} == {p: list(range(n)) for p, n in due.items() if n}
+    assert sorted(r.slot for r in rows) == list(range(1000))
     # Any prefix of the mix holds the sources in proportion, but for the discrepancy.
     for upto in (100, 400, 800):
         part = Counter(r.place for r in rows if r.slot < upto)
