@@ -79,7 +79,7 @@ def op8_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = edit_fingerprint.neighbour_report(table(spark, sf_dir, "documents"))
+    report = edit_fingerprint.fingerprint_report(table(spark, sf_dir, "documents"))
     prints = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
     return report.withColumns(prints)
 
