@@ -1,10 +1,7 @@
-"""Checks on JSON-lines files: line audit, key sets, samples, inventory of artefacts."""
+"""Checks on JSON-lines files: line audit, key sets, samples."""
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -63,24 +60,3 @@ def head_lines(lines: DataFrame, n: int, order: list[Column], file: str = "file"
     """First ``n`` lines of each file; map tasks already drop all but ``n`` per file."""
     position = Window.partitionBy(file).orderBy(*order)
     return lines.withColumn("line_no", F.row_number().over(position)).filter(F.col("line_no") <= n)
-
-
-def list_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size, time and kind of every file; contents are not read.
-
-    A scan skips empty files, so these are added from the listing the scan was planned on.
-    """
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    names = [re.sub("^file:/+", "file:/", unquote(name)) for name in scan.inputFiles()]
-    listed = spark.createDataFrame([(name,) for name in names], "path STRING")
-    sized = scan.select(
-        F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length", "modificationTime"
-    )
-    files = listed.join(sized, "path", "left").na.fill({"length": 0})
-    name = F.lower(F.element_at(F.split("path", "/"), -1))
-    kind = (
-        F.when(F.col("path").contains("prediction.results"), "prediction")
-        .when(name.contains("error"), "error")
-        .otherwise("other")
-    )
-    return files.withColumn("kind", kind)

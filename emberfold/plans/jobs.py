@@ -9,6 +9,7 @@ from emberfold.functions.times import default_run_date, in_local_day, run_date_o
 from emberfold.operators.air_quality import air_quality
 from emberfold.operators.asof import with_weather
 from emberfold.operators.dbscan import dbscan
+from emberfold.operators.imagery import best_scene, incident_regions, scene_catalogue, scenes_in_window
 from emberfold.operators.incidents import (
     cluster_summary,
     hotspot_records,
@@ -111,6 +112,23 @@ def run_score(spark: SparkSession, root: str, run_date: str, config: dict | None
     records.write_predictions(scored, stage_path(root, "predictions", f"run_date={run_date}"))
 
 
+def run_imagery(
+    spark: SparkSession, root: str, run_date: str, sentinel2_path: str, *landsat_paths: str
+) -> None:
+    """Choose the least cloudy scene of each source for the incidents of one run, and write sidecars.
+
+    The listings hold scenes with the cloud field of their source. Those of the days that the run looks
+    back on are merged into the run's catalogue, which is written first; the choice reads that catalogue. A
+    rerun replaces both; a run without incidents or scenes leaves no sidecars.
+    """
+    listings = [scenes_in_window(spark.read.parquet(path), run_date) for path in (sentinel2_path, *landsat_paths)]
+    catalogue = stage_path(root, "imagery", "catalogue", f"run_date={run_date}")
+    scene_catalogue(*listings).write.mode("overwrite").parquet(catalogue)
+    regions = incident_regions(detected(spark, root, run_date)).withColumn("run_date", F.lit(run_date).cast("date"))
+    chosen = best_scene(regions, records.read_scenes(spark, catalogue))
+    records.write_scene_sidecars(chosen, stage_path(root, "imagery", "sidecars"), [run_date])
+
+
 def run_report(spark: SparkSession, root: str, run_date: str) -> None:
     """Join the written incidents and predictions of one run and write markers and totals."""
     found = detected(spark, root, run_date)
@@ -129,5 +147,5 @@ def report(incidents: DataFrame, predictions: DataFrame, order=None) -> tuple[Da
 
 __all__ = [
     "cluster_hotspots", "detect_hotspots", "detect_incidents", "enrich", "report", "row_order", "run_detect",
-    "run_report", "run_score", "score_incidents",
+    "run_imagery", "run_report", "run_score", "score_incidents",
 ]

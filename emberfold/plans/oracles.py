@@ -562,6 +562,18 @@ STATEMENTS |= {
     "regions_of_records": STATEMENTS["incident_boxes"],
     "emptied_rerun": """SELECT run_date::VARCHAR AS run_date, count(*) AS incidents, sum(point_count)::BIGINT AS points
   FROM sites WHERE run_date <> DATE '2024-01-07' GROUP BY 1""",
+    "manifest_job": STATEMENTS["latest_job"],
+    "imagery_through_folders": """SELECT region_id, data_source AS source, scene_id AS original_id,
+  strftime(make_timestamp(time_start_ms * 1000), '%Y-%m-%dT%H:%M:%S+00:00') AS acquisition_date_utc,
+  round(cloud_cover, 6) AS cloud_cover FROM (
+    SELECT r.cluster_id AS region_id, s.*, row_number() OVER (PARTITION BY r.cluster_id, s.data_source
+             ORDER BY s.cloud_cover, s.time_start_ms DESC, s.scene_id) AS rn
+    FROM summary r JOIN scenes s
+      ON s.lon - 0.9::DOUBLE <= r.max_lon + 0.05::DOUBLE AND s.lon + 0.9::DOUBLE >= r.min_lon - 0.05::DOUBLE
+     AND s.lat - 0.9::DOUBLE <= r.max_lat + 0.05::DOUBLE AND s.lat + 0.9::DOUBLE >= r.min_lat - 0.05::DOUBLE
+     AND s.time_start_ms >= epoch_ms((r.run_date - 13)::TIMESTAMP)
+     AND s.time_start_ms < epoch_ms((r.run_date + 1)::TIMESTAMP)
+    WHERE r.run_date = DATE '2024-01-14') WHERE rn = 1""",
     "stages_through_folders": f"""SELECT cluster_id, round(centroid_latitude, 6) AS centroid_latitude,
   round(centroid_longitude, 6) AS centroid_longitude, point_count, round(confidence_score, 9) AS score,
   {_tier('confidence_score')} AS risk_level FROM incident_score WHERE run_date = DATE '2024-01-14'""",

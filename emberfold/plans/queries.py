@@ -35,7 +35,7 @@ from emberfold.operators.standardize import (
     keep_confident,
 )
 from emberfold.plans import derive
-from emberfold.plans.jobs import cluster_hotspots, detect_incidents, enrich, row_order, run_detect, run_report, run_score
+from emberfold.plans.jobs import cluster_hotspots, detect_incidents, enrich, row_order, run_detect, run_imagery, run_report, run_score
 from emberfold.schemas import AIR_QUALITY_CONTEXT, WEATHER_CONTEXT
 from emberfold.session import cut_lineage, prepare, scratch_path
 from emberfold.sources import feeds, polygons as polygon_files, records
@@ -588,24 +588,64 @@ def emptied_rerun(spark, sf_dir):
     return left.groupBy("run_date").agg(F.count("*").alias("incidents"), F.sum("point_count").alias("points"))
 
 
-@query
-def stages_through_folders(spark, sf_dir):
-    """Detect, score and report the first run through folders; the written markers, read back."""
-    root = scratch_path(prepare(spark), "stages")
+def _first_run(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Detect the incidents of the first run into the folders below ``root``."""
     derive.weather(spark, sf_dir).write.parquet(f"{root}/weather")
     derive.pixels(spark, sf_dir).write.parquet(f"{root}/pixels")
     events = derive.events(spark, sf_dir)
     feeds_read = {"FIRMS": derive.firms_feed(events), "JAXA": derive.himawari_feed(events)}
-    run = run_detect(
+    return run_detect(
         spark, root, {**feeds_read, "FIRMS": keep_confident(feeds_read["FIRMS"])}, derive.polygons(spark, sf_dir),
         f"{root}/weather", f"{root}/pixels", "2024-01-14", derive.RUN_DAYS,
     )
+
+
+@query
+def stages_through_folders(spark, sf_dir):
+    """Detect, score and report the first run through folders; the written markers, read back."""
+    root = scratch_path(prepare(spark), "stages")
+    run = _first_run(spark, sf_dir, root)
     run_score(spark, root, run)
     run_report(spark, root, run)
     markers = spark.read.json(f"{root}/03_final_reports/markers/run_date={run}")
     return markers.select("cluster_id", _r("centroid_latitude"), _r("centroid_longitude"), "point_count", _r("score", 9), "risk_level")
 
 
+@query
+def imagery_through_folders(spark, sf_dir):
+    """Detect the first run and choose its scenes from listings in folders; the sidecars, read back."""
+    root = scratch_path(prepare(spark), "imagery")
+    run = _first_run(spark, sf_dir, root)
+    listed = derive.scenes(spark, sf_dir)
+    second = F.col("scene_id").endswith("1")
+    for name, rows, cloud in (
+        ("sentinel2", F.col("data_source") == "sentinel2", "CLOUDY_PIXEL_PERCENTAGE"),
+        ("landsat8", (F.col("data_source") == "landsat") & ~second, "CLOUD_COVER"),
+        ("landsat9", (F.col("data_source") == "landsat") & second, "CLOUD_COVER"),
+    ):
+        listed.filter(rows).drop("data_source").withColumnRenamed("cloud_cover", cloud).write.parquet(f"{root}/{name}")
+    run_imagery(spark, root, run, *[f"{root}/{name}" for name in ("sentinel2", "landsat8", "landsat9")])
+    sidecars = spark.read.option("basePath", f"{root}/02_satellite_imagery/sidecars").json(
+        f"{root}/02_satellite_imagery/sidecars/run_date={run}"
+    )
+    return sidecars.select("region_id", "source", "original_id", "acquisition_date_utc", _r("cloud_cover"))
+
+
+@query
+def manifest_job(spark, sf_dir):
+    """The job created last, from manifest files of a month's jobs each."""
+    out = scratch_path(prepare(spark), "manifest")
+    jobs = derive.table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.struct(
+            F.expr("concat('job_', o_orderkey)").alias("job_id"),
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
+        ).alias("job"),
+    )
+    jobs.groupBy("month").agg(F.collect_list("job").alias("jobs")).write.partitionBy("month").json(out)
+    return records.read_latest_job(spark, out)
+
+
 @query
 def firms_mixed_headers(spark, sf_dir):
     """Two files in one call whose headers order the columns differently."""

@@ -166,7 +166,7 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     predictions.write.mode("overwrite").json(path)
 
 
-def write_scene_sidecars(scenes: DataFrame, path: str) -> None:
-    """Scene metadata by region and source."""
+def write_scene_sidecars(scenes: DataFrame, path: str, runs: list[str] | None = None) -> None:
+    """Scene metadata by region and source; ``runs`` as in ``write_by_run``."""
     out = scenes.withColumn("source", F.col("data_source"))
-    write_by_run(out, path, "run_date", "region_id", "source")
+    write_by_run(out, path, "run_date", "region_id", "source", runs=runs)

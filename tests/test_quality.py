@@ -34,13 +34,5 @@ def test_head_drops_rows_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_inventory(spark, tmp_path):
-    (tmp_path / "job").mkdir()
-    (tmp_path / "job" / "prediction.results-00000").write_text("{}")
-    (tmp_path / "job" / "errors_stats-00000").write_text("")
-    (tmp_path / "job" / "metadata.json").write_text("{}")
-    kinds = {r.path.rsplit("/", 1)[1]: (r.kind, r.length) for r in Q.list_artifacts(spark, str(tmp_path)).collect()}
-    assert kinds == {"prediction.results-00000": ("prediction", 2), "errors_stats-00000": ("error", 0), "metadata.json": ("other", 2)}
-    plan = Q.list_artifacts(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[-1]
+def test_stage_folders():
     assert stage_path("s3a://x/", "predictions", "2024-01-05") == "s3a://x/02_prediction_jobs/2024-01-05"

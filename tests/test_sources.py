@@ -128,6 +128,16 @@ def test_sidecars(spark, tmp_path):
     assert (back.original_id, back.data_source, back.region_id) == ("s1", "landsat", "r1")
 
 
+def test_sidecars_of_an_emptied_run(spark, tmp_path):
+    """A rerun that chooses nothing leaves no sidecar of its run, and those of other runs."""
+    kind = "region_id STRING, run_date STRING, data_source STRING, original_id STRING"
+    path = str(tmp_path / "imagery")
+    for run in ("2024-01-05", "2024-01-06"):
+        records.write_scene_sidecars(spark.createDataFrame([("r1", run, "landsat", "s1")], kind), path, [run])
+    records.write_scene_sidecars(spark.createDataFrame([], kind), path, ["2024-01-05"])
+    assert {str(r.run_date) for r in spark.read.json(path).collect()} == {"2024-01-06"}
+
+
 def test_a_run_is_committed_whole(spark, tmp_path):
     """A write that fails between two outputs leaves the old version, whole; older versions go."""
     root, schema = str(tmp_path / "out"), "run_date STRING, v INT"
