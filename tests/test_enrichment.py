@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from decimal import ROUND_HALF_UP, Context, Decimal
 
 import numpy as np
 import pytest
@@ -143,3 +144,73 @@ def test_record_status_and_indicators(spark):
 def test_class(spark, severe, moderate, expected):
     got = spark.range(1).select(aq.air_quality_class(F.lit(severe), F.lit(moderate))).collect()[0][0]
     assert got == expected
+
+
+def test_steps_are_two_an_image_whatever_windows_ask():
+    rng = np.random.default_rng(5)
+    series = np.sort(rng.integers(0, 4, 90))
+    at = rng.integers(0, 60, 90)
+    order = np.lexsort([at, series])
+    series, at, value = series[order], at[order], np.where(rng.random(90) < 0.2, np.nan, rng.normal(size=90))
+    owner, start, images, median = aq.window_steps(series, at, value, 12)
+    assert len(owner) <= 2 * len(series)
+    for one in range(4):
+        for begin in range(-20, 80):
+            inside = value[(series == one) & (at >= begin) & (at < begin + 12)]
+            step = np.nonzero((owner == one) & (start <= begin))[0]
+            found = (images[step[-1]], median[step[-1]]) if len(step) else (0, np.nan)
+            there = inside[~np.isnan(inside)]
+            assert found[0] == len(inside)
+            assert np.array_equal([found[1]], [np.median(there) if len(there) else np.nan], equal_nan=True)
+
+
+def test_sums_of_medians_are_exact():
+    values = [0.1, -0.2, 1e-27, -3.3e-19, 5e-19, -5e-19, 9.9e19, -9.9e19, 1e20 / 3, 123456.789, -0.0, float("nan")]
+    digits = Context(prec=76, rounding=ROUND_HALF_UP)
+    exact = [Decimal(repr(v)).quantize(Decimal("1e-18"), context=digits) if v == v else Decimal(0) for v in values]
+    total = Decimal(0)
+    for v in exact:
+        total = digits.add(total, v)
+    parts = aq._limbs(np.array(values))
+    assert aq._from_limbs(parts).to_pylist() == exact
+    assert aq._from_limbs([np.array([p.sum()]) for p in parts]).to_pylist() == [total]
+    assert aq._from_limbs(aq._limbs(np.array([]))).to_pylist() == []
+
+
+def test_composite_equals_medians_per_window(spark):
+    """Every incident has a window of its own: the same as taking each window's medians by themselves."""
+    rng, day = np.random.default_rng(7), ts("2024-01-10 00:00")
+    rows = [
+        (("CO", "NO2", None)[i % 3], day + timedelta(minutes=int(rng.integers(-40000, 40000))), float(rng.normal(0, 0.4)),
+         float(-179.9 + rng.normal(0, 0.4)), None if i % 11 == 0 else float(rng.normal()))
+        for i in range(1500)
+    ]
+    rows += [("CO", None, 0.0, 180.0, 1.0), ("CO", day, None, 180.0, 1.0)]
+    rows = [(p, t, y, x if x is None or x >= -180 else x + 360, v) for p, t, y, x, v in rows]
+    pixels = spark.createDataFrame(rows, PIXELS)
+    kind = "cluster_id STRING, centroid_latitude DOUBLE, centroid_longitude DOUBLE, last_detected TIMESTAMP"
+    sites = [
+        (f"i{i // 2}" if i % 7 else None, float(rng.normal(0, 0.3)), -179.9 + float(rng.normal(0, 0.1)),
+         day + timedelta(minutes=int(rng.integers(-50000, 50000))))
+        for i in range(80)
+    ] + [("none", None, 180.0, day), ("never", 0.0, 180.0, None)]
+    incidents = spark.createDataFrame(sites, kind)
+    out = aq.composite_mean(incidents, pixels, ["cluster_id"]).collect()
+
+    series = aq.pixel_series(pixels)
+    placed = incidents.selectExpr(
+        "cluster_id", "centroid_latitude AS _lat", "centroid_longitude AS _lon", "unix_micros(last_detected) AS _at"
+    )
+    reach = aq.windows_seen(aq._reach(placed, aq.RADIUS_KM, aq.WINDOW_DAYS), series)
+    centre = [(F.col(c) + 0.5) * aq.PIXEL_DEGREES for c in ("pixel_y", "pixel_x")]
+    plain = (
+        reach.join(aq.window_medians(series, reach), ["tile_y", "tile_x", "span", "first", "last"])
+        .filter(aq.hav_distance(F.col("_lat"), F.col("_lon"), *centre) <= np.sin(aq.RADIUS_KM / aq.EARTH_RADIUS_KM / 2) ** 2)
+        .groupBy("cluster_id", "product").agg(F.sum("images").alias("images"), aq._mean("median").alias("composite"))
+    )
+    assert len(out) > 80
+
+    def in_order(rows):
+        return sorted(rows, key=repr)
+
+    assert in_order(map(tuple, out)) == in_order(map(tuple, plain.collect()))
