@@ -117,13 +117,35 @@ def _covered(df: DataFrame, degrees: float) -> DataFrame:
     return df.filter(_covers(size, cx, cy) & ~below).drop("_size")
 
 
-def _best_of_days(entries: DataFrame) -> DataFrame:
+def _best_of_each_day(entries: DataFrame) -> DataFrame:
+    """(cell, source, _block, _day, _place): the best scene of each day among those that cover the cell."""
+    return entries.groupBy("_level", "_cy", "_cx", "data_source", "_block", "_day").agg(F.min("_place").alias("_place"))
+
+
+def _best_of_days(daily: DataFrame) -> DataFrame:
     """(cell, source, _block, _days): the best scene of each day of a block of days, one entry per day."""
     cell = ["_level", "_cy", "_cx", "data_source", "_block"]
-    daily = entries.groupBy(*cell, "_day").agg(F.min("_place").alias("_place"))
     return daily.groupBy(*cell).agg(F.collect_list(F.struct("_day", "_place")).alias("_days"))
 
 
+def _unbeaten_edges(dated: DataFrame, daily: DataFrame, degrees: float) -> DataFrame:
+    """Entries of scenes in the finest cells that hold their edge, if no better scene covers the cell that day.
+
+    Whatever window takes in the scene takes in its day, so with a better one there it cannot win for
+    any region of the cell. About as many are left as there are cells, days and sources, however many scenes
+    there are. The best scenes are written first: their table, often small, then goes to the entries.
+    """
+    within = F.sequence(F.lit(0).cast("long"), F.expr("shiftleft(1L, _level) - 1"))
+    covering = daily.select("*", F.explode(within).alias("_dy")).select("*", F.explode(within).alias("_dx")).groupBy(
+        *[(F.expr(f"shiftleft({c}, _level)") + F.col(d)).alias(c) for c, d in (("_cy", "_dy"), ("_cx", "_dx"))],
+        "data_source", "_day",
+    ).agg(F.min("_place").alias("_covering"))
+    edges = _touched(dated, degrees).filter(~_covers(F.lit(degrees), F.col("_cx"), F.col("_cy")))
+    return edges.join(cut_lineage(covering), ["_cy", "_cx", "data_source", "_day"], "left").filter(
+        F.col("_covering").isNull() | (F.col("_place") < F.col("_covering"))
+    ).drop("_covering")
+
+
 def best_scene(
     regions: DataFrame,
     scenes: DataFrame,
@@ -138,7 +160,8 @@ def best_scene(
     cell and source only the best of each day is kept (scenes are numbered in their order first), in blocks as long as the window: a window slides
     over the end of one block and the start of the next, so a region looks up its cells and those
     above them twice, whatever the number of days. Scenes with an edge in a cell are compared with each
-    region of the cell, but only those before the best covering scene can still win.
+    region of the cell, but only those before the best covering scene can still win; most fall out before,
+    as a better one covers the cell on their own day.
     """
     days = lookback + 1
     box = ["min_lon", "min_lat", "max_lon", "max_lat"]
@@ -148,8 +171,9 @@ def best_scene(
     ))
     day = F.floor(F.col("time_start_ms") / 86_400_000)
     dated = placed.select("data_source", *box, "_place", F.floor(day / days).alias("_block"), day.alias("_day"))
-    full = _best_of_days(_covered(dated, degrees))
-    edges = _touched(dated, degrees).filter(~_covers(F.lit(degrees), F.col("_cx"), F.col("_cy"))).select(
+    daily = cut_lineage(_best_of_each_day(_covered(dated, degrees)))
+    full = _best_of_days(daily)
+    edges = _unbeaten_edges(dated, daily, degrees).select(
         "_cy", "_cx", "_block", "_day", "data_source", "_place", *[F.col(c).alias("s_" + c) for c in box]
     )
 

@@ -88,6 +88,41 @@ def test_sliding_minimum_over_every_window(spark):
     assert got == want
 
 
+def test_beaten_edges_fall_out_and_the_choice_stays(spark):
+    """Of 600 scenes of one place and day few edges are left, and every region still has its best scene."""
+    rng = np.random.default_rng(8)
+    scenes = []
+    for i in range(600):
+        x, y, size = 100 + rng.uniform(-1, 1), rng.uniform(-1, 1), (1.0, 1.8, 5.0)[i % 3]
+        at = ms(f"2024-01-{10 + i % 2}T10:00:00") + i * 1000
+        cloud = None if i % 50 == 0 else float(rng.integers(0, 300))
+        scenes.append((f"s{i}", "landsat", at, cloud, x - size / 2, y - size / 2, x + size / 2, y + size / 2))
+    regions = [
+        (f"r{i}", date(2024, 1, 10 + i % 16), float(x), float(y), float(x + 0.2), float(y + 0.2))
+        for i, (x, y) in enumerate(zip(rng.uniform(97, 103, 60), rng.uniform(-3, 3, 60), strict=True))
+    ]
+    df = spark.createDataFrame(scenes, SCENES)
+    got = M.best_scene(spark.createDataFrame(regions, REGION), df).collect()
+    want = {}
+    for rid, run, x0, y0, x1, y1 in regions:
+        last = ms(f"{run.isoformat()}T00:00:00") + 86_400_000
+        found = [
+            (s[3] is None, s[3] or 0.0, -s[2], s[0]) for s in scenes
+            if s[4] <= x1 and s[6] >= x0 and s[5] <= y1 and s[7] >= y0 and last - 14 * 86_400_000 <= s[2] < last
+        ]
+        if found:
+            want[rid] = min(found)[3]
+    assert {r.region_id: r.original_id for r in got} == want and len(want) > 30
+
+    box = ["min_lon", "min_lat", "max_lon", "max_lat"]
+    order = "row_number() OVER (ORDER BY cloud_cover IS NULL, cloud_cover, -time_start_ms, scene_id) AS _place"
+    day = "time_start_ms DIV 86400000"
+    dated = df.selectExpr("data_source", *box, order, f"{day} DIV 14 AS _block", f"{day} AS _day")
+    daily = M._best_of_each_day(M._covered(dated, M.TILE_DEGREES))
+    edges = M._touched(dated, M.TILE_DEGREES)
+    assert 10 * M._unbeaten_edges(dated, daily, M.TILE_DEGREES).count() < edges.count()
+
+
 def test_window_catalogue_bands(spark):
     scenes = spark.createDataFrame([("a", "landsat", ms("2024-01-01T00:00:00"), 1.0, 0.0, 0.0, 1.0, 1.0)], SCENES)
     assert M.scenes_in_window(scenes, "2024-01-14").count() == 1
