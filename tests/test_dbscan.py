@@ -116,3 +116,36 @@ def test_groups_are_separate_and_numbered_from_zero(spark):
 
 def test_empty_input(spark):
     assert dbscan(spark.createDataFrame([], "latitude DOUBLE, longitude DOUBLE")).count() == 0
+
+
+@pytest.mark.parametrize("min_samples,pairs_per_box_pair", [(4, 1024), (4, 16), (20, 9)])
+def test_clusters_across_tiles(spark, monkeypatch, min_samples, pairs_per_box_pair):
+    """Tiles of few cells, so that most clusters leave theirs; with and without big cells."""
+    monkeypatch.setattr(module, "TILE", 3)
+    monkeypatch.setattr(module, "PAIRS_PER_BOX_PAIR", pairs_per_box_pair)
+    monkeypatch.setattr(module, "PAIRS_AT_ONCE", 50)
+    rng = np.random.default_rng(5)
+    centres = rng.uniform([-1, 179.6], [0, 180.4], (12, 2))
+    points = np.concatenate([centres[rng.integers(0, 12, 400)] + rng.normal(0, 0.04, (400, 2)),
+                             rng.uniform([-1, 179.6], [0, 180.4], (200, 2))])
+    points[:, 1] = (points[:, 1] + 180) % 360 - 180
+    expected = check(spark, points, 5.0, min_samples)
+    assert expected["cluster_id"].max() > 1
+
+
+def test_rows_written_follow_the_points(spark, monkeypatch):
+    """In a field of three or four points to a cell no table of neighbour pairs is written."""
+    written = []
+    original = module.cut_lineage
+
+    def counting(df):
+        out = original(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "cut_lineage", counting)
+    side = 30 * Grid(5.0).step
+    points = np.random.default_rng(6).uniform([0, 100], [side, 100 + side], (3000, 2))
+    out = dbscan(spark.createDataFrame(points.tolist(), "latitude DOUBLE, longitude DOUBLE"))
+    assert out.count() == 3000
+    assert sum(written) < 5 * 3000
