@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberfold.llm.common import cut, discard, hash_words, let, mix64, pack, runs, slices, unpack, words_of
@@ -60,7 +60,9 @@ def _blocks(min_words: int):
                 per_doc = np.diff(lines.offsets.to_numpy()).astype(np.int64)
                 counts, codes, words = words_of(lines.flatten())
                 total, width = len(counts), max(len(words), 1)
-                pairs = np.unique(np.repeat(np.arange(total), counts) * width + codes)
+                # Sorted and compared with the one before: ``np.unique`` hashes, which takes many times as long.
+                pairs = np.sort(np.repeat(np.arange(total), counts) * width + codes)
+                pairs = pairs[np.diff(pairs, prepend=-1) > 0]
                 line, code = pairs // width, pairs % width
                 size = np.bincount(line, minlength=total)
                 code, size_of = code[size[line] >= min_words], size[size >= min_words]
@@ -72,7 +74,7 @@ def _blocks(min_words: int):
                 place = np.empty(width, np.int64)
                 place[order] = np.arange(width)
                 used = int((often > 0).sum())
-                dictionary = hash_words([words[i] for i in order[:used]])
+                dictionary = hash_words(words)[order[:used]]
                 code = place[code].astype(np.uint32)
                 hashes = dictionary[code]
                 starts = np.cumsum(size_of) - size_of
@@ -118,16 +120,20 @@ def _firsts(batch_row: dict) -> tuple[np.ndarray, ...]:
     return doc, line, a, b, first, leader
 
 
-def _signatures(batches):
-    """Lines by signature: the first of its set in the block, or (local) one that repeats it."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            doc, line, a, b, first, leader = _firsts(row)
-            take = leader | ~first
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[take]) for x in (doc, line, a.view(np.int64), b.view(np.int64), ~first)],
-                names=["doc", "line", "sig_a", "sig_b", "local"],
-            )
+def _signatures(local: bool):
+    """Lines by signature: those that are the first of their set in the block, or (local) those that repeat it."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                doc, line, a, b, first, leader = _firsts(row)
+                take = ~first if local else leader
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[take]) for x in (doc, line, a.view(np.int64), b.view(np.int64))],
+                    names=["doc", "line", "sig_a", "sig_b"],
+                )
+
+    return run
 
 
 def _sums(parts: DataFrame, kind) -> np.ndarray:
@@ -194,7 +200,8 @@ def _postings(rarity, shards: int, percent: int):
                 index = np.concatenate([(f[0] >> np.uint64(44)).astype(np.int64) + f[2] for f in found])
                 where = np.concatenate([f[1] for f in found]).astype(np.int32)
                 shard = (token % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
+                # Numbers of 16 bits are sorted by radix.
+                order = np.argsort(shard.astype(np.min_scalar_type(shards)), kind="stable")
                 cuts, lengths = runs(shard[order])
                 for c, n in zip(cuts, lengths):
                     o = order[c : c + n]
@@ -215,6 +222,15 @@ POSTING = ["token", "index", "place", "doc", "line", "size", "bits", "sig"]
 KINDS = [np.uint64, np.int32, np.int32, np.int64, np.int32, np.int32, np.uint64, np.uint32]
 
 
+def _sorted_order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of keys of TOKEN_BITS: sorted together with their places, several times faster than argsort."""
+    low = np.uint64(64) - TOKEN_BITS
+    if len(keys) >> int(low):
+        return np.argsort(keys, kind="stable")
+    placed = np.sort((keys << low) | np.arange(len(keys), dtype=np.uint64))
+    return (placed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+
+
 def _meet(percent: int):
     """Candidate pairs (kind 0) of one shard, and the entries of lists with more of them (1, 2)."""
 
@@ -228,7 +244,7 @@ def _meet(percent: int):
 
         def listed(p):
             """Entries by word, each list in the order of places, without words that one line has."""
-            order = np.argsort(p["token"], kind="stable")
+            order = _sorted_order(p["token"])
             _, n = runs(p["token"][order])
             return order[np.repeat(n, n) > 1]
 
@@ -236,7 +252,7 @@ def _meet(percent: int):
         p = pick(p, np.sort(listed(p)))
         # Equal sets count once, by their first place.
         key = mix64(p["token"] + mix64(p["sig"]))
-        order = np.argsort(key, kind="stable")
+        order = _sorted_order(key >> (np.uint64(64) - TOKEN_BITS))
         same = np.zeros(len(order), bool)
         same[1:] = np.logical_and.reduce([p[c][order[1:]] == p[c][order[:-1]] for c in ("token", "sig", "bits", "size")])
         p = pick(p, np.sort(order[~same]))
@@ -461,16 +477,20 @@ def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = M
     )
     found = [matched] if rest.isEmpty() else [matched, _confirmed(blocks, rest, percent)]
 
-    seen = blocks.select("docs", "lines", "sig_a", "sig_b").mapInArrow(
-        _signatures, "doc long, line int, sig_a long, sig_b long, local boolean"
-    )
+    def seen(local: bool) -> DataFrame:
+        return blocks.select("docs", "lines", "sig_a", "sig_b").mapInArrow(
+            _signatures(local), "doc long, line int, sig_a long, sig_b long"
+        )
+
+    # A set has one row per block here, however many lines repeat it.
     at = F.struct("doc", "line")
-    once = seen.filter("NOT local").groupBy("sig_a", "sig_b").agg(F.min(at).alias("first"))
-    repeats = seen.filter("NOT local").join(once, ["sig_a", "sig_b"]).filter(at != F.col("first"))
-    places = blocks.select("block", "docs", "lines").mapInArrow(_line_places, "block long, index int, doc long, line int")
-    similar = places.join(reduce(DataFrame.unionByName, found).distinct(), ["block", "index"], "left_semi")
+    first = F.min(at).over(Window.partitionBy("sig_a", "sig_b"))
+    repeats = seen(False).withColumn("first", first).filter(at != F.col("first"))
+    # At most the lines of a block in a list.
+    chosen = reduce(DataFrame.unionByName, found).groupBy("block").agg(F.collect_set("index").alias("chosen"))
+    similar = blocks.select("block", "docs", "lines").join(chosen, "block").mapInArrow(_line_places, "doc long, line int")
     removed = cut(
-        repeats.select("doc", "line").union(seen.filter("local").select("doc", "line")).union(similar.select("doc", "line"))
+        repeats.select("doc", "line").union(seen(True).select("doc", "line")).union(similar)
         .select(F.col("doc").alias("doc_id"), "line").distinct()
     )
     discard(blocks, meetings, rest, *found)
@@ -480,11 +500,9 @@ def removed_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = M
 def _line_places(batches):
     for batch in batches:
         for row in batch.to_pylist():
-            doc, line = unpack(row["docs"], np.int64), unpack(row["lines"], np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(doc), row["block"])), pa.array(np.arange(len(doc), dtype=np.int32)), pa.array(doc), pa.array(line)],
-                names=["block", "index", "doc", "line"],
-            )
+            index = np.array(row["chosen"], np.int64)
+            doc, line = unpack(row["docs"], np.int64)[index], unpack(row["lines"], np.int32)[index]
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(line)], names=["doc", "line"])
 
 
 def dedup_lines(docs: DataFrame, *, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:

@@ -1,9 +1,12 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from emberfold.llm import line_simjoin as ls
+from emberfold.llm.common import pack
 
 from .conftest import words
 
@@ -80,3 +83,17 @@ def test_no_rows_and_short_lines(spark, no_docs):
     ] == brute(rows)
     longer = ls.dedup_lines(df, min_words=3).collect()
     assert sorted(map(tuple, longer))[1] == (2, "a b\n \nC c") and sorted(map(tuple, longer)) == brute(rows, fewest=3)
+
+
+def test_only_chosen_lines_of_a_block_are_listed():
+    """Lines removed by a pair are looked up in their block; the others are not listed at all."""
+    docs, lines = np.repeat(np.arange(5), 4), np.tile(np.arange(4, dtype=np.int32), 5)
+    row = {"block": 0, "docs": pack(docs), "lines": pack(lines), "chosen": [7, 2]}
+    out = pa.Table.from_batches(ls._line_places([pa.RecordBatch.from_pylist([row])]))
+    assert out.to_pylist() == [{"doc": 1, "line": 3}, {"doc": 0, "line": 2}]
+
+
+def test_order_of_tokens_is_stable():
+    keys = np.random.default_rng(1).integers(0, 50, 1000).astype(np.uint64) << np.uint64(30)
+    assert (ls._sorted_order(keys) == np.argsort(keys, kind="stable")).all()
+    assert len(ls._sorted_order(keys[:0])) == 0
