@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 from emberfold.llm import forests
 from emberfold.llm.common import cut, discard, mix64, slices
 from emberfold.llm.jaccard_join import shingle_sets
-from emberfold.operators.components import connected_components
 
 SHINGLE, PERCENT, RECALL = 5, 85, 0.999999
 VALUES, HUBS = 64, 3
@@ -231,14 +230,14 @@ def similar_components(
     members = cut(entries.join(shared, "key"))
     nodes = sets.select("node")
     links = join.through_hubs(members)
-    links = forests.grown(links, nodes, sets.select("node", "n", "bits"), join.tiles, members, join.confirmed, percent)
+    roots = forests.grown(links, nodes, sets.select("node", "n", "bits"), join.tiles, members, join.confirmed, percent)
 
     # Rows of one doc_id with different texts tie their sets together.
     placed = cut(named.select("doc_id", "sig").distinct().join(same, "sig").select("doc_id", "node"))
     tied = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id", "a")
     ties = placed.join(tied, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
-    final = cut(connected_components(nodes, links.unionByName(ties), []))
-    discard(members)
+    final = forests.joined(roots, ties)
+    discard(members, roots)
     labelled = placed.join(final, "node")
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of = labelled.join(smallest, "root").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))

@@ -114,15 +114,40 @@ def grown(
     links: DataFrame, nodes: DataFrame, sketches: DataFrame, tiles: Callable[[DataFrame], DataFrame],
     members: DataFrame, confirmed: Callable[[DataFrame], DataFrame], percent: int,
 ) -> DataFrame:
-    """``links`` and all further links that join components: between ``members`` (key, node) of one key.
+    """(node, root), a written table: components by ``links`` and all links between ``members`` (key, node) of one key.
 
     ``tiles`` makes a written table of tiles from members with their roots, ``confirmed`` one of the
-    links among given pairs.
+    links among given pairs. Tiles without a proposal have no pair left that could be similar; where
+    no proposal of a forest is confirmed the next forest would be the same, so all pairs follow at once.
     """
-    for number in range(FORESTS + 1):
-        roots = cut(connected_components(nodes, links, []))
+    roots = cut(connected_components(nodes, links, []))
+    forest = FORESTS
+    while forest >= 0:
         dealt = tiles(members.join(roots, "node").select("key", "node", "root"))
-        found = cut(proposals(dealt, sketches, percent, number < FORESTS))
-        links = links.unionByName(confirmed(found))
-        discard(dealt, found, roots)
-    return links
+        found = cut(proposals(dealt, sketches, percent, forest > 0))
+        discard(dealt)
+        if found.isEmpty():
+            discard(found)
+            break
+        more = confirmed(found)
+        fruitless = more.isEmpty()
+        if not fruitless:
+            old, roots = roots, joined(roots, more)
+            discard(old)
+        discard(found, more)
+        forest = 0 if fruitless and forest > 0 else forest - 1
+    return roots
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after ``links`` (a, b) too, a written table; only the roots that they join are gone over."""
+    of = [roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab"]
+    between = cut(
+        links.join(of[0], "a").join(of[1], "b").filter("a_root <> b_root")
+        .select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")).distinct()
+    )
+    ends = between.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    tops = connected_components(ends, between, []).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    out = cut(roots.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
+    discard(between)
+    return out

@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from emberfold.llm import forests
 from emberfold.llm.common import cut, discard, hash_words, mix64, shingle_hashes, slices, words_of
-from emberfold.operators.components import connected_components
 
 SHINGLE, PERCENT = 3, 90
 # Ratio of the sizes at the ends of a band; spare segments, as a share of those needed.
@@ -273,18 +272,25 @@ def similar_components(docs: DataFrame, *, width: int = SHINGLE, percent: int =
         named.filter("carries").join(same, "sig").filter("doc_id = rep")
         .groupBy("rep").agg(F.min(F.struct("sig", "n", "bits", *PARITIES)).alias("x")).select(F.col("rep").alias("doc"), "x.*").drop("sig")
     )
-    links = _links(docs, base, reps, width, percent, kind)
-    ties = member.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    nodes = named.select(F.col("doc_id").alias("node")).distinct()
-    roots = connected_components(nodes, links.unionByName(ties), [])
-    out = base.select("doc_id", F.col("n").alias("n_shingles")).join(
-        roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left"
+    roots = _linked(docs, base, reps, width, percent, kind)
+    placed = member.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
+        "doc_id", F.coalesce("root", "rep").alias("root")
     )
-    return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
-
-
-def _links(docs: DataFrame, base: DataFrame, reps: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
-    """(a, b): verified links that connect all components of the representatives of equal sets."""
+    labelled = cut(placed.groupBy("doc_id").agg(F.min("root").alias("root"), F.max("root").alias("last")))
+    several = labelled.filter("root <> last").select("doc_id", F.col("root").alias("a"))
+    if not several.isEmpty():
+        ties = placed.withColumnRenamed("root", "b").join(several, "doc_id").filter("a <> b").select("a", "b")
+        ends = labelled.select(F.explode(F.array("root", "last")).alias("node")).union(ties.select("b")).distinct()
+        tops = forests.joined(ends.select("node", F.col("node").alias("root")), ties)
+        labelled = labelled.join(tops.toDF("root", "top"), "root").select("doc_id", F.col("top").alias("root"))
+    smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of = labelled.join(smallest, "root").select("doc_id", "component_id")
+    out = base.select("doc_id", F.col("n").alias("n_shingles")).join(of, "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _linked(docs: DataFrame, base: DataFrame, reps: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
+    """(node, root): components of those representatives of equal sets that meet another one, by verified links."""
     entries = (
         base.filter("carries").select("doc_id", "keys", "codes").mapInArrow(_spread, f"key long, code int, doc {kind}")
     )
@@ -327,11 +333,11 @@ def _links(docs: DataFrame, base: DataFrame, reps: DataFrame, width: int, percen
     discard(probes, members)
     nodes = met.select("node").distinct()
     sketches = reps.select(F.col("doc").alias("node"), "n", "bits")
-    links = forests.grown(
+    roots = forests.grown(
         links, nodes, sketches, lambda rows: cut(forests.tile_rows(forests.mixed_buckets(rows))), met, confirmed, percent
     )
     discard(met, sets)
-    return links
+    return roots
 
 
 def one_of_each(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

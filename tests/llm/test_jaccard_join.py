@@ -95,3 +95,16 @@ def test_null_and_repeated_ids(spark):
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == [
         (0, 18, 0), (1, 18, 1), (1, 18, 1), (2, 2, 1), (2, 18, 1), (3, 0, 3),
     ]
+
+
+def test_later_rounds_go_over_joined_roots_only(spark, monkeypatch):
+    """Many near copies: their links are gone over once, later links between the roots that they join."""
+    sizes = []
+    real = jj.forests.connected_components
+    monkeypatch.setattr(jj.forests, "connected_components", lambda n, e, g: sizes.append(e.count()) or real(n, e, g))
+    rng = random.Random(8)
+    base = " ".join(f"w{i}" for i in range(120))
+    rows = [(i, edited(rng, base, 0.005)) for i in range(150)]
+    got = jj.similar_components(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 3, 90)
+    assert len(sizes) >= 1 and sum(sizes[1:]) < sizes[0]

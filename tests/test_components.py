@@ -46,6 +46,17 @@ def test_rounds_grow_with_the_logarithm_of_an_ordered_chain(spark, monkeypatch,
     assert len(rounds) <= 14
 
 
+def test_a_star_takes_few_rounds(spark, monkeypatch):
+    """Copies around a hub: half the leaves stayed in every round when nodes were ordered anew."""
+    rounds = []
+    real = components._parents
+    monkeypatch.setattr(components, "_parents", lambda *a: rounds.append(1) or real(*a))
+    edges = spark.range(1, 3000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    out = connected_components(spark.range(3000).toDF("node"), edges, [])
+    assert out.filter("root = 0").count() == 3000
+    assert len(rounds) <= 3
+
+
 @pytest.mark.parametrize("shape", ["chain", "star", "pairs"])
 def test_rows_written_are_linear(spark, monkeypatch, shape):
     """All tables of all rounds together, also when one component holds every node; none is left behind."""
