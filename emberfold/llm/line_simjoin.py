@@ -103,13 +103,37 @@ def _blocks(min_words: int):
 BLOCK = ["block", "docs", "lines", "sizes", "codes", "words", "often", "sig_a", "sig_b"]
 
 
+def _place_order(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Stable order by (doc, line): both sorted in one number with their places, several times faster than lexsort."""
+    if not len(doc):
+        return np.empty(0, np.int64)
+    low, lines, places = int(doc.min()), int(line.max()).bit_length(), len(doc).bit_length()
+    if (int(doc.max()) - low).bit_length() + lines + places > 64:
+        return np.lexsort((line, doc))
+    key = ((doc - low).astype(np.uint64) << np.uint64(lines)) | line.astype(np.uint64)
+    placed = np.sort((key << np.uint64(places)) | np.arange(len(doc), dtype=np.uint64))
+    return (placed & np.uint64((1 << places) - 1)).astype(np.int64)
+
+
+def _by_set(doc, line, a, b) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (a, b, doc, line), and where a new set begins in it."""
+    base, places = _place_order(doc, line), np.uint64(len(doc).bit_length())
+    placed = np.sort((a[base] >> places << places) | np.arange(len(doc), dtype=np.uint64))
+    order = base[(placed & ((np.uint64(1) << places) - np.uint64(1))).astype(np.int64)]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    if (new[1:] & (placed[1:] >> places == placed[:-1] >> places)).any():
+        # Different signatures that begin alike, once in hundreds of blocks.
+        order = np.lexsort((line, doc, b, a))
+        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    return order, new
+
+
 def _firsts(batch_row: dict) -> tuple[np.ndarray, ...]:
     """Per line of a block: doc, line number, both signatures, and whether it is its set's first."""
     doc, line = unpack(batch_row["docs"], np.int64), unpack(batch_row["lines"], np.int32)
     a, b = unpack(batch_row["sig_a"], np.uint64), unpack(batch_row["sig_b"], np.uint64)
-    order = np.lexsort((line, doc, b, a))
-    new = np.ones(len(order), bool)
-    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    order, new = _by_set(doc, line, a, b)
     # The same line number of rows with an equal doc_id is one line, not an earlier one.
     same = np.zeros(len(order), bool)
     lead = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
@@ -248,7 +272,7 @@ def _meet(percent: int):
             _, n = runs(p["token"][order])
             return order[np.repeat(n, n) > 1]
 
-        p = pick(p, np.lexsort((p["line"], p["doc"])))
+        p = pick(p, _place_order(p["doc"], p["line"]))
         p = pick(p, np.sort(listed(p)))
         # Equal sets count once, by their first place.
         key = mix64(p["token"] + mix64(p["sig"]))
@@ -354,13 +378,16 @@ def _of_lines(asked, kind: str):
                 index = np.arange(len(size))
                 spot = _slot(np.full(len(size), row["block"]), index)
                 mine = index[(asked.value[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0]
-                hashes = unpack(row["words"], np.uint64)[unpack(row["codes"], np.uint32)]
-                ends = np.cumsum(size)
-                sets = [hashes[ends[i] - size[i] : ends[i]] for i in mine]
+                if not len(mine):
+                    continue
+                own = size[mine]
+                ends = np.cumsum(own)
+                place = np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[mine] - (ends - own), own)
+                hashes = unpack(row["words"], np.uint64)[unpack(row["codes"], np.uint32)[place]]
                 if kind == "set":
-                    data = [np.sort(s).tobytes() for s in sets]
+                    data = [np.sort(hashes[end - n : end]).tobytes() for end, n in zip(ends.tolist(), own.tolist())]
                 else:
-                    data = [_wide_parities(s) for s in sets]
+                    data = _wide_parities(hashes, own)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(mine), row["block"], np.int64)), pa.array(mine.astype(np.int32)), pa.array(data, pa.binary())],
                     names=["block", "index", kind],
@@ -369,10 +396,18 @@ def _of_lines(asked, kind: str):
     return run
 
 
-def _wide_parities(words: np.ndarray) -> bytes:
-    """The size of a set, and bits that each hold the parity of the words that fall on them."""
-    spots = np.bincount((mix64(words ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - WIDE_BITS)).astype(np.int64), minlength=1 << WIDE_BITS)
-    return len(words).to_bytes(4, "little") + np.packbits(spots & 1).tobytes()
+def _wide_parities(words: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The size of each set, and bits that each hold the parity of the words that fall on them."""
+    spots = (mix64(words ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - WIDE_BITS)).astype(np.int64)
+    ends, out, step = np.cumsum(sizes), [], 1 << 12
+    for at in range(0, len(sizes), step):
+        n = sizes[at : at + step]
+        here = spots[ends[at] - n[0] : ends[at + len(n) - 1]] + (np.repeat(np.arange(len(n)), n) << WIDE_BITS)
+        odd = (np.bincount(here, minlength=len(n) << WIDE_BITS) & 1).astype(np.uint8).reshape(len(n), -1)
+        rows = np.concatenate([n.astype("<u4").view(np.uint8).reshape(-1, 4), np.packbits(odd, axis=1)], axis=1)
+        data, width = rows.tobytes(), rows.shape[1]
+        out += [data[i : i + width] for i in range(0, len(data), width)]
+    return out
 
 
 def _near(percent: int):

@@ -97,3 +97,23 @@ def test_order_of_tokens_is_stable():
     keys = np.random.default_rng(1).integers(0, 50, 1000).astype(np.uint64) << np.uint64(30)
     assert (ls._sorted_order(keys) == np.argsort(keys, kind="stable")).all()
     assert len(ls._sorted_order(keys[:0])) == 0
+
+
+@pytest.mark.parametrize("low", [0, -(1 << 62)])
+def test_orders_and_parities_equal_the_plain_forms(low):
+    """Ids far apart do not fit into one number with their places; signatures may begin alike."""
+    rng = np.random.default_rng(4)
+    doc = rng.integers(0, 40, 3000) + np.where(rng.random(3000) < 0.5, low, -low // 2)
+    line = rng.integers(0, 30, 3000).astype(np.int32)
+    assert (ls._place_order(doc, line) == np.lexsort((line, doc))).all()
+    for a in (rng.integers(0, 9, 3000), rng.integers(0, 9, 3000) << 50):
+        a, b = a.astype(np.uint64), rng.integers(0, 2 if low else 1, 3000).astype(np.uint64)
+        order, new = ls._by_set(doc, line, a, b)
+        want = np.lexsort((line, doc, b, a))
+        assert (order == want).all() and new.sum() == len(set(zip(a.tolist(), b.tolist())))
+    assert len(ls._place_order(doc[:0], line[:0])) == 0
+    sets = [rng.integers(0, 1 << 62, n).astype(np.uint64) for n in rng.integers(1, 30, 5000)]
+    got = ls._wide_parities(np.concatenate(sets), np.array([len(s) for s in sets]))
+    for s, data in zip(sets, got):
+        spots = np.bincount((ls.mix64(s ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - ls.WIDE_BITS)).astype(int), minlength=1 << ls.WIDE_BITS)
+        assert data == len(s).to_bytes(4, "little") + np.packbits(spots & 1).tobytes()
